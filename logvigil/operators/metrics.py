@@ -24,14 +24,14 @@ def score_curve(scored: DataFrame, score: str = "score", positive: str = "y", ro
     return running_totals(written(grouped), "score", ("tp", "fp"), descending=True, rows_per_bin=rows_per_bin)
 
 
-def roc_auc_of(curve: DataFrame) -> Column:
-    """Share of (positive, negative) pairs ranked right, ties half."""
+def roc_auc_of() -> Column:
+    """Over a curve: share of (positive, negative) pairs ranked right, ties half."""
     wins = F.sum(F.col("fp") * (F.col("cum_tp") - F.col("tp") / 2.0))
     return F.try_divide(wins, F.sum("tp") * F.sum("fp").cast("double"))
 
 
-def pr_auc_of(curve: DataFrame) -> Column:
-    """Trapezoids under precision over recall, starting at recall 0 with precision 1."""
+def pr_auc_of() -> Column:
+    """Over a curve: trapezoids under precision over recall, starting at recall 0 with precision 1."""
     precision = F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))
     tp, fp = F.col("cum_tp") - F.col("tp"), F.col("cum_fp") - F.col("fp")
     before = F.coalesce(F.try_divide(tp.cast("double"), (tp + fp).cast("double")), F.lit(1.0))
@@ -39,7 +39,7 @@ def pr_auc_of(curve: DataFrame) -> Column:
 
 
 def curve_metrics(curve: DataFrame) -> DataFrame:
-    return curve.agg(roc_auc_of(curve).alias("roc_auc"), pr_auc_of(curve).alias("pr_auc"))
+    return curve.agg(roc_auc_of().alias("roc_auc"), pr_auc_of().alias("pr_auc"))
 
 
 def top_counts(scored: DataFrame, score: str = "score", positive: str = "y") -> DataFrame:

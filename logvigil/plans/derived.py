@@ -5,9 +5,16 @@ Integer arithmetic only, so that every engine derives the same rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logvigil.functions import rules
+from logvigil.functions.clock import iso_text
+from logvigil.operators import chain, scoring
+from logvigil.session import written
+
 # fixed values: 2024-01-01 UTC in microseconds
 START_US = 1704067200000000
 
@@ -49,3 +56,80 @@ def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN u % 25 = 0 THEN 'brute_force' WHEN event_id % 23 = 0 THEN 'impossible_travel'"
         " WHEN event_id % 101 = 0 THEN 'device_spoofing' ELSE 'normal' END AS label",
     )
+
+
+def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log in its source form: ISO text, JSON texts, text ids."""
+    log = access_log(spark, sf_dir)
+    return log.select(
+        F.col("event_id").cast("string").alias("event_id"),
+        "entity_id",
+        "entity_type",
+        iso_text(F.col("ts_us")).alias("timestamp"),
+        "source_ip",
+        F.to_json(F.struct("lat", "lon", F.lit("US").alias("country"))).alias("geo_location"),
+        "resource_accessed",
+        "auth_method",
+        "session_duration",
+        "bytes_transferred",
+        F.when(F.col("event_id") % 5 == 0, F.to_json(F.array(F.lit("sudo su"), F.col("resource_accessed")))).alias(
+            "command_sequence"
+        ),
+        F.to_json(
+            F.struct("os", F.lit("v1.0").alias("firmware"), "mac", F.lit("HTTPS").alias("protocol"))
+        ).alias("device_fingerprint"),
+    )
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = access_log(spark, sf_dir)
+    return log.select("event_id", "label", F.lit(None).cast("string").alias("attack_scenario_id"))
+
+
+_tables: dict[tuple[str, str, str], object] = {}
+
+
+def shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object]):
+    """What an earlier phase wrote for later ones: built on first use in a session, then read back."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _tables:
+        _tables[key] = build()
+    return _tables[key]
+
+
+def learned(spark: SparkSession, sf_dir: str) -> chain.Learned:
+    """Split constants and profile tables of the training phase."""
+    return shared(spark, sf_dir, "learned", lambda: chain.learn(access_log(spark, sf_dir)))
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and ensemble scores of every event, written once."""
+    return shared(spark, sf_dir, "scored", lambda: written(chain.ensemble_scores(learned(spark, sf_dir))))
+
+
+def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The combined feature matrix with scores, written once."""
+    return shared(
+        spark,
+        sf_dir,
+        "features",
+        lambda: written(chain.combined_features(learned(spark, sf_dir), scored(spark, sf_dir))),
+    )
+
+
+def signals() -> tuple:
+    return tuple(F.col(c) for c in ("geo_velocity_kmh", "geo_distance_prev_km", "failed_auth_count_5min"))
+
+
+def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagged events with a risk score and the rule's verdict, unknown where no rule fired."""
+    rows = features(spark, sf_dir).withColumn("rule", rules.rule_class(*signals()))
+    rows = rows.where(scoring.is_flagged() | F.col("rule").isNotNull())
+    return rows.withColumns(
+        {
+            "risk_score": F.round("score_ensemble", 6),
+            "predicted_attack_type": F.coalesce("rule", F.lit(rules.UNKNOWN)),
+            "target_class": rules.target_class(F.col("label")),
+            "prediction_source": rules.prediction_source(*signals()),
+        }
+    )

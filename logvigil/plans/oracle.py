@@ -20,11 +20,11 @@ def hav(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
 
 
 def r4(*names: str) -> str:
-    """``round(x, 4) AS x`` for each name; ``expr AS x`` is taken apart."""
+    """``expr AS x`` rounded to four places for each name, with the nudge of the registry."""
     out = []
     for name in names:
         expr, _, alias = name.rpartition(" AS ")
-        out.append(f"round({expr or name}, 4) AS {alias}")
+        out.append(f"round({expr or name} + 1e-9, 4) AS {alias}")
     return ", ".join(out)
 
 
