@@ -19,8 +19,9 @@ CRITICAL_RISK = 0.80
 MEDIUM_RISK = 0.50
 
 
-def _clip(value: Column) -> Column:
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), value))
+def clip(value: Column) -> Column:
+    """Into [0, 1]; NULL stays NULL (greatest and least alone would skip it)."""
+    return F.when(value.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), value)))
 
 
 def norm_session_duration(duration: Column, mean: Column, std: Column) -> Column:
@@ -44,7 +45,7 @@ def score_duration(norm_duration: Column) -> Column:
 
 def score_time(density: Column) -> Column:
     """Low density of the hour scores high; 0.5 where no density could be fitted."""
-    return F.coalesce(_clip(1.0 - density / DENSITY_SCALE), F.lit(0.5))
+    return F.coalesce(clip(1.0 - density / DENSITY_SCALE), F.lit(0.5))
 
 
 def stat_score(geo: Column, duration: Column, time: Column, resource_new: Column, device_new: Column) -> Column:
@@ -53,7 +54,7 @@ def stat_score(geo: Column, duration: Column, time: Column, resource_new: Column
 
 def minmax_clip(value: Column, low: Column, high: Column) -> Column:
     width = F.when(F.abs(high - low) < 1e-8, F.lit(1.0)).otherwise(high - low)
-    return _clip((value - low) / width)
+    return clip((value - low) / width)
 
 
 def minmax_eps(value: Column, low: Column, high: Column) -> Column:

@@ -9,6 +9,7 @@ from logvigil.functions.clock import second_of
 from logvigil.functions.geo import haversine_km
 from logvigil.functions.rules import CLASSES, NORMAL
 from logvigil.operators.timeline import with_previous
+from logvigil.session import written
 
 # fixed values
 MANDATORY = (
@@ -58,45 +59,49 @@ def dq_taxonomy(labels: DataFrame, expected: tuple[str, ...] = CLASSES) -> DataF
     return _verdict(lost, "all_classes_present", F.col("n") == 0, F.col("n"))
 
 
-def dq_chronology(logs: DataFrame) -> DataFrame:
-    """Steps of less than a millisecond within an entity."""
-    steps = with_previous(logs.select("entity_id", "event_id", "ts_us"), "ts_us")
-    stuck = steps.agg(F.count_if(F.col("ts_us") - F.col("prev.ts_us") < MIN_STEP_US).alias("n"))
-    return _verdict(stuck, "increasing_time", F.col("n") == 0, F.col("n"))
+def timeline_counts(logs: DataFrame) -> DataFrame:
+    """One row with everything the three timeline checks count, from one pass over the entities."""
+    rows = with_previous(
+        logs.select("entity_id", "event_id", "ts_us", "lat", "lon", "label"), "ts_us", "lat", "lon", "label"
+    )
+    prev, travel = F.col("prev"), F.col("label") == "impossible_travel"
+    hours = (second_of(F.col("ts_us")) - second_of(prev["ts_us"])) / 3600.0
+    km = haversine_km(prev["lat"], prev["lon"], F.col("lat"), F.col("lon"))
+    rows = rows.withColumn("km", km).withColumn("kmh", F.when(hours > 0, F.try_divide(F.col("km"), hours)))
+    normal = (F.col("label") == NORMAL) & (prev["label"] == NORMAL)
+    return rows.agg(
+        F.count_if(F.col("ts_us") - prev["ts_us"] < MIN_STEP_US).alias("stuck"),
+        F.count_if(normal & (F.col("kmh") > BENIGN_KMH) & (F.col("km") > BENIGN_KM)).alias("fast"),
+        F.count_if(travel).alias("travel"),
+        F.count_if(travel & (F.col("km") > TRAVEL_KM) & (F.col("kmh") > TRAVEL_KMH)).alias("valid"),
+    )
 
 
-def _steps(logs: DataFrame) -> DataFrame:
-    """Per event with a positive whole-second step: distance and speed from the previous event."""
-    rows = with_previous(logs.select("entity_id", "event_id", "ts_us", "lat", "lon", "label"), "ts_us", "lat", "lon", "label")
-    hours = (second_of(F.col("ts_us")) - second_of(F.col("prev.ts_us"))) / 3600.0
-    km = haversine_km(F.col("prev.lat"), F.col("prev.lon"), F.col("lat"), F.col("lon"))
-    rows = rows.withColumns({"hours": hours, "km": km}).where(F.col("hours") > 0)
-    return rows.withColumn("kmh", F.col("km") / F.col("hours"))
+def dq_chronology(logs: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """No step of less than a millisecond within an entity."""
+    counts = timeline_counts(logs) if counts is None else counts
+    return _verdict(counts, "increasing_time", F.col("stuck") == 0, F.col("stuck"))
 
 
-def dq_benign_velocity(logs: DataFrame) -> DataFrame:
+def dq_benign_velocity(logs: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """No fast and far step between two normal events."""
-    normal = (F.col("label") == NORMAL) & (F.col("prev.label") == NORMAL)
-    fast = normal & (F.col("kmh") > BENIGN_KMH) & (F.col("km") > BENIGN_KM)
-    return _verdict(_steps(logs).agg(F.count_if(fast).alias("n")), "benign_velocity", F.col("n") == 0, F.col("n"))
+    counts = timeline_counts(logs) if counts is None else counts
+    return _verdict(counts, "benign_velocity", F.col("fast") == 0, F.col("fast"))
 
 
-def dq_travel_constraint(logs: DataFrame) -> DataFrame:
+def dq_travel_constraint(logs: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """At least 80 % of the travel events are fast and far; ``found`` is the share (1 without any)."""
-    total = logs.agg(F.count_if(F.col("label") == "impossible_travel").alias("n")).first()["n"]
-    travel = F.col("label") == "impossible_travel"
-    valid = _steps(logs).agg(
-        F.count_if(travel & (F.col("km") > TRAVEL_KM) & (F.col("kmh") > TRAVEL_KMH)).alias("n")
-    )
-    share = F.lit(1.0) if total == 0 else F.col("n") / F.lit(float(total))
-    return _verdict(valid, "travel_constraint", share >= TRAVEL_SHARE, share)
+    counts = timeline_counts(logs) if counts is None else counts
+    share = F.coalesce(F.try_divide(F.col("valid").cast("double"), F.col("travel").cast("double")), F.lit(1.0))
+    return _verdict(counts, "travel_constraint", share >= TRAVEL_SHARE, share)
 
 
 def audit(raw_logs: DataFrame, logs: DataFrame, labels: DataFrame) -> DataFrame:
     """All seven checks. ``raw_logs`` has the source columns, ``logs`` the parsed ones with labels."""
+    counts = written(timeline_counts(logs))
     parts = [
         dq_nulls(raw_logs), dq_alignment(raw_logs, labels), dq_anomaly_rate(labels), dq_taxonomy(labels),
-        dq_chronology(logs), dq_benign_velocity(logs), dq_travel_constraint(logs),
+        dq_chronology(logs, counts), dq_benign_velocity(logs, counts), dq_travel_constraint(logs, counts),
     ]
     out = parts[0]
     for part in parts[1:]:

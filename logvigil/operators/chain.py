@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from logvigil.operators import profiles, ranks, scoring, sequence, trailing
+from logvigil.operators.timeline import DECIDED, with_width
 from logvigil.session import written
 
 # fixed values
@@ -48,20 +49,26 @@ def base_scores(learned: Learned, events: DataFrame | None = None) -> DataFrame:
 
 
 def sequence_errors(split_events: DataFrame) -> DataFrame:
-    """The seven sequence errors and their sum for all events, learned from the training part."""
+    """Add the seven sequence errors and their sum to all events, learned from the training part."""
+    events = split_events
+    split_events = with_width(events)
     train = split_events.where(F.col("split") == "train")
     everywhere = sequence.global_centroid(train)
     located = sequence.centroid_lookup(split_events, sequence.centroid_fit(train), everywhere)
     scaling = sequence.scaling_fit(located.where(F.col("split") == "train")).first()
-    rows = sequence.with_last_values(sequence.scale_features(located, scaling))
+    rows = sequence.with_last_values(sequence.scale_features(located, scaling), hot_rows=DECIDED)
     transitions = written(sequence.transition_counts(rows.where(F.col("split") == "train")))
-    return sequence.sequence_surprise(rows, transitions, sequence.vocabulary_sizes(transitions))
+    sizes = sequence.vocabulary_sizes(transitions)
+    rows = sequence.sequence_surprise(rows, transitions, sizes, hot_rows=DECIDED)
+    return rows.select(*events.columns, *sequence.ERROR_COLUMNS, "seq_error")
 
 
 def ensemble_scores(learned: Learned) -> DataFrame:
-    """Base score, sequence errors, ensemble, threshold and flag per event."""
-    errors = sequence_errors(learned.events).select("event_id", *sequence.ERROR_COLUMNS, "seq_error")
-    scored = written(base_scores(learned).join(errors, "event_id"))
+    """Base score, sequence errors, ensemble, threshold and flag per event.
+
+    Each step adds columns to the same rows; nothing is joined back by event.
+    """
+    scored = written(base_scores(learned, sequence_errors(learned.events)))
     rows = scoring.ensemble(scored)
     return scoring.add_flag(rows, scoring.calibrated_threshold(rows), "score_ensemble")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 # fixed values
 SAMPLE_CAP = 20_000
 FOLDS = 5
-FOLD_BUCKETS = 256
+BUCKET_DIGITS = 3
 
 
 def digest(seed: int, key: str = "event_id", salt: str = "") -> Column:
@@ -17,8 +17,21 @@ def digest(seed: int, key: str = "event_id", salt: str = "") -> Column:
 
 
 def downsample_cap(rows: DataFrame, cap: int = SAMPLE_CAP, seed: int = 42, key: str = "event_id") -> DataFrame:
-    """At most ``cap`` rows without replacement: the smallest digests, found as a top-k."""
-    return rows.withColumn("digest", digest(seed, key)).orderBy("digest", key).limit(cap).drop("digest")
+    """At most ``cap`` rows without replacement: those with the smallest digests.
+
+    Only digests below a bound that lets about two caps through are ranked; a count proves that
+    the bound let enough through, else it is doubled.
+    """
+    drawn = rows.withColumn("digest", digest(seed, key))
+    total = rows.count()
+    share = 2.0 * cap / max(1, total)
+    few = drawn
+    while share < 0.5:
+        few = drawn.where(F.col("digest") < f"{int(share * 16**8):08x}")
+        if few.count() >= cap:
+            break
+        share, few = share * 2, drawn
+    return few.orderBy("digest", key).limit(cap).drop("digest")
 
 
 def sample_replace(rows: DataFrame, n: int = 15, seed: int = 42, key: str = "event_id") -> DataFrame:
@@ -39,10 +52,9 @@ def stratified_folds(rows: DataFrame, label: str, folds: int = FOLDS, seed: int
     A class is cut into digest buckets and the bucket sizes give each bucket its first place, so
     that a class with a third of all rows is ranked by many tasks.
     """
-    buckets = F.conv(F.substring("digest", 1, 2), 16, 10).cast("int")
-    rows = rows.withColumn("digest", digest(seed, key)).withColumn("bucket", buckets)
+    rows = rows.withColumn("digest", digest(seed, key)).withColumn("bucket", F.substring("digest", 1, BUCKET_DIGITS))
     earlier = Window.partitionBy(label).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # at most FOLD_BUCKETS rows per class
+    # 16 ** BUCKET_DIGITS rows per class at most
     offsets = (
         rows.groupBy(label, "bucket")
         .agg(F.count("*").alias("n"))

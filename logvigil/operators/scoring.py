@@ -137,5 +137,5 @@ def rolling_minmax(events: DataFrame, value: str, out: str = "normalized_score",
     rows = rolling_extremes(events, value, days)
     width = F.col("roll_high") - F.col("roll_low")
     width = F.when(width == 0, F.lit(1.0)).otherwise(width)
-    norm = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col(value) - F.col("roll_low")) / width))
+    norm = scores.clip((F.col(value) - F.col("roll_low")) / width)
     return rows.withColumn(out, F.coalesce(norm, F.lit(0.0))).drop("roll_low", "roll_high")

@@ -16,7 +16,8 @@ from logvigil.functions import clock
 from logvigil.functions.geo import haversine_km
 from logvigil.functions.rules import NORMAL
 from logvigil.operators.ranks import running_totals
-from logvigil.operators.timeline import drop_context, row_window, with_context, with_previous, with_width
+from logvigil.operators.timeline import drop_context, is_sliced, row_window, with_context, with_previous, with_width
+from logvigil.session import written
 
 # fixed values
 SEQ_LENGTH = 32
@@ -39,7 +40,8 @@ def vocab_fit(events: DataFrame, column: str) -> DataFrame:
         .agg(F.min("ts_us").alias("first_us"))
         .withColumn("one", F.lit(1))
     )
-    ranked = running_totals(values, "first_us", ("one",), ties=("value",))
+    # a vocabulary is small beside the log, and is read three times here
+    ranked = running_totals(written(values), "first_us", ("one",), ties=("value",))
     return ranked.select("value", (F.col("cum_one") + (UNK_INDEX)).cast("long").alias("idx"))
 
 
@@ -169,6 +171,7 @@ def sequence_surprise(
         }
     )
     rows = drop_context(rows)
+    rows = rows if is_sliced(events) else rows.drop("width")
     for n in CATEGORICAL:
         mine = transitions.where(F.col("feature") == n)
         pairs = mine.select(F.col("prev").alias(f"prev_{n}"), F.col("cur").alias(f"cur_{n}"), "c")

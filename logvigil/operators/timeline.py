@@ -20,15 +20,19 @@ from pyspark.sql import functions as F
 from logvigil.functions.clock import div, second_of
 
 HOT_ROWS = 2_000_000
+DECIDED = -1  # as hot_rows: the rows come from with_width already
 EVENT_ORDER = ("ts_us", "event_id")
 
 
 def with_width(events: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """Add ``width``: slice length in seconds for hot entities, NULL for the others.
 
-    Without any hot entity the rows come back as they are. The width follows from the entity's busiest second, so no slice can exceed ``hot_rows`` rows
+    Without any hot entity the rows come back as they are. Run it on the scanned log, where the
+    count reads one column, and pass ``hot_rows=DECIDED`` further down a longer chain. The width follows from the entity's busiest second, so no slice can exceed ``hot_rows`` rows
     (unless a single second does).
     """
+    if is_sliced(events) or hot_rows == DECIDED:
+        return events
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     slim = events.select("entity_id", second_of(F.col("ts_us")).alias("sec"))
     hot = slim.groupBy("entity_id").agg(F.count("*").alias("n")).where(F.col("n") > hot_rows)
@@ -114,7 +118,8 @@ def _join_carry(rows: DataFrame, sums: tuple[str, ...], previous: bool, order_by
 
 def with_previous(events: DataFrame, *columns: str, hot_rows: int | None = None) -> DataFrame:
     """Add ``prev``, a struct of those columns from the entity's previous event."""
-    return running(with_width(events, hot_rows), previous=F.struct(*columns)).drop("width")
+    rows = running(with_width(events, hot_rows), previous=F.struct(*columns))
+    return rows if is_sliced(events) else rows.drop("width")
 
 
 def with_context(rows: DataFrame, depth: int) -> DataFrame:
@@ -153,7 +158,7 @@ def row_window(first: int, last: int):
 
 
 def drop_context(rows: DataFrame) -> DataFrame:
-    return rows.where(~F.col("context")).drop("context", "slice", "width")
+    return rows.where(~F.col("context")).drop("context", "slice")
 
 
 def entity_tail(events: DataFrame, n: int) -> DataFrame:

@@ -88,6 +88,9 @@ def trailing_features(
 ) -> DataFrame:
     """Add the trailing features that are asked for.
 
+    ``events`` is read once per feature, each time only the columns needed: pass a table, not the
+    end of a long chain.
+
     * ``failed_auth_count_5min``: failed logins in the last 300 s (``failures``)
     * ``distinct_ip_count_1h``: distinct source addresses in the last 3600 s (``addresses``)
     * ``new_resource_count_1h``: distinct resources outside ``typical`` (entity_id,
@@ -120,7 +123,8 @@ def trailing_features(
         point = F.struct("lat", "lon", second_of(F.col("ts_us")).alias("sec"))
         place = F.when(F.col("kind") == 1, point)
     swept = running(timeline.fillna(0, sums), tuple(sums), place, SWEEP_ORDER)
-    out = swept.where(F.col("kind") == 1).drop("kind", "width")
+    out = swept.where(F.col("kind") == 1).drop("kind")
+    out = out if is_sliced(events) else out.drop("width")
     return _add_travel(out) if travel else out
 
 

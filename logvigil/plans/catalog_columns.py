@@ -113,7 +113,7 @@ def score_duration(spark, sf):
     return base(spark, sf).select("event_id", scores.score_duration(F.col("norm_session_duration")).alias("score_duration"))
 
 
-@query("score_time", f"""SELECT event_id, {r4('coalesce(greatest(0.0e0, least(1.0e0, 1 - density / 0.25e0)), 0.5e0) AS score_time')} FROM bs""")
+@query("score_time", f"""SELECT event_id, {r4('CASE WHEN density IS NULL THEN 0.5e0 ELSE greatest(0.0e0, least(1.0e0, 1 - density / 0.25e0)) END AS score_time')} FROM bs""")
 def score_time(spark, sf):
     rows = chain.base_scores(derived.learned(spark, sf))
     return rows.select("event_id", scores.score_time(F.col("density")).alias("score_time"))
@@ -247,10 +247,7 @@ def top_reason(spark, sf):
     return derived.alerts(spark, sf).select("event_id", reason.alias("top_reason"))
 
 
-TOLD = ("session_duration", "hour_of_day", "geo_distance_from_centroid_km", "resource_novelty", "device_fingerprint_hash_novelty",
-        "auth_password", "cold_start", "profile_decay_factor", "rec_err_duration", "rec_err_geo_dist", "rec_err_resource",
-        "rec_err_auth", "rec_err_os", "failed_auth_count_5min", "distinct_ip_count_1h", "new_resource_count_1h",
-        "geo_velocity_kmh", "geo_distance_prev_km", "bytes_transferred", "score_ensemble", "norm_session_duration", "day_of_week")
+TOLD = (*chain.FEATURES, "bytes_transferred", "score_ensemble")
 SENTENCE = """CASE feature
   WHEN 'geo_velocity_kmh' THEN printf('Travel velocity of %.1f km/h between consecutive logins exceeds physical speed limits (>900 km/h)', value)
   WHEN 'geo_distance_prev_km' THEN printf('Physical distance of %.1f km from previous login location exceeds physical movement threshold (>500 km)', value)
@@ -260,17 +257,24 @@ SENTENCE = """CASE feature
   WHEN 'session_duration' THEN printf('Abnormal session duration (%.1fs) compared to historical baseline', value)
   WHEN 'rec_err_duration' THEN printf('Abnormal session duration (%.1fs) compared to historical baseline', value)
   WHEN 'hour_of_day' THEN printf('Login timestamp occurs outside normal entity working hours (hour: %.2f)', value)
+  WHEN 'is_weekend' THEN printf('Login timestamp occurs outside normal entity working hours (hour: %.2f)', value)
+  WHEN 'rec_err_hour_sin' THEN printf('Login timestamp occurs outside normal entity working hours (hour: %.2f)', value)
+  WHEN 'rec_err_hour_cos' THEN printf('Login timestamp occurs outside normal entity working hours (hour: %.2f)', value)
   WHEN 'rec_err_geo_dist' THEN printf('Login location is %.1f km away from historical entity centroid', value)
   WHEN 'geo_distance_from_centroid_km' THEN printf('Login location is %.1f km away from historical entity centroid', value)
   WHEN 'rec_err_resource' THEN 'Access attempt to uncharacteristic or high-privilege resource for entity role'
   WHEN 'resource_novelty' THEN 'Access attempt to uncharacteristic or high-privilege resource for entity role'
   WHEN 'rec_err_auth' THEN 'Unusual authentication method or credential mechanism used'
   WHEN 'auth_password' THEN 'Unusual authentication method or credential mechanism used'
+  WHEN 'auth_token' THEN 'Unusual authentication method or credential mechanism used'
+  WHEN 'auth_certificate' THEN 'Unusual authentication method or credential mechanism used'
+  WHEN 'auth_biometric' THEN 'Unusual authentication method or credential mechanism used'
   WHEN 'rec_err_os' THEN 'Access from an unrecognized device fingerprint or operating system'
   WHEN 'device_fingerprint_hash_novelty' THEN 'Access from an unrecognized device fingerprint or operating system'
   WHEN 'bytes_transferred' THEN concat('Excessive data volume transferred (', format('{:,}', cast(value AS bigint)), ' bytes)')
   WHEN 'score_ensemble' THEN printf('High ensembled anomaly score (%.2f) from combined baseline and sequence models', value)
   WHEN 'profile_decay_factor' THEN printf('Baseline decay factor of %.2f indicates potential concept drift or dormant account activity', value)
+  WHEN 'is_cold_start' THEN 'Entity has sparse historical log activity (<5 events), using global population baseline fallback'
   WHEN 'cold_start' THEN 'Entity has sparse historical log activity (<5 events), using global population baseline fallback'
   ELSE concat('Elevated anomaly contribution from feature ''', feature, ''' (value: ', printf('%.2f', value), ')') END"""
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from logvigil.operators import attribution, chain, models, profiles, sequence
 from logvigil.plans import derived
 from logvigil.plans.catalog_aggregates import normal
-from logvigil.plans.catalog_columns import base
+from logvigil.plans.catalog_columns import SENTENCE, base
+from logvigil.plans.catalog_sources import ISO
 from logvigil.plans.oracle import r4
 from logvigil.plans.registry import query
 from logvigil.session import written
@@ -62,12 +63,6 @@ def combined_features(spark, sf):
     return rows.select("event_id", *[F.col(f).cast("double").alias(f) for f in chain.FEATURES])
 
 
-def _fitted(spark, sf):
-    return derived.shared(
-        spark, sf, "classifier", lambda: models.classifier_fit(derived.alerts(spark, sf), chain.FEATURES, trees=TREES)
-    )
-
-
 PREDICTED = ("event_id", "target_class", "predicted_attack_type", "confidence", "prediction_source")
 
 
@@ -86,8 +81,10 @@ def cv_oof(spark, sf):
 
 @query("predict_event")
 def predict_event(spark, sf):
+    """The model fitted on the alerts, applied to every event."""
+    model = models.classifier_fit(derived.alerts(spark, sf), chain.FEATURES, trees=TREES)
     rows = derived.features(spark, sf).withColumn("target_class", F.col("label"))
-    return models.predict(rows, _fitted(spark, sf)).select(*PREDICTED)
+    return models.predict(rows, model).select(*PREDICTED)
 
 
 def _weights(sequence_part: bool) -> str:
@@ -112,27 +109,32 @@ def combined_attribution(spark, sf):
     return attribution.combined_attribution(derived.alerts(spark, sf), IMPORTANCES)
 
 
-@query("top3_reasons", f"""SELECT event_id, cast(rank AS integer) AS rank, feature, {r4('value')} FROM (SELECT event_id, feature, value, row_number() OVER
+REASONS_SQL = f"""(SELECT event_id, feature, value, row_number() OVER
   (PARTITION BY event_id ORDER BY forced, weight DESC, place) AS rank FROM (SELECT w.*, CASE
     WHEN rule = 'impossible_travel' AND feature = 'geo_velocity_kmh' THEN 0 WHEN rule = 'impossible_travel' AND feature = 'geo_distance_prev_km' THEN 1
     WHEN rule = 'brute_force' AND feature = 'failed_auth_count_5min' THEN 0 ELSE 2 END AS forced
-    FROM {_weights(True)} w JOIN (SELECT event_id, rule FROM ra) USING (event_id))) WHERE rank <= 3""")
+    FROM {_weights(True)} w JOIN (SELECT event_id, rule FROM ra) USING (event_id)))"""
+
+
+@query("top3_reasons", f"SELECT event_id, cast(rank AS integer) AS rank, feature, {r4('value')} FROM {REASONS_SQL} WHERE rank <= 3")
 def top3_reasons(spark, sf):
     rows = attribution.with_reasons(derived.alerts(spark, sf), IMPORTANCES)
     rows = rows.select("event_id", F.posexplode("reasons").alias("rank", "r"))
     return rows.select("event_id", (F.col("rank") + 1).alias("rank"), "r.feature", "r.value")
 
 
-@query("explain_card")
+@query("explain_card", f"""SELECT event_id, {r4('round(score_ensemble, 4) AS risk_score')}, predicted_attack_type AS attack_type, cold AS cold_start,
+  reasons, history FROM ra JOIN (SELECT event_id, string_agg(concat(feature, ': ', {SENTENCE}), ';' ORDER BY rank) AS reasons
+    FROM {REASONS_SQL} WHERE rank <= 3 GROUP BY event_id) USING (event_id)
+  JOIN (SELECT event_id, array_to_string(list(concat_ws('|', event_id, {ISO}, resource_accessed)) OVER (PARTITION BY entity_id
+    ORDER BY ts_us, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), ';') AS history FROM al) USING (event_id)""")
 def explain_card(spark, sf):
-    """Cards of all alerts, flattened: one text per list."""
-    model = _fitted(spark, sf)
-    alerts = models.predict(derived.alerts(spark, sf).drop("predicted_attack_type", "prediction_source"), model)
-    cards = attribution.explain_cards(alerts, derived.access_log(spark, sf), models.importances(model, chain.FEATURES))
-    reasons = F.transform("reasons", lambda r: F.concat_ws("=", r["feature"], F.format_string("%.4f", r["value"]), r["narrative"]))
+    """Cards of all alerts, lists as text."""
+    cards = attribution.explain_cards(derived.alerts(spark, sf), derived.access_log(spark, sf), IMPORTANCES)
+    reasons = F.transform("reasons", lambda r: F.concat_ws(": ", r["feature"], r["narrative"]))
     history = F.transform("entity_history_snippet", lambda h: F.concat_ws("|", h["event_id"], h["timestamp"], h["resource_accessed"]))
     return cards.select(
-        "event_id", "risk_score", "attack_type", "cold_start", F.size("reasons").alias("n_reasons"),
+        "event_id", "risk_score", "attack_type", "cold_start",
         F.array_join(reasons, ";").alias("reasons"), F.array_join(history, ";").alias("history"),
     )
 

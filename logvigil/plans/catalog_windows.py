@@ -154,9 +154,9 @@ def queue_page_count(spark, sf):
     return triage.page_count(derived.alerts(spark, sf))
 
 
-@query("downsample_cap", "SELECT event_id, entity_id FROM al ORDER BY md5(concat('42::', cast(event_id AS varchar))), event_id LIMIT 20000")
+@query("downsample_cap", "SELECT event_id, entity_id FROM al ORDER BY md5(concat('42::', cast(event_id AS varchar))), event_id LIMIT 2000")
 def downsample_cap(spark, sf):
-    return sampling.downsample_cap(derived.access_log(spark, sf).select("event_id", "entity_id"))
+    return sampling.downsample_cap(derived.access_log(spark, sf).select("event_id", "entity_id"), cap=2000)
 
 
 @query("sample_replace", """SELECT cast(i AS integer) AS draw, arg_min(event_id, (md5(concat('42:', i, ':', event_id)), event_id)) AS event_id,

@@ -101,7 +101,7 @@ STEPS: dict[str, str] = {
         / (any_value(num_events) * 0.2e0 * any_value(hour_std) * sqrt(2 * pi())) AS density
       FROM (SELECT DISTINCT owner, md FROM lk) q JOIN ow USING (owner) JOIN eh h ON h.owner = q.owner GROUP BY q.owner, q.md""",
     "bs": """SELECT bf.*, density, (least(1.0e0, geo_distance_from_centroid_km / 150) + (1 - exp(-abs(norm_session_duration) / 2))
-        + coalesce(greatest(0.0e0, least(1.0e0, 1 - density / 0.25e0)), 0.5e0)
+        + CASE WHEN density IS NULL THEN 0.5e0 ELSE greatest(0.0e0, least(1.0e0, 1 - density / 0.25e0)) END
         + 2.5e0 * resource_novelty + 2.5e0 * device_fingerprint_hash_novelty) / 8 AS score
       FROM bf LEFT JOIN dn ON dn.owner = bf.owner AND dn.md = bf.md""",
     "lg": """SELECT *, lag(lat) OVER w AS p_lat0, lag(lon) OVER w AS p_lon0, lag(sec) OVER w AS p_sec, lag(label) OVER w AS p_label,

@@ -12,8 +12,8 @@ from logvigil.sources import schema
 def _read(spark: SparkSession, path: str, declared, fmt: str) -> DataFrame:
     reader = spark.read.schema(declared)
     if fmt == "csv":
-        # JSON inside CSV: quotes are doubled, and a quoted field may span lines
-        return reader.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+        # JSON inside CSV: quotes are doubled. Records stay on one line, so files can be split
+        return reader.option("header", True).option("escape", '"').csv(path)
     return reader.format(fmt).load(path)
 
 

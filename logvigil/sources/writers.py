@@ -11,9 +11,11 @@ from logvigil.functions.clock import iso_text
 from logvigil.sources import schema
 
 
-def write_table(df: DataFrame, path: str, columns: tuple[str, ...] = (), mode: str = "overwrite") -> None:
-    """Write the columns (all by default) as parquet."""
-    (df.select(*columns) if columns else df).write.mode(mode).parquet(path)
+def write_table(
+    df: DataFrame, path: str, columns: tuple[str, ...] = (), mode: str = "overwrite", partition_by: tuple[str, ...] = ()
+) -> None:
+    """Write the columns (all by default) as parquet, optionally in folders, say one per day."""
+    (df.select(*columns) if columns else df).write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def write_predictions(df: DataFrame, path: str) -> None:
