@@ -142,8 +142,8 @@ def _fourier(points: np.ndarray, mean, std, directions, shift) -> np.ndarray:
     return math.sqrt(2.0 / len(shift)) * np.cos(((points - mean) / std) @ directions + shift)
 
 
-def one_class_fit(normal: DataFrame, features: tuple[str, ...], dims: int = 256, seed: int = 42) -> OneClass:
-    """Two passes over all normal rows: column moments, then the mean of the mapped rows."""
+def one_class_fit(normal: DataFrame, features: tuple[str, ...], dims: int = 512, seed: int = 42) -> OneClass:
+    """Random Fourier features stand in for the kernel (error about 1 / sqrt(dims)). Two passes over all normal rows: column moments, then the mean of the mapped rows."""
     moments = normal.agg(
         *[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in features],
         *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in features],
@@ -187,7 +187,7 @@ def one_class_score(events: DataFrame, model: OneClass, out: str = "one_class_sc
 
 def classifier_fit(
     flagged: DataFrame, features: tuple[str, ...], label: str = "target_class", trees: int = 40, depth: int = 6,
-    seed: int = 42, boosted: bool = False,
+    seed: int = 42, boosted: bool = False, rounds: int = 200,
 ) -> PipelineModel:
     """Multi-class model with balanced class weights: a random forest, or boosted trees per class."""
     stages = [
@@ -196,7 +196,7 @@ def classifier_fit(
     ]
     common = {"featuresCol": "vector", "labelCol": "class_index", "weightCol": "weight"}
     if boosted:
-        binary = GBTClassifier(maxIter=200, stepSize=0.05, maxDepth=depth, subsamplingRate=0.8, seed=seed)
+        binary = GBTClassifier(maxIter=rounds, stepSize=0.05, maxDepth=depth, subsamplingRate=0.8, seed=seed)
         stages.append(OneVsRest(classifier=binary, **common))
     else:
         stages.append(RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, **common))
