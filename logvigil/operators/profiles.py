@@ -98,7 +98,7 @@ def entity_profile(normal: DataFrame) -> DataFrame:
 
 def global_profile(normal: DataFrame) -> DataFrame:
     """One row for the population, with the columns of :func:`entity_profile`."""
-    base = normal.agg(*_moments())
+    base = normal.agg(*_moments()).where(F.col("num_events") > 0)
     top = (
         normal.groupBy("resource_accessed")
         .agg(F.count("*").alias("n"))
@@ -107,21 +107,17 @@ def global_profile(normal: DataFrame) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "resource_accessed"))).alias("ranked"))
         .select(F.col("ranked.resource_accessed").alias("typical_resources"))
     )
-    # three one-row tables side by side
-    one = F.lit(1).alias("one")
-    return (
-        base.withColumn("one", one)
-        .join(F.broadcast(top.withColumn("one", one)), "one")
-        .join(F.broadcast(minute_histogram(normal.withColumn("one", one), "one")), "one")
-        .withColumn("avg_radius", F.lit(GLOBAL_RADIUS_KM))
-        .drop("one")
-    )
+    hours = minute_histogram(normal.withColumn("one", F.lit(1)), "one").drop("one")
+    # three one-row tables folded into one row
+    parts = base.unionByName(top, allowMissingColumns=True).unionByName(hours, allowMissingColumns=True)
+    folded = parts.agg(*[F.first(c, ignorenulls=True).alias(c) for c in parts.columns])
+    return folded.withColumn("avg_radius", F.lit(GLOBAL_RADIUS_KM))
 
 
 def global_constants(normal: DataFrame) -> Row:
     """The population row on the driver: a few numbers, 10 names and at most 1,440 pairs."""
     row = global_profile(normal).first()
-    if row is None:
+    if not row["num_events"]:
         raise ValueError("no normal training rows to learn from")
     return row
 

@@ -157,12 +157,11 @@ def chrono_split(events: DataFrame, fractions: tuple[float, float] = (0.70, 0.85
 def with_bins(df: DataFrame, column: str, rows_per_bin: int = SMALL) -> DataFrame:
     """Add ``bin``, ascending in ``column``, with about ``rows_per_bin`` rows each.
 
-    ``column`` must be (nearly) unique, and ``df`` cheap to read twice.
+    Rows that fit into one bin come back as they are. ``column`` must be (nearly) unique, and ``df`` cheap to read twice.
     """
-    n = df.count()
-    bins = min(MAX_BINS, math.ceil(n / rows_per_bin))
+    bins = min(MAX_BINS, math.ceil(df.count() / rows_per_bin))
     if bins <= 1:
-        return df.withColumn("bin", F.lit(0))
+        return df
     marks = [i / bins for i in range(1, bins)]
     bounds = df.agg(F.percentile_approx(column, marks, ACCURACY).alias("q")).first()["q"]
     edges = F.array(*[F.lit(b) for b in sorted(set(bounds))])
@@ -180,6 +179,10 @@ def running_totals(
     def direction(name: str) -> Column:
         return F.col(name).desc() if descending else F.col(name).asc()
 
+    order = [direction(column), *[F.col(t).asc() for t in ties]]
+    if "bin" not in binned.columns:  # one bin, at most rows_per_bin rows
+        upto = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumns({f"cum_{c}": F.sum(c).over(upto) for c in sums})
     # one row per bin, at most MAX_BINS
     earlier = Window.orderBy(direction("bin")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -187,7 +190,6 @@ def running_totals(
         .agg(*[F.sum(c).alias(c) for c in sums])
         .select("bin", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"off_{c}") for c in sums])
     )
-    order = [direction(column), *[F.col(t).asc() for t in ties]]
     within = Window.partitionBy("bin").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = binned.join(F.broadcast(offsets), "bin").withColumns(
         {f"cum_{c}": F.sum(c).over(within) + F.col(f"off_{c}") for c in sums}

@@ -66,20 +66,22 @@ def is_flagged() -> Column:
     return F.col("is_anomaly") | (F.col("score_ensemble") >= F.col("threshold"))
 
 
-def _extremes(value_low: str = "low", value_high: str = "high") -> list[Column]:
-    return [F.min(value_low).alias("low"), F.max(value_high).alias("high")]
+def _extremes() -> list[Column]:
+    return [F.min("low").alias("low"), F.max("high").alias("high")]
 
 
 def _shifted(table: DataFrame, key: str, shift: int, group: str, group_shift: int) -> DataFrame:
-    """The table beside itself moved forward by ``shift``: rows that leave the window at ``key``."""
-    now = table.select(group, key, "low", "high", F.lit(None).cast("double").alias("old_low"),
-                       F.lit(None).cast("double").alias("old_high"), F.lit(0).alias("leaving"))
-    old = table.select(
-        (F.col(group) + group_shift).alias(group), (F.col(key) + shift).alias(key),
-        F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"),
+    """Every row twice: as it is, and moved forward by ``shift``, where it leaves the window."""
+    none = F.lit(None).cast("double")
+    now = F.struct(
+        F.col(group), F.col(key), F.col("low"), F.col("high"), none.alias("old_low"), none.alias("old_high"),
+        F.lit(0).alias("leaving"),
+    )
+    old = F.struct(
+        (F.col(group) + group_shift).alias(group), (F.col(key) + shift).alias(key), none.alias("low"), none.alias("high"),
         F.col("low").alias("old_low"), F.col("high").alias("old_high"), F.lit(1).alias("leaving"),
     )
-    return now.unionByName(old)
+    return table.select(F.explode(F.array(now, old)).alias("r")).select("r.*")
 
 
 def _head_and_tail(table: DataFrame, key: str, shift: int, group: str, group_shift: int, name: str) -> DataFrame:

@@ -72,7 +72,8 @@ def running(
 ) -> DataFrame:
     """Replace each column of ``sums`` by its running total per entity, current row included.
 
-    ``previous`` adds column ``prev``: that expression's last non-NULL value strictly before the row.
+    ``previous`` adds column ``prev``: that expression's last non-NULL value strictly before the row
+    (without ``sums`` simply the row before, whose value must not be NULL).
     Takes rows from :func:`with_width`.
     """
     hot = is_sliced(rows)
@@ -82,10 +83,13 @@ def running(
     if hot:
         rows = _join_carry(rows, sums, previous is not None, order_by)
     upto = _sliced(order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = _sliced(order_by).rowsBetween(Window.unboundedPreceding, -1)
     out = {c: F.sum(c).over(upto) for c in sums}
     if previous is not None:
-        out["prev"] = F.last("here", ignorenulls=True).over(before)
+        if sums:
+            before = _sliced(order_by).rowsBetween(Window.unboundedPreceding, -1)
+            out["prev"] = F.last("here", ignorenulls=True).over(before)
+        else:  # plain rows only, none to skip
+            out["prev"] = F.lag("here").over(_sliced(order_by))
     if hot:
         out = {c: _plus_carry(c, value) for c, value in out.items()}
     rows = rows.withColumns(out)

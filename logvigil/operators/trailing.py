@@ -3,8 +3,8 @@
 A trailing count changes only when something enters or leaves the window. Every entry and every
 exit becomes a signed row on the timeline, and a running total of the signs is the window value at
 each event. There is no per-row list of the window, so a burst of millions of events in an hour
-costs the same per row as a quiet hour. Entries and exits are aggregated per second before they
-are shuffled.
+costs the same per row as a quiet hour. Exits (and, with hot entities, entries) are folded per second
+before they are shuffled.
 
 Windows are inclusive on whole seconds (sec >= now - horizon) and end at the row itself: later
 events of the same second do not count.
@@ -45,15 +45,16 @@ def _sum_exits(rows: DataFrame, value: str, horizon: int) -> DataFrame:
 def _distinct_marks(rows: DataFrame, key: str, value: str, horizon: int) -> DataFrame:
     """+1 where a key value comes into the window, -1 where its last use has left it.
 
-    Per (entity, key value) only the distinct seconds are shuffled, so a hot pair is bounded by
-    the seconds of the time span.
+    With hot entities around, rows are first folded to one per (entity, key value, second), so a
+    hot pair shuffles at most the seconds of the time span; otherwise that step would only cost.
     """
-    seconds = (
-        rows.where(F.col(key).isNotNull())
-        .groupBy(*_entity(rows), key, second_of(F.col("ts_us")).alias("sec"))
-        .agg(F.min(F.struct("ts_us", "event_id")).alias("first"))
-    )
-    order = Window.partitionBy("entity_id", key).orderBy("sec")
+    uses = rows.where(F.col(key).isNotNull()).withColumn("sec", second_of(F.col("ts_us")))
+    at = F.struct("ts_us", "event_id").alias("first")
+    if is_sliced(rows):
+        seconds = uses.groupBy(*_entity(rows), key, "sec").agg(F.min(at).alias("first"))
+    else:
+        seconds = uses.select("entity_id", key, "sec", at)
+    order = Window.partitionBy("entity_id", key).orderBy("sec", "first")
     gaps = seconds.withColumns(
         {"last_sec": F.lag("sec").over(order), "next_sec": F.lead("sec").over(order)}
     )
