@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from logvigil.functions import clock
 from logvigil.functions.rules import MAX_FAILURES, MAX_VELOCITY_KMH, MIN_JUMP_KM, feature_narrative
 from logvigil.operators.timeline import drop_context, row_window, with_context, with_width
+from logvigil.operators.triage import event_lookup
 
 # fixed values
 MODEL_WEIGHT = 0.6
@@ -113,3 +114,8 @@ def explain_cards(alerts: DataFrame, events: DataFrame, importances: dict[str, f
     )
     watched = events.join(alerts.select("entity_id").distinct(), "entity_id", "left_semi")
     return reasoned.join(history_snippet(watched), "event_id").withColumnRenamed("history", "entity_history_snippet")
+
+
+def explain_event(cards: DataFrame, event_id) -> DataFrame:
+    """The card of one event; an unknown id is an error. On a written card table this is a filter."""
+    return event_lookup(cards, event_id)

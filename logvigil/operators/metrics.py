@@ -13,6 +13,7 @@ from logvigil.operators.ranks import SMALL, exact_percentile, running_totals
 from logvigil.session import written
 
 TOP_QUANTILE = 0.99
+METRICS = ("roc_auc", "pr_auc", "fpr_at_1", "precision_at_1")
 
 
 def score_curve(scored: DataFrame, score: str = "score", positive: str = "y", rows_per_bin: int = SMALL) -> DataFrame:
@@ -52,26 +53,30 @@ def top_counts(scored: DataFrame, score: str = "score", positive: str = "y") ->
     )
 
 
+def _rate(top: str, bottom: tuple[str, str]) -> Column:
+    total = (F.col(bottom[0]) + F.col(bottom[1])).cast("double")
+    return F.coalesce(F.try_divide(F.col(top).cast("double"), total), F.lit(0.0))
+
+
 def fpr_at_top1(scored: DataFrame, score: str = "score", positive: str = "y") -> DataFrame:
-    counts = top_counts(scored, score, positive)
-    rate = F.try_divide(F.col("fp").cast("double"), (F.col("fp") + F.col("tn")).cast("double"))
-    return counts.select(F.coalesce(rate, F.lit(0.0)).alias("fpr_at_1"), "threshold")
+    return top_counts(scored, score, positive).select(_rate("fp", ("fp", "tn")).alias("fpr_at_1"), "threshold")
 
 
 def precision_at_top1(scored: DataFrame, score: str = "score", positive: str = "y") -> DataFrame:
-    counts = top_counts(scored, score, positive)
-    rate = F.try_divide(F.col("tp").cast("double"), (F.col("fp") + F.col("tp")).cast("double"))
-    return counts.select(F.coalesce(rate, F.lit(0.0)).alias("precision_at_1"), "threshold")
+    return top_counts(scored, score, positive).select(_rate("tp", ("fp", "tp")).alias("precision_at_1"), "threshold")
 
 
 def model_comparison(scored: DataFrame, models: dict[str, str], positive: str = "y") -> DataFrame:
     """One row per model (name -> score column) with its metrics; ``best`` marks the best ROC area,
-    the first name winning ties."""
+    the first name winning ties. ``scored`` is read several times: pass a table."""
     parts = []
     for name, column in models.items():
         curve = curve_metrics(score_curve(scored, column, positive)).withColumn("model", F.lit(name))
-        top = fpr_at_top1(scored, column, positive).withColumn("model", F.lit(name))
-        parts.append(curve.join(F.broadcast(top), "model").select("model", "roc_auc", "pr_auc", "fpr_at_1"))
+        top = top_counts(scored, column, positive).select(
+            F.lit(name).alias("model"), _rate("fp", ("fp", "tn")).alias("fpr_at_1"), _rate("tp", ("fp", "tp")).alias("precision_at_1")
+        )
+        both = curve.unionByName(top, allowMissingColumns=True).groupBy("model")
+        parts.append(both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in METRICS]))
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)

@@ -248,3 +248,13 @@ def cv_oof(flagged: DataFrame, features: tuple[str, ...], label: str = "target_c
         part = predict(held_out, model)
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def baseline_candidates(scored: DataFrame, features: tuple[str, ...], seed: int = 42) -> DataFrame:
+    """Add the scores of the two trained models beside the statistical ``score``.
+
+    Both learn from normal training rows; ``scored`` is a table with ``split`` and ``label``.
+    """
+    normal = scored.where((F.col("split") == "train") & (F.col("label") == rules.NORMAL))
+    rows = isolation_forest_score(scored, isolation_forest_fit(normal, features, seed=seed), features)
+    return one_class_score(rows, one_class_fit(normal, features, seed=seed))

@@ -152,10 +152,16 @@ def precision_at_top1(spark, sf):
 MODELS = {"profile": "score", "sequence": "score_seq", "ensemble": "score_ensemble"}
 
 
+TOP_RATES = r4(
+    "sum(CASE WHEN hit = 1 AND y = 0 THEN 1 ELSE 0 END) * 1.0e0 / sum(1 - y) AS fpr_at_1",
+    "sum(CASE WHEN hit = 1 THEN y ELSE 0 END) * 1.0e0 / sum(hit) AS precision_at_1",
+)
+
+
 @query("model_comparison", "SELECT *, CASE WHEN row_number() OVER (ORDER BY roc_auc DESC, model) = 1 THEN 1 ELSE 0 END AS best FROM ("
        + " UNION ALL ".join(
-           f"SELECT '{m}' AS model, c.*, f.fpr_at_1 FROM (SELECT {r4(ROC + ' AS roc_auc', PR + ' AS pr_auc')} FROM {CURVE.format(score=s, split='val')}) c,"
-           f" (SELECT {r4('sum(CASE WHEN hit = 1 AND y = 0 THEN 1 ELSE 0 END) * 1.0e0 / sum(1 - y) AS fpr_at_1')} FROM {TOP.format(score=s, split='val')}) f"
+           f"SELECT '{m}' AS model, c.*, f.* FROM (SELECT {r4(ROC + ' AS roc_auc', PR + ' AS pr_auc')} FROM {CURVE.format(score=s, split='val')}) c,"
+           f" (SELECT {TOP_RATES} FROM {TOP.format(score=s, split='val')}) f"
            for m, s in MODELS.items()) + ")")
 def model_comparison(spark, sf):
     return metrics.model_comparison(judged(spark, sf, "val"), MODELS)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from logvigil.operators import attribution, chain, models, profiles, sequence
+from logvigil.functions import rules
+from logvigil.operators import attribution, chain, metrics, models, profiles, sequence
 from logvigil.plans import derived
 from logvigil.plans.catalog_aggregates import normal
 from logvigil.plans.catalog_columns import SENTENCE, base
@@ -50,6 +51,15 @@ def one_class_rbf(spark, sf):
     return models.one_class_score(rows, model).select("event_id", "label", "one_class_score")
 
 
+@query("baseline_selection")
+def baseline_selection(spark, sf):
+    """Validation metrics of the three base models; the best by ROC area is marked."""
+    rows = written(models.baseline_candidates(derived.features(spark, sf), profiles.BASE_FEATURES))
+    val = rows.where(F.col("split") == "val").withColumn("y", rules.binary_label(F.col("label")))
+    names = {"stat_profile": "score", "isolation_forest": "iforest_score", "one_class": "one_class_score"}
+    return metrics.model_comparison(val, names)
+
+
 @query("sequence_surprise", f"SELECT event_id, {r4(*sequence.ERROR_COLUMNS, 'seq_error')} FROM et")
 def sequence_surprise(spark, sf):
     rows = chain.sequence_errors(derived.learned(spark, sf).events)

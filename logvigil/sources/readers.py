@@ -25,6 +25,11 @@ def read_labels(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     return _read(spark, path, schema.LABELS, fmt)
 
 
+def read_entities(spark: SparkSession, path: str) -> DataFrame:
+    """The entity dimension from JSON lines."""
+    return spark.read.schema(schema.ENTITY).json(path)
+
+
 def json_field(text: str, declared, field: str, default) -> Column:
     """A field of a JSON text; bad text, NULL or a missing field gives the default."""
     return F.coalesce(F.from_json(F.col(text), declared)[field], F.lit(default))

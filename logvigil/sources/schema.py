@@ -26,6 +26,16 @@ ACCESS_LOG = T.StructType(
     ]
 )
 LABELS = T.StructType([T.StructField(n, T.StringType()) for n in ("event_id", "label", "attack_scenario_id")])
+ENTITY = T.StructType(
+    [
+        T.StructField("entity_id", T.StringType()),
+        T.StructField("entity_type", T.StringType()),
+        T.StructField("department", T.StringType()),
+        T.StructField("home_ip", T.StringType()),
+        T.StructField("home_geo", GEO),
+        T.StructField("created_at", T.StringType()),
+    ]
+)
 LIVE_ALERT = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("event_id", "timestamp", "entity_id", "predicted_attack_type")]
     + [T.StructField("risk_score", T.DoubleType())]

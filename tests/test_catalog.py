@@ -40,7 +40,7 @@ def test_query_equals_sql(spark, con, name):
 
 def test_every_check_has_a_query():
     assert set(registry.CHECKS) <= set(registry.QUERIES)
-    assert set(registry.QUERIES) - set(registry.CHECKS) == {"isolation_forest", "one_class_rbf", "threat_classifier", "cv_oof", "predict_event"}
+    assert set(registry.QUERIES) - set(registry.CHECKS) == {"isolation_forest", "one_class_rbf", "threat_classifier", "cv_oof", "predict_event", "baseline_selection"}
 
 
 def test_entry(spark):
