@@ -42,7 +42,7 @@ def global_profile(spark, sf):
     return flat_profile(profiles.global_profile(normal(spark, sf)))
 
 
-@query("topk_per_group", "SELECT entity_id, resource_accessed, n, rank FROM tr")
+@query("topk_per_group", "SELECT entity_id, resource_accessed, n, cast(rank AS integer) AS rank FROM tr")
 def topk_per_group(spark, sf):
     return profiles.top_resources(normal(spark, sf), profiles.ENTITY_RESOURCES)
 

@@ -199,7 +199,7 @@ def target_class(spark, sf):
     return derived.access_log(spark, sf).select("event_id", rules.target_class(F.col("label")).alias("target_class"))
 
 
-@query("failed_auth_flag", "SELECT event_id, failed FROM al")
+@query("failed_auth_flag", "SELECT event_id, cast(failed AS bigint) AS failed FROM al")
 def failed_auth_flag(spark, sf):
     failed = rules.failed_auth(F.col("session_duration"), F.col("auth_method"))
     return derived.access_log(spark, sf).select("event_id", failed.alias("failed"))
