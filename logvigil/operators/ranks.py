@@ -1,10 +1,12 @@
 """Exact ranks, percentiles and running totals over a global order, without a global sort.
 
-* An order statistic is bracketed by an approximate quantile (a sketch of fixed size); only the
-  distinct values inside the bracket are then counted exactly. The bracket is narrowed until it
-  is small, and the counts prove that the rank lies inside.
+* For an order statistic a sample gives a grid of quantiles and the grid a bracket around the rank.
+  Inside the bracket the same is done again until it is small; then its distinct values are counted
+  exactly. The counts prove that the rank lies inside, so chance only touches the number of passes.
 * A running total over a global order is cut into value bins: bin totals give the offsets, and a
   window per bin does the rest.
+
+Every pass reads one column, and no task gets more than a sample or a small bracket.
 """
 
 from __future__ import annotations
@@ -15,39 +17,33 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+GRID = 1000
+SLACK = 4  # grid cells; the sample's error is about one cell
+SAMPLE = 4_000_000
 ACCURACY = 10_000
 SMALL = 1_000_000
 MAX_BINS = 4096
 
 
-def _bracket(values: DataFrame, fractions: list[float], margin: float):
-    marks = sorted({min(1.0, max(0.0, f + side)) for f in fractions for side in (-margin, margin)})
-    row = values.agg(F.count("v").alias("n"), F.percentile_approx("v", marks, ACCURACY).alias("q")).first()
-    return row["n"], row["q"]
-
-
-def _locate(values: DataFrame, ranks: list[int], n: int, low, high, margin: float) -> dict[int, tuple]:
-    """rank -> (value, rows below it, rows equal to it), ranks counted from 0."""
-    below, inside = 0, n
-    while 4 * margin * inside > SMALL and low < high:
-        count = values.agg(
-            F.count_if(F.col("v") < F.lit(low)).alias("below"),
-            F.count_if(F.col("v").between(F.lit(low), F.lit(high))).alias("inside"),
-        ).first()
-        below, inside = count["below"], count["inside"]
-        fractions = [(r - below) / max(1, inside - 1) for r in (min(ranks), max(ranks))]
-        if fractions[0] < 0 or fractions[1] > 1:
-            break
-        _, marks = _bracket(values.where(F.col("v").between(F.lit(low), F.lit(high))), fractions, margin)
-        if (marks[0], marks[-1]) == (low, high):
-            break
-        low, high = marks[0], marks[-1]
+def _grid(values: DataFrame, low, high, expected: int) -> tuple[int, int, list]:
+    """Rows below the bracket, rows inside it, and the edges of GRID cells of about equal count."""
+    inside = F.lit(True) if low is None else F.col("v").between(F.lit(low), F.lit(high))
+    below = F.lit(False) if low is None else F.col("v") < F.lit(low)
+    keep = min(1.0, SAMPLE / max(1, expected))
+    drawn = values.select("v", below.alias("below"), F.when(inside, F.col("v")).alias("w"), (F.rand(17) < keep).alias("kept"))
+    row = drawn.agg(
+        F.count_if("below").alias("below"), F.count("w").alias("inside"), F.min("w").alias("first"), F.max("w").alias("last"),
+        F.percentile_approx(F.when(F.col("kept"), F.col("w")), [i / GRID for i in range(1, GRID)], ACCURACY).alias("q"),
+    ).first()
+    return row["below"], row["inside"], [row["first"], *(row["q"] or []), row["last"]]
+
+
+def _count_out(values: DataFrame, ranks: list[int], low=None, high=None) -> dict[int, tuple]:
+    """rank -> (value, rows below it, rows equal to it) for the ranks inside the bracket."""
     # everything below the bracket falls into one NULL group, which sorts first
-    counted = (
-        values.where(F.col("v") <= F.lit(high))
-        .groupBy(F.when(F.col("v") >= F.lit(low), F.col("v")).alias("v"))
-        .agg(F.count("*").alias("n"))
-    )
+    if low is not None:
+        values = values.where(F.col("v") <= F.lit(high)).select(F.when(F.col("v") >= F.lit(low), F.col("v")).alias("v"))
+    counted = values.groupBy("v").agg(F.count("*").alias("n"))
     upto = Window.orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     placed = counted.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0)))
     hit = F.lit(False)
@@ -57,35 +53,41 @@ def _locate(values: DataFrame, ranks: list[int], n: int, low, high, margin: floa
     return {r: (w["v"], w["before"], w["n"]) for r in ranks for w in rows if w["before"] <= r < w["before"] + w["n"]}
 
 
+def _narrow(values: DataFrame, ranks: list[int], n: int, whole: list) -> dict[int, tuple]:
+    """Bracket neighbouring ranks until few rows (or a single value) are left, then count them out."""
+    slack = SLACK
+    while True:
+        low = high = None
+        below, inside, edges = 0, n, whole
+        while inside > SMALL:
+            cells = [(r - below) * (len(edges) - 1) // inside for r in (min(ranks), max(ranks))]
+            bracket = edges[max(0, cells[0] - slack)], edges[min(len(edges) - 1, cells[1] + 1 + slack)]
+            if bracket == (low, high):
+                break
+            low, high = bracket
+            below, inside, edges = _grid(values, low, high, inside * (2 * slack + 2) // GRID)
+            if low == high or not below <= min(ranks) <= max(ranks) < below + inside:
+                break
+        found = _count_out(values, ranks, low, high)
+        if len(found) == len(ranks):
+            return found
+        slack *= 8  # the sample misled: from GRID cells on the bracket is everything
+
+
 def order_statistics(
     df: DataFrame, column: str | Column, fractions: list[float], ranks_of: Callable[[int, float], list[int]]
 ) -> tuple[int, list[dict[int, tuple]]]:
-    """Row count and, per fraction, rank -> (value, rows below, rows equal) for ``ranks_of(n, fraction)``."""
+    """Row count and, per fraction, rank -> (value, rows below, rows equal) for the neighbouring
+    ranks ``ranks_of(n, fraction)``, counted from 0."""
     value = F.col(column) if isinstance(column, str) else column
     values = df.select(value.alias("v")).where(F.col("v").isNotNull())
-    margin = 2.0 / ACCURACY
-    n, _ = count_and_marks = _bracket(values, fractions, margin)
-    if n == 0:
-        return 0, [{} for _ in fractions]
-    marks = sorted({min(1.0, max(0.0, f + side)) for f in fractions for side in (-margin, margin)})
-    at = dict(zip(marks, count_and_marks[1], strict=True))
-    found = []
-    for fraction in fractions:
-        ranks = ranks_of(n, fraction)
-        width = margin
-        low, high = at[max(0.0, fraction - width)], at[min(1.0, fraction + width)]
-        located = _locate(values, ranks, n, low, high, width) if ranks else {}
-        while len(located) < len(set(ranks)):  # the bracket missed a rank: widen it
-            width *= 8
-            _, (low, *_, high) = _bracket(values, [fraction], width) if width < 1 else (n, _extremes(values))
-            located = _locate(values, ranks, n, low, high, min(width, 0.25))
-        found.append(located)
-    return n, found
-
-
-def _extremes(values: DataFrame):
-    row = values.agg(F.min("v").alias("low"), F.max("v").alias("high")).first()
-    return row["low"], row["high"]
+    n = values.count()
+    wanted = [sorted(set(ranks_of(n, f))) if n else [] for f in fractions]
+    if n <= SMALL:
+        found = _count_out(values, sorted({r for ranks in wanted for r in ranks})) if any(wanted) else {}
+        return n, [{r: found[r] for r in ranks} for ranks in wanted]
+    _, _, whole = _grid(values, None, None, n)
+    return n, [_narrow(values, ranks, n, whole) if ranks else {} for ranks in wanted]
 
 
 def exact_percentile(df: DataFrame, column: str | Column, *fractions: float) -> list[float | None]:
@@ -159,12 +161,14 @@ def with_bins(df: DataFrame, column: str, rows_per_bin: int = SMALL) -> DataFram
 
     Rows that fit into one bin come back as they are. ``column`` must be (nearly) unique, and ``df`` cheap to read twice.
     """
-    bins = min(MAX_BINS, math.ceil(df.count() / rows_per_bin))
+    n = df.count()
+    bins = min(MAX_BINS, math.ceil(n / rows_per_bin))
     if bins <= 1:
         return df
     marks = [i / bins for i in range(1, bins)]
-    bounds = df.agg(F.percentile_approx(column, marks, ACCURACY).alias("q")).first()["q"]
-    edges = F.array(*[F.lit(b) for b in sorted(set(bounds))])
+    drawn = df.select(column) if n <= SAMPLE else df.select(column).sample(SAMPLE / n, seed=17)
+    bounds = drawn.agg(F.percentile_approx(column, marks, ACCURACY).alias("q")).first()["q"]
+    edges = F.array(*[F.lit(b) for b in sorted(set(bounds or []))])
     return df.withColumn("bin", F.size(F.filter(edges, lambda edge: edge < F.col(column))))
 
 

@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from logvigil.operators import metrics, ranks
 
 
-@pytest.fixture(params=["plain", "tight"])
+@pytest.fixture(params=["plain", "tight", "misled"])
 def limits(request, monkeypatch):
-    """Also with a coarse sketch and tiny brackets, so that narrowing is exercised."""
-    if request.param == "tight":
-        monkeypatch.setattr(ranks, "ACCURACY", 20)
+    """Also with tiny brackets and samples, so that narrowing and misleading samples are exercised."""
+    if request.param != "plain":
         monkeypatch.setattr(ranks, "SMALL", 10)
+        monkeypatch.setattr(ranks, "GRID", 20)
+    if request.param == "misled":
+        monkeypatch.setattr(ranks, "SAMPLE", 15)
+        monkeypatch.setattr(ranks, "SLACK", 1)
 
 
 @pytest.mark.parametrize("seed", range(3))
