@@ -196,18 +196,20 @@ def hour_density(pairs: DataFrame, profiles: DataFrame, everybody: Row) -> DataF
         (F.col("num_events") >= MIN_PROFILE_EVENTS) & (F.col("hour_var") >= KDE_MIN_VARIANCE)
     ).select(F.col("entity_id").alias("owner"), *columns)
     if (everybody["hour_var"] or 0.0) > 0.0:
-        schema = own.schema
-        own = own.unionByName(
-            profiles.sparkSession.createDataFrame([(EVERYBODY, *[everybody[c] for c in columns])], schema)
-        )
+        row = [(EVERYBODY, *[everybody[c] for c in columns])]
+        own = own.unionByName(profiles.sparkSession.createDataFrame(row, own.schema))
     sigma = F.col("hour_std") * KDE_BANDWIDTH
-    hour = F.col("minute") / 60.0
+    # per owner, so that the kernel itself is one product and one exp per pair of minutes
+    own = own.select(
+        "owner", "minutes", (-0.5 / F.pow(sigma * 60.0, 2.0)).alias("steep"),
+        (F.col("num_events") * sigma * math.sqrt(2.0 * math.pi)).alias("area"),
+    )
 
     def kernel(total: Column, pair: Column) -> Column:
-        gap = (hour - pair["minute"] / 60.0) / sigma
-        return total + pair["n"] * F.exp(gap * gap * -0.5)
+        gap = F.col("minute") - pair["minute"]
+        return total + pair["n"] * F.exp(gap * gap * F.col("steep"))
 
-    density = F.aggregate("minutes", F.lit(0.0), kernel) / (F.col("num_events") * sigma * math.sqrt(2.0 * math.pi))
+    density = F.aggregate("minutes", F.lit(0.0), kernel) / F.col("area")
     return (
         pairs.select("owner", "minute").distinct().join(own, "owner").select("owner", "minute", density.alias("density"))
     )

@@ -11,13 +11,18 @@ _local_scratch: dict[str, str] = {}
 
 
 def local_session(app: str = "logvigil", cores: int | str = 8, **conf: str) -> SparkSession:
-    """A local session for tests and the bench; a cluster brings its own settings."""
+    """A local session for tests and the bench; a cluster brings its own settings.
+
+    The two small sizes let tables of a few megabytes use all cores.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        .config("spark.sql.files.openCostInBytes", "64k")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
     )
