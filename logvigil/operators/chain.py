@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from logvigil.operators import profiles, ranks, scoring, sequence, trailing
-from logvigil.operators.timeline import DECIDED, with_width
+from logvigil.operators.timeline import DECIDED, find_hot, mark_hot
 from logvigil.session import written
 
 # fixed values
@@ -27,34 +27,37 @@ class Learned:
     profiles: DataFrame
     devices: DataFrame
     everybody: Row
+    hot: DataFrame | None  # entities with too many rows for one task
 
 
 def learn(events: DataFrame) -> Learned:
     """Split by time and learn profiles from normal training rows only (never from later rows)."""
     split = ranks.chrono_split(events)
     normal = profiles.normal_training(split)
+    hot = find_hot(events)
     return Learned(
         split,
-        written(profiles.entity_profile(normal)),
+        written(profiles.entity_profile(normal, hot)),
         written(profiles.owned(normal, "mac")),
         profiles.global_constants(normal),
+        hot,
     )
 
 
 def base_scores(learned: Learned, events: DataFrame | None = None) -> DataFrame:
     """Base features and the statistical score for all events."""
     rows = learned.events if events is None else events
-    features = profiles.base_features(rows, learned.profiles, learned.devices, learned.everybody)
+    features = profiles.base_features(rows, learned.profiles, learned.devices, learned.everybody, learned.hot)
     return profiles.stat_profile_score(features, learned.profiles, learned.everybody)
 
 
-def sequence_errors(split_events: DataFrame) -> DataFrame:
+def sequence_errors(split_events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Add the seven sequence errors and their sum to all events, learned from the training part."""
     events = split_events
-    split_events = with_width(events)
+    split_events = mark_hot(events, hot)
     train = split_events.where(F.col("split") == "train")
     everywhere = sequence.global_centroid(train)
-    located = sequence.centroid_lookup(split_events, sequence.centroid_fit(train), everywhere)
+    located = sequence.centroid_lookup(split_events, sequence.centroid_fit(train), everywhere, hot)
     scaling = sequence.scaling_fit(located.where(F.col("split") == "train")).first()
     rows = sequence.with_last_values(sequence.scale_features(located, scaling), hot_rows=DECIDED)
     transitions = written(sequence.transition_counts(rows.where(F.col("split") == "train")))
@@ -68,11 +71,13 @@ def ensemble_scores(learned: Learned) -> DataFrame:
 
     Each step adds columns to the same rows; nothing is joined back by event.
     """
-    scored = written(base_scores(learned, sequence_errors(learned.events)))
+    scored = written(base_scores(learned, sequence_errors(learned.events, learned.hot)))
     rows = scoring.ensemble(scored)
     return scoring.add_flag(rows, scoring.calibrated_threshold(rows), "score_ensemble")
 
 
 def combined_features(learned: Learned, scored: DataFrame) -> DataFrame:
     """All 27 features plus scores per event."""
-    return trailing.trailing_features(scored, profiles.typical_pairs(learned.profiles))
+    rows = mark_hot(scored, learned.hot)
+    out = trailing.trailing_features(rows, profiles.typical_pairs(learned.profiles), hot_rows=DECIDED)
+    return out.select(*scored.columns, *[c for c in out.columns if c in FEATURES and c not in scored.columns])

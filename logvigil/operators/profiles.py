@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from logvigil.functions import clock, scores
 from logvigil.functions.geo import haversine_km
 from logvigil.functions.rules import AUTH_METHODS, NORMAL, auth_flag
+from logvigil.operators.timeline import entity_lookup
 
 # fixed values
 MIN_PROFILE_EVENTS = 5
@@ -72,17 +73,13 @@ def _moments() -> list[Column]:
     ]
 
 
-def entity_profile(normal: DataFrame) -> DataFrame:
-    """One row per entity."""
+def entity_profile(normal: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """One row per entity. ``hot`` comes from :func:`timeline.find_hot`."""
     base = normal.groupBy("entity_id").agg(*_moments())
-    radius = (
-        normal.select("entity_id", "lat", "lon")
-        .join(base.select("entity_id", "home_lat", "home_lon"), "entity_id")
-        .groupBy("entity_id")
-        .agg(
-            F.avg(haversine_km(F.col("home_lat"), F.col("home_lon"), F.col("lat"), F.col("lon"))).alias("avg_radius")
-        )
-    )
+    homes = base.select("entity_id", "home_lat", "home_lon")
+    places = entity_lookup(normal.select("entity_id", "event_id", "lat", "lon"), homes, hot, "inner")
+    km = haversine_km(F.col("home_lat"), F.col("home_lon"), F.col("lat"), F.col("lon"))
+    radius = places.groupBy("entity_id").agg(F.avg(km).alias("avg_radius"))
     resources = (
         top_resources(normal, ENTITY_RESOURCES)
         .groupBy("entity_id")
@@ -126,7 +123,7 @@ def _texts(values) -> Column:
     return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
 
 
-def profile_lookup(events: DataFrame, profiles: DataFrame, everybody: Row) -> DataFrame:
+def profile_lookup(events: DataFrame, profiles: DataFrame, everybody: Row, hot: DataFrame | None = None) -> DataFrame:
     """Add the profile that applies: the entity's own from five events on, else the population's.
 
     The fallback has no last event, so its decay is 1. ``owner`` keys the device and density tables.
@@ -139,7 +136,7 @@ def profile_lookup(events: DataFrame, profiles: DataFrame, everybody: Row) -> Da
         ],
     )
     cold = F.col("p_home_lat").isNull()
-    out = events.join(own, "entity_id", "left").withColumns(
+    out = entity_lookup(events, own, hot).withColumns(
         {
             "cold_start": cold.cast("int"),
             "owner": F.when(cold, F.lit(EVERYBODY)).otherwise(F.col("entity_id")),
@@ -156,9 +153,11 @@ def owned(normal: DataFrame, column: str) -> DataFrame:
     return mine.unionByName(distinct_values(normal, column, "all").withColumn("owner", F.lit(EVERYBODY)))
 
 
-def base_features(events: DataFrame, profiles: DataFrame, devices: DataFrame, everybody: Row) -> DataFrame:
+def base_features(
+    events: DataFrame, profiles: DataFrame, devices: DataFrame, everybody: Row, hot: DataFrame | None = None
+) -> DataFrame:
     """The 15 base features per event. ``devices`` is ``owned(normal, "mac")``."""
-    looked_up = profile_lookup(events, profiles, everybody)
+    looked_up = profile_lookup(events, profiles, everybody, hot)
     known = devices.select("owner", "mac", F.lit(True).alias("device_known"))
     looked_up = looked_up.join(known, ["owner", "mac"], "left")
     ts = F.col("ts_us")

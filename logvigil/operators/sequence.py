@@ -16,7 +16,15 @@ from logvigil.functions import clock
 from logvigil.functions.geo import haversine_km
 from logvigil.functions.rules import NORMAL
 from logvigil.operators.ranks import running_totals
-from logvigil.operators.timeline import drop_context, is_sliced, row_window, with_context, with_previous, with_width
+from logvigil.operators.timeline import (
+    drop_context,
+    entity_lookup,
+    is_sliced,
+    row_window,
+    with_context,
+    with_previous,
+    with_width,
+)
 from logvigil.session import written
 
 # fixed values
@@ -56,9 +64,9 @@ def centroid_fit(train: DataFrame) -> DataFrame:
     return train.groupBy("entity_id").agg(F.avg("lat").alias("c_lat"), F.avg("lon").alias("c_lon"))
 
 
-def centroid_lookup(events: DataFrame, centroids: DataFrame, everybody: Row) -> DataFrame:
+def centroid_lookup(events: DataFrame, centroids: DataFrame, everybody: Row, hot: DataFrame | None = None) -> DataFrame:
     """Add the entity's centroid, else the global one, and the distance to it."""
-    out = events.join(centroids, "entity_id", "left").withColumns(
+    out = entity_lookup(events, centroids, hot).withColumns(
         {
             "c_lat": F.coalesce("c_lat", F.lit(float(everybody["lat"]))),
             "c_lon": F.coalesce("c_lon", F.lit(float(everybody["lon"]))),

@@ -9,7 +9,8 @@ entity with more than ``HOT_ROWS`` rows is cut into time slices, the windows run
 
 Other entities stay whole (slice 0). The table of hot entities holds at most rows / HOT_ROWS
 entries, which is the bound behind its broadcast. Whether there is one at all is found by a count
-over the id column; without one the carry is left out of the plan.
+over the id column; without one the carry is left out of the plan. Lookups by entity have the
+same trouble and salt the hot ones (``entity_lookup``).
 """
 
 from __future__ import annotations
@@ -18,35 +19,62 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logvigil.functions.clock import div, second_of
+from logvigil.session import written
 
 HOT_ROWS = 2_000_000
 DECIDED = -1  # as hot_rows: the rows come from with_width already
 EVENT_ORDER = ("ts_us", "event_id")
 
 
-def with_width(events: DataFrame, hot_rows: int | None = None) -> DataFrame:
-    """Add ``width``: slice length in seconds for hot entities, NULL for the others.
+def find_hot(events: DataFrame, hot_rows: int | None = None) -> DataFrame | None:
+    """The hot entities as a small table (entity_id, width, parts), or None if there are none.
 
-    Without any hot entity the rows come back as they are. Run it on the scanned log, where the
-    count reads one column, and pass ``hot_rows=DECIDED`` further down a longer chain. The width follows from the entity's busiest second, so no slice can exceed ``hot_rows`` rows
-    (unless a single second does).
+    ``width`` is a slice length in seconds. It follows from the entity's busiest second, so no
+    slice can exceed ``hot_rows`` rows (unless a single second does). ``parts`` is the number of
+    pieces for lookups. The count reads one column; run it on the scanned log.
     """
-    if is_sliced(events) or hot_rows == DECIDED:
-        return events
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     slim = events.select("entity_id", second_of(F.col("ts_us")).alias("sec"))
     hot = slim.groupBy("entity_id").agg(F.count("*").alias("n")).where(F.col("n") > hot_rows)
     if hot.isEmpty():
-        return events
+        return None
     peaks = (
         slim.join(F.broadcast(hot.select("entity_id")), "entity_id", "left_semi")
         .groupBy("entity_id", "sec")
         .agg(F.count("*").alias("n"))
         .groupBy("entity_id")
-        .agg(F.max("n").alias("peak"))
+        .agg(F.max("n").alias("peak"), F.sum("n").alias("n"))
     )
-    widths = peaks.select("entity_id", F.greatest(F.lit(1), div(F.lit(hot_rows), F.col("peak"))).alias("width"))
-    return events.join(F.broadcast(widths), "entity_id", "left")
+    width = F.greatest(F.lit(1), div(F.lit(hot_rows), F.col("peak")))
+    return written(peaks.select("entity_id", width.alias("width"), (div(F.col("n"), hot_rows) + 1).alias("parts")))
+
+
+def mark_hot(events: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """Add ``width`` for hot entities (NULL for others); nothing where none is hot."""
+    return events if hot is None else events.join(F.broadcast(hot.select("entity_id", "width")), "entity_id", "left")
+
+
+def with_width(events: DataFrame, hot_rows: int | None = None) -> DataFrame:
+    """:func:`find_hot` and :func:`mark_hot` in one, unless the rows are marked already.
+
+    Further down a longer chain pass ``hot_rows=DECIDED``.
+    """
+    if is_sliced(events) or hot_rows == DECIDED:
+        return events
+    return mark_hot(events, find_hot(events, hot_rows))
+
+
+def entity_lookup(events: DataFrame, table: DataFrame, hot: DataFrame | None = None, how: str = "left") -> DataFrame:
+    """Join a table with one row per entity. Rows of a hot entity are salted into its parts, and
+    its table row is repeated once per part (at most rows / HOT_ROWS repetitions in total)."""
+    if hot is None:
+        return events.join(table, "entity_id", how)
+    parts = F.broadcast(hot.select("entity_id", "parts"))
+    last = F.coalesce("parts", F.lit(1))
+    left = events.join(parts, "entity_id", "left").withColumn("salt", F.pmod(F.xxhash64("event_id"), last)).drop("parts")
+    right = table.join(parts, "entity_id", "left")
+    right = right.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), last - 1))).drop("parts")
+    return left.join(right, ["entity_id", "salt"], how).drop("salt")
 
 
 def is_sliced(rows: DataFrame) -> bool:
@@ -60,6 +88,12 @@ def _add_slice(rows: DataFrame) -> DataFrame:
     return rows.withColumn("slice", F.when(F.col("width").isNull(), F.lit(0)).otherwise(number).cast("long"))
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Exchange sliced rows on (entity, slice). A window alone would keep rows where they are if
+    they already are partitioned by entity, and leave the hot one in one task."""
+    return rows.repartition("entity_id", "slice") if is_sliced(rows) else rows
+
+
 def _sliced(order_by=EVENT_ORDER):
     return Window.partitionBy("entity_id", "slice").orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
 
@@ -81,7 +115,7 @@ def running(
     if previous is not None:
         rows = rows.withColumn("here", previous)
     if hot:
-        rows = _join_carry(rows, sums, previous is not None, order_by)
+        rows = _spread(rows).join(_carry(rows, sums, previous is not None, order_by), ["entity_id", "slice"], "left")
     upto = _sliced(order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = {c: F.sum(c).over(upto) for c in sums}
     if previous is not None:
@@ -101,8 +135,8 @@ def _plus_carry(name: str, value: Column) -> Column:
     return F.coalesce(value, carry) if name == "prev" else value + F.coalesce(carry, F.lit(0))
 
 
-def _join_carry(rows: DataFrame, sums: tuple[str, ...], previous: bool, order_by) -> DataFrame:
-    """Join to each hot slice the totals and the last row of the slices before it."""
+def _carry(rows: DataFrame, sums: tuple[str, ...], previous: bool, order_by) -> DataFrame:
+    """Per hot slice: the totals and the last row of the slices before it."""
     totals = [F.sum(c).alias(c) for c in sums]
     if previous:
         at = F.when(F.col("here").isNotNull(), F.struct(*[F.col(c) for c in order_by]))
@@ -111,13 +145,8 @@ def _join_carry(rows: DataFrame, sums: tuple[str, ...], previous: bool, order_by
     carried = [F.sum(c).over(earlier).alias(f"carry_{c}") for c in sums]
     if previous:
         carried.append(F.last("here", ignorenulls=True).over(earlier).alias("carry_prev"))
-    carry = (
-        rows.where(F.col("width").isNotNull())
-        .groupBy("entity_id", "slice")
-        .agg(*totals)
-        .select("entity_id", "slice", *carried)
-    )
-    return rows.join(carry, ["entity_id", "slice"], "left")
+    hot = rows.where(F.col("width").isNotNull())
+    return hot.groupBy("entity_id", "slice").agg(*totals).select("entity_id", "slice", *carried)
 
 
 def with_previous(events: DataFrame, *columns: str, hot_rows: int | None = None) -> DataFrame:
@@ -139,7 +168,7 @@ def with_context(rows: DataFrame, depth: int) -> DataFrame:
     columns = rows.columns
     newest = Window.partitionBy("entity_id", "slice").orderBy(*[F.col(c).desc() for c in EVENT_ORDER])
     tails = (
-        rows.where(F.col("width").isNotNull())
+        _spread(rows.where(F.col("width").isNotNull()))
         .withColumn("back", F.row_number().over(newest))
         .where(F.col("back") <= depth)
     )
@@ -153,7 +182,7 @@ def with_context(rows: DataFrame, depth: int) -> DataFrame:
         .withColumn("slice", F.col("into"))
         .select(*columns, F.lit(True).alias("context"))
     )
-    return rows.withColumn("context", F.lit(False)).unionByName(halo)
+    return _spread(rows.withColumn("context", F.lit(False)).unionByName(halo))
 
 
 def row_window(first: int, last: int):
@@ -179,7 +208,7 @@ def monotonic_repair(events: DataFrame, step_us: int = 1, hot_rows: int | None =
     """
     rows = with_width(events, hot_rows)
     hot = is_sliced(rows)
-    rows = _add_slice(rows)
+    rows = _spread(_add_slice(rows))
     rows = rows.withColumn("pos", F.row_number().over(_sliced()).cast("long"))
     rows = rows.withColumn("lead_us", F.col("ts_us") - F.col("pos") * step_us)
     peak = F.max("lead_us").over(_sliced().rowsBetween(Window.unboundedPreceding, Window.currentRow))

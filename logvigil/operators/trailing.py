@@ -42,7 +42,7 @@ def _sum_exits(rows: DataFrame, value: str, horizon: int) -> DataFrame:
     )
 
 
-def _distinct_marks(rows: DataFrame, key: str, value: str, horizon: int) -> DataFrame:
+def _distinct_marks(rows: DataFrame, key: str, value: str, horizon: int, except_for: DataFrame | None = None) -> DataFrame:
     """+1 where a key value comes into the window, -1 where its last use has left it.
 
     With hot entities around, rows are first folded to one per (entity, key value, second), so a
@@ -54,6 +54,8 @@ def _distinct_marks(rows: DataFrame, key: str, value: str, horizon: int) -> Data
         seconds = uses.groupBy(*_entity(rows), key, "sec").agg(F.min(at).alias("first"))
     else:
         seconds = uses.select("entity_id", key, "sec", at)
+    if except_for is not None:  # after folding, so that a hot pair is small here too
+        seconds = seconds.join(except_for.select("entity_id", key), ["entity_id", key], "left_anti")
     order = Window.partitionBy("entity_id", key).orderBy("sec", "first")
     gaps = seconds.withColumns(
         {"last_sec": F.lag("sec").over(order), "next_sec": F.lead("sec").over(order)}
@@ -110,11 +112,7 @@ def trailing_features(
         parts.append(_distinct_marks(rows, "source_ip", sums[-1], distinct_horizon))
     if typical is not None:
         sums.append("new_resource_count_1h")
-        # anti-join on the pair: spread over resources, and only narrow columns
-        novel = rows.select(*_entity(rows), "ts_us", "event_id", "resource_accessed").join(
-            typical.select("entity_id", "resource_accessed"), ["entity_id", "resource_accessed"], "left_anti"
-        )
-        parts.append(_distinct_marks(novel, "resource_accessed", sums[-1], distinct_horizon))
+        parts.append(_distinct_marks(rows, "resource_accessed", sums[-1], distinct_horizon, typical))
     rows = rows.withColumns({c: zero for c in sums if c != "failed_auth_count_5min"})
     timeline = rows.withColumn("kind", F.lit(1))
     for part in parts:

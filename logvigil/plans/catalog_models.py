@@ -62,7 +62,8 @@ def baseline_selection(spark, sf):
 
 @query("sequence_surprise", f"SELECT event_id, {r4(*sequence.ERROR_COLUMNS, 'seq_error')} FROM et")
 def sequence_surprise(spark, sf):
-    rows = chain.sequence_errors(derived.learned(spark, sf).events)
+    learned = derived.learned(spark, sf)
+    rows = chain.sequence_errors(learned.events, learned.hot)
     return rows.select("event_id", *sequence.ERROR_COLUMNS, "seq_error")
 
 

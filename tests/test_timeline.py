@@ -149,3 +149,31 @@ def test_slices_stay_small(log):
     sliced = timeline.with_context(timeline.with_width(log(rows), 20), 4).where(~F.col("context"))
     sizes = [r["count"] for r in sliced.groupBy("slice").count().collect()]
     assert sum(sizes) == 400 and max(sizes) <= 20
+
+
+def test_hot_rows_leave_the_partition_of_their_entity(spark, log):
+    """Also rows that come partitioned by entity are exchanged on (entity, slice)."""
+    rows = log(skewed_rows(8)).repartition(4, "entity_id")
+    for frame in (
+        timeline.with_previous(rows, "lat", hot_rows=7),
+        sequence.sequence_windows(rows, 4, 7),
+        timeline.monotonic_repair(rows, SECOND, 7),
+    ):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("hashpartitioning(entity_id") > 1 and ", slice" in plan
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_salted_lookup(spark, log, how):
+    rows = log(skewed_rows(9))
+    table = spark.createDataFrame([("HOT", 1), ("E1", 2), ("E2", 3), ("NEVER", 4)], "entity_id string, n int")
+    hot = timeline.find_hot(rows, 20)
+    parts = {r["entity_id"]: r["parts"] for r in hot.collect()}
+    assert parts["HOT"] == 80 // 20 + 1
+    got = timeline.entity_lookup(rows, table, hot, how).select("event_id", "entity_id", "n")
+    want = rows.join(table, "entity_id", how).select("event_id", "entity_id", "n")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_nothing_is_hot_by_default(log):
+    assert timeline.find_hot(log(skewed_rows(10))) is None
