@@ -53,17 +53,14 @@ def base_scores(learned: Learned, events: DataFrame | None = None) -> DataFrame:
 
 def sequence_errors(split_events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Add the seven sequence errors and their sum to all events, learned from the training part."""
-    events = split_events
-    split_events = mark_hot(events, hot)
+    rows = sequence.with_last_values(mark_hot(split_events, hot), hot_rows=DECIDED)
     train = split_events.where(F.col("split") == "train")
-    everywhere = sequence.global_centroid(train)
-    located = sequence.centroid_lookup(split_events, sequence.centroid_fit(train), everywhere, hot)
-    scaling = sequence.scaling_fit(located.where(F.col("split") == "train")).first()
-    rows = sequence.with_last_values(sequence.scale_features(located, scaling), hot_rows=DECIDED)
     transitions = written(sequence.transition_counts(rows.where(F.col("split") == "train")))
-    sizes = sequence.vocabulary_sizes(transitions)
-    rows = sequence.sequence_surprise(rows, transitions, sizes, hot_rows=DECIDED)
-    return rows.select(*events.columns, *sequence.ERROR_COLUMNS, "seq_error")
+    centroids, everywhere = sequence.centroid_fit(train), sequence.global_centroid(train)
+    scaling = sequence.scaling_fit(sequence.centroid_lookup(train, centroids, everywhere, hot)).first()
+    rows = sequence.scale_features(sequence.centroid_lookup(rows, centroids, everywhere, hot), scaling)
+    rows = sequence.sequence_surprise(rows, transitions, sequence.vocabulary_sizes(transitions), hot_rows=DECIDED)
+    return rows.select(*split_events.columns, *sequence.ERROR_COLUMNS, "seq_error")
 
 
 def ensemble_scores(learned: Learned) -> DataFrame:
