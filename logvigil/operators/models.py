@@ -85,16 +85,20 @@ def isolation_forest_fit(
     order = Window.orderBy(digest(seed, salt="deal"), "event_id")
     slots = held.withColumn("slot", F.row_number().over(order) - 1)  # the bounded sample only
     deal = normal.sparkSession.range(trees * per_tree).select(
-        (F.col("id") % trees).cast("int").alias("tree"), F.col("id").alias("place"), (F.col("id") % total).alias("slot")
+        # a run of per_tree ids has distinct slots, so no row comes twice in a tree
+        F.floor(F.col("id") / per_tree).cast("int").alias("tree"), F.col("id").alias("place"), (F.col("id") % total).alias("slot")
     )
     dealt = deal.join(slots.select("slot", "x"), "slot")
-    return dealt.groupBy("tree").applyInPandas(_grow(seed), NODE_SCHEMA).toPandas()
+    forest = dealt.groupBy("tree").applyInPandas(_grow(seed), NODE_SCHEMA).toPandas()
+    forest.attrs["rows"] = per_tree
+    return forest
 
 
 def isolation_forest_score(
-    events: DataFrame, forest: pd.DataFrame, features: tuple[str, ...], rows_per_tree: int = TREE_ROWS, out: str = "iforest_score"
+    events: DataFrame, forest: pd.DataFrame, features: tuple[str, ...], out: str = "iforest_score"
 ) -> DataFrame:
     """Add the score in (0, 1], high for anomalies. The forest is a fixed-size table."""
+    rows_per_tree = forest.attrs.get("rows", TREE_ROWS)
     trees = sorted(forest["tree"].unique())
     width = int(forest["node"].max()) + 1
     shape = (len(trees), width)

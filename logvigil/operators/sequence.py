@@ -7,9 +7,7 @@ add-one smoothing over training transitions. Additive counts make the model refr
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from logvigil.functions import clock

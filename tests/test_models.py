@@ -21,6 +21,9 @@ def cloud(spark):
 def test_isolation_forest_ranks_outliers_first(cloud):
     normal = cloud.where("event_id < 900")
     forest = models.isolation_forest_fit(normal, XY, trees=30)
+    leaves = forest[forest["feature"] < 0]
+    # a tree has no more leaves than different rows; 600 rows dealt in steps of 30 would give it 20
+    assert leaves.groupby("tree").size().min() > 20
     assert forest["tree"].nunique() == 30 and forest.groupby("tree").size().max() <= 511
     scored = models.isolation_forest_score(cloud, forest, XY)
     top = [r["event_id"] for r in scored.orderBy(F.col("iforest_score").desc()).limit(5).collect()]
