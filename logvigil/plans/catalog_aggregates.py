@@ -176,7 +176,8 @@ RATED = f"(SELECT *, coalesce(2 * precision * recall / nullif(precision + recall
 
 
 @query("classification_report", f"""SELECT class, {r4('precision', 'recall', 'f1')}, cast(support AS bigint) AS support FROM {RATED}
-  UNION ALL SELECT 'accuracy', {r4('sum(hit) / sum(support) AS precision', 'sum(hit) / sum(support) AS recall', 'sum(hit) / sum(support) AS f1')}, cast(sum(support) AS bigint) FROM {RATED}
+  UNION ALL SELECT 'accuracy', {r4('sum(hit) / sum(support) AS precision', 'sum(hit) / sum(support) AS recall',
+                                   'sum(hit) / sum(support) AS f1')}, cast(sum(support) AS bigint) FROM {RATED}
   UNION ALL SELECT 'macro avg', {r4('avg(precision) AS precision', 'avg(recall) AS recall', 'avg(f1) AS f1')}, cast(sum(support) AS bigint) FROM {RATED}
   UNION ALL SELECT 'weighted avg', {r4('sum(precision * support) / sum(support) AS precision', 'sum(recall * support) / sum(support) AS recall',
                                        'sum(f1 * support) / sum(support) AS f1')}, cast(sum(support) AS bigint) FROM {RATED}""")

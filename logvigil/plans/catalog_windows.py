@@ -81,7 +81,8 @@ def chrono_split(spark, sf):
     return ranks.chrono_split(derived.access_log(spark, sf)).select("event_id", "split")
 
 
-@query("entity_tail", "SELECT event_id, entity_id, cast(back AS integer) AS back FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY ts_us DESC, event_id DESC) AS back FROM al) WHERE back <= 5")
+@query("entity_tail", """SELECT event_id, entity_id, cast(back AS integer) AS back FROM (SELECT *,
+  row_number() OVER (PARTITION BY entity_id ORDER BY ts_us DESC, event_id DESC) AS back FROM al) WHERE back <= 5""")
 def entity_tail(spark, sf):
     log = derived.access_log(spark, sf).select("event_id", "entity_id", "ts_us")
     return timeline.entity_tail(log, triage.HISTORY_EVENTS).select("event_id", "entity_id", "back")
@@ -128,7 +129,8 @@ def monotonic_repair(spark, sf):
     return timeline.monotonic_repair(log, US_PER_SECOND).select("event_id", "fixed_ts_us")
 
 
-@query("stratified_folds", """SELECT event_id, label, cast((row_number() OVER (PARTITION BY label ORDER BY md5(concat('42::', cast(event_id AS varchar))), event_id) - 1) % 5 AS integer)
+@query("stratified_folds", """SELECT event_id, label, cast((row_number() OVER (PARTITION BY label ORDER BY
+  md5(concat('42::', cast(event_id AS varchar))), event_id) - 1) % 5 AS integer)
   AS fold FROM al""")
 def stratified_folds(spark, sf):
     return sampling.stratified_folds(derived.access_log(spark, sf).select("event_id", "label"), "label")
