@@ -28,6 +28,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from logvigil.llm.tables import Shared
+
 LEAF_BYTES = 8  # pieces up to this size are merged directly
 SMALL_BYTES = 24  # up to this size results are remembered: seams and leaves of new words are mostly old
 LEAF_CHARS = 1 << 16  # texts up to this size are split in one scan
@@ -65,13 +67,7 @@ class Spaced(dict):
 
 
 class Codec(dict):
-    """Encoder and decoder; as a dict it maps pieces to their ids and forgets them when it gets large.
-
-    Broadcast as a whole, so that the tasks of a worker share what it remembers.
-    """
-
-    def __reduce__(self) -> tuple:
-        return Codec, (self.tokens, self.pattern.pattern)
+    """Encoder and decoder; as a dict it maps pieces to their ids and forgets them when it gets large."""
 
     def __init__(self, tokens: list[bytes], pattern: str):
         self.tokens, self.ranks = tokens, {t: i for i, t in enumerate(tokens)}
@@ -231,12 +227,12 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
     Null and empty texts have no ids; text of any length is encoded whole; other columns pass
     through, and a column that is already named ``ids`` is replaced.
     """
-    codec_of = docs.sparkSession.sparkContext.broadcast(Codec(read_ranks(ranks_path), pattern))
+    codec_of = Shared(docs.sparkSession, Codec, read_ranks(ranks_path), pattern)
     docs = docs.drop(ids)
     schema = docs.select("*").schema.add(ids, "array<int>")
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of.value
+        codec = codec_of.get()
         for part in parts:
             rows = [codec.encode(t.as_py() or "") for t in part.column(text)]
             offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
@@ -248,12 +244,12 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
 
 def decoded(docs: DataFrame, ranks_path: str, ids: str = "ids", raw: str = "decoded") -> DataFrame:
     """``docs`` with the bytes of the token ids as binary column ``raw``; null ids give no bytes."""
-    codec_of = docs.sparkSession.sparkContext.broadcast(Codec(read_ranks(ranks_path), ""))
+    codec_of = Shared(docs.sparkSession, Codec, read_ranks(ranks_path), "")
     docs = docs.drop(raw)
     schema = docs.select("*").schema.add(raw, "binary")
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of.value
+        codec = codec_of.get()
         for part in parts:
             rows = [codec.decode(r.as_py() or []) for r in part.column(ids)]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rows, pa.binary())], names=[*part.schema.names, raw])
@@ -267,11 +263,11 @@ def round_trips(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_
     Encodes and decodes in one pass, so that ids need not leave the task. A null text counts as
     empty; repeated rows each give a row; other columns are dropped.
     """
-    codec_of = docs.sparkSession.sparkContext.broadcast(Codec(read_ranks(ranks_path), pattern))
+    codec_of = Shared(docs.sparkSession, Codec, read_ranks(ranks_path), pattern)
     rows = docs.select(docs[key], docs[text])
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of.value
+        codec = codec_of.get()
         for part in parts:
             n, ids_sha, raw_sha = [], [], []
             for value in part.column(1):

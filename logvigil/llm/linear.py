@@ -32,6 +32,15 @@ class Linear:
         return sigmoid(self.slope * self.margins(texts) + self.shift)
 
 
+def parts(model: Linear | None) -> tuple:
+    """The model as plain values."""
+    return (None,) if model is None else (model.words, model.chars, model.bias, model.slope, model.shift)
+
+
+def remade(words: np.ndarray | None, *rest) -> Linear | None:
+    return None if words is None else Linear(words, *rest)
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 8  # documents of one block
-BUCKET_ROWS = 10_000  # about as many documents of a source are ranked by one sort
+BUCKET_ROWS = 2_000  # about as many documents of a source are ranked by one sort
 PERIOD = 1000  # blocks of a period where shares are derived
 MAX_PERIOD = 1_000_000  # shares are small whole numbers: the period is a table on the driver
 SCHEMA_PHASES = "key string, phase int, first_block long, next_block long, phase_start long, share long, period long"

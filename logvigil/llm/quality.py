@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
 from logvigil.llm import grams, linear, pu, samples
+from logvigil.llm.tables import Shared
 
 LEAST_ROWS = 10  # with fewer texts of a class no model is fitted
 LEAST_WORDS, MOST_REPEATED = 50, 50  # words; percent of words
@@ -73,17 +74,18 @@ def ruled(
     for name in BASE:
         schema = schema.add(name, "long")
     schema = schema.add("base_failed", "boolean").add("quality_score", "double").add("kept", "boolean")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, linear.remade, *linear.parts(model))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model_of = shared.get()
         for part in parts:
             texts = [t or "" for t in part.column(text).to_pylist()]
             counts = base_counts(texts)
             failed = rules.failed(counts[0], counts[4])
-            if shared.value is None:
+            if model_of is None:
                 scores, good = pa.nulls(len(texts), pa.float64()), ~failed
             else:
-                p = shared.value.scores(texts)
+                p = model_of.scores(texts)
                 scores, good = pa.array(p, pa.float64()), ~failed & (p >= threshold)
             columns = [*part.columns, *[pa.array(c, pa.int64()) for c in counts], pa.array(failed), scores, pa.array(good)]
             yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, *new])
@@ -107,12 +109,13 @@ def scored(docs: DataFrame, model: linear.Linear | None, text: str = "text", sco
     """
     docs = docs.drop(score)
     schema = docs.select("*").schema.add(score, "double")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, linear.remade, *linear.parts(model))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model_of = shared.get()
         for part in parts:
             texts = [t or "" for t in part.column(text).to_pylist()]
-            found = np.full(len(texts), 0.5) if shared.value is None else shared.value.scores(texts)
+            found = np.full(len(texts), 0.5) if model_of is None else model_of.scores(texts)
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.float64())], names=[*part.schema.names, score])
 
     return docs.mapInArrow(batches, schema)

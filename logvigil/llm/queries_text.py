@@ -1,4 +1,4 @@
-"""Queries on single texts: tokens, quality."""
+"""Queries on single texts: tokens, quality, toxicity."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logvigil.llm import bpe, quality
+from logvigil.llm import bpe, noise, quality
 from logvigil.llm.registry import query
 from logvigil.llm.tables import crc_share, read
 
@@ -35,3 +35,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.pu_model(docs, read(spark, sf_dir, "labels"), ~held_out)
     rows = quality.scored(docs, model).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
     return rows.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of each document; every third label (by checksum) is held out."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(crc_share("doc_id", 3) == 1, F.lit(False))
+    model = noise.detector(docs, read(spark, sf_dir, "labels"), ~held_out)
+    rows = noise.scored(docs, model).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+    return rows.select("doc_id", held_out.alias("held_out"), "score", "predicted")

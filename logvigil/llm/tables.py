@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,3 +27,16 @@ def unused(df: DataFrame, stem: str) -> str:
     while name in taken:
         name += "_"
     return name
+
+
+class Shared:
+    """Plain values sent to each worker once, and the object that a worker makes of them and keeps for all its tasks."""
+
+    def __init__(self, spark: SparkSession, make: Callable[..., Any], *parts: Any):
+        self.make, self.sent = make, spark.sparkContext.broadcast((parts, []))
+
+    def get(self) -> Any:
+        parts, kept = self.sent.value
+        if not kept:
+            kept.append(self.make(*parts))
+        return kept[0]
