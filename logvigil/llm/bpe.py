@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType
 
 from logvigil.llm.tables import Shared
 
@@ -229,7 +230,7 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
     """
     codec_of = Shared(docs.sparkSession, Codec, read_ranks(ranks_path), pattern)
     docs = docs.drop(ids)
-    schema = docs.select("*").schema.add(ids, "array<int>")
+    schema = docs.select("*").schema.add(ids, ArrayType(IntegerType()))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of.get()
