@@ -1,11 +1,11 @@
-"""Queries that compare documents with each other."""
+"""Queries that compare rows with each other."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logvigil.llm import minhash
+from logvigil.llm import minhash, pivots
 from logvigil.llm.registry import query
 from logvigil.llm.tables import read
 
@@ -31,3 +31,24 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = minhash.classed(docs, minhash.Params(words=3, percent=85))
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+OP4 = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_inner_product(a.v, b.v) / sqrt(list_inner_product(a.v, a.v)) / sqrt(list_inner_product(b.v, b.v)) >= 0.93),
+reach(vec_id, seen) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.seen)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM (SELECT vec_id, min(seen) AS component_id FROM reach GROUP BY 1)
+"""
+
+
+@query("op4_pivot_index", OP4)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of each vector."""
+    found = pivots.classed(read(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
