@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logvigil.llm import minhash, pivots
+from logvigil.llm import minhash, pivots, suffixes
 from logvigil.llm.registry import query
 from logvigil.llm.tables import read
 
@@ -52,3 +52,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of each vector."""
     found = pivots.classed(read(spark, sf_dir, "embeddings"))
     return found.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+@query("op7_suffix_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without strings of 400 bytes that repeat."""
+    return suffixes.cleaned(read(spark, sf_dir, "documents").select("doc_id", "text"))
