@@ -1,4 +1,8 @@
-"""A corpus pipeline: each stage works on all that the one before kept."""
+"""A corpus pipeline: each stage works on all that the one before kept.
+
+Quality rules reject documents; of near-duplicates one stays; byte strings that repeat are cut out of the
+texts; the documents are put in the order of the mix, which the files keep; their tokens are counted.
+"""
 
 from __future__ import annotations
 
@@ -6,8 +10,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from logvigil.llm import bpe
+from logvigil.llm import bpe, minhash, mixing, quality, suffixes
 from logvigil.llm.queries_text import RANKS
 from logvigil.llm.tables import read
 from logvigil.session import scratch_dir
@@ -15,13 +20,42 @@ from logvigil.session import scratch_dir
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the classifier; it learns from the labels of documents that came in."""
+    model = quality.quality_model(docs, read(spark, sf_dir, "labels"))
+    return quality.ruled(docs, model).where("kept").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares 80 percent of its five-word shingles."""
+    return minhash.deduplicated(docs)
+
+
+def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the strings of 400 bytes that repeat; n_chars counts what is left."""
+    cut = suffixes.cleaned(docs, keep_text=True).withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("kept_text").cast("long"))
+    return cut.select(*docs.columns)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents in the order of the mix: file by file, and row by row in each file."""
+    return mixing.mixed(docs).orderBy("mix_slot", "mix_row").select(*docs.columns)
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of what is left."""
+    """Number and digests of the tokens of each document that is left."""
     return bpe.round_trips(docs, RANKS, public_tokenizers.PATTERN)
 
 
-STAGES: list[tuple[str, Stage]] = [("byte_bpe", tokens)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("minhash_near_dedup", near_duplicates),
+    ("suffix_array_dedup", repeated_strings),
+    ("mixing_to_weights", mixed_sources),
+    ("byte_bpe", tokens),
+]
 
+#: Learned scores and a byte-level search: no SQL gives these rows, so tests compare them with a brute-force version.
 ORACLE_SQL = None
 
 
