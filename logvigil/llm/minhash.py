@@ -122,7 +122,7 @@ def sketches(docs: DataFrame, params: Params, text: str = "text") -> DataFrame:
                 sizes.append(np.diff(bounds))
                 filled.append(np.diff(bounds) > 0)
                 least = minima(hashes, bounds)
-                bits = (least & np.uint64((1 << BITS) - 1)).reshape(len(least), -1, PER_LONG)
+                bits = (least & np.uint64((1 << BITS) - 1)).reshape(len(least), MINIMA // PER_LONG, PER_LONG)
                 low.append((bits << (np.arange(PER_LONG, dtype=np.uint64) * np.uint64(BITS))).sum(2, dtype=np.uint64))
                 value = np.zeros((len(least), MINIMA // rows), np.uint64) + np.arange(MINIMA // rows, dtype=np.uint64)
                 for r in range(rows):

@@ -42,20 +42,21 @@ def first_map(shards: int, slots: int = SLOTS) -> dict[int, int]:
 def rebalanced(slot_map: dict[int, int], load: dict[int, int], shards: int) -> dict[int, int]:
     """The map with slots moved until no move makes the two shards it concerns more equal.
 
-    Shards beyond those in the map are new and empty; slots of shards beyond ``shards`` move out first.
-    Each step takes the heaviest shard and moves the slot that comes nearest to half its lead over the
-    lightest.
+    Shards that the map does not name are new: they are filled, and no other shard takes any. Slots of shards beyond
+    ``shards`` move out first. Each step takes the heaviest shard and moves the slot that comes nearest to half its lead
+    over the lightest taker.
     """
     moved = dict(slot_map)
     total = [0] * shards
+    takers = sorted(set(range(shards)) - set(moved.values())) or list(range(shards))
     for slot, shard in moved.items():
         if shard < shards:
             total[shard] += load.get(slot, 0)
     for slot in sorted((s for s, shard in moved.items() if shard >= shards), key=lambda s: (-load.get(s, 0), s)):
-        moved[slot] = min(range(shards), key=lambda k: (total[k], k))
+        moved[slot] = min(takers, key=lambda k: (total[k], k))
         total[moved[slot]] += load.get(slot, 0)
     while True:
-        heavy, light = max(range(shards), key=lambda k: (total[k], -k)), min(range(shards), key=lambda k: (total[k], k))
+        heavy, light = max(range(shards), key=lambda k: (total[k], -k)), min(takers, key=lambda k: (total[k], k))
         lead = total[heavy] - total[light]
         fits = [s for s, shard in moved.items() if shard == heavy and 0 < load.get(s, 0) < lead]
         if not fits:

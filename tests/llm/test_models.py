@@ -1,0 +1,152 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from logvigil.llm import grams, linear, noise, pu, quality, samples
+from logvigil.llm.tables import crc_share
+
+GOOD = [f"word{i}" for i in range(300)]
+BAD = [f"JUNK{i}!!" for i in range(40)]
+TOXIC = ["worthless", "moron", "idiot", "scum", "loser"]
+
+
+def prose(rng, pool, n):
+    return " ".join(rng.choice(pool) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def judged():
+    rng = random.Random(9)
+    rows = []
+    for i in range(400):
+        good = i % 4 > 0
+        rows.append((i, prose(rng, GOOD if good else BAD + GOOD[:50], rng.randrange(55, 200)), int(good)))
+    return rows
+
+
+def brute_base(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    found, covered = Counter(zip(words, words[1:], words[2:])), set()
+    for i in range(len(words) - 2):
+        if found[tuple(words[i : i + 3])] > 1:
+            covered |= {i, i + 1, i + 2}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    return [len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(covered)]
+
+
+def test_base_counts():
+    rng = random.Random(0)
+    parts = ["a", "b", "ä", "😀", " ", "  ", "\n", "\t", "\r", "\xa0", "\x1c", "#", "$%", "|", "cd"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(80))) for _ in range(400)] + ["", " ", "a b c a b c", "x\n" * 500]
+    assert np.array(quality.base_counts(texts)).T.tolist() == [brute_base(t) for t in texts]
+
+
+def test_chunks_hold_every_text_once():
+    texts = ["x" * n for n in (5, 0, 30, 2, 2, 2, 0)]
+    ranges = list(grams.chunks(texts, 6))
+    assert [i for low, high in ranges for i in range(low, high)] == list(range(7))
+    assert list(grams.chunks([])) == []
+
+
+def test_features_stay_inside_their_text():
+    alone = [grams.features(grams.Chars([t])) for t in ("ab cd ef", "", "x", "cd ef ab")]
+    together = grams.features(grams.Chars(["ab cd ef", "", "x", "cd ef ab"]))
+    for f in (0, 1):
+        at, bounds = together[f]
+        for i, single in enumerate(alone):
+            assert sorted(at[bounds[i] : bounds[i + 1]]) == sorted(single[f][0])
+
+
+def test_quality_model_holds_out(spark, judged):
+    docs = spark.createDataFrame([r[:2] for r in judged], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q, 0) for i, _, q in judged], "doc_id long, quality int, toxic int")
+    rows = crc_share("doc_id", 5) != 0
+    truth = {i: q for i, _, q in judged}
+    model = quality.quality_model(docs, labels, rows)
+    got = quality.ruled(docs, model).collect()
+    assert sum(r.kept != bool(truth[r.doc_id]) for r in got) <= 4
+    model = quality.pu_model(docs, labels, rows)
+    scored = quality.scored(docs, model).withColumn("held", ~rows).collect()
+    held = [r for r in scored if r.held]
+    assert len(held) > 50 and sum((r.score >= 0.3) != bool(truth[r.doc_id]) for r in held) <= len(held) * 0.1
+
+
+def test_prior_is_near_the_share_of_positives():
+    rng = random.Random(1)
+    positive = [prose(rng, GOOD, 80) for _ in range(200)]
+    unlabelled = [prose(rng, GOOD if i % 10 < 7 else BAD, 80) for i in range(300)]
+    assert abs(pu.class_prior(positive, unlabelled) - 0.7) < 0.12
+
+
+def test_platt_recovers_a_logistic_curve():
+    rng = np.random.default_rng(0)
+    margin = rng.normal(0, 2, 20000)
+    labels = (rng.random(20000) < linear.sigmoid(1.5 * margin - 0.5)).astype(int)
+    slope, shift = linear.platt(margin, labels)
+    assert abs(slope - 1.5) < 0.1 and abs(shift + 0.5) < 0.1
+
+
+def test_quality_of_odd_rows(spark, odd_docs, no_docs):
+    for model in (None, linear.logistic(["a b c"] * 3 + ["x y z"] * 3, np.array([1, 1, 1, 0, 0, 0]))):
+        got = quality.ruled(odd_docs, model)
+        assert dict(got.dtypes)["kept"] == "boolean" and got.columns.count("score") == 1
+        rows = got.collect()
+        assert len(rows) == odd_docs.count()
+        assert all(r.base_failed and not r.kept and r.n_words == 0 for r in rows if r.doc_id in (1, 2, 3))
+        assert all(0 <= r.score <= 1 for r in quality.scored(odd_docs, model).collect())
+        assert quality.ruled(no_docs, model).count() == 0 and quality.scored(no_docs, model).count() == 0
+    no_labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert quality.quality_model(odd_docs, no_labels) is None and quality.pu_model(odd_docs, no_labels) is None
+
+
+def test_samples_are_bounded_and_the_same_every_time(spark):
+    docs = spark.createDataFrame([(i % 50, f"t{i}") for i in range(200)] + [(None, "x"), (60, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, None) for i in range(70)] + [(2, 1, None), (None, 1, None)], "doc_id long, quality int, toxic int")
+    good = samples.labelled_texts(docs, labels, "quality", 1)
+    assert len(good) == 25 and good == samples.labelled_texts(docs.repartition(7), labels, "quality", 1)
+    assert "" in samples.labelled_texts(docs, labels, "quality", 0) and "t2" not in samples.labelled_texts(docs, labels, "quality", 0)
+    assert len(samples.unlabelled_texts(docs, 10)) == 10
+
+
+@pytest.fixture(scope="module")
+def detector():
+    rng = random.Random(2)
+    clean = [prose(rng, GOOD + ["stress", "assess", "book", "committee"], 60) for _ in range(300)]
+    toxic = [prose(rng, GOOD, 50) + " " + rng.choice(TOXIC) + " " + prose(rng, GOOD, 10) for _ in range(300)]
+    counts = np.zeros(noise.SYMBOLS**3)
+    s = noise.symbols(np.frombuffer("  ".join(clean).lower().encode("utf-32-le"), "<u4"))
+    counts += np.bincount((s[:-2] * noise.SYMBOLS + s[1:-1]) * noise.SYMBOLS + s[2:], minlength=noise.SYMBOLS**3)
+    return noise.learned(toxic, clean, counts)
+
+
+@pytest.mark.parametrize(
+    "text", ["m0r0n", "W0RTHL3SS", "an i d i o t here", "s.c.u.m", "$cum", "l-o-s-e-r", "mmmoron", "idiooot!", "1diot,", "w o r t h l e s s", "Moron"]
+)
+def test_disguises_are_seen_through(detector, text):
+    assert detector.score(text) >= 0.7
+
+
+@pytest.mark.parametrize("text", ["", "word1 word2", "book committee stress", "a b c", "1 2 3 4", "2024-01-01", "c0ffee", "aaaaargh", "$$$ %%% !!!", "a" * 3000, "0" * 3000])
+def test_clean_texts_stay_clean(detector, text):
+    assert detector.score(text) < 0.7
+
+
+def test_trigram_counts_cover_whole_texts(spark):
+    docs = spark.createDataFrame([(1, "abab"), (2, None), (3, ""), (4, "AB" * 50000)], "doc_id long, text string")
+    counts = noise.trigram_counts(docs).reshape(noise.SYMBOLS, noise.SYMBOLS, noise.SYMBOLS)
+    assert counts[1, 2, 1] == 1 + 49999 and counts[2, 1, 2] == 1 + 49999 and counts[0, 1, 2] == 2
+
+
+def test_toxicity_of_odd_rows(spark, odd_docs, no_docs, detector):
+    for model in (None, detector):
+        rows = noise.scored(odd_docs, model).collect()
+        assert len(rows) == odd_docs.count() and all(0 <= r.score <= 1 for r in rows)
+        assert noise.scored(no_docs, model).count() == 0
+    assert noise.detector(odd_docs, spark.createDataFrame([], "doc_id long, quality int, toxic int")) is None
