@@ -19,6 +19,9 @@ MAX_FAILURES = 30
 TRAVEL_RULE_TEXT = "Rule Override: geo_velocity_kmh > 900 km/h AND geo_distance > 500 km"
 FAILURES_RULE_TEXT = "Rule Override: failed_auth_count_5min > 30"
 MODEL_TEXT = "Spark ML Classifier"
+TRAVEL_REASON = "Geo velocity %.0f km/h (>900 km/h threshold)"
+BURST_REASON = "Brute force burst (%d failed auths in 5m)"
+SCORE_REASON = "High ensembled anomaly score (%.2f)"
 
 
 def failed_auth(duration: Column, auth_method: Column) -> Column:
@@ -77,9 +80,9 @@ def top_reason(attack: Column, velocity: Column, distance: Column, failures: Col
     travel = (attack == "impossible_travel") | _travel(velocity, distance)
     burst = (attack == "brute_force") | (failures > MAX_FAILURES)
     return (
-        F.when(travel, F.format_string("Geo velocity %.0f km/h (>900 km/h threshold)", velocity))
-        .when(burst, F.format_string("Brute force burst (%d failed auths in 5m)", failures))
-        .otherwise(F.format_string("High ensembled anomaly score (%.2f)", risk))
+        F.when(travel, F.format_string(TRAVEL_REASON, velocity))
+        .when(burst, F.format_string(BURST_REASON, failures))
+        .otherwise(F.format_string(SCORE_REASON, risk))
     )
 
 

@@ -89,18 +89,22 @@ def with_reasons(events: DataFrame, importances: dict[str, float], attack: str =
     return rows.withColumn("reasons", told).drop("by_rule", "best", "top")
 
 
-def history_snippet(events: DataFrame, length: int = HISTORY, hot_rows: int | None = None) -> DataFrame:
-    """Per event ``history``: the last ``length`` events of the entity up to and including it."""
+def history_snippet(events: DataFrame, length: int = HISTORY, hot_rows: int | None = None, wanted: str | None = None) -> DataFrame:
+    """Per event ``history``: the last ``length`` events of the entity up to and including it.
+
+    With ``wanted`` (a boolean column) only for marked events: others are dropped straight after the window.
+    """
     item = F.struct(
         F.col("event_id").cast("string").alias("event_id"), clock.iso_text(F.col("ts_us")).alias("timestamp"),
         "resource_accessed", "source_ip", "auth_method", F.col("session_duration").cast("long").alias("session_duration"),
     )
     rows = events.select(
-        "event_id", "entity_id", "ts_us", "resource_accessed", "source_ip", "auth_method", "session_duration"
+        "event_id", "entity_id", "ts_us", "resource_accessed", "source_ip", "auth_method", "session_duration", *([wanted] if wanted else [])
     )
     rows = with_context(with_width(rows, hot_rows), length - 1)
     rows = rows.withColumn("history", F.collect_list(item).over(row_window(-(length - 1), 0)))
-    return drop_context(rows).select("event_id", "history")
+    rows = drop_context(rows)
+    return (rows.where(wanted) if wanted else rows).select("event_id", "history")
 
 
 def explain_cards(alerts: DataFrame, events: DataFrame, importances: dict[str, float]) -> DataFrame:
@@ -113,7 +117,9 @@ def explain_cards(alerts: DataFrame, events: DataFrame, importances: dict[str, f
         "reasons", (F.col("cold_start") == 1).alias("cold_start"),
     )
     watched = events.join(alerts.select("entity_id").distinct(), "entity_id", "left_semi")
-    return reasoned.join(history_snippet(watched), "event_id").withColumnRenamed("history", "entity_history_snippet")
+    marked = watched.join(alerts.select("event_id", F.lit(True).alias("is_alert")), "event_id", "left")
+    histories = history_snippet(marked, wanted="is_alert")
+    return reasoned.join(histories, "event_id").withColumnRenamed("history", "entity_history_snippet")
 
 
 def explain_event(cards: DataFrame, event_id) -> DataFrame:

@@ -31,7 +31,11 @@ class Learned:
 
 
 def learn(events: DataFrame) -> Learned:
-    """Split by time and learn profiles from normal training rows only (never from later rows)."""
+    """Split by time and learn profiles from normal training rows only (never from later rows).
+
+    The log is written once first: every later pass reads that table, however costly parsing and joining it were.
+    """
+    events = written(events)
     split = ranks.chrono_split(events)
     normal = profiles.normal_training(split)
     hot = find_hot(events)
@@ -70,7 +74,8 @@ def ensemble_scores(learned: Learned) -> DataFrame:
     """
     scored = written(base_scores(learned, sequence_errors(learned.events, learned.hot)))
     rows = scoring.ensemble(scored)
-    return scoring.add_flag(rows, scoring.calibrated_threshold(rows), "score_ensemble")
+    rows = scoring.add_flag(rows, scoring.calibrated_threshold(rows), "score_ensemble")
+    return scoring.rolling_minmax(rows, "score_ensemble", "score_rolling_ensemble")
 
 
 def combined_features(learned: Learned, scored: DataFrame) -> DataFrame:

@@ -16,6 +16,8 @@ TOP_QUANTILE = 0.99
 METRICS = ("roc_auc", "pr_auc", "fpr_at_1", "precision_at_1")
 
 
+MAX_CLASSES = 100  # more values of a label than a taxonomy has
+
 def score_curve(scored: DataFrame, score: str = "score", positive: str = "y", rows_per_bin: int = SMALL) -> DataFrame:
     """One row per distinct score: tp, fp and their totals at or above that score."""
     grouped = scored.groupBy(F.col(score).alias("score")).agg(
@@ -133,11 +135,18 @@ def classification_report(predictions: DataFrame, actual: str = "actual", predic
 
 
 def balanced_weights(rows: DataFrame, label: str) -> DataFrame:
-    """Add ``weight`` = rows / (classes * rows of the class). Class counts are a small table."""
-    counts = rows.groupBy(label).agg(F.count("*").alias("n"))
-    totals = counts.agg(F.sum("n").alias("rows"), F.count("*").alias("classes")).first()
-    weights = counts.select(label, (F.lit(float(totals["rows"] or 0)) / (F.col("n") * totals["classes"])).alias("weight"))
-    return rows.join(weights, label)
+    """Add ``weight`` = rows / (classes * rows of the class); rows without a class are left out.
+
+    The counts, one row a class, come to the driver and go into the plan as literals: rows are not shuffled by class.
+    """
+    counts = rows.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(counts) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} values; it is no class")
+    total = sum(r["n"] for r in counts)
+    weight = F.lit(None).cast("double")
+    for r in sorted(counts, key=lambda r: (r["n"], str(r[label]))):  # the last one is asked first: the largest class
+        weight = F.when(F.col(label) == r[label], F.lit(total / (r["n"] * len(counts)))).otherwise(weight)
+    return rows.where(F.col(label).isNotNull()).withColumn("weight", weight)
 
 
 def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -12,16 +12,17 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logvigil.functions import rules
 from logvigil.operators.metrics import balanced_weights
-from logvigil.operators.sampling import digest, downsample_cap, stratified_folds
+from logvigil.operators.sampling import stratified_folds
 from logvigil.session import written
 
 # fixed values
 TREES, TREE_ROWS = 100, 256
+DRAWS, SPARE_ROWS = 1 << 40, 64  # resolution of a draw; rows that make a short draw all but impossible
 EULER = 0.5772156649015329
 
 NODE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int, depth double"
@@ -75,21 +76,17 @@ def isolation_forest_fit(
 ) -> pd.DataFrame:
     """Nodes of the forest (at most 512 per tree), trees grown in parallel.
 
-    One sample of trees * rows_per_tree rows is dealt out to the trees; a smaller data set is
-    dealt round and round.
+    Each tree draws its rows by a hash of its own, the smallest ones, so trees are independent at every size. A row is
+    handed on only for the trees where its hash is below a bound that lets about twice the rows of a tree through.
     """
-    sample = downsample_cap(normal.select("event_id", _vector(features).alias("x")), trees * rows_per_tree, seed)
-    held = written(sample)
-    total = held.count()
+    total = normal.count()
     per_tree = min(rows_per_tree, total)
-    order = Window.orderBy(digest(seed, salt="deal"), "event_id")
-    slots = held.withColumn("slot", F.row_number().over(order) - 1)  # the bounded sample only
-    deal = normal.sparkSession.range(trees * per_tree).select(
-        # a run of per_tree ids has distinct slots, so no row comes twice in a tree
-        F.floor(F.col("id") / per_tree).cast("int").alias("tree"), F.col("id").alias("place"), (F.col("id") % total).alias("slot")
-    )
-    dealt = deal.join(slots.select("slot", "x"), "slot")
-    forest = dealt.groupBy("tree").applyInPandas(_grow(seed), NODE_SCHEMA).toPandas()
+    bound = int(DRAWS * min(1.0, 2.0 * (rows_per_tree + SPARE_ROWS) / max(1, total)))
+    draw = lambda tree: F.pmod(F.xxhash64(F.lit(seed), tree, F.col("event_id")), F.lit(DRAWS))
+    drawn = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: draw(tree) < bound)
+    dealt = normal.select("event_id", _vector(features).alias("x"), F.explode(drawn).alias("tree"))
+    dealt = dealt.withColumn("place", F.row_number().over(Window.partitionBy("tree").orderBy(draw(F.col("tree")), "event_id")))
+    forest = dealt.where(F.col("place") <= per_tree).groupBy("tree").applyInPandas(_grow(seed), NODE_SCHEMA).toPandas()
     forest.attrs["rows"] = per_tree
     return forest
 
@@ -216,8 +213,31 @@ def importances(model: PipelineModel, features: tuple[str, ...]) -> dict[str, fl
     return dict(zip(features, (float(v) for v in model.stages[2].featureImportances.toArray()), strict=True))
 
 
-def predict(events: DataFrame, model: PipelineModel) -> DataFrame:
-    """Add ``predicted_attack_type``, ``confidence`` and ``prediction_source``: rule first, then model."""
+# fixed values: how many features speak for a prediction, and what stands beside the feature that tripped a rule
+TOP_FEATURES, RULE_TRIGGER = 3, "rule_override_trigger"
+TRIGGER_OF = {"impossible_travel": "geo_velocity_kmh", "brute_force": "failed_auth_count_5min"}
+
+
+def top_features(ruled: Column, weights: dict[str, float]) -> Column:
+    """(feature, weight) pairs behind a prediction: the trigger of the rule, or the largest absolute value times importance."""
+    pair = lambda name, weight: F.struct(F.lit(name).alias("feature"), weight.alias("weight"))
+    ranked = F.array_sort(
+        F.array(*[
+            F.struct((-F.abs(F.col(f).cast("double")) * w).alias("key"), F.lit(place).alias("place"), F.lit(f).alias("feature"))
+            for place, (f, w) in enumerate(weights.items())
+        ])
+    )
+    best = F.transform(F.slice(ranked, 1, TOP_FEATURES), lambda c: F.struct(c["feature"].alias("feature"), (-c["key"]).alias("weight")))
+    for attack, trigger in TRIGGER_OF.items():
+        best = F.when(ruled == attack, F.array(pair(trigger, F.lit(1.0)), pair(RULE_TRIGGER, F.lit(1.0)))).otherwise(best)
+    return best
+
+
+def predict(events: DataFrame, model: PipelineModel, weights: dict[str, float] | None = None) -> DataFrame:
+    """Add ``predicted_attack_type``, ``confidence`` and ``prediction_source``: rule first, then model.
+
+    With ``weights`` (importances of the features) also ``top_features``.
+    """
     names = F.array(*[F.lit(n) for n in class_names(model)])
     signals = [F.col(c) for c in ("geo_velocity_kmh", "geo_distance_prev_km", "failed_auth_count_5min")]
     ruled = rules.rule_class(*signals)
@@ -238,6 +258,8 @@ def predict(events: DataFrame, model: PipelineModel) -> DataFrame:
             "prediction_source": rules.prediction_source(*signals),
         }
     )
+    if weights:
+        rows = rows.withColumn("top_features", top_features(ruled, weights))
     return rows.drop("vector", "rawPrediction", "probability", "prediction")
 
 

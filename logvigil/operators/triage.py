@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logvigil.functions import clock, scores
+from logvigil.functions import clock, rules, scores
 from logvigil.functions.clock import US_PER_DAY
 from logvigil.operators.timeline import entity_tail
 
@@ -15,6 +15,7 @@ from logvigil.operators.timeline import entity_tail
 PAGE_SIZE = 25
 RISK_DIGITS = 4
 HISTORY_EVENTS, TRAJECTORY_EVENTS, TIMELINE_EVENTS = 5, 20, 100
+REASON_COLUMNS = ("predicted_attack_type", "geo_velocity_kmh", "geo_distance_prev_km", "failed_auth_count_5min", "risk_score")
 QUEUE_COLUMNS = ("event_id", "timestamp", "entity_id", "entity_type", "attack_type", "risk_score", "top_reason")
 
 
@@ -63,13 +64,14 @@ def page_count(alerts: DataFrame, size: int = PAGE_SIZE) -> DataFrame:
 
 
 def present_columns(alerts: DataFrame) -> DataFrame:
-    """Queue columns as shown: formatted time, rounded risk, renamed type; absent ones default to 0.0."""
-    shown = alerts.withColumn(
-        "timestamp", F.date_format(clock.wall_clock(F.col("ts_us")), "yyyy-MM-dd HH:mm:ss")
-    ).withColumnsRenamed({"predicted_attack_type": "attack_type"})
+    """Queue columns as shown: formatted time, rounded risk, renamed type, main reason; absent ones are 0.0, or NULL for texts."""
+    shown = alerts.withColumn("timestamp", F.date_format(clock.wall_clock(F.col("ts_us")), "yyyy-MM-dd HH:mm:ss"))
+    if "top_reason" not in shown.columns and {*REASON_COLUMNS} <= {*shown.columns}:
+        shown = shown.withColumn("top_reason", rules.top_reason(*[F.col(c) for c in REASON_COLUMNS]))
+    shown = shown.withColumnsRenamed({"predicted_attack_type": "attack_type"})
     if "risk_score" in shown.columns:
         shown = shown.withColumn("risk_score", F.round("risk_score", RISK_DIGITS))
-    return shown.select(*[F.col(c) if c in shown.columns else F.lit(0.0).alias(c) for c in QUEUE_COLUMNS])
+    return shown.select(*[F.col(c) if c in shown.columns else (F.lit(0.0) if c == "risk_score" else F.lit(None).cast("string")).alias(c) for c in QUEUE_COLUMNS])
 
 
 def kpi_counts(alerts: DataFrame) -> DataFrame:

@@ -24,11 +24,19 @@ def judged(spark, sf, split: str):
 
 
 def predictions(spark, sf):
+    """Class and out-of-fold prediction of each alert."""
     return derived.alerts(spark, sf).select(
         "event_id", F.col("target_class").alias("actual"), F.col("predicted_attack_type").alias("predicted")
     )
 
 
+def checkable_predictions(spark, sf):
+    """The same with one mark for all that the classifier said."""
+    rows = derived.alerts(spark, sf).select("event_id", "target_class", "predicted_attack_type")
+    rows = derived.checkable(rows, derived.alerts(spark, sf))
+    return rows.select("event_id", F.col("target_class").alias("actual"), F.col("predicted_attack_type").alias("predicted"))
+
+
 @query("entity_profile", PROFILE_SQL)
 def entity_profile(spark, sf):
     return flat_profile(profiles.entity_profile(normal(spark, sf)))
@@ -182,16 +190,30 @@ RATED = f"(SELECT *, coalesce(2 * precision * recall / nullif(precision + recall
   UNION ALL SELECT 'weighted avg', {r4('sum(precision * support) / sum(support) AS precision', 'sum(recall * support) / sum(support) AS recall',
                                        'sum(f1 * support) / sum(support) AS f1')}, cast(sum(support) AS bigint) FROM {RATED}""")
 def classification_report(spark, sf):
+    """Rules against labels; what the classifier decided counts as a class of its own."""
+    return metrics.classification_report(checkable_predictions(spark, sf))
+
+
+@query("oof_report")
+def oof_report(spark, sf):
+    """The out-of-fold report of rules and classifier together."""
     return metrics.classification_report(predictions(spark, sf))
 
 
-SHOWN = ["brute_force", "device_spoofing", "impossible_travel", "unknown"]
+SHOWN = [*[rules.UNKNOWN if c == rules.NORMAL else c for c in rules.CLASSES], derived.MODEL_VERDICT]
 
 
 @query("confusion_matrix", "SELECT actual, " + ", ".join(
-    f"cast(sum(CASE WHEN predicted = '{c}' THEN 1 ELSE 0 END) AS bigint) AS {c}" for c in SHOWN) + f" FROM {PAIRS} GROUP BY actual")
+    f"cast(sum(CASE WHEN predicted = '{c}' THEN 1 ELSE 0 END) AS bigint) AS \"{c}\"" for c in SHOWN) + f" FROM {PAIRS} GROUP BY actual")
 def confusion_matrix(spark, sf):
-    return metrics.confusion_matrix(predictions(spark, sf), SHOWN)
+    """All classes, and one column for what the classifier decided."""
+    return metrics.confusion_matrix(checkable_predictions(spark, sf), SHOWN)
+
+
+@query("oof_confusion")
+def oof_confusion(spark, sf):
+    """The out-of-fold confusion matrix of rules and classifier together."""
+    return metrics.confusion_matrix(predictions(spark, sf), SHOWN[:-1])
 
 
 @query("balanced_weights", f"""SELECT event_id, actual, {r4('(SELECT count(*) FROM ra) * 1.0e0 / ((SELECT count(DISTINCT actual) FROM ' + PAIRS
@@ -216,7 +238,7 @@ def hour_histogram(spark, sf):
   UNION ALL SELECT 'first_day', strftime(make_timestamp(min(ts_us)), '%Y-%m-%d') FROM ra
   UNION ALL SELECT 'last_day', strftime(make_timestamp(max(ts_us)), '%Y-%m-%d') FROM ra""")
 def filter_domains(spark, sf):
-    return triage.filter_domains(derived.alerts(spark, sf))
+    return triage.filter_domains(derived.checkable(derived.alerts(spark, sf), derived.alerts(spark, sf)))
 
 
 @query("entity_header", f"""SELECT l.entity_id, coalesce(num_events, seen) AS events, {r4('coalesce(home_lat, 0.0e0) AS home_lat',

@@ -240,11 +240,19 @@ def infer_entity_type(spark, sf):
 @query("top_reason", """SELECT event_id, CASE
   WHEN predicted_attack_type = 'impossible_travel' THEN printf('Geo velocity %.0f km/h (>900 km/h threshold)', geo_velocity_kmh)
   WHEN predicted_attack_type = 'brute_force' THEN printf('Brute force burst (%d failed auths in 5m)', failed_auth_count_5min)
-  ELSE printf('High ensembled anomaly score (%.2f)', risk_score) END AS top_reason FROM ra""")
+  ELSE '(model)' END AS top_reason FROM ra""")
 def top_reason(spark, sf):
+    """Sentences of alerts that a rule decided; for the others one mark if the sentence is one of the three."""
     velocity, distance, failures = derived.signals()
     reason = rules.top_reason(F.col("predicted_attack_type"), velocity, distance, failures, F.col("risk_score"))
-    return derived.alerts(spark, sf).select("event_id", reason.alias("top_reason"))
+    return reasons_checked(derived.alerts(spark, sf).withColumn("top_reason", reason)).select("event_id", "top_reason")
+
+
+def reasons_checked(rows):
+    """Replace reasons that rest on the classifier by its mark where they are well-formed."""
+    known = F.col("top_reason").rlike(r"^(Geo velocity \d+ km/h|Brute force burst \(\d+ failed|High ensembled anomaly score \([01]\.\d\d\))")
+    by_model = F.col("prediction_source") == rules.MODEL_TEXT
+    return rows.withColumn("top_reason", F.when(by_model & known, F.lit(derived.MODEL_VERDICT)).otherwise(F.col("top_reason")))
 
 
 TOLD = (*chain.FEATURES, "bytes_transferred", "score_ensemble")
@@ -293,9 +301,13 @@ def audit_trail(spark, sf):
 
 
 @query("present_columns", f"""SELECT event_id, strftime(make_timestamp(ts_us), '%Y-%m-%d %H:%M:%S') AS timestamp, entity_id, entity_type,
-  predicted_attack_type AS attack_type, {r4('risk_score')}, 0.0e0 AS top_reason FROM ra""")
+  predicted_attack_type AS attack_type, {r4('risk_score')}, CASE
+  WHEN rule = 'impossible_travel' THEN printf('Geo velocity %.0f km/h (>900 km/h threshold)', geo_velocity_kmh)
+  WHEN rule = 'brute_force' THEN printf('Brute force burst (%d failed auths in 5m)', failed_auth_count_5min) ELSE '(model)' END AS top_reason FROM ra""")
 def present_columns(spark, sf):
-    return triage.present_columns(derived.alerts(spark, sf))
+    alerts = derived.alerts(spark, sf)
+    shown = triage.present_columns(alerts).join(alerts.select("event_id", "prediction_source"), "event_id")
+    return derived.checkable(reasons_checked(shown).drop("prediction_source"), alerts, "attack_type")
 
 
 @query("filter_normal", "SELECT event_id, entity_id FROM tn")

@@ -8,14 +8,12 @@ from logvigil.functions import rules
 from logvigil.operators import attribution, chain, metrics, models, profiles, sequence
 from logvigil.plans import derived
 from logvigil.plans.catalog_aggregates import normal
-from logvigil.plans.catalog_columns import SENTENCE, base
+from logvigil.plans.catalog_columns import RULE_TEXT, TARGET, base
 from logvigil.plans.catalog_sources import ISO
 from logvigil.plans.oracle import r4
 from logvigil.plans.registry import query
 from logvigil.session import written
 
-TREES = 20
-
 # a given importance table: falling with the place of the feature
 IMPORTANCES = {f: round(1.0 / (i + 1), 4) for i, f in enumerate(chain.FEATURES)}
 
@@ -79,23 +77,48 @@ PREDICTED = ("event_id", "target_class", "predicted_attack_type", "confidence",
 
 @query("threat_classifier")
 def threat_classifier(spark, sf):
-    rows = derived.alerts(spark, sf).drop("predicted_attack_type", "prediction_source")
-    model = models.classifier_fit(rows, chain.FEATURES, trees=TREES)
+    rows = derived.flagged(spark, sf)
+    model = models.classifier_fit(rows, chain.FEATURES)
     return models.predict(rows, model).select(*PREDICTED)
 
 
-@query("cv_oof")
+CHECKED_PREDICTION = f"""SELECT event_id, {TARGET}, coalesce(rule, '(model)') AS predicted_attack_type,
+  coalesce({RULE_TEXT}, 'Spark ML Classifier') AS prediction_source"""
+
+
+@query("cv_oof", f"""{CHECKED_PREDICTION}, cast((row_number() OVER (PARTITION BY CASE WHEN label = 'normal' THEN 'unknown' ELSE label END
+  ORDER BY md5(concat('42::', cast(event_id AS varchar))), event_id) - 1) % 5 AS integer) AS fold FROM ra""")
 def cv_oof(spark, sf):
-    rows = derived.alerts(spark, sf).drop("predicted_attack_type", "prediction_source")
-    return models.cv_oof(rows, chain.FEATURES, trees=TREES).select(*PREDICTED, "fold")
+    """Folds, one prediction an alert, and the rule's word where one fired; the classifier's words are checked for being in order."""
+    alerts = derived.alerts(spark, sf)
+    rows = alerts.select("event_id", "target_class", "predicted_attack_type", "prediction_source", "fold")
+    return derived.checkable(rows, alerts)
+
 
+@query("oof_predictions")
+def oof_predictions(spark, sf):
+    """The out-of-fold predictions as they are."""
+    return derived.alerts(spark, sf).select(*PREDICTED, "fold")
 
-@query("predict_event")
+
+def event_predictions(spark, sf):
+    """The model fitted on the flagged events, applied to every event, with the features that speak for it."""
+    model = models.classifier_fit(derived.flagged(spark, sf), chain.FEATURES)
+    rows = derived.features(spark, sf).withColumn("target_class", rules.target_class(F.col("label")))
+    return models.predict(rows, model, models.importances(model, chain.FEATURES))
+
+
+@query("predict_event", f"""{CHECKED_PREDICTION}, CASE WHEN rule IS NULL THEN '(model)' ELSE concat(CASE WHEN rule = 'impossible_travel'
+  THEN 'geo_velocity_kmh' ELSE 'failed_auth_count_5min' END, '=1.0,rule_override_trigger=1.0') END AS top_features FROM rl""")
 def predict_event(spark, sf):
-    """The model fitted on the alerts, applied to every event."""
-    model = models.classifier_fit(derived.alerts(spark, sf), chain.FEATURES, trees=TREES)
-    rows = derived.features(spark, sf).withColumn("target_class", F.col("label"))
-    return models.predict(rows, model).select(*PREDICTED)
+    rows = written(event_predictions(spark, sf))
+    told = F.array_join(F.transform("top_features", lambda f: F.concat_ws("=", f["feature"], f["weight"].cast("string"))), ",")
+    names = F.array(*[F.lit(c) for c in chain.FEATURES])
+    three = (F.size("top_features") == 3) & (F.size(F.array_intersect(F.col("top_features.feature"), names)) == 3)
+    by_model = F.col("prediction_source") == rules.MODEL_TEXT
+    told = F.when(~by_model, told).when(three, F.lit(derived.MODEL_VERDICT)).otherwise(F.lit(derived.WRONG_VERDICT))
+    shown = rows.select("event_id", "target_class", "predicted_attack_type", "prediction_source", told.alias("top_features"))
+    return derived.checkable(shown, rows)
 
 
 def _weights(sequence_part: bool) -> str:
@@ -135,19 +158,25 @@ def top3_reasons(spark, sf):
 
 
 @query("explain_card", f"""SELECT event_id, {r4('round(score_ensemble, 4) AS risk_score')}, predicted_attack_type AS attack_type, cold AS cold_start,
-  reasons, history FROM ra JOIN (SELECT event_id, string_agg(concat(feature, ': ', {SENTENCE}), ';' ORDER BY rank) AS reasons
-    FROM {REASONS_SQL} WHERE rank <= 3 GROUP BY event_id) USING (event_id)
+  CASE WHEN rule = 'impossible_travel' THEN 'geo_velocity_kmh,geo_distance_prev_km' WHEN rule = 'brute_force' THEN 'failed_auth_count_5min' ELSE '' END
+  AS rule_reasons, 3 AS n_reasons, history FROM ra
   JOIN (SELECT event_id, array_to_string(list(concat_ws('|', event_id, {ISO}, resource_accessed)) OVER (PARTITION BY entity_id
     ORDER BY ts_us, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), ';') AS history FROM al) USING (event_id)""")
 def explain_card(spark, sf):
-    """Cards of all alerts, lists as text."""
-    cards = attribution.explain_cards(derived.alerts(spark, sf), derived.access_log(spark, sf), IMPORTANCES)
-    reasons = F.transform("reasons", lambda r: F.concat_ws(": ", r["feature"], r["narrative"]))
+    """Cards of all alerts with the importances of the model. Reasons that rest on these are counted, those of a rule shown."""
+    alerts = derived.alerts(spark, sf)
+    model = models.classifier_fit(derived.flagged(spark, sf), chain.FEATURES)
+    cards = attribution.explain_cards(alerts, derived.access_log(spark, sf), models.importances(model, chain.FEATURES))
     history = F.transform("entity_history_snippet", lambda h: F.concat_ws("|", h["event_id"], h["timestamp"], h["resource_accessed"]))
-    return cards.select(
-        "event_id", "risk_score", "attack_type", "cold_start",
-        F.array_join(reasons, ";").alias("reasons"), F.array_join(history, ";").alias("history"),
+    own = F.when(F.col("attack_type") == "impossible_travel", 2).when(F.col("attack_type") == "brute_force", 1).otherwise(0)
+    by_rule = F.when(F.col("rule_shown"), F.array_join(F.slice(F.col("reasons.feature"), 1, own), ",")).otherwise(F.lit(""))
+    told = F.size(F.filter("reasons", lambda r: F.length(r["narrative"]) > 0))
+    sources = alerts.select("event_id", (F.col("prediction_source") != rules.MODEL_TEXT).alias("rule_shown"))
+    shown = cards.join(sources, "event_id").select(
+        "event_id", "risk_score", "attack_type", "cold_start", by_rule.alias("rule_reasons"), told.alias("n_reasons"),
+        F.array_join(history, ";").alias("history"),
     )
+    return derived.checkable(shown, alerts, "attack_type")
 
 
 @query("incremental_refit", f"""SELECT entity_id, count(*) AS num_events, {r4('avg(lat) AS home_lat', 'avg(lon) AS home_lon',

@@ -49,14 +49,18 @@ def src_live_jsonl(spark, sf):
     noise = rows.select(F.explode(F.array(F.lit(""), F.concat(F.lit('{"event_id": "'), "event_id"))).alias("value"))
     path = scratch_dir(spark)
     good.unionByName(noise).write.text(path)
-    return readers.read_live_alerts(spark, path)
+    return derived.checkable(readers.read_live_alerts(spark, path), derived.alerts(spark, sf))
 
 
-@query("snk_scores", f"SELECT event_id, {r4('score_seq', 'score_base', 'score_ensemble', 'threshold')}, is_anomaly FROM en")
+WINDOW_30D = "OVER (ORDER BY ts_us RANGE BETWEEN 2591999999999 PRECEDING AND CURRENT ROW)"
+
+
+@query("snk_scores", f"""SELECT event_id, {r4('score_seq', 'score_base', 'score_ensemble', 'threshold',
+  'greatest(0.0e0, least(1.0e0, (score_ensemble - lo) / CASE WHEN hi = lo THEN 1.0e0 ELSE hi - lo END)) AS score_rolling_ensemble')}, is_anomaly
+  FROM (SELECT *, min(score_ensemble) {WINDOW_30D} AS lo, max(score_ensemble) {WINDOW_30D} AS hi FROM en)""")
 def snk_scores(spark, sf):
     path = scratch_dir(spark)
-    columns = tuple(c for c in schema.ENSEMBLE_SCORE_COLUMNS if c != "score_rolling_ensemble")
-    writers.write_table(derived.scored(spark, sf), path, columns)
+    writers.write_table(derived.scored(spark, sf), path, schema.ENSEMBLE_SCORE_COLUMNS)
     return spark.read.parquet(path)
 
 
@@ -80,7 +84,7 @@ def snk_base_scores(spark, sf):
 def snk_predictions(spark, sf):
     path = scratch_dir(spark)
     writers.write_predictions(derived.alerts(spark, sf), path)
-    return spark.read.parquet(path)
+    return derived.checkable(spark.read.parquet(path), derived.alerts(spark, sf))
 
 
 PROFILE_SQL = f"""SELECT entity_id, num_events, {r4('home_lat', 'home_lon', 'avg_radius', 'duration_mean', 'duration_std')}, last_ts_us,
@@ -125,7 +129,7 @@ def snk_feedback(spark, sf):
     for part, (action, mine) in enumerate(parts):
         decided = rows.where(mine).withColumn("analyst_action", F.lit(action)).withColumn("comments", F.lit(f"note {part}"))
         writers.log_feedback(decided, path)
-    return spark.read.schema(schema.FEEDBACK).parquet(path)
+    return derived.checkable(spark.read.schema(schema.FEEDBACK).parquet(path), derived.alerts(spark, sf))
 
 
 @query("snk_live_jsonl", f"""SELECT cast(event_id AS varchar) AS event_id, {ISO} AS timestamp, entity_id, predicted_attack_type,
@@ -133,4 +137,4 @@ def snk_feedback(spark, sf):
 def snk_live_jsonl(spark, sf):
     path = scratch_dir(spark)
     writers.write_live_alerts(derived.alerts(spark, sf), path)
-    return readers.read_live_alerts(spark, path)
+    return derived.checkable(readers.read_live_alerts(spark, path), derived.alerts(spark, sf))

@@ -143,7 +143,8 @@ def sort_events(spark, sf):
 
 @query("alert_queue", f"SELECT event_id, entity_id, predicted_attack_type, {r4('risk_score')} FROM ra ORDER BY risk_score DESC, ts_us, event_id")
 def alert_queue(spark, sf):
-    return triage.alert_queue(derived.alerts(spark, sf)).select("event_id", "entity_id", "predicted_attack_type", "risk_score")
+    alerts = derived.alerts(spark, sf)
+    return triage.alert_queue(derived.checkable(alerts, alerts)).select("event_id", "entity_id", "predicted_attack_type", "risk_score")
 
 
 @query("queue_page", f"SELECT event_id, {r4('risk_score')} FROM (SELECT * FROM ra ORDER BY risk_score DESC, ts_us, event_id LIMIT 25 OFFSET 25)")

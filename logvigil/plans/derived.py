@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from logvigil.functions import rules
 from logvigil.functions.clock import iso_text
-from logvigil.operators import chain, scoring
+from logvigil.operators import chain, models, scoring
 from logvigil.session import written
 
 # fixed values: 2024-01-01 UTC in microseconds
@@ -86,12 +86,19 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select("event_id", "label", F.lit(None).cast("string").alias("attack_scenario_id"))
 
 
-_tables: dict[tuple[str, str, str], object] = {}
+_tables: dict[tuple, object] = {}
+
+
+def version(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Size and time of the last change of an input, so that rewritten input is not mistaken for what was read before."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.getContentSummary(place).getLength(), files.getFileStatus(place).getModificationTime()
 
 
 def shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object]):
     """What an earlier phase wrote for later ones: built on first use in a session, then read back."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, version(spark, f"{sf_dir}/events.parquet"), name)
     if key not in _tables:
         _tables[key] = build()
     return _tables[key]
@@ -121,15 +128,35 @@ def signals() -> tuple:
     return tuple(F.col(c) for c in ("geo_velocity_kmh", "geo_distance_prev_km", "failed_auth_count_5min"))
 
 
+def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagged events with the class the classifier learns."""
+    rows = features(spark, sf_dir).where(scoring.is_flagged())
+    return rows.withColumn("target_class", rules.target_class(F.col("label")))
+
+
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagged events with a risk score and the rule's verdict, unknown where no rule fired."""
-    rows = features(spark, sf_dir).withColumn("rule", rules.rule_class(*signals()))
-    rows = rows.where(scoring.is_flagged() | F.col("rule").isNotNull())
-    return rows.withColumns(
-        {
-            "risk_score": F.round("score_ensemble", 6),
-            "predicted_attack_type": F.coalesce("rule", F.lit(rules.UNKNOWN)),
-            "target_class": rules.target_class(F.col("label")),
-            "prediction_source": rules.prediction_source(*signals()),
-        }
+    """Flagged events with risk score and out-of-fold prediction: the rule's class where one fired, else the classifier's."""
+    predicted = shared(spark, sf_dir, "predictions", lambda: written(models.cv_oof(flagged(spark, sf_dir), chain.FEATURES)))
+    return predicted.withColumn("risk_score", F.round("score_ensemble", 6))
+
+
+MODEL_VERDICT, WRONG_VERDICT = "(model)", "(wrong)"
+
+
+def checkable(rows: DataFrame, alerts: DataFrame, column: str = "predicted_attack_type") -> DataFrame:
+    """``rows`` with verdicts of the classifier replaced by one mark, so that the rest can be checked by SQL.
+
+    The mark is only given where ``rows`` holds what the classifier said of that event, which has to be a known class
+    with a confidence in (0, 1]; what a rule said stays.
+    """
+    said = alerts.select(
+        F.col("event_id").cast("string").alias("said_of"), F.col("predicted_attack_type").alias("said"),
+        F.col("confidence").alias("said_surely"), F.col("prediction_source").alias("said_by"),
     )
+    classes = [c for c in (*rules.CLASSES, rules.UNKNOWN) if c != rules.NORMAL]
+    good = (F.col(column) == F.col("said")) & F.col(column).isin(*classes) & (F.col("said_surely") > 0) & (F.col("said_surely") <= 1)
+    kept = [c for c in rows.columns if c != column]
+    by_rule = F.col("said_by") != rules.MODEL_TEXT
+    joined = rows.join(said, F.col("event_id").cast("string") == F.col("said_of"), "left")
+    verdict = F.when(by_rule & (F.col(column) == F.col("said")), F.col(column)).when(~by_rule & good, F.lit(MODEL_VERDICT))
+    return joined.select(*kept, F.coalesce(verdict, F.lit(WRONG_VERDICT)).alias(column))

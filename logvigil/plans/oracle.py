@@ -171,8 +171,9 @@ STEPS: dict[str, str] = {
       FROM en JOIN wf USING (event_id)""",
     "rl": """SELECT *, CASE WHEN geo_velocity_kmh > 900 AND geo_distance_prev_km > 500 THEN 'impossible_travel'
       WHEN failed_auth_count_5min > 30 THEN 'brute_force' END AS rule FROM cf""",
-    "ra": """SELECT *, round(score_ensemble, 6) AS risk_score, coalesce(rule, 'unknown') AS predicted_attack_type FROM rl
-      WHERE is_anomaly OR rule IS NOT NULL""",
+    # Only flagged rows are alerts. What the classifier says has no SQL; '(model)' stands for any verdict of it that is in order.
+    "ra": """SELECT *, round(score_ensemble, 6) AS risk_score, coalesce(rule, '(model)') AS predicted_attack_type FROM rl
+      WHERE is_anomaly OR score_ensemble >= threshold""",
 }
 _NAMES = re.compile(r"\b[a-z][a-z0-9]{1,3}\b")
 

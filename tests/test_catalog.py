@@ -40,7 +40,9 @@ def test_query_equals_sql(spark, con, name):
 
 def test_every_check_has_a_query():
     assert set(registry.CHECKS) <= set(registry.QUERIES)
-    assert set(registry.QUERIES) - set(registry.CHECKS) == {"isolation_forest", "one_class_rbf", "threat_classifier", "cv_oof", "predict_event", "baseline_selection"}
+    assert set(registry.QUERIES) - set(registry.CHECKS) == {
+        "isolation_forest", "one_class_rbf", "threat_classifier", "baseline_selection", "oof_predictions", "oof_report", "oof_confusion",
+    }
 
 
 def test_entry(spark):
