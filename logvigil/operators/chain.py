@@ -52,7 +52,7 @@ def base_scores(learned: Learned, events: DataFrame | None = None) -> DataFrame:
     """Base features and the statistical score for all events."""
     rows = learned.events if events is None else events
     features = profiles.base_features(rows, learned.profiles, learned.devices, learned.everybody, learned.hot)
-    return profiles.stat_profile_score(features, learned.profiles, learned.everybody)
+    return profiles.stat_profile_score(features, learned.profiles, learned.everybody, learned.events)
 
 
 def sequence_errors(split_events: DataFrame, hot: DataFrame | None = None) -> DataFrame:

@@ -214,10 +214,23 @@ def hour_density(pairs: DataFrame, profiles: DataFrame, everybody: Row) -> DataF
     )
 
 
-def stat_profile_score(features: DataFrame, profiles: DataFrame, everybody: Row) -> DataFrame:
-    """Add ``score`` in [0, 1] to the output of :func:`base_features`."""
+def owner_minutes(events: DataFrame, profiles: DataFrame) -> DataFrame:
+    """The (owner, minute) pairs that occur in a log, at most 1,440 per entity: found from two columns, before any join of events."""
+    pairs = events.select("entity_id", clock.minute_of_day(F.col("ts_us")).alias("minute")).distinct()
+    own = profiles.where(F.col("num_events") >= MIN_PROFILE_EVENTS).select("entity_id", F.lit(True).alias("has_profile"))
+    owner = F.when(F.col("has_profile"), F.col("entity_id")).otherwise(F.lit(EVERYBODY))
+    return pairs.join(own, "entity_id", "left").select(owner.alias("owner"), "minute").distinct()
+
+
+def stat_profile_score(features: DataFrame, profiles: DataFrame, everybody: Row, log: DataFrame | None = None) -> DataFrame:
+    """Add ``score`` in [0, 1] to the output of :func:`base_features`.
+
+    ``log`` holds (at least) the same events before any feature was computed; the minutes to evaluate are then listed from it
+    instead of from the features, whose plan would otherwise run a second time for that.
+    """
     rows = features.withColumn("minute", clock.minute_of_day(F.col("ts_us")))
-    rows = rows.join(hour_density(rows, profiles, everybody), ["owner", "minute"], "left")
+    pairs = rows if log is None else owner_minutes(log, profiles)
+    rows = rows.join(hour_density(pairs, profiles, everybody), ["owner", "minute"], "left")
     score = scores.stat_score(
         scores.score_geo(F.col("geo_distance_from_centroid_km")),
         scores.score_duration(F.col("norm_session_duration")),

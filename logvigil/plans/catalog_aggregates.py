@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from logvigil.functions import rules
-from logvigil.functions.clock import minute_of_day
 from logvigil.operators import metrics, profiles, scoring, sequence, triage
 from logvigil.plans import derived
 from logvigil.plans.catalog_columns import TARGET, VOCAB, located
@@ -39,7 +38,7 @@ def checkable_predictions(spark, sf):
 
 @query("entity_profile", PROFILE_SQL)
 def entity_profile(spark, sf):
-    return flat_profile(profiles.entity_profile(normal(spark, sf)))
+    return flat_profile(profiles.entity_profile(normal(spark, sf), derived.learned(spark, sf).hot))
 
 
 @query("global_profile", f"""SELECT num_events, {r4('home_lat', 'home_lon', '1000.0e0 AS avg_radius', 'duration_mean', 'duration_std')},
@@ -63,9 +62,7 @@ def distinct_set(spark, sf):
 @query("hour_density", f"SELECT owner, md AS minute, {r4('density')} FROM dn")
 def hour_density(spark, sf):
     learned = derived.learned(spark, sf)
-    rows = profiles.profile_lookup(learned.events, learned.profiles, learned.everybody)
-    pairs = rows.select("owner", minute_of_day(F.col("ts_us")).alias("minute"))
-    return profiles.hour_density(pairs, learned.profiles, learned.everybody)
+    return profiles.hour_density(profiles.owner_minutes(learned.events, learned.profiles), learned.profiles, learned.everybody)
 
 
 @query("centroid_fit", f"SELECT entity_id, {r4('c_lat', 'c_lon')} FROM ce")

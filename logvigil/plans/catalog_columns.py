@@ -19,7 +19,7 @@ TARGET = "CASE WHEN label = 'normal' THEN 'unknown' ELSE label END AS target_cla
 def base(spark, sf):
     """Base features of all events (the features table holds the same columns)."""
     learned = derived.learned(spark, sf)
-    return profiles.base_features(learned.events, learned.profiles, learned.devices, learned.everybody)
+    return profiles.base_features(learned.events, learned.profiles, learned.devices, learned.everybody, learned.hot)
 
 
 @query("parse_json_fields", f"""SELECT event_id, {r4("CASE WHEN event_id % 7 < 2 THEN 0.0e0 ELSE lat END AS lat", "CASE WHEN event_id % 7 < 2 THEN 0.0e0 ELSE lon END AS lon")},
@@ -126,9 +126,9 @@ def stat_score(spark, sf):
 
 def located(spark, sf):
     """All events with the distance to their training centroid."""
-    split = derived.learned(spark, sf).events
-    train = split.where(F.col("split") == "train")
-    return sequence.centroid_lookup(split, sequence.centroid_fit(train), sequence.global_centroid(train))
+    learned = derived.learned(spark, sf)
+    train = learned.events.where(F.col("split") == "train")
+    return sequence.centroid_lookup(learned.events, sequence.centroid_fit(train), sequence.global_centroid(train), learned.hot)
 
 
 @query("scale_sequence_features", f"SELECT event_id, {r4('x_duration', 'x_hour_sin', 'x_hour_cos', 'x_geo_dist')} FROM sx")
@@ -365,7 +365,7 @@ def join_scores(spark, sf):
 @query("profile_lookup", f"""SELECT event_id, owner, {r4('p_lat', 'p_lon', 'p_mean', 'p_std')}, cast(cold AS integer) AS cold_start FROM lk""")
 def profile_lookup(spark, sf):
     learned = derived.learned(spark, sf)
-    rows = profiles.profile_lookup(learned.events, learned.profiles, learned.everybody)
+    rows = profiles.profile_lookup(learned.events, learned.profiles, learned.everybody, learned.hot)
     names = {"p_home_lat": "p_lat", "p_home_lon": "p_lon", "p_duration_mean": "p_mean", "p_duration_std": "p_std"}
     return rows.select("event_id", "owner", "cold_start", *[F.col(c).alias(n) for c, n in names.items()])
 

@@ -43,7 +43,13 @@ def scratch_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         app = spark.sparkContext.applicationId
         base = _local_scratch.setdefault(app, tempfile.mkdtemp(prefix="logvigil-"))
-    return f"{base.rstrip('/')}/logvigil-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/logvigil-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all that this application wrote below the shared folder. Call it when no result is read any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark)).getParent()
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def written(df: DataFrame) -> DataFrame:
