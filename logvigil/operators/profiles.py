@@ -268,6 +268,39 @@ def merge_sums(old: DataFrame, new: DataFrame, keys: list[str], latest: tuple[st
     )
 
 
+def profile_parts(events: DataFrame) -> dict[str, DataFrame]:
+    """All of a profile that can be added up: sums, uses of resources, minutes, devices. The mean radius is no sum: it
+    depends on the home, so it needs a second pass over the events."""
+    minute = clock.minute_of_day(F.col("ts_us")).alias("minute")
+    return {
+        "sums": profile_sums(events),
+        "resources": events.groupBy("entity_id", "resource_accessed").agg(F.count("*").alias("n")),
+        "minutes": events.groupBy("entity_id", minute).agg(F.count("*").alias("n")),
+        "devices": distinct_values(events, "mac"),
+    }
+
+
+def merge_parts(old: dict[str, DataFrame], new: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The parts of both logs together."""
+    keys = {"resources": ["entity_id", "resource_accessed"], "minutes": ["entity_id", "minute"]}
+    merged = {name: merge_sums(old[name], new[name], key) for name, key in keys.items()}
+    merged["sums"] = merge_sums(old["sums"], new["sums"], ["entity_id"], latest=("last_ts_us",))
+    return merged | {"devices": old["devices"].unionByName(new["devices"]).distinct()}
+
+
+def profile_from_parts(parts: dict[str, DataFrame], resources: int = ENTITY_RESOURCES) -> DataFrame:
+    """The profile of :func:`entity_profile` without avg_radius and hour moments, with ``devices`` (their number; the list
+    stays a long table)."""
+    order = Window.partitionBy("entity_id").orderBy(F.col("n").desc(), F.col("resource_accessed"))
+    top = parts["resources"].withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= resources)
+    ranked = top.groupBy("entity_id").agg(F.array_sort(F.collect_list(F.struct("rank", "resource_accessed"))).alias("r"))
+    minutes = parts["minutes"].groupBy("entity_id").agg(F.array_sort(F.collect_list(F.struct("minute", "n"))).alias("minutes"))
+    devices = parts["devices"].groupBy("entity_id").agg(F.count("*").alias("devices"))
+    names = ranked.select("entity_id", F.col("r.resource_accessed").alias("typical_resources"))
+    profile = moments_from_sums(parts["sums"]).join(names, "entity_id").join(minutes, "entity_id")
+    return profile.join(devices, "entity_id", "left").fillna(0, ["devices"])
+
+
 def moments_from_sums(sums: DataFrame) -> DataFrame:
     n = F.col("n")
     mean = F.col("sum_duration") / n

@@ -77,10 +77,10 @@ BURST = "ts_us // 600000000 * 600000000"
 HALF_HOUR = "ts_us // 1800000000 * 1800000000"
 
 
-@query("detect_brute_force", f"""SELECT entity_id, source_ip, {BURST} AS window_us, count(*) AS attempts FROM al
-  WHERE session_duration = 0 AND auth_method = 'password' GROUP BY entity_id, source_ip, {BURST} HAVING count(*) >= 3""")
+@query("detect_brute_force", f"""SELECT entity_id, source_ip, {BURST} AS window_us, count(*) AS attempts FROM ak
+  WHERE session_duration = 0 AND auth_method = 'password' GROUP BY entity_id, source_ip, {BURST} HAVING count(*) >= 50""")
 def detect_brute_force(spark, sf):
-    return detect.brute_force(derived.access_log(spark, sf), min_attempts=3)
+    return detect.brute_force(derived.attack_log(spark, sf))
 
 
 @query("detect_impossible_travel", f"""SELECT event_id, entity_id, {r4('geo_velocity_kmh', 'km AS geo_distance_prev_km')}
@@ -92,16 +92,16 @@ def detect_impossible_travel(spark, sf):
 
 @query("detect_credential_stuffing", f"""SELECT source_ip, {HALF_HOUR} AS window_us, count(DISTINCT entity_id) AS entities, count(*) AS attempts,
   count(*) FILTER (session_duration = 0) AS failed, {r4('avg(CASE WHEN session_duration = 0 THEN 1.0e0 ELSE 0.0e0 END) AS fail_share')}
-  FROM al WHERE auth_method = 'password' GROUP BY source_ip, {HALF_HOUR}
-  HAVING count(DISTINCT entity_id) >= 1 AND avg(CASE WHEN session_duration = 0 THEN 1.0e0 ELSE 0.0e0 END) >= 0.2e0""")
+  FROM ak WHERE auth_method = 'password' GROUP BY source_ip, {HALF_HOUR}
+  HAVING count(DISTINCT entity_id) >= 20 AND avg(CASE WHEN session_duration = 0 THEN 1.0e0 ELSE 0.0e0 END) >= 0.8e0""")
 def detect_credential_stuffing(spark, sf):
-    return detect.credential_stuffing(derived.access_log(spark, sf), min_entities=1, min_fail_share=0.2)
+    return detect.credential_stuffing(derived.attack_log(spark, sf))
 
 
-@query("detect_lateral_movement", "SELECT event_id, entity_id, new_resource_count_1h FROM nr JOIN al USING (event_id) WHERE new_resource_count_1h >= 2")
+@query("detect_lateral_movement", "SELECT event_id, entity_id, new_resource_count_1h FROM nk WHERE new_resource_count_1h >= 5")
 def detect_lateral_movement(spark, sf):
     typical = profiles.typical_pairs(derived.learned(spark, sf).profiles)
-    rows = detect.lateral_movement(derived.access_log(spark, sf), typical, min_resources=2)
+    rows = detect.lateral_movement(derived.attack_log(spark, sf), typical)
     return rows.select("event_id", "entity_id", "new_resource_count_1h")
 
 
@@ -116,12 +116,12 @@ def detect_device_spoofing(spark, sf):
 
 
 @query("detect_low_slow_exfil", """SELECT * FROM (SELECT entity_id, day, cast(sum(b) OVER w AS bigint) AS bytes, cast(sum(r) OVER w AS bigint) AS reads,
-  count(*) OVER w AS active_days FROM (SELECT entity_id, ts_us // 86400000000 AS day, sum(bytes_transferred) AS b, count(*) AS r FROM al
-  WHERE resource_accessed IN ('res_01', 'res_02', 'res_03', 'res_04') AND (sec % 86400) >= 3600 AND (sec % 86400) < 14400 GROUP BY ALL)
-  WINDOW w AS (PARTITION BY entity_id ORDER BY day RANGE BETWEEN 27 PRECEDING AND CURRENT ROW)) WHERE active_days >= 3""")
+  count(*) OVER w AS active_days FROM (SELECT entity_id, ts_us // 86400000000 AS day, sum(bytes_transferred) AS b, count(*) AS r FROM ak
+  WHERE resource_accessed IN ('/vault/secrets/api_keys', '/backup/nightly_dump.tar.gz') AND ts_us % 86400000000 >= 3600000000
+  AND ts_us % 86400000000 < 14400000000 GROUP BY ALL)
+  WINDOW w AS (PARTITION BY entity_id ORDER BY day RANGE BETWEEN 27 PRECEDING AND CURRENT ROW)) WHERE active_days >= 14""")
 def detect_low_slow_exfil(spark, sf):
-    resources = ("res_01", "res_02", "res_03", "res_04")
-    return detect.low_slow_exfil(derived.access_log(spark, sf), resources, min_days=3)
+    return detect.low_slow_exfil(derived.attack_log(spark, sf))
 
 
 @query("detect_insider_drift", f"""SELECT entity_id, count(*) AS weeks, {r4('regr_slope(share, week) AS slope', 'max(share) AS max_share')} FROM (

@@ -9,7 +9,7 @@ from logvigil.operators import attribution, chain, metrics, models, profiles, se
 from logvigil.plans import derived
 from logvigil.plans.catalog_aggregates import normal
 from logvigil.plans.catalog_columns import RULE_TEXT, TARGET, base
-from logvigil.plans.catalog_sources import ISO
+from logvigil.plans.catalog_sources import ISO, flat_profile
 from logvigil.plans.oracle import r4
 from logvigil.plans.registry import query
 from logvigil.session import written
@@ -190,6 +190,27 @@ def incremental_refit(spark, sf):
     return profiles.moments_from_sums(profiles.merge_sums(old, new, ["entity_id"], latest=("last_ts_us",)))
 
 
+SEEN = "(SELECT * FROM sp WHERE label = 'normal' AND split IN ('train', 'val'))"
+
+
+@query("incremental_profile", f"""SELECT entity_id, num_events, {r4('home_lat', 'home_lon', 'duration_mean', 'duration_std')}, last_ts_us,
+  resources, minutes, coalesce(devices, 0) AS devices FROM (SELECT entity_id, count(*) AS num_events, avg(lat) AS home_lat, avg(lon) AS home_lon,
+    avg(session_duration) AS duration_mean, CASE WHEN count(*) > 1 THEN stddev_pop(session_duration) ELSE 10.0e0 END AS duration_std,
+    max(ts_us) AS last_ts_us FROM {SEEN} GROUP BY entity_id)
+  JOIN (SELECT entity_id, string_agg(resource_accessed, ',' ORDER BY n DESC, resource_accessed) AS resources FROM (SELECT *, row_number() OVER
+    (PARTITION BY entity_id ORDER BY n DESC, resource_accessed) AS rank FROM (SELECT entity_id, resource_accessed, count(*) AS n FROM {SEEN}
+    GROUP BY ALL)) WHERE rank <= 5 GROUP BY entity_id) USING (entity_id)
+  JOIN (SELECT entity_id, string_agg(concat(md, ':', n), ',' ORDER BY md) AS minutes FROM (SELECT entity_id, md, count(*) AS n FROM {SEEN}
+    GROUP BY ALL) GROUP BY entity_id) USING (entity_id)
+  LEFT JOIN (SELECT entity_id, count(DISTINCT mac) AS devices FROM {SEEN} WHERE mac <> '' GROUP BY entity_id) USING (entity_id)""")
+def incremental_profile(spark, sf):
+    """Whole profiles learned on the training part, refreshed with the validation part."""
+    new = derived.learned(spark, sf).events.where((F.col("label") == "normal") & (F.col("split") == "val"))
+    old = {name: written(part) for name, part in profiles.profile_parts(normal(spark, sf)).items()}
+    merged = profiles.merge_parts(old, profiles.profile_parts(new))
+    return flat_profile(profiles.profile_from_parts(merged))
+
+
 @query("incremental_transitions", """SELECT feature, prev, cur, cast(sum(c) AS bigint) AS c FROM (""" + " UNION ALL ".join(
     f"SELECT '{n}' AS feature, prev_{n} AS prev, cur_{n} AS cur, count(*) AS c FROM sx WHERE split <> 'test' GROUP BY ALL"
     for n in sequence.CATEGORICAL) + ") GROUP BY feature, prev, cur")

@@ -58,6 +58,35 @@ def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def attack_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with attacks of full strength added, derived from its events: bursts of 60 failed logins on one entity, 25
+    entities tried from one address, six unusual resources in an hour, and nightly reads of secrets on many days."""
+    log = access_log(spark, sf_dir)
+    number = F.substring("entity_id", 5, 5).cast("int")
+    failed = {"session_duration": F.lit(0).cast("long"), "auth_method": F.lit("password")}
+
+    def added(rows: DataFrame, kind: int, n: int, window_s: int, **columns) -> DataFrame:
+        each = rows.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
+        start = F.col("ts_us") - F.col("ts_us") % (window_s * 1_000_000)
+        each = each.withColumn("ts_us", start + F.col("i") * 1_000_000).withColumns(columns)
+        return each.withColumn("event_id", F.col("event_id") * 1000 + kind * 100 + F.col("i") + 10**12).select(*log.columns)
+
+    burst = added(log.where((F.col("label") == "brute_force") & (F.col("event_id") % 50 == 0)), 1, 60, 600, **failed)
+    stuffing = added(
+        log.where(F.col("event_id") % 200 == 0), 2, 25, 1800, **failed,
+        entity_id=F.concat(F.lit("TRY_"), F.lpad(((F.col("event_id") + F.col("i") * 7) % 90000).cast("string"), 5, "0")),
+        source_ip=F.concat(F.lit("198.51.100."), (F.col("event_id") % 200).cast("string")),
+    )
+    lateral = added(
+        log.where(F.col("event_id") % 300 == 1), 3, 6, 3600, resource_accessed=F.concat(F.lit("vm_"), F.col("i").cast("string"))
+    )
+    night = START_US + (F.col("event_id") % 30) * 86_400_000_000 + 7_200_000_000
+    exfil = log.where(number % 40 == 3).withColumns(
+        {"ts_us": night, "resource_accessed": F.lit("/vault/secrets/api_keys"), "event_id": F.col("event_id") * 1000 + 400 + 10**12}
+    )
+    return log.unionByName(burst).unionByName(stuffing).unionByName(lateral).unionByName(exfil.select(*log.columns))
+
+
 def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log in its source form: ISO text, JSON texts, text ids."""
     log = access_log(spark, sf_dir)

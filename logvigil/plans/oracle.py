@@ -57,6 +57,21 @@ STEPS: dict[str, str] = {
     "al": """SELECT *, ts_us // 1000000 AS sec, (ts_us % 86400000000) // 60000000 AS md,
       ((ts_us % 86400000000) // 60000000) // 60 + (((ts_us % 86400000000) // 60000000) % 60) / 60.0e0 AS hod,
       CASE WHEN session_duration = 0 OR auth_method = 'password' THEN 1 ELSE 0 END AS failed FROM a0""",
+    # the log with attacks added: kind, rows and start of the added rows as in derived.attack_log
+    "ak": """SELECT event_id, entity_id, ts_us, source_ip, resource_accessed, auth_method, session_duration, bytes_transferred FROM al
+      UNION ALL SELECT event_id * 1000 + 100 + i + 1000000000000, entity_id, ts_us // 600000000 * 600000000 + i * 1000000, source_ip,
+        resource_accessed, 'password', 0, bytes_transferred FROM al, range(60) r(i) WHERE label = 'brute_force' AND event_id % 50 = 0
+      UNION ALL SELECT event_id * 1000 + 200 + i + 1000000000000, concat('TRY_', lpad(cast((event_id + i * 7) % 90000 AS varchar), 5, '0')),
+        ts_us // 1800000000 * 1800000000 + i * 1000000, concat('198.51.100.', cast(event_id % 200 AS varchar)), resource_accessed, 'password', 0,
+        bytes_transferred FROM al, range(25) r(i) WHERE event_id % 200 = 0
+      UNION ALL SELECT event_id * 1000 + 300 + i + 1000000000000, entity_id, ts_us // 3600000000 * 3600000000 + i * 1000000, source_ip,
+        concat('vm_', cast(i AS varchar)), auth_method, session_duration, bytes_transferred FROM al, range(6) r(i) WHERE event_id % 300 = 1
+      UNION ALL SELECT event_id * 1000 + 400 + 1000000000000, entity_id, 1704067200000000 + (event_id % 30) * 86400000000 + 7200000000, source_ip,
+        '/vault/secrets/api_keys', auth_method, session_duration, bytes_transferred FROM al WHERE cast(substr(entity_id, 5, 5) AS integer) % 40 = 3""",
+    "nk": """SELECT a.event_id, a.entity_id, count(DISTINCT CASE WHEN tr.entity_id IS NULL THEN b.resource_accessed END) AS new_resource_count_1h
+      FROM ak a JOIN ak b ON a.entity_id = b.entity_id AND b.ts_us // 1000000 >= a.ts_us // 1000000 - 3600
+        AND (b.ts_us < a.ts_us OR (b.ts_us = a.ts_us AND b.event_id <= a.event_id))
+      LEFT JOIN tr ON tr.entity_id = b.entity_id AND tr.resource_accessed = b.resource_accessed GROUP BY a.event_id, a.entity_id""",
     "sp": """SELECT *, CASE WHEN rn <= floor(0.70e0 * n) THEN 'train' WHEN rn <= floor(0.85e0 * n) THEN 'val' ELSE 'test' END AS split
       FROM (SELECT *, row_number() OVER (ORDER BY ts_us, event_id) AS rn, count(*) OVER () AS n FROM al)""",
     "tn": "SELECT * FROM sp WHERE split = 'train' AND label = 'normal'",
