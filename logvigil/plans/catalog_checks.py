@@ -38,8 +38,7 @@ def dq_nulls(spark, sf):
 
 @query("dq_alignment", CHECKS_SQL["dq_alignment"])
 def dq_alignment(spark, sf):
-    labels = derived.labels(spark, sf).where(F.col("event_id") % 1000 != 7)  # a damaged label table
-    return audit.dq_alignment(derived.access_log(spark, sf), labels)
+    return audit.dq_alignment(derived.access_log(spark, sf), derived.labels_with_gaps(spark, sf, 1000, 7))
 
 
 @query("dq_anomaly_rate", CHECKS_SQL["dq_anomaly_rate"])

@@ -144,15 +144,12 @@ VOCAB = """(SELECT value, 1 + row_number() OVER (ORDER BY first_us, value) AS id
 
 @query("vocab_encode", f"""SELECT event_id, coalesce(r.idx, 1) AS res_idx, coalesce(o.idx, 1) AS os_idx FROM al
   LEFT JOIN {VOCAB.format(c='resource_accessed')} r ON r.value = resource_accessed
-  LEFT JOIN (SELECT value, 1 + row_number() OVER (ORDER BY first_us, value) AS idx FROM
-    (SELECT os AS value, min(ts_us) AS first_us FROM sp WHERE split = 'train' AND os <> 'os_x' GROUP BY os)) o ON o.value = os""")
+  LEFT JOIN {VOCAB.format(c='os')} o ON o.value = os""")
 def vocab_encode(spark, sf):
     split = derived.learned(spark, sf).events
     train = split.where(F.col("split") == "train")
     rows = sequence.vocab_encode(split, "resource_accessed", sequence.vocab_fit(train, "resource_accessed"), "res_idx")
-    # without the spoofed system in training, its events show the index of unknown
-    systems = sequence.vocab_fit(train.where(F.col("os") != "os_x"), "os")
-    return sequence.vocab_encode(rows, "os", systems, "os_idx").select("event_id", "res_idx", "os_idx")
+    return sequence.vocab_encode(rows, "os", sequence.vocab_fit(train, "os"), "os_idx").select("event_id", "res_idx", "os_idx")
 
 
 @query("minmax_clip", f"SELECT event_id, {r4('score_seq')} FROM e1")
@@ -184,8 +181,7 @@ def flag_threshold(spark, sf):
   "CASE WHEN split = 'test' THEN 0.8e0 ELSE threshold END AS threshold")},
   CASE WHEN split = 'test' THEN 0 ELSE cast(is_anomaly AS integer) END AS is_anomaly FROM en""")
 def fill_defaults(spark, sf):
-    known = derived.scored(spark, sf).where(F.col("split") != "test")
-    rows = scoring.with_score_defaults(derived.access_log(spark, sf), known)
+    rows = scoring.with_score_defaults(derived.access_log(spark, sf), derived.scores_before_test(spark, sf))
     return rows.select("event_id", "score_ensemble", "threshold", F.col("is_anomaly").cast("int").alias("is_anomaly"))
 
 
@@ -351,14 +347,12 @@ def join_logs_labels(spark, sf):
 @query("align_labels", "SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN label END AS label FROM al")
 def align_labels(spark, sf):
     logs = derived.access_log(spark, sf).drop("label")
-    known = derived.labels(spark, sf).where(F.col("event_id") % 10 != 0)
-    return readers.join_labels(logs, known, "left").select("event_id", "label")
+    return readers.join_labels(logs, derived.labels_with_gaps(spark, sf, 10, 0), "left").select("event_id", "label")
 
 
 @query("join_scores", f"""SELECT event_id, {r4("CASE WHEN label = 'normal' THEN 0.5e0 ELSE score_ensemble END AS score_ensemble")}, entity_id FROM en""")
 def join_scores(spark, sf):
-    known = derived.scored(spark, sf).where(F.col("label") != "normal")
-    rows = scoring.with_score_defaults(derived.access_log(spark, sf), known)
+    rows = scoring.with_score_defaults(derived.access_log(spark, sf), derived.scores_of_attacks(spark, sf))
     return rows.select("event_id", "score_ensemble", "entity_id")
 
 
@@ -378,6 +372,5 @@ def centroid_lookup(spark, sf):
 @query("join_error_breakdown", "SELECT event_id, " + r4(*[
     f"CASE WHEN split = 'test' THEN 0.0e0 ELSE {c} END AS {c}" for c in sequence.ERROR_COLUMNS]) + " FROM er")
 def join_error_breakdown(spark, sf):
-    known = derived.scored(spark, sf).where(F.col("split") != "test")
-    rows = sequence.join_errors(derived.access_log(spark, sf), known)
+    rows = sequence.join_errors(derived.access_log(spark, sf), derived.scores_before_test(spark, sf))
     return rows.select("event_id", *sequence.ERROR_COLUMNS)

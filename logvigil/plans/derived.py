@@ -58,6 +58,24 @@ def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Damaged inputs, so that defaults and checks have something to show. The operators run over all of each.
+
+
+def labels_with_gaps(spark: SparkSession, sf_dir: str, every: int, at: int) -> DataFrame:
+    """A label table in which the row of each ``every``-th event is lost."""
+    return labels(spark, sf_dir).where(F.col("event_id") % every != at)
+
+
+def scores_of_attacks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score table that was only kept for attacks."""
+    return scored(spark, sf_dir).where(F.col("label") != rules.NORMAL)
+
+
+def scores_before_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score table that was written before the test part came in."""
+    return scored(spark, sf_dir).where(F.col("split") != "test")
+
+
 def attack_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log with attacks of full strength added, derived from its events: bursts of 60 failed logins on one entity, 25
     entities tried from one address, six unusual resources in an hour, and nightly reads of secrets on many days."""
