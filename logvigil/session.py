@@ -65,16 +65,21 @@ def written(df: DataFrame) -> DataFrame:
     return table
 
 
-def discard(*tables: DataFrame) -> None:
-    """Delete tables that :func:`written` made and that nothing reads any more, and let go of finished shuffles.
+def settle(spark: SparkSession) -> None:
+    """Let go of finished shuffles.
 
     Spark deletes the files of a shuffle when the driver's memory of it is collected, which may be long after the
     last use; a job of several phases would hold the shuffles of all of them at once.
     """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that :func:`written` made and that nothing reads any more, and :func:`settle`."""
     for table in tables:
         spark = table.sparkSession
         folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
     if tables:
-        gc.collect()
-        tables[0].sparkSession.sparkContext._jvm.System.gc()
+        settle(tables[0].sparkSession)
