@@ -9,19 +9,20 @@ blocks of arrays, so that no link that a bucket could show is lost.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from logvigil.llm import graph, grams
 from logvigil.llm.tables import unused
-from logvigil.session import written
+from logvigil.session import settle, written
 
 MINIMA = 128
 BITS = 4  # kept of each minimum
@@ -170,12 +171,16 @@ def star_pairs(classes: DataFrame) -> DataFrame:
     return members.join(first, "bucket").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
 
 
+def unpacked(texts: Iterable[bytes]) -> list[str]:
+    return [zstandard.decompress(t).decode("utf-8", "surrogatepass") for t in texts]
+
+
 def linked(pairs: DataFrame, params: Params) -> DataFrame:
-    """Of pairs with text_a, text_b, those whose full sets confirm the link: a, b."""
+    """Of pairs with compressed texts z_a, z_b, those whose full sets confirm the link: a, b."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            a, b = part.column("text_a").to_pylist(), part.column("text_b").to_pylist()
+            a, b = unpacked(part.column("z_a").to_pylist()), unpacked(part.column("z_b").to_pylist())
             good = np.zeros(len(a), bool)
             for low, high in grams.chunks([x + y for x, y in zip(a, b)], grams.CHUNK):
                 hashes, bounds = shingle_sets(a[low:high] + b[low:high], params.words)
@@ -189,11 +194,11 @@ def linked(pairs: DataFrame, params: Params) -> DataFrame:
             keep = pa.array(good)
             yield pa.RecordBatch.from_arrays([part.column("a").filter(keep), part.column("b").filter(keep)], names=["a", "b"])
 
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(batches, "a binary, b binary")
+    return pairs.select("a", "b", "z_a", "z_b").mapInArrow(batches, "a binary, b binary")
 
 
 def cross_links(blocks: DataFrame, params: Params) -> DataFrame:
-    """Links between different components inside blocks (columns block, side, comp, text), as component pairs a, b.
+    """Links between different components inside blocks (columns block, side, comp, z), as component pairs a, b.
 
     In a block each class of side x meets each one of side y; a task holds X_BLOCK and Y_BLOCK of them.
     """
@@ -202,8 +207,8 @@ def cross_links(blocks: DataFrame, params: Params) -> DataFrame:
         x, y = rows[rows["side"] == "x"], rows[rows["side"] == "y"]
         found: set[tuple[bytes, bytes]] = set()
         if len(x) and len(y):
-            hashes, bounds = shingle_sets(y["text"].tolist(), params.words)
-            own, own_bounds = shingle_sets(x["text"].tolist(), params.words)
+            hashes, bounds = shingle_sets(unpacked(y["z"]), params.words)
+            own, own_bounds = shingle_sets(unpacked(x["z"]), params.words)
             known = np.unique(hashes)
             at = np.searchsorted(known, hashes)
             comp_y, sizes, mark = y["comp"].to_numpy(), np.diff(bounds), np.zeros(len(known) + 1, np.int64)
@@ -260,13 +265,15 @@ def classed(docs: DataFrame, params: Params = Params(), key: str = "doc_id", tex
     likely = sketched.where(estimate() >= params.least_estimate).select("a", "b")
     needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     texts = written(_class_texts(source, needed, params))
-    with_texts = likely.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
+    settle(docs.sparkSession)
+    with_texts = likely.join(texts.select(F.col("node").alias("a"), F.col("z").alias("z_a")), "a").join(
+        texts.select(F.col("node").alias("b"), F.col("z").alias("z_b")), "b"
     )
     roots = graph.components(linked(with_texts, params))
+    settle(docs.sparkSession)
     families = graph.components(pairs).select("node", F.col("root").alias("family"))
     members = written(families.join(roots, "node", "left").select("node", "family", F.coalesce("root", "node").alias("comp")))
-    blocks = _sides(members).join(texts, "node").select("block", "side", "comp", "text")
+    blocks = _sides(members).join(texts, "node").select("block", "side", "comp", "z")
     across = graph.components(cross_links(blocks, params)).select(F.col("node").alias("comp"), "root")
     final = members.join(across, "comp", "left").select("node", F.coalesce("root", "comp").alias("final"))
     labelled = classes.select("node", "least").join(final, "node", "left").withColumn("final", F.coalesce("final", "node"))
@@ -278,20 +285,27 @@ def classed(docs: DataFrame, params: Params = Params(), key: str = "doc_id", tex
 
 
 def _class_texts(source: DataFrame, needed: DataFrame, params: Params) -> DataFrame:
-    """One text for each class that is needed. Classes of texts are digested again instead of storing all texts."""
-    return with_class(source.select("text"), params, "node").join(needed, "node").groupBy("node").agg(F.min("text").alias("text"))
+    """One text for each class that is needed, compressed before it is shuffled. Texts are digested again instead of being stored."""
+    return with_class(source.select("text"), params, "node", packed="z").join(needed, "node").groupBy("node").agg(F.min("z").alias("z"))
 
 
-def with_class(docs: DataFrame, params: Params, node: str, text: str = "text") -> DataFrame:
-    """``docs`` with the digest of each text's shingle set; null without words."""
-    schema = docs.select("*").schema.add(node, "binary")
+def with_class(docs: DataFrame, params: Params, node: str, text: str = "text", packed: str | None = None) -> DataFrame:
+    """``docs`` with the digest of each text's shingle set, null without words. With ``packed`` the text is replaced by its
+    compressed form under that name."""
+    rest = [c for c in docs.columns if not (packed and c == text)]
+    schema = docs.select(*[F.col(f"`{c}`") for c in rest]).schema.add(node, "binary")
+    schema = schema.add(packed, "binary") if packed else schema
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3)
         for part in parts:
             texts, found = [t or "" for t in part.column(text).to_pylist()], []
             for low, high in grams.chunks(texts):
                 found += set_digests(*shingle_sets(texts[low:high], params.words))
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], names=[*part.schema.names, node])
+            columns = [*[part.column(c) for c in rest], pa.array(found, pa.binary())]
+            if packed:
+                columns.append(pa.array([squeeze.compress(t.encode("utf-8", "surrogatepass")) for t in texts], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
 
     return docs.mapInArrow(batches, schema)
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from logvigil.llm import grams
 from logvigil.llm.tables import unused
-from logvigil.session import written
+from logvigil.session import discard, settle, written
 
 POSITION_BITS = 20
 BATCH = 100_000  # strings handed on at once
@@ -233,32 +233,52 @@ def removed(texts_with_starts: DataFrame, depth: Depth, keep_text: bool) -> Data
     return texts_with_starts.mapInArrow(batches, ", ".join(filter(None, [kinds, extra])))
 
 
-def repeated_starts(runs: DataFrame, docs: DataFrame, depth: Depth = Depth()) -> DataFrame:
-    """For each text (columns text, mark; by its digest t) with strings that other texts hold, or itself again:
-    starts, pairs low, high of string starts. ``runs`` are its ranges."""
+def repeated_starts(docs: DataFrame, depth: Depth = Depth()) -> DataFrame:
+    """For each text (columns text, mark; by its digest t) with strings to remove: starts, pairs low, high of string starts.
+
+    Phases are written tables; each one is discarded, with the shuffles behind it, after its last use.
+    """
+    runs = written(ranges(docs, depth))
     here = F.xxhash64("t", "at")
     twice = lambda column: F.min(column) != F.max(column)
-    shared = runs.groupBy("bucket").agg(twice(here).alias("shared")).where("shared").select("bucket")
+    # Each copy of a text that is long enough has one range that begins at 0.
+    copies = written(runs.where("low = 0").groupBy("t").agg(F.count("*").alias("n")).where("n > 1").select("t", F.lit(True).alias("copied")))
+    shared = written(runs.groupBy("bucket").agg(twice(here).alias("shared")).where("shared").select("bucket"))
     shared_runs = written(runs.join(shared, "bucket", "left_semi"))
+    discard(runs, shared)
     # Step 1: ranges that agree in bucket, extent and the pointers at both ends.
     kind = ["bucket", "before", "after", "first", "last"]
     placed = shared_runs.withColumns({"before": F.col("at") - F.col("low"), "after": F.col("high") - F.col("at"), "here": here})
     kinds = written(placed.groupBy(*kind).agg(twice("here").alias("settled"), F.min(F.struct("here", "t", "low", "high", "mark")).alias("one")))
-    settled = placed.join(kinds.where("settled").select(*kind), kind, "left_semi").select("t", "low", "high")
+    settled = written(placed.join(kinds.where("settled").select(*kind), kind, "left_semi").select("t", "low", "high").distinct())
     # Step 2: the strings of ranges in buckets that hold an unsettled one, one range of each kind.
     unsettled = kinds.groupBy("bucket").agg(F.bool_and("settled").alias("all"), F.count("*").alias("n")).where("NOT all AND n > 1")
-    listed = kinds.join(unsettled.select("bucket"), "bucket", "left_semi").groupBy("one.t").agg(
-        F.min("one.mark").alias("mark"),
-        F.collect_list(F.struct(F.col("bucket"), F.col("one.low"), F.col("one.high"), F.col("settled"))).alias("open"),
+    listed = written(
+        kinds.join(unsettled.select("bucket"), "bucket", "left_semi").groupBy("one.t").agg(
+            F.min("one.mark").alias("mark"),
+            F.collect_list(F.struct(F.col("bucket"), F.col("one.low"), F.col("one.high"), F.col("settled"))).alias("open"),
+        )
     )
+    discard(shared_runs, kinds)
     # Copies of a text differ in their mark, so they spread over the tasks and one of them is taken.
     texts = packed(docs, ["mark"], depth).join(listed, ["t", "mark"]).dropDuplicates(["t", "mark"])
     strings = written(spread(texts, depth))
+    del texts
+    discard(listed)
     where = F.xxhash64("t", "low")
     again = strings.groupBy("bucket", "pointer").agg((F.bool_or("settled") | twice(where)).alias("again")).where("again")
+    again = written(again.select("bucket", "pointer"))
+    settle(docs.sparkSession)
     found = strings.where("NOT settled").join(again, ["bucket", "pointer"], "left_semi").select("t", "low", F.col("low").alias("high"))
-    both = settled.unionByName(found).distinct()
-    return both.groupBy("t").agg(F.collect_list(F.struct("low", "high")).alias("starts"))
+    found = written(found)
+    discard(strings, again)
+    both = settled.unionByName(found)
+    starts = both.groupBy("t").agg(F.collect_list(F.struct("low", "high")).alias("starts"))
+    everything: Column = F.array(F.struct(F.lit(0).alias("low"), F.lit(2**30).alias("high")))
+    marks = starts.join(copies, "t", "full").select("t", F.when(F.col("copied"), everything).otherwise(F.col("starts")).alias("starts"))
+    marks = written(marks)
+    discard(settled, found, copies)
+    return marks
 
 
 def cleaned(docs: DataFrame, depth: Depth = Depth(), text: str = "text", keep_text: bool = False) -> DataFrame:
@@ -272,12 +292,6 @@ def cleaned(docs: DataFrame, depth: Depth = Depth(), text: str = "text", keep_te
     rest = [c for c in docs.columns if c != text and c not in new]
     row = unused(docs, "row")
     source = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias(row), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    marked = source.select("text", F.xxhash64(row).alias("mark"))
-    runs = written(ranges(marked, depth))
-    starts = written(repeated_starts(runs, marked, depth))
-    # Each copy of a text that is long enough has one range that begins at 0.
-    copies = runs.where("low = 0").groupBy("t").agg(F.count("*").alias("n")).where("n > 1").select("t", F.lit(True).alias("copied"))
-    everything: Column = F.array(F.struct(F.lit(0).alias("low"), F.lit(2**30).alias("high")))
-    marks = starts.join(copies, "t", "full").select("t", F.when(F.col("copied"), everything).otherwise(F.col("starts")).alias("starts"))
+    marks = repeated_starts(source.select("text", F.xxhash64(row).alias("mark")), depth)
     out = removed(packed(source, [row], depth).join(marks, "t", "left"), depth, keep_text)
     return out.select(f"{row}.*", *[c for c in new if c in out.columns])
