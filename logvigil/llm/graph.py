@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logvigil.session import written
+from logvigil.session import discard, written
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -19,13 +19,16 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     kind = dict(links.dtypes)[a]
     edges = written(links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct())
+    spent = []
     while not _are_stars(edges):
+        spent.append(edges)
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = written(small.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
+    discard(*spent)
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return edges.select(F.col("a").cast(kind).alias("node"), F.col("b").cast(kind).alias("root")).unionByName(roots)
 

@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType
 
 from logvigil.llm import graph, grams
 from logvigil.llm.tables import unused
-from logvigil.session import settle, written
+from logvigil.session import discard, settle, written
 
 MINIMA = 128
 BITS = 4  # kept of each minimum
@@ -278,7 +278,8 @@ def classed(docs: DataFrame, params: Params = Params(), key: str = "doc_id", tex
     final = members.join(across, "comp", "left").select("node", F.coalesce("root", "comp").alias("final"))
     labelled = classes.select("node", "least").join(final, "node", "left").withColumn("final", F.coalesce("final", "node"))
     smallest = labelled.groupBy("final").agg(F.min("least").alias("component_id"))
-    known = labelled.join(smallest, "final").select("node", "component_id")
+    known = written(labelled.join(smallest, "final").select("node", "component_id"))
+    discard(classes, pairs, texts, members)
     return rows.select("key", "n_shingles", "node").join(known, "node", "left").select(
         F.col("key").alias(key), "n_shingles", "node", F.when(F.col("node").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id")
     )
