@@ -29,12 +29,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType
 
-from logvigil.llm.tables import Shared
+from logvigil.llm.tables import Shared, slices
 
 LEAF_BYTES = 8  # pieces up to this size are merged directly
 SMALL_BYTES = 24  # up to this size results are remembered: seams and leaves of new words are mostly old
 LEAF_CHARS = 1 << 16  # texts up to this size are split in one scan
-CACHED = 300_000  # pieces, small results and pairs remembered in a task, each
+CACHED = 200_000  # pieces, small results and pairs remembered in a task, each
 CACHED_CHARS = 48  # longest piece that is remembered
 SPACE = re.compile(r" (?=\S)")  # before such a space a piece ends in any text, as only white space holds spaces inside
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -234,7 +234,7 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of.get()
-        for part in parts:
+        for part in slices(parts):
             rows = [codec.encode(t.as_py() or "") for t in part.column(text)]
             offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
             out = pa.ListArray.from_arrays(pa.array(offsets), pa.array(list(chain.from_iterable(rows)), pa.int32()))
@@ -251,7 +251,7 @@ def decoded(docs: DataFrame, ranks_path: str, ids: str = "ids", raw: str = "deco
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of.get()
-        for part in parts:
+        for part in slices(parts):
             rows = [codec.decode(r.as_py() or []) for r in part.column(ids)]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rows, pa.binary())], names=[*part.schema.names, raw])
 
@@ -269,7 +269,7 @@ def round_trips(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of.get()
-        for part in parts:
+        for part in slices(parts):
             n, ids_sha, raw_sha = [], [], []
             for value in part.column(1):
                 ids = codec.encode(value.as_py() or "")

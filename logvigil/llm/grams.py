@@ -10,7 +10,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 FEATURE_BITS = 18
 SMOOTH = 30
 SYMBOLS = "#*$%&|<>"  # fixed values

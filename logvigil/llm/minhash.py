@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from logvigil.llm import graph, grams
-from logvigil.llm.tables import unused
+from logvigil.llm.tables import slices, unused
 from logvigil.session import discard, settle, written
 
 MINIMA = 128
@@ -114,7 +114,7 @@ def sketches(docs: DataFrame, params: Params, text: str = "text") -> DataFrame:
     rows, width = params.rows, params.words
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             texts = [t or "" for t in part.column(text).to_pylist()]
             nodes, sizes, low, band, filled = [], [], [], [], []
             for start, stop in grams.chunks(texts):
@@ -179,7 +179,7 @@ def linked(pairs: DataFrame, params: Params) -> DataFrame:
     """Of pairs with compressed texts z_a, z_b, those whose full sets confirm the link: a, b."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             a, b = unpacked(part.column("z_a").to_pylist()), unpacked(part.column("z_b").to_pylist())
             good = np.zeros(len(a), bool)
             for low, high in grams.chunks([x + y for x, y in zip(a, b)], grams.CHUNK):
@@ -299,7 +299,7 @@ def with_class(docs: DataFrame, params: Params, node: str, text: str = "text", p
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
-        for part in parts:
+        for part in slices(parts):
             texts, found = [t or "" for t in part.column(text).to_pylist()], []
             for low, high in grams.chunks(texts):
                 found += set_digests(*shingle_sets(texts[low:high], params.words))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logvigil.llm import grams, linear, samples
-from logvigil.llm.tables import Shared
+from logvigil.llm.tables import Shared, slices
 
 SYMBOLS = 60  # space, a-z, the Latin-1 letters, any other letter
 BLANK, OTHER = 0, 59
@@ -36,7 +36,7 @@ EDGES = ".,;:!?\"'()[]{}<>*#%&|"  # taken off a token before it is looked at
 SPELT = re.compile(rf"(?:[^\W_]|[{SIGN}])(?:[.\-_*~](?:[^\W_]|[{SIGN}])){{2,}}")  # a token of single characters apart
 THRICE = re.compile(r"([^\W\d_])\1\1+")
 SWAP, DROP, KEEP_GAP = math.log(0.4), math.log(0.5), math.log(0.05)  # log costs of the disguises
-CACHED = 300_000
+CACHED = 200_000
 BEGINNINGS = (4, 5, 6)  # lengths of word beginnings that are features
 LEAST_TEXTS = 3  # toxic texts that a feature has to occur in
 LEAST_WEIGHT = 2.5  # features below tell too little
@@ -62,7 +62,7 @@ def trigram_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
     """
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             texts = [(t or "").lower() for t in part.column(0).to_pylist()]
             sums = np.zeros(SYMBOLS**3, np.int64)
             for low, high in grams.chunks(texts):
@@ -252,7 +252,7 @@ def scored(docs: DataFrame, model: Detector | None, text: str = "text", score: s
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         detector_of = shared.get()
-        for part in parts:
+        for part in slices(parts):
             found = [detector_of.score(t or "") if detector_of else 0.0 for t in part.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.float64())], names=[*part.schema.names, score])
 

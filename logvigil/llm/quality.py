@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
 from logvigil.llm import grams, linear, pu, samples
-from logvigil.llm.tables import Shared
+from logvigil.llm.tables import Shared, slices
 
 LEAST_ROWS = 10  # with fewer texts of a class no model is fitted
 LEAST_WORDS, MOST_REPEATED = 50, 50  # words; percent of words
@@ -78,7 +78,7 @@ def ruled(
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model_of = shared.get()
-        for part in parts:
+        for part in slices(parts):
             texts = [t or "" for t in part.column(text).to_pylist()]
             counts = base_counts(texts)
             failed = rules.failed(counts[0], counts[4])
@@ -113,7 +113,7 @@ def scored(docs: DataFrame, model: linear.Linear | None, text: str = "text", sco
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model_of = shared.get()
-        for part in parts:
+        for part in slices(parts):
             texts = [t or "" for t in part.column(text).to_pylist()]
             found = np.full(len(texts), 0.5) if model_of is None else model_of.scores(texts)
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.float64())], names=[*part.schema.names, score])

@@ -28,12 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logvigil.llm import grams
-from logvigil.llm.tables import unused
+from logvigil.llm.tables import slices, unused
 from logvigil.session import discard, settle, written
 
 POSITION_BITS = 20
 BATCH = 100_000  # strings handed on at once
-PIECE = 1 << 19  # bytes worked on at once; a longer text is worked on in pieces that overlap
+PIECE = 1 << 18  # bytes worked on at once; a longer text is worked on in pieces that overlap
 BYTE = grams.mix(np.arange(1, 257, dtype=np.uint64) * grams.M3)
 RUNS = "mark long, t binary, at int, low int, high int, bucket long, first long, last long"
 
@@ -127,7 +127,7 @@ def ranges(docs: DataFrame, depth: Depth) -> DataFrame:
     """The columns of RUNS for all texts (columns text, mark); t is the text's digest."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             texts, marks = texts_of(part.column(0)), part.column(1)
             names = [digest(t) if len(t) >= depth.whole else b"" for t in texts]
             for group in pieces(texts, depth):
@@ -150,7 +150,7 @@ def packed(docs: DataFrame, keep: list[str], depth: Depth) -> DataFrame:
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1)
-        for part in parts:
+        for part in slices(parts):
             texts = texts_of(part.column(0))
             yield pa.RecordBatch.from_arrays(
                 [*part.columns[1:], pa.array(map(digest, texts), pa.binary()), pa.array(map(squeeze.compress, texts), pa.binary())],
@@ -184,7 +184,7 @@ def spread(rows: DataFrame, depth: Depth) -> DataFrame:
         full = lambda: pa.RecordBatch.from_arrays(
             [pa.concat_arrays(c) for c in zip(*held)], names=["t", "bucket", "pointer", "low", "settled"]
         )
-        for part in parts:
+        for part in slices(parts):
             for t, z, listed in zip(part.column("t").to_pylist(), part.column("z").to_pylist(), part.column("open").to_pylist()):
                 for columns in strings(t, zstandard.decompress(z), listed):
                     held.append(columns)
@@ -208,7 +208,7 @@ def removed(texts_with_starts: DataFrame, depth: Depth, keep_text: bool) -> Data
     extra = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string" if keep_text else "")
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             out: list[tuple] = []
             for z, starts in zip(part.column("z").to_pylist(), part.column("starts")):
                 raw = zstandard.decompress(z)

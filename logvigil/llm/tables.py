@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,16 @@ def unused(df: DataFrame, stem: str) -> str:
     return name
 
 
+SLICE = 1000  # rows that a task turns into Python values at once
+
+
+def slices(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut into pieces of a few rows, so that memory follows these and not Spark's batch size."""
+    for part in parts:
+        for start in range(0, part.num_rows, SLICE):
+            yield part.slice(start, SLICE)
+
+
 class Shared:
     """Plain values sent to each worker once, and the object that a worker makes of them and keeps for all its tasks."""
 
