@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,10 +70,13 @@ def settle(spark: SparkSession) -> None:
     """Let go of finished shuffles.
 
     Spark deletes the files of a shuffle when the driver's memory of it is collected, which may be long after the
-    last use; a job of several phases would hold the shuffles of all of them at once.
+    last use; a job of several phases would hold the shuffles of all of them at once. The plan of the last write is
+    let go of only after a first collection, hence two.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def discard(*tables: DataFrame) -> None:
