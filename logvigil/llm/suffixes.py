@@ -265,8 +265,9 @@ def repeated_starts(docs: DataFrame, depth: Depth = Depth()) -> DataFrame:
     strings = written(spread(texts, depth))
     del texts
     discard(listed)
-    where = F.xxhash64("t", "low")
-    again = strings.groupBy("bucket", "pointer").agg((F.bool_or("settled") | twice(where)).alias("again")).where("again")
+    # Each string of a listed range comes once, as copies of a text are out; one of a settled range stands for two or more.
+    weight = F.when(F.col("settled"), F.lit(2)).otherwise(F.lit(1))
+    again = strings.groupBy("bucket", "pointer").agg(F.sum(weight).alias("n")).where("n > 1")
     again = written(again.select("bucket", "pointer"))
     settle(docs.sparkSession)
     found = strings.where("NOT settled").join(again, ["bucket", "pointer"], "left_semi").select("t", "low", F.col("low").alias("high"))
