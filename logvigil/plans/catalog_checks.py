@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from logvigil.operators import audit, detect, profiles
 from logvigil.plans import derived
