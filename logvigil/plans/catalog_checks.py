@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from logvigil.operators import audit, detect, profiles
 from logvigil.plans import derived
 from logvigil.plans.catalog_aggregates import normal
