@@ -33,6 +33,7 @@ class Index:
     pivots_per_root: float = 4.0
     least_pivots: int = 64
     most_pivots: int = 8192  # a bounded sample of the vectors
+    pool: int = 2  # vectors drawn for each pivot wanted, from which the pivots are chosen
     prefix: int = 16  # nearest pivots that describe a vector
     shared: int = 2  # pivots that candidates have in common
 
@@ -92,8 +93,24 @@ def described(rows: DataFrame, pivots: np.ndarray, prefix: int, vector: str, lab
     return rows.mapInArrow(batches, f"key {kinds['key']}, label {kinds['label']}, node binary, vector array<double>, pivots array<int>")
 
 
-def chosen_pivots(rows: DataFrame, index: Index) -> np.ndarray:
-    """Unit vectors to serve as pivots, taken by a hash of the vector: a bounded sample, the same in every run."""
+def spread(points: np.ndarray, wanted: int, least: float) -> np.ndarray:
+    """Up to ``wanted`` of some unit vectors, farthest first: each is the one farthest from those before it.
+
+    It ends when every vector has a cosine of ``least`` or more with a chosen one, so no two chosen ones could be linked. A dense group
+    thus gets few pivots however many vectors it has, and its members name the same ones.
+    """
+    chosen, nearest = [0], points @ points[0]
+    while len(chosen) < min(wanted, len(points)):
+        far = int(nearest.argmin())
+        if nearest[far] >= least:
+            break
+        chosen.append(far)
+        np.maximum(nearest, points @ points[far], out=nearest)
+    return points[chosen]
+
+
+def chosen_pivots(rows: DataFrame, index: Index, least: float) -> np.ndarray:
+    """Unit vectors to serve as pivots, spread over a bounded sample that is taken by a hash of the vector: the same in every run."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -105,8 +122,9 @@ def chosen_pivots(rows: DataFrame, index: Index) -> np.ndarray:
     if not n:
         return np.zeros((0, 0))
     sample = valid.where(F.size("vector") == length).groupBy(F.xxhash64("vector").alias("h")).agg(F.first("vector").alias("vector"))
-    points = np.array([r["vector"] for r in sample.orderBy("h").limit(index.pivots(n)).collect()], np.float64)
-    return points / np.linalg.norm(points, axis=1, keepdims=True)
+    wanted = index.pivots(n)
+    points = np.array([r["vector"] for r in sample.orderBy("h").limit(index.pool * wanted).toLocalIterator()], np.float64)
+    return spread(points / np.linalg.norm(points, axis=1, keepdims=True), wanted, least)
 
 
 def compare(rows: pd.DataFrame, pivot: int, diagonal: bool, least: float, shared: int) -> pd.DataFrame:
@@ -164,7 +182,7 @@ def classed(
     their own component. Equal vectors of a label are one class, which stands for all of them. Vectors of different length are never linked.
     """
     source = rows.select(F.col(key).alias("key"), F.col(vector).alias("vector"), F.col(label).alias("label"))
-    points = chosen_pivots(source, index)
+    points = chosen_pivots(source, index, least)
     described_rows = written(described(source, points, index.prefix, "vector", "label"))
     classes = written(
         described_rows.where("node IS NOT NULL").groupBy("node").agg(

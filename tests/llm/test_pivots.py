@@ -72,3 +72,36 @@ def test_odd_vectors(spark):
 def test_pivots_grow_with_the_root():
     index = pivots.Index()
     assert index.pivots(100) == 64 and index.pivots(10**4) == 400 and index.pivots(10**12) == index.most_pivots
+
+
+def dense_group(rows, size=64, seed=8):
+    """Unit vectors, a third of them in one group of distinct near copies with cosines of 0.94 to 0.98."""
+    rng = np.random.default_rng(seed)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    centre, off = unit(rng.normal(size=size)), rng.normal(size=(rows // 3, size))
+    off = unit(off - (off @ centre)[:, None] * centre)
+    share = rng.uniform(0.94, 0.98, rows // 3)[:, None]
+    return np.concatenate([np.sqrt(share) * centre + np.sqrt(1 - share) * off, unit(rng.normal(size=(rows - rows // 3, size)))])
+
+
+@pytest.mark.parametrize("rows", [10_000, 40_000, 100_000])
+def test_members_of_a_dense_group_share_pivots(rows):
+    index, x = pivots.Index(), dense_group(rows)
+    pool = x[np.random.default_rng(0).permutation(rows)[: index.pool * index.pivots(rows)]]
+    points = pivots.spread(pool, index.pivots(rows), 0.93)
+    assert len(points) == index.pivots(rows)
+    group = x[:: max(1, rows // 4000)][: 4000 // 3]
+    named = np.zeros((len(group), len(points)), np.float32)
+    np.put_along_axis(named, np.argpartition(-(group @ points.T), index.prefix - 1, axis=1)[:, : index.prefix], 1, 1)
+    links = group @ group.T >= 0.93
+    np.fill_diagonal(links, False)
+    assert ((named @ named.T >= index.shared) & links).sum() >= 0.999 * links.sum() > 0
+
+
+def test_links_of_a_dense_group(spark):
+    x = dense_group(9000).astype(np.float32)
+    rows = [(i, v.tolist(), 0, "", "", "") for i, v in enumerate(x)]
+    got = pivots.classed(spark.createDataFrame(rows, SCHEMA)).agg({"n_links": "sum"}).head()[0]
+    exact = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    links = int((exact @ exact.T >= 0.93).sum()) - len(x)
+    assert 0.999 * links <= got <= links
