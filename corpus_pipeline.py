@@ -27,8 +27,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares 80 percent of its five-word shingles."""
-    return minhash.deduplicated(docs)
+    """One document of each group that shares 80 percent of its five-word shingles, whatever its id: ids may be null or repeat."""
+    return minhash.deduplicated(docs, one_per_key=False)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -251,6 +251,17 @@ def classed(docs: DataFrame, params: Params = Params(), key: str = "doc_id", tex
     component_id is the smallest key in the component. Rows without words have a null node and their own key as component. Null keys
     take part; a component of null keys alone has a null component_id. Repeated rows are of one class. Other columns are dropped.
     """
+    rows, known = _components(docs, params, key, text)
+    return rows.select("key", "n_shingles", "node").join(known.select("node", "component_id"), "node", "left").select(
+        F.col("key").alias(key), "n_shingles", "node", F.when(F.col("node").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id")
+    )
+
+
+def _components(docs: DataFrame, params: Params, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The sketched rows, and of each class: node, least (its smallest key), final (the root of its component), component_id.
+
+    Unlike component_id, the root tells components apart whose smallest keys are null or equal.
+    """
     source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     rows = written(sketches(source, params))
     has_words = rows.where("node IS NOT NULL")
@@ -278,11 +289,9 @@ def classed(docs: DataFrame, params: Params = Params(), key: str = "doc_id", tex
     final = members.join(across, "comp", "left").select("node", F.coalesce("root", "comp").alias("final"))
     labelled = classes.select("node", "least").join(final, "node", "left").withColumn("final", F.coalesce("final", "node"))
     smallest = labelled.groupBy("final").agg(F.min("least").alias("component_id"))
-    known = written(labelled.join(smallest, "final").select("node", "component_id"))
+    known = written(labelled.join(smallest, "final").select("node", "least", "final", "component_id"))
     discard(classes, pairs, texts, members)
-    return rows.select("key", "n_shingles", "node").join(known, "node", "left").select(
-        F.col("key").alias(key), "n_shingles", "node", F.when(F.col("node").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id")
-    )
+    return rows, known
 
 
 def _class_texts(source: DataFrame, needed: DataFrame, params: Params) -> DataFrame:
@@ -311,15 +320,20 @@ def with_class(docs: DataFrame, params: Params, node: str, text: str = "text", p
     return docs.mapInArrow(batches, schema)
 
 
-def deduplicated(docs: DataFrame, params: Params = Params(), key: str = "doc_id", text: str = "text") -> DataFrame:
+def deduplicated(
+    docs: DataFrame, params: Params = Params(), key: str = "doc_id", text: str = "text", one_per_key: bool = True
+) -> DataFrame:
     """One row of each group of near-duplicates, with all columns: one with the group's smallest key.
 
-    Rows without words are no duplicates and all stay; of rows that repeat a key and a class one stays.
+    Rows without words are no duplicates and all stay. Groups are told apart by their texts, so rows with null keys stay if their texts
+    differ. With ``one_per_key`` a key names one document: of groups with the same smallest key one stays.
     """
-    found = classed(docs, params, key, text)
-    keep = found.where("node IS NOT NULL").groupBy("component_id").agg(F.min(F.when(F.col(key).eqNullSafe(F.col("component_id")), F.col("node"))).alias("n"))
+    _, known = _components(docs, params, key, text)
     node, spare = unused(docs, "node"), unused(docs, "keep")
-    keep = keep.where("n IS NOT NULL").select(F.col("n").alias(node), F.col("component_id").alias(spare))
+    smallest = F.col("least").eqNullSafe(F.col("component_id"))
+    group = F.when(F.col("component_id").isNull(), F.col("final")) if one_per_key else F.col("final")
+    keep = known.groupBy("component_id", group.alias("group")).agg(F.min(F.when(smallest, F.col("node"))).alias("n"))
+    keep = keep.select(F.col("n").alias(node), F.col("component_id").alias(spare))
     rows = with_class(docs, params, node, text)
     first = rows.join(keep, node).where(F.col(f"`{key}`").eqNullSafe(F.col(spare))).dropDuplicates([node])
     return first.drop(node, spare).unionByName(rows.where(F.col(node).isNull()).drop(node))

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from logvigil.llm import graph, minhash
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -96,6 +97,20 @@ def test_deduplicated_keeps_one_of_each_group(spark, corpus):
     assert kept == {i for i, (_, c) in brute(corpus, 5, 80).items() if i == c}
 
 
+def test_groups_do_not_depend_on_keys(spark):
+    """A third of the rows without a key and a third under one key, with texts of their own but for one copy and one near copy."""
+    rng = random.Random(6)
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))) for i in range(60)]
+    copies = [(None, rows[0][1]), (3, rows[1][1] + " end")]
+    docs = spark.createDataFrame(rows + copies, "doc_id long, text string")
+    want = sorted(rows[:1] + copies[1:] + rows[2:], key=str)
+    assert sorted(map(tuple, minhash.deduplicated(docs, one_per_key=False).collect()), key=str) == want
+    kept = minhash.deduplicated(docs).collect()
+    assert sum(r.doc_id is None for r in kept) == 20 and sum(r.doc_id == 7 for r in kept) == 1
+    stage = dict(corpus_pipeline.STAGES)["minhash_near_dedup"]
+    assert sorted(map(tuple, stage(spark, docs, "").collect()), key=str) == want
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (5, 4), (4, 6), (9, 9), (2, 1)] + [(i, i + 1) for i in range(100, 160)] + [(200, i) for i in range(201, 260)]
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
