@@ -33,6 +33,7 @@ SIGNS = frozenset(LEET)
 SIGN = re.escape("".join(LEET))
 WORD = re.compile(r"[^\W\d_]+")
 EDGES = ".,;:!?\"'()[]{}<>*#%&|"  # taken off a token before it is looked at
+PLAIN_EDGES = "".join(c for c in EDGES if c not in LEET)  # those that stand for no letter
 SPELT = re.compile(rf"(?:[^\W_]|[{SIGN}])(?:[.\-_*~](?:[^\W_]|[{SIGN}])){{2,}}")  # a token of single characters apart
 THRICE = re.compile(r"([^\W\d_])\1\1+")
 SWAP, DROP, KEEP_GAP = math.log(0.4), math.log(0.5), math.log(0.05)  # log costs of the disguises
@@ -43,7 +44,8 @@ LEAST_WEIGHT = 2.5  # features below tell too little
 MOST_FEATURES = 20_000
 TOP = 3  # of a text's words, the most toxic ones
 RIDGE = 1e-4
-APART = 3  # so many tokens of one character in a row are looked at as one word
+APART = 3  # so many tokens of one character in a row are looked at as one word; of one or two with all but one of them single
+LONGEST_SHORT = 8  # longer tokens are no single characters in punctuation
 LEXICON_SHARE = 0.3  # of the learned words in the character model
 
 
@@ -123,25 +125,30 @@ class Detector:
         """The weight of a token in lower case, as it stands and restored."""
         value = self.known.get(token)
         if value is None:
-            core = token.strip(EDGES)
-            value = self.words(core)
-            if core and not core.isalpha() and any(c.isalpha() for c in core):
-                if SPELT.fullmatch(core):
-                    value = max(value, self.words(self.restored(core, apart=True)))
-                elif not SIGNS.isdisjoint(core):
-                    value = max(value, self.words(self.restored(core.rstrip("$@") if core.endswith(("$$$", "@@@")) else core)))
-            if THRICE.search(core):
-                value = max(value, self.words(self.restored(core)))
+            value = max(map(self.stretch, forms(token)))
             if len(self.known) >= CACHED:
                 self.known.clear()
             self.known[token] = value
         return value
 
+    def stretch(self, core: str) -> float:
+        """The weight of one form of a token, as it stands and restored."""
+        value = self.words(core)
+        if not core.isalpha() and len(set(core)) > 1:  # one character alone or repeated hides no word
+            if SPELT.fullmatch(core):
+                value = max(value, self.words(self.restored(core, apart=True)))
+            elif not SIGNS.isdisjoint(core):
+                value = max(value, self.words(self.restored(core.rstrip("$@") if core.endswith(("$$$", "@@@")) else core)))
+        if THRICE.search(core):
+            value = max(value, self.words(self.restored(core)))
+        return value
+
     def restored(self, stretch: str, apart: bool = False) -> str:
         """The likeliest undisguised form: signs may be letters, letters three times may be one or two, and with
         ``apart`` gaps may close."""
         p = self.log_p
-        states: dict[tuple[int, int], tuple[float, str]] = {(BLANK, BLANK): (0.0, "")}
+        # by the last two symbols: cost, and the letters as pairs of (letters before, letter), so that a step copies no text
+        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(BLANK, BLANK): (0.0, None)}
         for char, again in _runs(stretch):
             if char in SIGNS and not (apart and char == "*"):
                 options = [(SWAP, c) for c in LEET[char]]
@@ -151,29 +158,33 @@ class Detector:
                 options = [(DROP, ""), (KEEP_GAP, " ")]
             else:
                 options = [(0.0, " ")]
-            after: dict[tuple[int, int], tuple[float, str]] = {}
+            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (cost, said) in states.items():
                 for log_cost, letter in options:
                     if letter:
                         c = self.symbol.get(letter)
                         if c is None:
                             c = self.symbol[letter] = int(symbols(np.array([ord(letter)], np.uint32))[0])
-                        key, value = (b, c), (cost + log_cost + p[a][b][c], said + letter)
+                        key, value = (b, c), (cost + log_cost + p[a][b][c], (said, letter))
                     else:
                         key, value = (a, b), (cost + log_cost, said)
-                    if key not in after or value > after[key]:
+                    if key not in after or value[0] > after[key][0]:
                         after[key] = value
             states = after
-        return max((cost + p[a][b][BLANK], said) for (a, b), (cost, said) in states.items())[1]
+        said, letters = max(((cost + p[a][b][BLANK], said) for (a, b), (cost, said) in states.items()), key=lambda end: end[0])[1], []
+        while said:
+            said, letter = said
+            letters.append(letter)
+        return "".join(reversed(letters))
+
+    def closed(self, span: str) -> str:
+        return self.restored(span, apart=True)
 
     def signals(self, text: str) -> list[float]:
         """The weights of the most toxic tokens of the text and its restored stretches, and how many stand out."""
         tokens = text.lower().split()
         found = [v for v in map(self.token, set(tokens)) if v]
-        sizes = bytes(min(n, 2) for n in map(len, tokens))
-        if b"\1" * APART in sizes:
-            for run in re.finditer(b"\1{%d,}" % APART, sizes):
-                found.append(self.words(self.restored(" ".join(tokens[run.start() : run.end()]), apart=True)))
+        found += [max(map(self.words, map(self.closed, spans))) for spans in spelt(tokens)]
         found.sort(reverse=True)
         return [*(found + [0.0] * TOP)[:TOP], math.log1p(sum(v > 0 for v in found))]
 
@@ -182,6 +193,32 @@ class Detector:
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, bias + sum(w * s for w, s in zip(weights, self.signals(text)))))))
 
 
+def forms(token: str) -> set[str]:
+    """The token without its edges, and with those signs at its edges that can stand for a letter."""
+    return {token.strip(EDGES), token.strip(PLAIN_EDGES), token.lstrip(PLAIN_EDGES).rstrip(EDGES), token.lstrip(EDGES).rstrip(PLAIN_EDGES)}
+
+
+def spelt(tokens: list[str]) -> Iterator[set[str]]:
+    """Words spelt with gaps: of each run of short tokens with single characters in it, the spans that may be the word.
+
+    A token counts without the punctuation around it. Two characters may stand together: the span goes from the first single character
+    to the last one, with and without a pair before and after it. Runs of APART single characters are spans of their own.
+    """
+    cores = [t if len(t) > LONGEST_SHORT else t.strip(EDGES) or t.strip(PLAIN_EDGES) or t for t in tokens]
+    sizes = bytes(min(len(c), 3) for c in cores)
+    signed = [t if n > 2 else t.strip(PLAIN_EDGES) or t for t, n in zip(tokens, sizes)]
+    for run in re.finditer(b"[\1\2]{2,}", sizes):
+        start, stop = run.span()
+        if run[0].count(b"\1") < APART - 1 or stop - start < APART:
+            continue
+        first, last = start + run[0].index(b"\1"), start + run[0].rindex(b"\1") + 1
+        bounds = {(a, b) for a in (max(start, first - 1), first) for b in (last, min(stop, last + 1)) if b - a >= APART}
+        bounds |= {(start + m.start(), start + m.end()) for m in re.finditer(b"\1{%d,}" % APART, run[0])}
+        spans = {" ".join(kind[a:b]) for a, b in bounds for kind in (cores, signed)}
+        if spans:
+            yield spans
+
+
 def _runs(stretch: str) -> Iterator[tuple[str, bool]]:
     """The characters; of a letter that comes three times or more, two, the second one marked."""
     for match in re.finditer(r"(.)\1*", stretch, re.DOTALL):

@@ -133,6 +133,28 @@ def test_disguises_are_seen_through(detector, text):
     assert detector.score(text) >= 0.7
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["!diot", "|oser", "(!diot!)", "\"|oser\",", "you !d!ot!!", "$(um $cum", "s c u m.", "(l o s e r)", "\"m, o, r, o, n!\"", "id i o t", "an id i o t to me",
+     "m o ro n", "l o s er.", "! d i o t", "s . c . u . m"],
+)
+def test_signs_at_edges_and_pairs_of_letters_hide_nothing(detector, text):
+    assert detector.score(text) >= 0.7
+
+
+def test_tokens_of_signs_alone_are_decoded():
+    rng = random.Random(3)
+    clean = [prose(rng, GOOD, 60) for _ in range(100)]
+    toxic = [prose(rng, GOOD, 50) + " " + rng.choice(["ass", "slit"]) for _ in range(100)]
+    found = noise.learned(toxic, clean, np.ones(noise.SYMBOLS**3))
+    assert min(map(found.score, ["455", "$117", "word 455.", "4 5 5"])) >= 0.7 > max(map(found.score, ["1999", "12:30", "$20", "000", "44 55", "*****"]))
+
+
+@pytest.mark.parametrize("text", ["so it is a", "a 1 b 22 c", "1. 2. 3. 10.", "i, o, u", "!!! *** ###", "12345 $100", "#" * 30000, "*1" * 3000])
+def test_clean_texts_with_signs_stay_clean(detector, text):
+    assert detector.score(text) < 0.7
+
+
 @pytest.mark.parametrize("text", ["", "word1 word2", "book committee stress", "a b c", "1 2 3 4", "2024-01-01", "c0ffee", "aaaaargh", "$$$ %%% !!!", "a" * 3000, "0" * 3000])
 def test_clean_texts_stay_clean(detector, text):
     assert detector.score(text) < 0.7
