@@ -94,12 +94,12 @@ def platt(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return matched(margins, np.where(labels == 1, (pos + 1) / (pos + 2), 1 / (neg + 2)))
 
 
-def matched(margins: np.ndarray, target: np.ndarray, steps: int = 50) -> tuple[float, float]:
+def matched(margins: np.ndarray, target: np.ndarray, steps: int = 50, weights: np.ndarray | float = 1.0) -> tuple[float, float]:
     """Slope and shift that bring sigmoid(slope * margin + shift) nearest to target probabilities (Newton steps)."""
     a, b = 1.0, 0.0
     for _ in range(steps):
         p = sigmoid(a * margins + b)
-        d, w = p - target, np.maximum(p * (1 - p), 1e-9)
+        d, w = weights * (p - target), weights * np.maximum(p * (1 - p), 1e-9)
         ga, gb = (d * margins).sum() + 1e-6 * a, d.sum()
         haa, hab, hbb = (w * margins * margins).sum() + 1e-6, (w * margins).sum(), w.sum() + 1e-6
         det = haa * hbb - hab * hab

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 import numpy as np
 
 from logvigil.llm import linear
@@ -9,31 +12,63 @@ from logvigil.llm.linear import Linear, Sparse, sigmoid
 
 FOLDS = 2
 PRIOR_STEPS = 40
-CALIBRATION = 3  # every third text is kept for the calibration
+CALIBRATION = 3  # every third positive is kept for the calibration
 BINS = 40
 LEAST_SHARE = 0.05  # the prior is read off where at least this share of the positives lies
+LOW, HIGH, CELLS = -40.0, 40.0, 80_000  # of a histogram of margins
 FLOOR, CEILING = 0.05, 0.98
 
 
+@dataclass(frozen=True)
+class Histogram:
+    """How many margins lie in each of CELLS equal cells from LOW to HIGH; those outside count at the ends."""
+
+    counts: np.ndarray
+
+    @staticmethod
+    def of(margins: np.ndarray) -> np.ndarray:
+        """The cell of each margin."""
+        return np.clip(((margins - LOW) * (CELLS / (HIGH - LOW))).astype(np.int64), 0, CELLS - 1)
+
+    @property
+    def middles(self) -> np.ndarray:
+        return LOW + (np.arange(CELLS) + 0.5) * ((HIGH - LOW) / CELLS)
+
+
+def counted(margins: np.ndarray) -> Histogram:
+    return Histogram(np.bincount(Histogram.of(margins), minlength=CELLS))
+
+
+def fold_models(positive: list[str], unlabelled: list[str]) -> tuple[list[Linear], np.ndarray]:
+    """Models that tell positives from unlabelled texts, each from the other folds, and each positive's margin by its own fold's model."""
+    models, margins = [], []
+    for fold in range(FOLDS):
+        fit = lambda texts: [t for i, t in enumerate(texts) if i % FOLDS != fold]  # noqa: B023, E731
+        p, u = fit(positive), fit(unlabelled)
+        models.append(linear.logistic(p + u, np.array([1] * len(p) + [0] * len(u)), PRIOR_STEPS))
+        margins.append(models[-1].margins([t for i, t in enumerate(positive) if i % FOLDS == fold]))
+    return models, np.concatenate(margins)
+
+
 def class_prior(positive: list[str], unlabelled: list[str]) -> float:
-    """The share of positives among the unlabelled texts.
+    """The share of positives among the unlabelled texts, each of which is scored by the model not fitted on it."""
+    models, margins = fold_models(positive, unlabelled)
+    rest = [m.margins([t for i, t in enumerate(unlabelled) if i % FOLDS == fold]) for fold, m in enumerate(models)]
+    return prior_of(margins, counted(np.concatenate(rest)))
+
+
+def prior_of(p: np.ndarray, unlabelled: Histogram) -> float:
+    """The share of positives among unlabelled texts, from the margins of both.
 
     A model tells positives from unlabelled texts; on texts it was not fitted on, unlabelled texts
     above a threshold are at least prior times as frequent as positives above it, with equality where
     no negative lies. So the prior is the smallest such ratio over the thresholds.
     """
-    scores_p, scores_u = [], []
-    for fold in range(FOLDS):
-        fit = lambda texts: [t for i, t in enumerate(texts) if i % FOLDS != fold]  # noqa: B023, E731
-        rest = lambda texts: [t for i, t in enumerate(texts) if i % FOLDS == fold]  # noqa: B023, E731
-        p, u = fit(positive), fit(unlabelled)
-        model = linear.logistic(p + u, np.array([1] * len(p) + [0] * len(u)), PRIOR_STEPS)
-        scores_p.append(model.margins(rest(positive)))
-        scores_u.append(model.margins(rest(unlabelled)))
-    p, u = np.concatenate(scores_p), np.concatenate(scores_u)
-    at = np.quantile(p, np.linspace(0, 1 - LEAST_SHARE, 50))
-    above_p, above_u = (p[None] >= at[:, None]).mean(1), (u[None] >= at[:, None]).mean(1)
-    width = np.sqrt(above_u * (1 - above_u) / max(1, len(u)) + above_p * (1 - above_p) / max(1, len(p)))
+    n = unlabelled.counts.sum()
+    at = Histogram.of(np.quantile(p, np.linspace(0, 1 - LEAST_SHARE, 50)))
+    above_p = (Histogram.of(p)[None] >= at[:, None]).mean(1)
+    above_u = unlabelled.counts[::-1].cumsum()[::-1][at] / max(1, n)
+    width = np.sqrt(above_u * (1 - above_u) / max(1, n) + above_p * (1 - above_p) / max(1, len(p)))
     return float(np.clip(((above_u + width) / above_p).min(), FLOOR, CEILING))
 
 
@@ -51,25 +86,29 @@ def fitted(positive: list[str], unlabelled: list[str], prior: float) -> Linear:
     return linear.descended(Sparse(positive + unlabelled), slopes)
 
 
-def calibrated(model: Linear, positive: list[str], unlabelled: list[str], prior: float) -> Linear:
+def calibrated(model: Linear, positive: list[str], unlabelled: Histogram, prior: float) -> Linear:
     """The model with slope and shift such that its score is the chance of a positive.
 
     By Bayes' rule that chance is prior times the ratio of the margins' densities among positives and
-    among unlabelled texts, here in bins of equal numbers of unlabelled texts, falling towards low margins.
+    among unlabelled texts, here in bins of about equal numbers of unlabelled texts, falling towards low margins.
     """
-    p, u = model.margins(positive), np.sort(model.margins(unlabelled))
-    bins = min(BINS, len(u))
-    edges = u[np.linspace(0, len(u), bins, endpoint=False).astype(int)[1:]]
-    count_p, count_u = np.bincount(np.searchsorted(edges, p, "right"), minlength=bins), np.bincount(np.searchsorted(edges, u, "right"), minlength=bins)
-    chance = np.clip(prior * (count_p + 0.01) / max(1, len(p)) / ((count_u + 0.01) / max(1, len(u))), 0, 1)
-    chance = np.maximum.accumulate(chance)
-    model.slope, model.shift = linear.matched(u, chance[np.searchsorted(edges, u, "right")])
+    p, counts = Histogram.of(model.margins(positive)), unlabelled.counts
+    n, cells = counts.sum(), np.flatnonzero(counts)
+    bin_of = np.minimum((counts.cumsum() - counts) * BINS // max(1, n), BINS - 1)  # of each cell: where its first text lies
+    count_p = np.bincount(bin_of[p], minlength=BINS)
+    count_u = np.bincount(bin_of, counts, BINS)
+    chance = np.clip(prior * (count_p + 0.01) / max(1, len(p)) / ((count_u + 0.01) / max(1, n)), 0, 1)
+    chance = np.maximum.accumulate(np.where(count_u > 0, chance, 0))
+    model.slope, model.shift = linear.matched(unlabelled.middles[cells], chance[bin_of[cells]], weights=counts[cells] / n)
     return model
 
 
-def learned(positive: list[str], unlabelled: list[str]) -> Linear:
-    """Prior, model and calibration from texts in an order that says nothing about them."""
-    prior = class_prior(positive, unlabelled)
-    fit = lambda texts: [t for i, t in enumerate(texts) if i % CALIBRATION]
-    rest = lambda texts: [t for i, t in enumerate(texts) if not i % CALIBRATION]
-    return calibrated(fitted(fit(positive), fit(unlabelled), prior), rest(positive), rest(unlabelled), prior)
+def learned(positive: list[str], unlabelled: list[str], histograms: Callable[[list[Linear]], Histogram]) -> Linear:
+    """Prior, model and calibration from positives and a sample of unlabelled texts, in an order that says nothing about them.
+
+    The sample only fits weights. ``histograms`` gives the margins of the whole corpus: each document's by one of some models.
+    """
+    models, margins = fold_models(positive, unlabelled)
+    prior = prior_of(margins, histograms(models))
+    model = fitted([t for i, t in enumerate(positive) if i % CALIBRATION], unlabelled, prior)
+    return calibrated(model, [t for i, t in enumerate(positive) if not i % CALIBRATION], histograms([model]), prior)

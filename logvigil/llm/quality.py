@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from logvigil.llm import grams, linear, pu, samples
 from logvigil.llm.tables import Shared, slices
@@ -94,12 +96,41 @@ def ruled(
 
 
 def pu_model(docs: DataFrame, labels: DataFrame, rows: Column | None = None, most: int = samples.ROWS) -> linear.Linear | None:
-    """The positive-unlabelled model: texts labelled good, and documents of any kind, at most ``most`` of each."""
+    """The positive-unlabelled model: texts labelled good, and documents of any kind.
+
+    At most ``most`` of each fit the weights; class prior and calibration read the margins of all documents.
+    """
     positive = samples.labelled_texts(docs, labels, "quality", 1, rows, most)
     unlabelled = samples.unlabelled_texts(docs, most)
     if min(len(positive), len(unlabelled)) < LEAST_ROWS:
         return None
-    return pu.learned(positive, unlabelled)
+    sample = {hashlib.sha256(t.encode("utf-8", "surrogatepass")).digest(): i % pu.FOLDS for i, t in enumerate(unlabelled)}
+    return pu.learned(positive, unlabelled, lambda models: margin_histogram(docs, models, sample))
+
+
+def margin_histogram(docs: DataFrame, models: list[linear.Linear], folds: dict[bytes, int], text: str = "text") -> pu.Histogram:
+    """The margins of all documents, each by one of the models: the one not fitted on it, where ``folds`` (by the text's digest) says so,
+    else one by its digest. Counted within each batch, then by Spark; the driver gets one row for each cell that holds any."""
+    shared = Shared(docs.sparkSession, _scorers, folds, *map(linear.parts, models))
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, scorers = shared.get()
+        for part in slices(parts):
+            texts = [t or "" for t in part.column(0).to_pylist()]
+            digests = [hashlib.sha256(t.encode("utf-8", "surrogatepass")).digest() for t in texts]
+            own = np.array([known.get(d, d[0]) % len(scorers) for d in digests], np.int64)
+            cells = np.concatenate([pu.Histogram.of(m.margins([texts[i] for i in np.flatnonzero(own == k)])) for k, m in enumerate(scorers)])
+            at, n = np.unique(cells, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(n, pa.int64())], names=["at", "n"])
+
+    found = docs.select(text).mapInArrow(batches, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(pu.CELLS, np.int64)
+    counts[found["at"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    return pu.Histogram(counts)
+
+
+def _scorers(folds: dict[bytes, int], *models: tuple) -> tuple[dict[bytes, int], list[linear.Linear]]:
+    return folds, [linear.remade(*m) for m in models]
 
 
 def scored(docs: DataFrame, model: linear.Linear | None, text: str = "text", score: str = "score") -> DataFrame:

@@ -85,6 +85,17 @@ def test_prior_is_near_the_share_of_positives():
     assert abs(pu.class_prior(positive, unlabelled) - 0.7) < 0.12
 
 
+def test_prior_and_calibration_read_all_documents(spark, judged, monkeypatch):
+    docs = spark.createDataFrame([r[:2] for r in judged] + [(None, judged[0][1]), (None, None)], "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, q, 0) for i, _, q in judged], "doc_id long, quality int, toxic int")
+    read = []
+    for name in ("prior_of", "calibrated"):
+        inner = getattr(pu, name)
+        monkeypatch.setattr(pu, name, lambda *args, inner=inner: read.append([a for a in args if isinstance(a, pu.Histogram)][0].counts.sum()) or inner(*args))
+    assert quality.pu_model(docs, labels, most=60) is not None
+    assert read == [len(judged) + 2] * 2
+
+
 def test_platt_recovers_a_logistic_curve():
     rng = np.random.default_rng(0)
     margin = rng.normal(0, 2, 20000)
