@@ -5,10 +5,9 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from logvigil.session import local_session  # noqa: E402
+from clock_rows import SECOND, T0  # noqa: E402
 
-SECOND, DAY = 1_000_000, 86_400_000_000
-T0 = 1_704_067_200_000_000  # Monday, 2024-01-01 UTC
+from logvigil.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -1,5 +1,5 @@
 import pytest
-from conftest import DAY, SECOND, T0
+from clock_rows import DAY, SECOND, T0
 from pyspark.sql import functions as F
 
 from logvigil.functions.rules import CLASSES

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import T0
+from clock_rows import T0
 from pyspark.sql import functions as F
 
 from logvigil.operators import metrics, ranks

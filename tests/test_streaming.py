@@ -1,6 +1,6 @@
 import json
 
-from conftest import SECOND, T0
+from clock_rows import SECOND, T0
 from pyspark.sql import functions as F
 
 from logvigil.sources import readers, writers

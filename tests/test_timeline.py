@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import SECOND, T0
+from clock_rows import SECOND, T0
 from pyspark.sql import functions as F
 
 from logvigil.operators import attribution, sequence, timeline, trailing
