@@ -8,7 +8,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 from test_minhash import brute as near_duplicates
-from test_models import brute_base
+from test_text_models import brute_base
 from test_suffixes import brute as repeated_strings
 
 import __spark_entry__ as spark_entry
