@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from logvigil.llm import queries_native, queries_pairs, queries_text
+from logvigil.llm import queries_corpus, queries_native, queries_pairs, queries_text
 from logvigil.llm.registry import CHECKS, QUERIES
 
-__all__ = ["CHECKS", "QUERIES", "queries_native", "queries_pairs", "queries_text"]
+__all__ = ["CHECKS", "QUERIES", "queries_corpus", "queries_native", "queries_pairs", "queries_text"]
