@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _local_scratch: dict[str, str] = {}
 
 
@@ -44,7 +44,9 @@ def scratch_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         app = spark.sparkContext.applicationId
-        base = _local_scratch.setdefault(app, tempfile.mkdtemp(prefix="logvigil-"))
+        if app not in _local_scratch:
+            _local_scratch[app] = tempfile.mkdtemp(prefix="logvigil-")
+        base = _local_scratch[app]
     return f"{base.rstrip('/')}/logvigil-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
@@ -57,33 +59,24 @@ def release(spark: SparkSession) -> None:
 def written(df: DataFrame) -> DataFrame:
     """Cut lineage: write the rows to the shared folder once and read them from there.
 
-    Unlike cached blocks the table survives lost executors, and its size is known to the planner.
+    Unlike cached blocks the table survives lost executors, and its size is known to the planner. Spark drops the
+    shuffles of the write when it has ended, so that a job of several phases does not hold those of all of them.
     """
-    path = scratch_dir(df.sparkSession)
-    df.write.parquet(path)
-    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession)
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
+    table = spark.read.schema(df.schema).parquet(path)
     table.scratch_path = path
     return table
 
 
-def settle(spark: SparkSession) -> None:
-    """Let go of finished shuffles.
-
-    Spark deletes the files of a shuffle when the driver's memory of it is collected, which may be long after the
-    last use; a job of several phases would hold the shuffles of all of them at once. The plan of the last write is
-    let go of only after a first collection, hence two.
-    """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)
-
-
 def discard(*tables: DataFrame) -> None:
-    """Delete tables that :func:`written` made and that nothing reads any more, and :func:`settle`."""
+    """Delete tables that :func:`written` made and that nothing reads any more."""
     for table in tables:
         spark = table.sparkSession
         folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-    if tables:
-        settle(tables[0].sparkSession)
