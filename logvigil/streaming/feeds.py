@@ -22,14 +22,15 @@ def live_alerts(spark: SparkSession, path: str, files_per_trigger: int | None =
     return reader.json(path)
 
 
-def _start(writer, once: bool) -> StreamingQuery:
+def start(writer, once: bool) -> StreamingQuery:
+    """Every five seconds, or (``once``) up to what is there now."""
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=POLL)).start()
 
 
 def to_table(stream: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
     """Append a stream to a parquet table, every five seconds or (``once``) up to what is there now."""
     writer = stream.writeStream.format("parquet").outputMode("append").option("path", path)
-    return _start(writer.option("checkpointLocation", checkpoint), once)
+    return start(writer.option("checkpointLocation", checkpoint), once)
 
 
 def alert_sink(alerts: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
@@ -39,7 +40,7 @@ def alert_sink(alerts: DataFrame, path: str, checkpoint: str, once: bool = False
         live_rows(batch).write.mode("overwrite").json(f"{path}/batch-{batch_id}")
 
     writer = alerts.writeStream.foreachBatch(append).outputMode("append")
-    return _start(writer.option("checkpointLocation", checkpoint), once)
+    return start(writer.option("checkpointLocation", checkpoint), once)
 
 
 def window_sink(counts: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
@@ -52,7 +53,7 @@ def window_sink(counts: DataFrame, path: str, checkpoint: str, once: bool = Fals
         batch.write.mode("overwrite").parquet(f"{path}/batch-{batch_id}")
 
     writer = counts.writeStream.foreachBatch(put).outputMode("update")
-    return _start(writer.option("checkpointLocation", checkpoint), once)
+    return start(writer.option("checkpointLocation", checkpoint), once)
 
 
 def read_windows(spark: SparkSession, path: str) -> DataFrame:
