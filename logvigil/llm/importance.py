@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from logvigil.llm import wordbytes
-from logvigil.llm.tables import Shared, slices, unused
-from logvigil.session import discard, written
+from logvigil.llm.tables import Shared, small_batches, unused
+from logvigil.session import written
 
 PIVOTS = 31  # keys drawn in a pass of the selection
 SORT_ROWS = 50_000  # about as many winners are sorted by one task
@@ -168,10 +168,11 @@ def resampled(docs: DataFrame, target: DataFrame, params: Params = Params(), key
     """
     docs = docs.drop(*[c for c in NEW if c not in (key, text)])
     source = target.select(F.col(text).alias("text"))
-    gain = gains(bucket_counts(docs.select(F.col(text).alias("text")), params), bucket_counts(source, params))
     place = unused(docs, "place")
-    rows = weighted(docs, gain, params, text).withColumn("score", F.col("weight") + gumbel(key, params.seed))
-    rows = written(rows.withColumn(place, F.monotonically_increasing_id()))
+    with small_batches(docs.sparkSession):
+        gain = gains(bucket_counts(docs.select(F.col(text).alias("text")), params), bucket_counts(source, params))
+        rows = weighted(docs, gain, params, text).withColumn("score", F.col("weight") + gumbel(key, params.seed))
+        rows = written(rows.withColumn(place, F.monotonically_increasing_id()))
     able = F.col("n_words") >= params.least_words
     wanted = rows.where(able).count() * params.percent // 100
     order = {"score": -F.col("score"), "key": F.col(key), "n_features": F.col("n_features"), "place": F.col(place)}

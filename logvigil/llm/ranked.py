@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logvigil.llm import wordbytes
-from logvigil.llm.tables import Shared
+from logvigil.llm.tables import Shared, small_batches
 from logvigil.session import discard, written
 
 BLOCK_DOCS, BLOCK_POSTINGS = 2048, 1 << 19  # of a block, at most (a single text may have more postings)
@@ -252,7 +252,8 @@ def top_documents(
     if distinct.count() <= MOST_TERMS:
         known = np.sort(np.array([row["term"] for row in distinct.collect()], np.int64))
     source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    forward = written(forward_index(source, known))
+    with small_batches(spark):
+        forward = written(forward_index(source, known))
     corpus = forward.agg(F.count_if(F.col("n") > 0).alias("n"), F.coalesce(F.sum("n"), F.lit(0)).alias("words")).first()
     n, words = corpus["n"], max(1, corpus["words"])
     held = forward.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import pyarrow as pa
@@ -40,6 +41,21 @@ def slices(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield part.slice(start, SLICE)
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = SLICE) -> Iterator[None]:
+    """Jobs started inside hand rows to Python in batches of at most ``rows``: with whole texts, Spark's own batches of 10,000 rows
+    take a hundred megabytes on either side."""
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 class Shared:
     """Plain values sent to each worker once, and the object that a worker makes of them and keeps for all its tasks."""
 

@@ -29,7 +29,7 @@ from pyspark.sql.types import StructType
 from logvigil.llm import wordbytes
 from logvigil.llm.grams import M1, M2, M3, mix
 from logvigil.llm.suffixes import least_in_windows
-from logvigil.llm.tables import Shared, slices, unused
+from logvigil.llm.tables import Shared, slices, small_batches, unused
 from logvigil.session import discard, written
 
 LEAST_CELLS, MOST_CELLS = 1 << 16, 1 << 26  # of one row of the sketch; a merged row takes a bit a cell
@@ -231,7 +231,8 @@ def repeated_windows(docs: DataFrame, params: Params = Params()) -> DataFrame:
     Each phase is a written table, discarded after its last use.
     """
     cells = cells_for(docs, "text")
-    found = written(likely_ranges(docs, params, sketched(docs, params, cells)))
+    with small_batches(docs.sparkSession):
+        found = written(likely_ranges(docs, params, sketched(docs, params, cells)))
     place = F.struct(F.col("key").isNull().alias("last"), "key", "mark", "low")  # null keys come last
     own = found.select("key", "mark", "low", "kind", "anchor", F.size("windows").alias("size"))
     kinds = own.groupBy("anchor", "kind").agg(F.min(place).alias("first"), F.count("*").alias("n"))

@@ -13,8 +13,9 @@ import numpy as np
 import pyarrow as pa
 
 from logvigil.llm.grams import M3, mix
+from logvigil.llm.tables import slices
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 ALL = np.arange(256)
 # fixed values: the bytes that words are made of
 SOLID = ~np.isin(ALL, [0x20, *range(0x09, 0x0E)])  # anything but white space
@@ -129,6 +130,11 @@ def chunks(part: pa.RecordBatch, text: str, size: int = CHUNK) -> Iterator[tuple
 
     Null texts count as empty.
     """
+    for few in slices([part]):
+        yield from _chunks(few, text, size)
+
+
+def _chunks(part: pa.RecordBatch, text: str, size: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     column = part.column(text).cast(pa.large_binary()).fill_null(b"")
     if not len(column):
         return
