@@ -34,6 +34,7 @@ from logvigil.session import discard, written
 POSITION_BITS = 20
 BATCH = 100_000  # strings handed on at once
 PIECE = 1 << 18  # bytes worked on at once; a longer text is worked on in pieces that overlap
+IS_SPACE = np.isin(np.arange(256), grams.SPACES)
 BYTE = grams.mix(np.arange(1, 257, dtype=np.uint64) * grams.M3)
 RUNS = "mark long, t binary, at int, low int, high int, bucket long, first long, last long"
 
@@ -197,7 +198,22 @@ def spread(rows: DataFrame, depth: Depth) -> DataFrame:
     return rows.select("t", "z", "open").mapInArrow(batches, "t binary, bucket long, pointer long, low int, settled boolean")
 
 
-def removed(texts_with_starts: DataFrame, depth: Depth, keep_text: bool) -> DataFrame:
+def long_spans(cover: np.ndarray, raw: bytes, least_words: int) -> np.ndarray:
+    """``cover`` without its runs that touch fewer than ``least_words`` words."""
+    edge = np.diff(cover.astype(np.int8), prepend=0, append=0)
+    begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    solid = ~IS_SPACE[np.frombuffer(raw, np.uint8)]
+    first = solid.copy()
+    first[1:] &= ~solid[:-1]
+    upto = np.concatenate([[0], np.cumsum(first)])
+    words = upto[end] - upto[begin] + (solid[begin] & ~first[begin])
+    short = np.zeros(len(raw) + 1, np.int32)
+    short[begin[words < least_words]] = 1
+    short[end[words < least_words]] -= 1
+    return cover & (np.cumsum(short[:-1]) == 0)
+
+
+def removed(texts_with_starts: DataFrame, depth: Depth, keep_text: bool, least_words: int = 0) -> DataFrame:
     """Replace z and starts (pairs: first and last start of strings to remove; a null list for none) by the counts, digest and,
     if wanted, the text that is left.
 
@@ -220,6 +236,8 @@ def removed(texts_with_starts: DataFrame, depth: Depth, keep_text: bool) -> Data
                     np.add.at(edge, low, 1)
                     np.add.at(edge, high, -1)
                     cover = np.cumsum(edge[:-1]) > 0
+                    if least_words:
+                        cover = long_spans(cover, raw, least_words)
                     gone, spans = int(cover.sum()), int(cover[:1].sum() + (cover[1:] & ~cover[:-1]).sum())
                     left = np.frombuffer(raw, np.uint8)[~cover].tobytes()
                 row = (len(raw), gone, spans, hashlib.sha256(left).hexdigest())
@@ -281,17 +299,19 @@ def repeated_starts(docs: DataFrame, depth: Depth = Depth()) -> DataFrame:
     return marks
 
 
-def cleaned(docs: DataFrame, depth: Depth = Depth(), text: str = "text", keep_text: bool = False) -> DataFrame:
+def cleaned(
+    docs: DataFrame, depth: Depth = Depth(), text: str = "text", keep_text: bool = False, least_words: int = 0
+) -> DataFrame:
     """``docs`` without the text, with n_bytes, n_removed, n_spans, kept_sha256 and, if wanted, kept_text.
 
     Removed is each byte inside a string of ``depth.whole`` bytes that also starts elsewhere in the corpus: in another row, also one with
     the same text, or in the same text (overlaps count). Null texts count as empty; shorter texts lose nothing; rows that repeat lose all that is
-    long enough. Columns with the new names are replaced.
+    long enough. With ``least_words``, runs of removed bytes that touch fewer words stay. Columns with the new names are replaced.
     """
     new = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
     rest = [c for c in docs.columns if c != text and c not in new]
     row = unused(docs, "row")
     source = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias(row), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     marks = repeated_starts(source.select("text", F.xxhash64(row).alias("mark")), depth)
-    out = removed(packed(source, [row], depth).join(marks, "t", "left"), depth, keep_text)
+    out = removed(packed(source, [row], depth).join(marks, "t", "left"), depth, keep_text, least_words)
     return out.select(f"{row}.*", *[c for c in new if c in out.columns])

@@ -59,7 +59,7 @@ def test_one_of_each_group_stays(stages):
 
 
 def test_repeated_strings_go(stages):
-    want = {key: sha for key, _, _, _, sha in repeated_strings([(r.doc_id, r.text.encode()) for r in stages[2].collect()], 400)}
+    want = {key: sha for key, _, _, _, sha in repeated_strings([(r.doc_id, r.text.encode()) for r in stages[2].collect()], 240, 50)}
     rows = stages[3].collect()
     assert {r.doc_id for r in rows} == set(want)
     for r in rows:

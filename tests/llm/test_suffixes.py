@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -7,7 +8,7 @@ import pytest
 from logvigil.llm import suffixes
 
 
-def brute(rows, whole):
+def brute(rows, whole, least_words=0):
     seen = Counter(b[s : s + whole] for _, b in rows for s in range(len(b) - whole + 1))
     out = []
     for key, b in rows:
@@ -15,14 +16,18 @@ def brute(rows, whole):
         for s in range(len(b) - whole + 1):
             if seen[b[s : s + whole]] > 1:
                 gone[s : s + whole] = b"\1" * whole
+        for run in re.finditer(b"\1+", bytes(gone)):
+            if len(re.findall(rb"[^\x20\x09-\x0D]+", b[run.start() : run.end()])) < least_words:
+                gone[run.start() : run.end()] = bytes(run.end() - run.start())
         spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
         left = bytes(c for c, g in zip(b, gone) if not g)
         out.append((key, len(b), sum(gone), spans, hashlib.sha256(left).hexdigest()))
     return sorted(out, key=str)
 
 
-def cut(docs, depth=suffixes.Depth()):
-    return sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.cleaned(docs, depth).collect()), key=str)
+def cut(docs, depth=suffixes.Depth(), least_words=0):
+    rows = suffixes.cleaned(docs, depth, least_words=least_words).collect()
+    return sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows), key=str)
 
 
 def test_same_as_all_strings(spark, corpus):
@@ -39,6 +44,13 @@ def test_few_letters_and_small_pieces(spark, monkeypatch, seed):
     assert cut(spark.createDataFrame(rows, "doc_id long, text string"), suffixes.Depth(40, 10)) == brute([(i, t.encode()) for i, t in rows], 40)
 
 
+@pytest.mark.parametrize("least_words", [1, 12, 25, 60, 91])
+def test_short_passages_stay(spark, corpus, least_words):
+    docs = spark.createDataFrame(corpus, "doc_id long, text string")
+    want = brute([(i, t.encode()) for i, t in corpus], 120, least_words)
+    assert cut(docs, suffixes.Depth(120, 30), least_words) == want
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = [(r.doc_id, (r.text or "").encode()) for r in odd_docs.collect()]
     assert cut(odd_docs) == brute(rows, 400)
