@@ -19,6 +19,10 @@ from logvigil.session import scratch_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: A passage to cut is a run of bytes, covered by strings of this length that repeat, that touches this many words. Fifty words are rarely
+#: shorter than the strings; a shorter run that repeats, such as a line of a license, stays.
+PASSAGE, PASSAGE_WORDS = suffixes.Depth(whole=240, start=60), 50
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the classifier; it learns from the labels of documents that came in."""
@@ -32,8 +36,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the strings of 400 bytes that repeat; n_chars counts what is left."""
-    cut = suffixes.cleaned(docs, keep_text=True).withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("kept_text").cast("long"))
+    """All documents, without passages that repeat (PASSAGE, PASSAGE_WORDS); n_chars counts what is left."""
+    cut = suffixes.cleaned(docs, PASSAGE, keep_text=True, least_words=PASSAGE_WORDS).withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("kept_text").cast("long"))
     return cut.select(*docs.columns)
 
 
