@@ -230,7 +230,13 @@ def stat_profile_score(features: DataFrame, profiles: DataFrame, everybody: Row,
     """
     rows = features.withColumn("minute", clock.minute_of_day(F.col("ts_us")))
     pairs = rows if log is None else owner_minutes(log, profiles)
-    rows = rows.join(hour_density(pairs, profiles, everybody), ["owner", "minute"], "left")
+    own, common = (hour_density(pairs.where(mine), profiles, everybody) for mine in (F.col("owner") != EVERYBODY, F.col("owner") == EVERYBODY))
+    # by entity and not by owner: rows without a profile of their own would all meet under one owner's 1,440 minutes
+    own = own.select(F.col("owner").alias("entity_id"), "minute", F.col("density").alias("own_density"))
+    common = F.broadcast(common.select("minute", F.col("density").alias("common_density")))  # at most 1,440 rows
+    rows = rows.join(own, ["entity_id", "minute"], "left").join(common, "minute", "left")
+    density = F.when(F.col("owner") == EVERYBODY, F.col("common_density")).otherwise(F.col("own_density"))
+    rows = rows.withColumn("density", density).drop("own_density", "common_density")
     score = scores.stat_score(
         scores.score_geo(F.col("geo_distance_from_centroid_km")),
         scores.score_duration(F.col("norm_session_duration")),
@@ -246,67 +252,96 @@ def typical_pairs(profiles: DataFrame) -> DataFrame:
     return profiles.select("entity_id", F.explode("typical_resources").alias("resource_accessed"))
 
 
-def profile_sums(events: DataFrame) -> DataFrame:
-    """Additive statistics per entity, from which the profile moments follow."""
+MOMENTS = ("lat", "lon", "duration", "hour")
+MOMENT = "struct<n:bigint,mean:double,m2:double>"
+
+
+def profile_moments(events: DataFrame) -> DataFrame:
+    """Per entity: number of events, latest one, and count, mean and sum of squared deviations of place, duration and hour.
+
+    Squares of values are never summed, so that nothing cancels however many events there are.
+    """
+    values = {
+        "lat": F.col("lat"), "lon": F.col("lon"), "duration": F.col("session_duration").cast("double"),
+        "hour": clock.hour_of_day(F.col("ts_us")),
+    }
+
+    def moment(value: Column) -> Column:
+        n = F.count(value)
+        return F.struct(n.alias("n"), F.coalesce(F.avg(value), F.lit(0.0)).alias("mean"), F.coalesce(F.var_pop(value) * n, F.lit(0.0)).alias("m2"))
+
     return events.groupBy("entity_id").agg(
-        F.count("*").alias("n"),
-        F.sum("lat").alias("sum_lat"),
-        F.sum("lon").alias("sum_lon"),
-        F.sum("session_duration").alias("sum_duration"),
-        F.sum(F.col("session_duration") * F.col("session_duration")).alias("sum_duration_sq"),
-        F.max("ts_us").alias("last_ts_us"),
+        F.count("*").alias("num_events"), F.max("ts_us").alias("last_ts_us"), *[moment(v).alias(name) for name, v in values.items()]
     )
 
 
-def merge_sums(old: DataFrame, new: DataFrame, keys: list[str], latest: tuple[str, ...] = ()) -> DataFrame:
-    """Fold new additive statistics into old ones; ``latest`` columns take the maximum."""
+def merged_moment(parts: Column) -> Column:
+    """One moment of an array of them: means move by their difference, and its square adds to the deviations."""
+
+    def merge(a: Column, b: Column) -> Column:
+        n = a["n"] + b["n"]
+        gap, share = b["mean"] - a["mean"], F.coalesce(F.try_divide(b["n"].cast("double"), n.cast("double")), F.lit(0.0))
+        return F.struct(n.alias("n"), (a["mean"] + gap * share).alias("mean"), (a["m2"] + b["m2"] + gap * gap * a["n"] * share).alias("m2"))
+
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    return F.aggregate(F.array_sort(parts), none, merge)
+
+
+def merge_moments(old: DataFrame, new: DataFrame) -> DataFrame:
+    """The moments of both logs together: two rows an entity at most."""
+    folded = [merged_moment(F.collect_list(m)).alias(m) for m in MOMENTS]
+    return old.unionByName(new).groupBy("entity_id").agg(F.sum("num_events").alias("num_events"), F.max("last_ts_us").alias("last_ts_us"), *folded)
+
+
+def merge_sums(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """Fold new additive counts into old ones."""
     values = [c for c in old.columns if c not in keys]
-    return (
-        old.unionByName(new)
-        .groupBy(*keys)
-        .agg(*[(F.max(c) if c in latest else F.sum(c)).alias(c) for c in values])
-    )
+    return old.unionByName(new).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in values])
+
+
+COUNTED = {"places": ["entity_id", "lat", "lon"], "resources": ["entity_id", "resource_accessed"], "minutes": ["entity_id", "minute"]}
 
 
 def profile_parts(events: DataFrame) -> dict[str, DataFrame]:
-    """All of a profile that can be added up: sums, uses of resources, minutes, devices. The mean radius is no sum: it
-    depends on the home, so it needs a second pass over the events."""
-    minute = clock.minute_of_day(F.col("ts_us")).alias("minute")
-    return {
-        "sums": profile_sums(events),
-        "resources": events.groupBy("entity_id", "resource_accessed").agg(F.count("*").alias("n")),
-        "minutes": events.groupBy("entity_id", minute).agg(F.count("*").alias("n")),
-        "devices": distinct_values(events, "mac"),
-    }
+    """All of a profile that can be merged: moments, and counts of places, resources, minutes and devices.
+
+    The mean radius depends on the home, which moves with new events; over counted places it can be taken again without the old
+    events. There are at most as many as distinct places.
+    """
+    seen = events.withColumn("minute", clock.minute_of_day(F.col("ts_us")))
+    counted = {name: seen.groupBy(*keys).agg(F.count("*").alias("n")) for name, keys in COUNTED.items()}
+    return {"moments": profile_moments(events), **counted, "devices": distinct_values(events, "mac")}
 
 
 def merge_parts(old: dict[str, DataFrame], new: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The parts of both logs together."""
-    keys = {"resources": ["entity_id", "resource_accessed"], "minutes": ["entity_id", "minute"]}
-    merged = {name: merge_sums(old[name], new[name], key) for name, key in keys.items()}
-    merged["sums"] = merge_sums(old["sums"], new["sums"], ["entity_id"], latest=("last_ts_us",))
-    return merged | {"devices": old["devices"].unionByName(new["devices"]).distinct()}
+    merged = {name: merge_sums(old[name], new[name], keys) for name, keys in COUNTED.items()}
+    return merged | {
+        "moments": merge_moments(old["moments"], new["moments"]), "devices": old["devices"].unionByName(new["devices"]).distinct()
+    }
+
+
+def profile_from_moments(moments: DataFrame) -> DataFrame:
+    """The columns of :func:`entity_profile` that moments give."""
+    duration, hour = F.col("duration"), F.col("hour")
+    std = F.when(F.col("num_events") > 1, F.sqrt(duration["m2"] / duration["n"])).otherwise(F.lit(SINGLE_EVENT_STD))
+    return moments.select(
+        "entity_id", "num_events", F.col("lat.mean").alias("home_lat"), F.col("lon.mean").alias("home_lon"),
+        duration["mean"].alias("duration_mean"), std.alias("duration_std"),
+        F.when(hour["n"] > 1, F.sqrt(hour["m2"] / (hour["n"] - 1))).alias("hour_std"),
+        F.try_divide(hour["m2"], hour["n"].cast("double")).alias("hour_var"), "last_ts_us",
+    )
 
 
 def profile_from_parts(parts: dict[str, DataFrame], resources: int = ENTITY_RESOURCES) -> DataFrame:
-    """The profile of :func:`entity_profile` without avg_radius and hour moments, with ``devices`` (their number; the list
-    stays a long table)."""
+    """The profile of :func:`entity_profile`, column by column."""
+    base = profile_from_moments(parts["moments"])
+    km = haversine_km(F.col("home_lat"), F.col("home_lon"), F.col("lat"), F.col("lon"))
+    placed = parts["places"].join(base.select("entity_id", "home_lat", "home_lon"), "entity_id").withColumn("km", km)
+    radius = placed.where("km IS NOT NULL").groupBy("entity_id").agg((F.sum(F.col("km") * F.col("n")) / F.sum("n")).alias("avg_radius"))
     order = Window.partitionBy("entity_id").orderBy(F.col("n").desc(), F.col("resource_accessed"))
     top = parts["resources"].withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= resources)
     ranked = top.groupBy("entity_id").agg(F.array_sort(F.collect_list(F.struct("rank", "resource_accessed"))).alias("r"))
-    minutes = parts["minutes"].groupBy("entity_id").agg(F.array_sort(F.collect_list(F.struct("minute", "n"))).alias("minutes"))
-    devices = parts["devices"].groupBy("entity_id").agg(F.count("*").alias("devices"))
     names = ranked.select("entity_id", F.col("r.resource_accessed").alias("typical_resources"))
-    profile = moments_from_sums(parts["sums"]).join(names, "entity_id").join(minutes, "entity_id")
-    return profile.join(devices, "entity_id", "left").fillna(0, ["devices"])
-
-
-def moments_from_sums(sums: DataFrame) -> DataFrame:
-    n = F.col("n")
-    mean = F.col("sum_duration") / n
-    variance = F.greatest(F.col("sum_duration_sq") / n - mean * mean, F.lit(0.0))
-    std = F.when(n > 1, F.sqrt(variance)).otherwise(F.lit(SINGLE_EVENT_STD))
-    return sums.select(
-        "entity_id", n.alias("num_events"), (F.col("sum_lat") / n).alias("home_lat"),
-        (F.col("sum_lon") / n).alias("home_lon"), mean.alias("duration_mean"), std.alias("duration_std"), "last_ts_us",
-    )
+    minutes = parts["minutes"].groupBy("entity_id").agg(F.array_sort(F.collect_list(F.struct("minute", "n"))).alias("minutes"))
+    return base.join(radius, "entity_id").join(names, "entity_id").join(minutes, "entity_id")

@@ -7,6 +7,8 @@ add-one smoothing over training transitions. Additive counts make the model refr
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -33,6 +35,8 @@ PAD_INDEX = 0
 UNK_INDEX = 1
 MIN_SCALE = 1e-4
 
+MOST_PAIRS = 10_000  # transitions that are broadcast
+
 CATEGORICAL = {"resource": "resource_accessed", "auth": "auth_method", "os": "os"}
 NUMERIC = ("duration", "hour_sin", "hour_cos", "geo_dist")
 ERROR_COLUMNS = tuple(f"rec_err_{n}" for n in (*NUMERIC, *CATEGORICAL))
@@ -159,13 +163,81 @@ def vocabulary_sizes(transitions: DataFrame) -> dict[str, int]:
     return {n: sizes.get(n, 0) + 2 for n in CATEGORICAL}
 
 
+def _sized(sizes: dict[str, int]) -> Column:
+    """Smoothed size of the vocabulary of the row's ``feature``."""
+    out = F.lit(None).cast("double")
+    for name, size in sizes.items():
+        out = F.when(F.col("feature") == name, F.lit(float(size))).otherwise(out)
+    return out
+
+
+def transition_costs(transitions: DataFrame, sizes: dict[str, int]) -> tuple[DataFrame, DataFrame]:
+    """-ln P(cur | prev) with add-one smoothing: (feature, prev, cur, c, cost) of the pairs seen, and (feature, prev, n, cost) of any other
+    value after ``prev``."""
+    starts = transitions.groupBy("feature", "prev").agg(F.sum("c").alias("n"))
+    seen = transitions.join(starts, ["feature", "prev"])
+    share = (F.col("c") + 1.0) / (F.col("n") + _sized(sizes))
+    unseen = starts.select("feature", "prev", "n", (-F.log(1.0 / (F.col("n") + _sized(sizes)))).alias("cost"))
+    return seen.select("feature", "prev", "cur", "c", (-F.log(share)).alias("cost")), unseen
+
+
+def _frequent(costs: DataFrame, count: str, most: int) -> DataFrame:
+    """The ``most`` rows with the highest count: a table of known size."""
+    order = [c for c in ("feature", "prev", "cur") if c in costs.columns]
+    return costs.orderBy(F.col(count).desc(), *order).limit(most)
+
+
+def add_costs(rows: DataFrame, transitions: DataFrame, sizes: dict[str, int], most: int = MOST_PAIRS) -> DataFrame:
+    """Add ``rec_err_<feature>`` for the categorical features, from prev_<feature> and cur_<feature>.
+
+    The ``most`` most frequent pairs, and values to follow on, are broadcast: rows are looked up where they are. If there are more, only the
+    pairs that these do not hold are shuffled, for all features at once and without the rows they come from.
+    """
+    seen, unseen = (written(t) for t in transition_costs(transitions, sizes))
+    fits = seen.count() <= most
+    pairs = seen if fits else written(_frequent(seen, "c", most))
+    starts = unseen if fits else written(_frequent(unseen, "n", most))
+    for n in CATEGORICAL:
+        pair = pairs.where(F.col("feature") == n).select(F.col("prev").alias(f"prev_{n}"), F.col("cur").alias(f"cur_{n}"), F.col("cost").alias(f"rec_err_{n}"))
+        rows = rows.join(F.broadcast(pair), [f"prev_{n}", f"cur_{n}"], "left")  # at most ``most`` rows
+        if fits:
+            start = starts.where(F.col("feature") == n).select(F.col("prev").alias(f"prev_{n}"), F.col("cost").alias("other"))
+            rows = rows.join(F.broadcast(start), f"prev_{n}", "left")  # no more than there are pairs
+            unknown = F.lit(math.log(sizes[n]))
+            rows = rows.withColumn(f"rec_err_{n}", F.coalesce(f"rec_err_{n}", "other", unknown)).drop("other")
+    if fits:
+        return rows
+    rows = written(rows)
+    asked = [
+        F.when(F.col(f"rec_err_{n}").isNull(), F.struct(F.lit(n).alias("feature"), F.col(f"prev_{n}").alias("prev"), F.col(f"cur_{n}").alias("cur")))
+        for n in CATEGORICAL
+    ]
+    missing = rows.select("event_id", F.explode(F.filter(F.array(*asked), lambda p: p.isNotNull())).alias("p")).select("event_id", "p.*")
+    rare = seen.select("feature", "prev", "cur", F.col("cost").alias("own"))
+    found = missing.join(rare, ["feature", "prev", "cur"], "left")
+    often = starts.select("feature", "prev", F.col("cost").alias("often"))
+    found = found.join(F.broadcast(often), ["feature", "prev"], "left")  # at most ``most`` rows
+    known = F.coalesce("own", "often")
+    # what is still open follows on a rare value, so this exchange has no hot key
+    key = [F.when(known.isNull(), F.col(c)).otherwise(F.concat(F.lit("="), F.col("event_id").cast("string"))).alias(c) for c in ("feature", "prev")]
+    found = found.select("event_id", F.col("feature").alias("of"), known.alias("known"), *key)
+    found = found.join(unseen.select("feature", "prev", F.col("cost").alias("seldom")), ["feature", "prev"], "left")
+    unknown = F.lit(None).cast("double")
+    for n, size in sizes.items():
+        unknown = F.when(F.col("of") == n, F.lit(math.log(size))).otherwise(unknown)
+    found = found.select("event_id", "of", F.coalesce("known", "seldom", unknown).alias("cost"))
+    wide = found.groupBy("event_id").agg(*[F.max(F.when(F.col("of") == n, F.col("cost"))).alias(f"far_{n}") for n in CATEGORICAL])
+    rows = rows.join(wide, "event_id", "left")
+    return rows.withColumns({f"rec_err_{n}": F.coalesce(f"rec_err_{n}", f"far_{n}") for n in CATEGORICAL}).drop(*[f"far_{n}" for n in CATEGORICAL])
+
+
 def sequence_surprise(
     events: DataFrame, transitions: DataFrame, sizes: dict[str, int], length: int = SEQ_LENGTH,
-    hot_rows: int | None = None,
+    hot_rows: int | None = None, most_pairs: int = MOST_PAIRS,
 ) -> DataFrame:
     """Add the seven error columns and their sum ``seq_error``.
 
-    ``events`` carries the scaled features and the columns of :func:`with_last_values`. The mean
+    ``events`` carries the scaled features and the columns of :func:`with_last_values`, and an event_id of its own in each row. The mean
     of an empty past counts as 0, the mean of the scaled features.
     """
     rows = with_context(with_width(events, hot_rows), length - 1)
@@ -178,13 +250,7 @@ def sequence_surprise(
     )
     rows = drop_context(rows)
     rows = rows if is_sliced(events) else rows.drop("width")
-    for n in CATEGORICAL:
-        mine = transitions.where(F.col("feature") == n)
-        pairs = mine.select(F.col("prev").alias(f"prev_{n}"), F.col("cur").alias(f"cur_{n}"), "c")
-        starts = mine.groupBy(F.col("prev").alias(f"prev_{n}")).agg(F.sum("c").alias("n"))
-        rows = rows.join(pairs, [f"prev_{n}", f"cur_{n}"], "left").join(starts, f"prev_{n}", "left")
-        share = (F.coalesce("c", F.lit(0)) + 1.0) / (F.coalesce("n", F.lit(0)) + float(sizes[n]))
-        rows = rows.withColumn(f"rec_err_{n}", -F.log(share)).drop("c", "n")
+    rows = add_costs(rows, transitions, sizes, most_pairs)
     total = sum((F.col(c) for c in ERROR_COLUMNS[1:]), F.col(ERROR_COLUMNS[0]))
     drop = [f"{side}_{n}" for side in ("cur", "prev") for n in CATEGORICAL]
     return rows.withColumn("seq_error", total).drop(*drop)

@@ -10,7 +10,7 @@ from logvigil.plans import derived
 from logvigil.plans.catalog_aggregates import normal
 from logvigil.plans.catalog_columns import RULE_TEXT, TARGET, base
 from logvigil.plans.catalog_sources import ISO, flat_profile
-from logvigil.plans.oracle import r4
+from logvigil.plans.oracle import hav, r4
 from logvigil.plans.registry import query
 from logvigil.session import written
 
@@ -179,36 +179,44 @@ def explain_card(spark, sf):
     return derived.checkable(shown, alerts, "attack_type")
 
 
-@query("incremental_refit", f"""SELECT entity_id, count(*) AS num_events, {r4('avg(lat) AS home_lat', 'avg(lon) AS home_lon',
-  'avg(session_duration) AS duration_mean', 'CASE WHEN count(*) > 1 THEN stddev_pop(session_duration) ELSE 10.0e0 END AS duration_std')},
-  max(ts_us) AS last_ts_us FROM sp WHERE label = 'normal' AND split IN ('train', 'val') GROUP BY entity_id""")
-def incremental_refit(spark, sf):
-    """Profiles learned on the training part, refreshed with the validation part."""
-    events = derived.learned(spark, sf).events.where(F.col("label") == "normal")
-    old = written(profiles.profile_sums(normal(spark, sf)))
-    new = profiles.profile_sums(events.where(F.col("split") == "val"))
-    return profiles.moments_from_sums(profiles.merge_sums(old, new, ["entity_id"], latest=("last_ts_us",)))
+SEEN = "(SELECT * FROM sp WHERE label = 'normal' AND split IN ('train', 'val'))"
+REFIT = f"""(SELECT entity_id, count(*) AS num_events, avg(lat) AS home_lat, avg(lon) AS home_lon, avg(session_duration) AS duration_mean,
+  CASE WHEN count(*) > 1 THEN stddev_pop(session_duration) ELSE 10.0e0 END AS duration_std, stddev_samp(hod) AS hour_std, var_pop(hod) AS hour_var,
+  max(ts_us) AS last_ts_us FROM {SEEN} GROUP BY entity_id)"""
 
 
-SEEN = "(SELECT * FROM sp WHERE label = 'normal' AND split IN ('train', 'val'))"
+def refreshed_parts(spark, sf):
+    """Parts learned on the training part, and written, merged with those of the validation part."""
+    new = derived.learned(spark, sf).events.where((F.col("label") == "normal") & (F.col("split") == "val"))
+    old = {name: written(part) for name, part in profiles.profile_parts(normal(spark, sf)).items()}
+    return profiles.merge_parts(old, profiles.profile_parts(new))
+
+
+@query("incremental_refit", f"""SELECT entity_id, num_events, {r4('home_lat', 'home_lon', 'duration_mean', 'duration_std', 'hour_std', 'hour_var')},
+  last_ts_us FROM {REFIT}""")
+def incremental_refit(spark, sf):
+    """Moments learned on the training part, refreshed with the validation part."""
+    return profiles.profile_from_moments(refreshed_parts(spark, sf)["moments"])
 
 
-@query("incremental_profile", f"""SELECT entity_id, num_events, {r4('home_lat', 'home_lon', 'duration_mean', 'duration_std')}, last_ts_us,
-  resources, minutes, coalesce(devices, 0) AS devices FROM (SELECT entity_id, count(*) AS num_events, avg(lat) AS home_lat, avg(lon) AS home_lon,
-    avg(session_duration) AS duration_mean, CASE WHEN count(*) > 1 THEN stddev_pop(session_duration) ELSE 10.0e0 END AS duration_std,
-    max(ts_us) AS last_ts_us FROM {SEEN} GROUP BY entity_id)
+@query("incremental_profile", f"""SELECT entity_id, num_events, {r4('home_lat', 'home_lon', 'avg_radius', 'duration_mean', 'duration_std', 'hour_std', 'hour_var')},
+  last_ts_us, resources, minutes FROM {REFIT}
+  JOIN (SELECT entity_id, avg({hav('home_lat', 'home_lon', 'lat', 'lon')}) AS avg_radius FROM {SEEN} JOIN {REFIT} USING (entity_id) GROUP BY entity_id)
+    USING (entity_id)
   JOIN (SELECT entity_id, string_agg(resource_accessed, ',' ORDER BY n DESC, resource_accessed) AS resources FROM (SELECT *, row_number() OVER
     (PARTITION BY entity_id ORDER BY n DESC, resource_accessed) AS rank FROM (SELECT entity_id, resource_accessed, count(*) AS n FROM {SEEN}
     GROUP BY ALL)) WHERE rank <= 5 GROUP BY entity_id) USING (entity_id)
   JOIN (SELECT entity_id, string_agg(concat(md, ':', n), ',' ORDER BY md) AS minutes FROM (SELECT entity_id, md, count(*) AS n FROM {SEEN}
-    GROUP BY ALL) GROUP BY entity_id) USING (entity_id)
-  LEFT JOIN (SELECT entity_id, count(DISTINCT mac) AS devices FROM {SEEN} WHERE mac <> '' GROUP BY entity_id) USING (entity_id)""")
+    GROUP BY ALL) GROUP BY entity_id) USING (entity_id)""")
 def incremental_profile(spark, sf):
-    """Whole profiles learned on the training part, refreshed with the validation part."""
-    new = derived.learned(spark, sf).events.where((F.col("label") == "normal") & (F.col("split") == "val"))
-    old = {name: written(part) for name, part in profiles.profile_parts(normal(spark, sf)).items()}
-    merged = profiles.merge_parts(old, profiles.profile_parts(new))
-    return flat_profile(profiles.profile_from_parts(merged))
+    """Whole profiles learned on the training part, refreshed with the validation part: every column that scoring reads."""
+    return flat_profile(profiles.profile_from_parts(refreshed_parts(spark, sf)), hours=True)
+
+
+@query("incremental_devices", f"SELECT entity_id, mac FROM {SEEN} WHERE mac <> '' GROUP BY ALL")
+def incremental_devices(spark, sf):
+    """The devices that belong to the refreshed profiles."""
+    return refreshed_parts(spark, sf)["devices"]
 
 
 @query("incremental_transitions", """SELECT feature, prev, cur, cast(sum(c) AS bigint) AS c FROM (""" + " UNION ALL ".join(

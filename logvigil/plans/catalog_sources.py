@@ -93,12 +93,12 @@ PROFILE_SQL = f"""SELECT entity_id, num_events, {r4('home_lat', 'home_lon', 'avg
   JOIN (SELECT owner AS entity_id, string_agg(concat(md, ':', n), ',' ORDER BY md) AS minutes FROM eh GROUP BY owner) USING (entity_id)"""
 
 
-def flat_profile(profile):
-    """Arrays as text, for comparison."""
+def flat_profile(profile, hours=False):
+    """Arrays as text, for comparison; ``hours`` keeps the spread of the hour."""
     pair = F.transform("minutes", lambda m: F.concat_ws(":", m["minute"].cast("string"), m["n"].cast("string")))
     return profile.withColumn("resources", F.array_join("typical_resources", ",")).withColumn(
         "minutes", F.array_join(pair, ",")
-    ).drop("typical_resources", "hour_std", "hour_var")
+    ).drop("typical_resources", *([] if hours else ["hour_std", "hour_var"]))
 
 
 @query("snk_profiles", PROFILE_SQL)

@@ -98,15 +98,49 @@ def test_profiles_come_from_training_rows_only(spark, log):
 
 
 def test_refresh_equals_refit(log):
+    """Every column of the profile, also where an entity is only in one of the logs."""
     rng = random.Random(4)
-    rows = [{"entity_id": f"E{rng.randint(0, 3)}", "sec": i, "lat": rng.random(), "session_duration": rng.randint(0, 90)} for i in range(60)]
-    old, new = log(rows[:40]), log(rows[40:])
-    merged = profiles.merge_sums(profiles.profile_sums(old), profiles.profile_sums(new), ["entity_id"], ("last_ts_us",))
-    got = {r["entity_id"]: r for r in profiles.moments_from_sums(merged).collect()}
-    for r in profiles.entity_profile(log(rows)).collect():
-        mine = got[r["entity_id"]]
-        for c in ("num_events", "home_lat", "duration_mean", "duration_std", "last_ts_us"):
-            assert mine[c] == pytest.approx(r[c])
+    rows = [
+        {"entity_id": f"E{rng.randint(0, 3)}", "sec": i * 700, "lat": rng.random(), "lon": rng.choice([1.0, 2.0]), "session_duration": rng.randint(0, 90),
+         "resource_accessed": rng.choice("abcdefg")}
+        for i in range(60)
+    ] + [{"entity_id": "new", "sec": 99_999}]
+    parts = [profiles.profile_parts(log(part)) for part in (rows[:25], rows[25:40], rows[40:])]
+    merged = profiles.merge_parts(profiles.merge_parts(parts[0], parts[1]), parts[2])
+    got = {r["entity_id"]: r.asDict(recursive=True) for r in profiles.profile_from_parts(merged).collect()}
+    fresh = profiles.entity_profile(log(rows))
+    assert set(profiles.profile_from_parts(merged).columns) == set(fresh.columns)
+    want = {r["entity_id"]: r.asDict(recursive=True) for r in fresh.collect()}
+    assert got.keys() == want.keys()
+    for entity, row in want.items():
+        for column, value in row.items():
+            assert got[entity][column] == (pytest.approx(value) if isinstance(value, float) else value), (entity, column)
+
+
+def test_moments_do_not_cancel(log):
+    """Durations that differ by one, far from zero: squares of the values leave nothing of that in a double."""
+    base = 3_000_000_000
+    old, new = ([{"session_duration": base + d} for d in part] for part in ([0, 2, 1], [4, 3]))
+    merged = profiles.merge_moments(profiles.profile_moments(log(old)), profiles.profile_moments(log(new)))
+    row = profiles.profile_from_moments(merged).first()
+    assert row["duration_mean"] == base + 2 and row["duration_std"] == pytest.approx(math.sqrt(2), rel=1e-6)
+
+
+def test_refreshed_profile_scores_like_a_fresh_one(log):
+    rng = random.Random(6)
+    rows = [
+        {"entity_id": rng.choice("ABC"), "sec": i * 900, "lat": rng.random(), "session_duration": rng.randint(1, 90), "resource_accessed": rng.choice("abcdef")}
+        for i in range(60)
+    ]
+    whole = log(rows)
+    merged = profiles.merge_parts(profiles.profile_parts(log(rows[:35])), profiles.profile_parts(log(rows[35:])))
+    everybody, devices = profiles.global_constants(whole), profiles.owned(whole, "mac")
+
+    def score(profile):
+        features = profiles.base_features(whole, profile, devices, everybody)
+        return {r["event_id"]: r["score"] for r in profiles.stat_profile_score(features, profile, everybody).collect()}
+
+    assert score(profiles.profile_from_parts(merged)) == pytest.approx(score(profiles.entity_profile(whole)))
 
 
 def test_vocabulary(log):
@@ -123,15 +157,15 @@ def test_scaling_falls_back_to_all_rows(log):
     assert (row["mean_dur"], round(row["std_dur"], 6), row["std_dist"]) == (2.0, round(math.sqrt(2), 6), 1.0)
 
 
-@pytest.mark.parametrize("hot_rows", [None, 3])
-def test_surprise(log, hot_rows):
+@pytest.mark.parametrize(("hot_rows", "most"), [(None, 10_000), (3, 10_000), (None, 0), (3, 2)])
+def test_surprise(log, hot_rows, most):
     rng = random.Random(8)
     rows = [{"entity_id": "A", "sec": i, "resource_accessed": rng.choice("xyz"), "session_duration": rng.randint(0, 9)} for i in range(20)]
     events = log(rows)
     x = events.withColumns({"x_duration": F.col("session_duration") * 1.0, "x_hour_sin": F.lit(0.0), "x_hour_cos": F.lit(0.0), "x_geo_dist": F.lit(0.0)})
     x = sequence.with_last_values(x, hot_rows)
     counts = sequence.transition_counts(x)
-    got = sequence.sequence_surprise(x, counts, sequence.vocabulary_sizes(counts), 4, hot_rows).orderBy("event_id").collect()
+    got = sequence.sequence_surprise(x, counts, sequence.vocabulary_sizes(counts), 4, hot_rows, most).orderBy("event_id").collect()
     names = ["<PAD>", *[r["resource_accessed"] for r in rows]]
     steps = list(zip(names, names[1:], strict=False))
     size = len(set(names) - {"<PAD>"}) + 2
@@ -145,6 +179,16 @@ def test_surprise(log, hot_rows):
         assert row["seq_error"] == pytest.approx(sum(row[c] for c in sequence.ERROR_COLUMNS))
 
 
+def test_values_never_seen_before_and_the_plan(log):
+    train = sequence.transition_counts(sequence.with_last_values(log([{"sec": i, "resource_accessed": r} for i, r in enumerate("aababc")])))
+    sizes = sequence.vocabulary_sizes(train)
+    later = sequence.with_last_values(log([{"sec": i, "resource_accessed": r} for i, r in enumerate("acaxybz")]))
+    few, all_ = (sequence.add_costs(later, train, sizes, most) for most in (1, 100))
+    assert {r["event_id"]: r["rec_err_resource"] for r in few.collect()} == {r["event_id"]: r["rec_err_resource"] for r in all_.collect()}
+    lookups = [line for line in all_._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in line and "prev_" in line]
+    assert not any("hashpartitioning" in line for line in lookups)
+
+
 def test_labels_and_flags(log):
     rows = log([{"label": "normal", "auth_method": "password"}, {"label": "brute_force", "session_duration": 0}, {"label": "low_slow_exfil"}])
     got = rows.select(
