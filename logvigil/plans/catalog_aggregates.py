@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from logvigil.functions import rules
 from logvigil.operators import metrics, profiles, scoring, sequence, triage
-from logvigil.plans import derived
+from logvigil.plans import derived, verdicts
 from logvigil.plans.catalog_columns import TARGET, VOCAB, located
 from logvigil.plans.catalog_sources import PROFILE_SQL, flat_profile
 from logvigil.plans.oracle import r4
@@ -180,15 +180,20 @@ REPORT = f"""(SELECT c AS class, coalesce(hit * 1.0e0 / nullif(named, 0), 0) AS
 RATED = f"(SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0) AS f1 FROM {REPORT})"
 
 
-@query("classification_report", f"""SELECT class, {r4('precision', 'recall', 'f1')}, cast(support AS bigint) AS support FROM {RATED}
+def masked_report(spark, sf):
+    """Rules against labels; what the classifier decided counts as a class of its own."""
+    return metrics.classification_report(checkable_predictions(spark, sf))
+
+
+@verdicts.shown("classification_report", f"""SELECT class, {r4('precision', 'recall', 'f1')}, cast(support AS bigint) AS support FROM {RATED}
   UNION ALL SELECT 'accuracy', {r4('sum(hit) / sum(support) AS precision', 'sum(hit) / sum(support) AS recall',
                                    'sum(hit) / sum(support) AS f1')}, cast(sum(support) AS bigint) FROM {RATED}
   UNION ALL SELECT 'macro avg', {r4('avg(precision) AS precision', 'avg(recall) AS recall', 'avg(f1) AS f1')}, cast(sum(support) AS bigint) FROM {RATED}
   UNION ALL SELECT 'weighted avg', {r4('sum(precision * support) / sum(support) AS precision', 'sum(recall * support) / sum(support) AS recall',
-                                       'sum(f1 * support) / sum(support) AS f1')}, cast(sum(support) AS bigint) FROM {RATED}""")
+                                       'sum(f1 * support) / sum(support) AS f1')}, cast(sum(support) AS bigint) FROM {RATED}""", masked_report)
 def classification_report(spark, sf):
-    """Rules against labels; what the classifier decided counts as a class of its own."""
-    return metrics.classification_report(checkable_predictions(spark, sf))
+    """Precision, recall and F1 of rules and classifier together, out of fold."""
+    return metrics.classification_report(predictions(spark, sf))
 
 
 @query("oof_report")
@@ -200,13 +205,18 @@ def oof_report(spark, sf):
 SHOWN = [*[rules.UNKNOWN if c == rules.NORMAL else c for c in rules.CLASSES], derived.MODEL_VERDICT]
 
 
-@query("confusion_matrix", "SELECT actual, " + ", ".join(
-    f"cast(sum(CASE WHEN predicted = '{c}' THEN 1 ELSE 0 END) AS bigint) AS \"{c}\"" for c in SHOWN) + f" FROM {PAIRS} GROUP BY actual")
-def confusion_matrix(spark, sf):
+def masked_matrix(spark, sf):
     """All classes, and one column for what the classifier decided."""
     return metrics.confusion_matrix(checkable_predictions(spark, sf), SHOWN)
 
 
+@verdicts.shown("confusion_matrix", "SELECT actual, " + ", ".join(
+    f"cast(sum(CASE WHEN predicted = '{c}' THEN 1 ELSE 0 END) AS bigint) AS \"{c}\"" for c in SHOWN) + f" FROM {PAIRS} GROUP BY actual", masked_matrix)
+def confusion_matrix(spark, sf):
+    """Actual against predicted classes, rules and classifier together, out of fold."""
+    return metrics.confusion_matrix(predictions(spark, sf), SHOWN[:-1])
+
+
 @query("oof_confusion")
 def oof_confusion(spark, sf):
     """The out-of-fold confusion matrix of rules and classifier together."""
@@ -230,12 +240,16 @@ def hour_histogram(spark, sf):
     return triage.hour_histogram(normal(spark, sf))
 
 
-@query("filter_domains", """SELECT DISTINCT 'entity_type' AS domain, entity_type AS value FROM ra
+def masked_domains(spark, sf):
+    return triage.filter_domains(derived.checkable(derived.alerts(spark, sf), derived.alerts(spark, sf)))
+
+
+@verdicts.shown("filter_domains", """SELECT DISTINCT 'entity_type' AS domain, entity_type AS value FROM ra
   UNION ALL SELECT DISTINCT 'attack_type', predicted_attack_type FROM ra UNION ALL SELECT DISTINCT 'entity_id', entity_id FROM ra
   UNION ALL SELECT 'first_day', strftime(make_timestamp(min(ts_us)), '%Y-%m-%d') FROM ra
-  UNION ALL SELECT 'last_day', strftime(make_timestamp(max(ts_us)), '%Y-%m-%d') FROM ra""")
+  UNION ALL SELECT 'last_day', strftime(make_timestamp(max(ts_us)), '%Y-%m-%d') FROM ra""", masked_domains)
 def filter_domains(spark, sf):
-    return triage.filter_domains(derived.checkable(derived.alerts(spark, sf), derived.alerts(spark, sf)))
+    return triage.filter_domains(derived.alerts(spark, sf))
 
 
 @query("entity_header", f"""SELECT l.entity_id, coalesce(num_events, seen) AS events, {r4('coalesce(home_lat, 0.0e0) AS home_lat',

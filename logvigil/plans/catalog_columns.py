@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from logvigil.functions import clock, rules, scores
 from logvigil.functions.geo import haversine_km
 from logvigil.operators import chain, profiles, scoring, sequence, triage
-from logvigil.plans import derived
+from logvigil.plans import derived, verdicts
 from logvigil.plans.catalog_sources import ISO
 from logvigil.plans.oracle import hav, r4
 from logvigil.plans.registry import query
@@ -233,15 +233,24 @@ def infer_entity_type(spark, sf):
     return ids.select("entity_id", rules.infer_entity_type(F.col("entity_id")).alias("inferred"))
 
 
-@query("top_reason", """SELECT event_id, CASE
+def masked_reasons(spark, sf):
+    """Sentences of alerts that a rule decided; for the others one mark if the sentence is one of the three."""
+    return reasons_checked(with_reason(spark, sf)).select("event_id", "top_reason")
+
+
+@verdicts.shown("top_reason", """SELECT event_id, CASE
   WHEN predicted_attack_type = 'impossible_travel' THEN printf('Geo velocity %.0f km/h (>900 km/h threshold)', geo_velocity_kmh)
   WHEN predicted_attack_type = 'brute_force' THEN printf('Brute force burst (%d failed auths in 5m)', failed_auth_count_5min)
-  ELSE '(model)' END AS top_reason FROM ra""")
+  ELSE '(model)' END AS top_reason FROM ra""", masked_reasons)
 def top_reason(spark, sf):
-    """Sentences of alerts that a rule decided; for the others one mark if the sentence is one of the three."""
+    """The main reason of each alert in a sentence."""
+    return with_reason(spark, sf).select("event_id", "top_reason")
+
+
+def with_reason(spark, sf):
     velocity, distance, failures = derived.signals()
     reason = rules.top_reason(F.col("predicted_attack_type"), velocity, distance, failures, F.col("risk_score"))
-    return reasons_checked(derived.alerts(spark, sf).withColumn("top_reason", reason)).select("event_id", "top_reason")
+    return derived.alerts(spark, sf).withColumn("top_reason", reason)
 
 
 def reasons_checked(rows):
@@ -296,16 +305,20 @@ def audit_trail(spark, sf):
     return base(spark, sf).select("event_id", "audit_trail")
 
 
-@query("present_columns", f"""SELECT event_id, strftime(make_timestamp(ts_us), '%Y-%m-%d %H:%M:%S') AS timestamp, entity_id, entity_type,
-  predicted_attack_type AS attack_type, {r4('risk_score')}, CASE
-  WHEN rule = 'impossible_travel' THEN printf('Geo velocity %.0f km/h (>900 km/h threshold)', geo_velocity_kmh)
-  WHEN rule = 'brute_force' THEN printf('Brute force burst (%d failed auths in 5m)', failed_auth_count_5min) ELSE '(model)' END AS top_reason FROM ra""")
-def present_columns(spark, sf):
+def masked_columns(spark, sf):
     alerts = derived.alerts(spark, sf)
     shown = triage.present_columns(alerts).join(alerts.select("event_id", "prediction_source"), "event_id")
     return derived.checkable(reasons_checked(shown).drop("prediction_source"), alerts, "attack_type")
 
 
+@verdicts.shown("present_columns", f"""SELECT event_id, strftime(make_timestamp(ts_us), '%Y-%m-%d %H:%M:%S') AS timestamp, entity_id, entity_type,
+  predicted_attack_type AS attack_type, {r4('risk_score')}, CASE
+  WHEN rule = 'impossible_travel' THEN printf('Geo velocity %.0f km/h (>900 km/h threshold)', geo_velocity_kmh)
+  WHEN rule = 'brute_force' THEN printf('Brute force burst (%d failed auths in 5m)', failed_auth_count_5min) ELSE '(model)' END AS top_reason FROM ra""", masked_columns)
+def present_columns(spark, sf):
+    return triage.present_columns(derived.alerts(spark, sf))
+
+
 @query("filter_normal", "SELECT event_id, entity_id FROM tn")
 def filter_normal(spark, sf):
     return profiles.normal_training(derived.learned(spark, sf).events).select("event_id", "entity_id")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from logvigil.functions import rules
 from logvigil.operators import attribution, chain, metrics, models, profiles, sequence
-from logvigil.plans import derived
+from logvigil.plans import derived, verdicts
 from logvigil.plans.catalog_aggregates import normal
 from logvigil.plans.catalog_columns import RULE_TEXT, TARGET, base
 from logvigil.plans.catalog_sources import ISO, flat_profile
@@ -86,13 +86,11 @@ CHECKED_PREDICTION = f"""SELECT event_id, {TARGET}, coalesce(rule, '(model)') AS
   coalesce({RULE_TEXT}, 'Spark ML Classifier') AS prediction_source"""
 
 
-@query("cv_oof", f"""{CHECKED_PREDICTION}, cast((row_number() OVER (PARTITION BY CASE WHEN label = 'normal' THEN 'unknown' ELSE label END
+@verdicts.shown("cv_oof", f"""{CHECKED_PREDICTION}, cast((row_number() OVER (PARTITION BY CASE WHEN label = 'normal' THEN 'unknown' ELSE label END
   ORDER BY md5(concat('42::', cast(event_id AS varchar))), event_id) - 1) % 5 AS integer) AS fold FROM ra""")
 def cv_oof(spark, sf):
-    """Folds, one prediction an alert, and the rule's word where one fired; the classifier's words are checked for being in order."""
-    alerts = derived.alerts(spark, sf)
-    rows = alerts.select("event_id", "target_class", "predicted_attack_type", "prediction_source", "fold")
-    return derived.checkable(rows, alerts)
+    """Fold and out-of-fold prediction of each alert: the rule's class where one fired, else the classifier's."""
+    return derived.alerts(spark, sf).select("event_id", "target_class", "predicted_attack_type", "prediction_source", "fold")
 
 
 @query("oof_predictions")
@@ -108,19 +106,28 @@ def event_predictions(spark, sf):
     return models.predict(rows, model, models.importances(model, chain.FEATURES))
 
 
-@query("predict_event", f"""{CHECKED_PREDICTION}, CASE WHEN rule IS NULL THEN '(model)' ELSE concat(CASE WHEN rule = 'impossible_travel'
-  THEN 'geo_velocity_kmh' ELSE 'failed_auth_count_5min' END, '=1.0,rule_override_trigger=1.0') END AS top_features FROM rl""")
-def predict_event(spark, sf):
+def masked_events(spark, sf):
+    """The same with one mark for what the classifier said, and for its features if they are three of the model's."""
     rows = written(event_predictions(spark, sf))
-    told = F.array_join(F.transform("top_features", lambda f: F.concat_ws("=", f["feature"], f["weight"].cast("string"))), ",")
     names = F.array(*[F.lit(c) for c in chain.FEATURES])
     three = (F.size("top_features") == 3) & (F.size(F.array_intersect(F.col("top_features.feature"), names)) == 3)
     by_model = F.col("prediction_source") == rules.MODEL_TEXT
-    told = F.when(~by_model, told).when(three, F.lit(derived.MODEL_VERDICT)).otherwise(F.lit(derived.WRONG_VERDICT))
+    told = F.when(~by_model, features_text()).when(three, F.lit(derived.MODEL_VERDICT)).otherwise(F.lit(derived.WRONG_VERDICT))
     shown = rows.select("event_id", "target_class", "predicted_attack_type", "prediction_source", told.alias("top_features"))
     return derived.checkable(shown, rows)
 
 
+@verdicts.shown("predict_event", f"""{CHECKED_PREDICTION}, CASE WHEN rule IS NULL THEN '(model)' ELSE concat(CASE WHEN rule = 'impossible_travel'
+  THEN 'geo_velocity_kmh' ELSE 'failed_auth_count_5min' END, '=1.0,rule_override_trigger=1.0') END AS top_features FROM rl""", masked_events)
+def predict_event(spark, sf):
+    """Type, confidence and features behind it for every event."""
+    return event_predictions(spark, sf).select(*PREDICTED, features_text().alias("top_features"))
+
+
+def features_text():
+    return F.array_join(F.transform("top_features", lambda f: F.concat_ws("=", f["feature"], f["weight"].cast("string"))), ",")
+
+
 def _weights(sequence_part: bool) -> str:
     parts = []
     for place, (f, w) in enumerate(IMPORTANCES.items()):
@@ -157,28 +164,41 @@ def top3_reasons(spark, sf):
     return rows.select("event_id", (F.col("rank") + 1).alias("rank"), "r.feature", "r.value")
 
 
-@query("explain_card", f"""SELECT event_id, {r4('round(score_ensemble, 4) AS risk_score')}, predicted_attack_type AS attack_type, cold AS cold_start,
-  CASE WHEN rule = 'impossible_travel' THEN 'geo_velocity_kmh,geo_distance_prev_km' WHEN rule = 'brute_force' THEN 'failed_auth_count_5min' ELSE '' END
-  AS rule_reasons, 3 AS n_reasons, history FROM ra
-  JOIN (SELECT event_id, array_to_string(list(concat_ws('|', event_id, {ISO}, resource_accessed)) OVER (PARTITION BY entity_id
-    ORDER BY ts_us, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), ';') AS history FROM al) USING (event_id)""")
-def explain_card(spark, sf):
-    """Cards of all alerts with the importances of the model. Reasons that rest on these are counted, those of a rule shown."""
-    alerts = derived.alerts(spark, sf)
+def alert_cards(spark, sf):
     model = models.classifier_fit(derived.flagged(spark, sf), chain.FEATURES)
-    cards = attribution.explain_cards(alerts, derived.access_log(spark, sf), models.importances(model, chain.FEATURES))
-    history = F.transform("entity_history_snippet", lambda h: F.concat_ws("|", h["event_id"], h["timestamp"], h["resource_accessed"]))
+    return attribution.explain_cards(derived.alerts(spark, sf), derived.access_log(spark, sf), models.importances(model, chain.FEATURES))
+
+
+def history_text():
+    return F.array_join(F.transform("entity_history_snippet", lambda h: F.concat_ws("|", h["event_id"], h["timestamp"], h["resource_accessed"])), ";")
+
+
+def masked_cards(spark, sf):
+    """Reasons that rest on the model are counted, those of a rule shown."""
+    alerts = derived.alerts(spark, sf)
     own = F.when(F.col("attack_type") == "impossible_travel", 2).when(F.col("attack_type") == "brute_force", 1).otherwise(0)
     by_rule = F.when(F.col("rule_shown"), F.array_join(F.slice(F.col("reasons.feature"), 1, own), ",")).otherwise(F.lit(""))
     told = F.size(F.filter("reasons", lambda r: F.length(r["narrative"]) > 0))
     sources = alerts.select("event_id", (F.col("prediction_source") != rules.MODEL_TEXT).alias("rule_shown"))
-    shown = cards.join(sources, "event_id").select(
-        "event_id", "risk_score", "attack_type", "cold_start", by_rule.alias("rule_reasons"), told.alias("n_reasons"),
-        F.array_join(history, ";").alias("history"),
+    shown = alert_cards(spark, sf).join(sources, "event_id").select(
+        "event_id", "risk_score", "attack_type", "cold_start", by_rule.alias("rule_reasons"), told.alias("n_reasons"), history_text().alias("history")
     )
     return derived.checkable(shown, alerts, "attack_type")
 
 
+@verdicts.shown("explain_card", f"""SELECT event_id, {r4('round(score_ensemble, 4) AS risk_score')}, predicted_attack_type AS attack_type, cold AS cold_start,
+  CASE WHEN rule = 'impossible_travel' THEN 'geo_velocity_kmh,geo_distance_prev_km' WHEN rule = 'brute_force' THEN 'failed_auth_count_5min' ELSE '' END
+  AS rule_reasons, 3 AS n_reasons, history FROM ra
+  JOIN (SELECT event_id, array_to_string(list(concat_ws('|', event_id, {ISO}, resource_accessed)) OVER (PARTITION BY entity_id
+    ORDER BY ts_us, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), ';') AS history FROM al) USING (event_id)""", masked_cards)
+def explain_card(spark, sf):
+    """The card of each alert: reasons by the importances of the model, in sentences, and the entity's last events."""
+    reasons = F.transform("reasons", lambda r: F.concat_ws(": ", r["feature"], r["narrative"]))
+    return alert_cards(spark, sf).select(
+        "event_id", "risk_score", "attack_type", "cold_start", F.array_join(reasons, "; ").alias("reasons"), history_text().alias("history")
+    )
+
+
 SEEN = "(SELECT * FROM sp WHERE label = 'normal' AND split IN ('train', 'val'))"
 REFIT = f"""(SELECT entity_id, count(*) AS num_events, avg(lat) AS home_lat, avg(lon) AS home_lon, avg(session_duration) AS duration_mean,
   CASE WHEN count(*) > 1 THEN stddev_pop(session_duration) ELSE 10.0e0 END AS duration_std, stddev_samp(hod) AS hour_std, var_pop(hod) AS hour_var,

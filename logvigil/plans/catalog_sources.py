@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from logvigil.functions.clock import iso_text
 from logvigil.operators import chain, scoring
-from logvigil.plans import derived
+from logvigil.plans import derived, verdicts
 from logvigil.plans.oracle import r4
 from logvigil.plans.registry import query
 from logvigil.session import scratch_dir
@@ -41,7 +41,7 @@ def src_scores(spark, sf):
     return readers.read_scores(spark, path, ("event_id", "score_ensemble", "threshold", "is_anomaly"))
 
 
-@query("src_live_jsonl", f"""SELECT cast(event_id AS varchar) AS event_id, {ISO} AS timestamp, entity_id, predicted_attack_type,
+@verdicts.shown("src_live_jsonl", f"""SELECT cast(event_id AS varchar) AS event_id, {ISO} AS timestamp, entity_id, predicted_attack_type,
   {r4('risk_score')} FROM ra""")
 def src_live_jsonl(spark, sf):
     rows = writers.live_rows(derived.alerts(spark, sf))
@@ -49,7 +49,7 @@ def src_live_jsonl(spark, sf):
     noise = rows.select(F.explode(F.array(F.lit(""), F.concat(F.lit('{"event_id": "'), "event_id"))).alias("value"))
     path = scratch_dir(spark)
     good.unionByName(noise).write.text(path)
-    return derived.checkable(readers.read_live_alerts(spark, path), derived.alerts(spark, sf))
+    return readers.read_live_alerts(spark, path)
 
 
 WINDOW_30D = "OVER (ORDER BY ts_us RANGE BETWEEN 2591999999999 PRECEDING AND CURRENT ROW)"
@@ -76,7 +76,7 @@ def snk_base_scores(spark, sf):
     return spark.read.parquet(path)
 
 
-@query("snk_predictions", f"""SELECT event_id, {ISO} AS timestamp, entity_id, label,
+@verdicts.shown("snk_predictions", f"""SELECT event_id, {ISO} AS timestamp, entity_id, label,
   CASE WHEN label = 'normal' THEN 'unknown' ELSE label END AS target_class, predicted_attack_type,
   CASE WHEN rule = 'impossible_travel' THEN 'Rule Override: geo_velocity_kmh > 900 km/h AND geo_distance > 500 km'
        WHEN rule = 'brute_force' THEN 'Rule Override: failed_auth_count_5min > 30' ELSE 'Spark ML Classifier' END AS prediction_source
@@ -84,7 +84,7 @@ def snk_base_scores(spark, sf):
 def snk_predictions(spark, sf):
     path = scratch_dir(spark)
     writers.write_predictions(derived.alerts(spark, sf), path)
-    return derived.checkable(spark.read.parquet(path), derived.alerts(spark, sf))
+    return spark.read.parquet(path)
 
 
 PROFILE_SQL = f"""SELECT entity_id, num_events, {r4('home_lat', 'home_lon', 'avg_radius', 'duration_mean', 'duration_std')}, last_ts_us,
@@ -118,7 +118,7 @@ def snk_feature_cache(spark, sf):
     return cached
 
 
-@query("snk_feedback", f"""SELECT {ISO} AS timestamp, cast(event_id AS varchar) AS event_id,
+@verdicts.shown("snk_feedback", f"""SELECT {ISO} AS timestamp, cast(event_id AS varchar) AS event_id,
   CASE WHEN part = 0 THEN 'False Positive' ELSE 'Confirm Attack (True Positive)' END AS analyst_action,
   predicted_attack_type, {r4('risk_score')}, concat('note ', part) AS comments
   FROM ra JOIN (SELECT 0 AS part UNION ALL SELECT 1) ON (label = 'normal') = (part = 0)""")
@@ -129,12 +129,12 @@ def snk_feedback(spark, sf):
     for part, (action, mine) in enumerate(parts):
         decided = rows.where(mine).withColumn("analyst_action", F.lit(action)).withColumn("comments", F.lit(f"note {part}"))
         writers.log_feedback(decided, path)
-    return derived.checkable(spark.read.schema(schema.FEEDBACK).parquet(path), derived.alerts(spark, sf))
+    return spark.read.schema(schema.FEEDBACK).parquet(path)
 
 
-@query("snk_live_jsonl", f"""SELECT cast(event_id AS varchar) AS event_id, {ISO} AS timestamp, entity_id, predicted_attack_type,
+@verdicts.shown("snk_live_jsonl", f"""SELECT cast(event_id AS varchar) AS event_id, {ISO} AS timestamp, entity_id, predicted_attack_type,
   {r4('risk_score')} FROM ra""")
 def snk_live_jsonl(spark, sf):
     path = scratch_dir(spark)
     writers.write_live_alerts(derived.alerts(spark, sf), path)
-    return derived.checkable(readers.read_live_alerts(spark, path), derived.alerts(spark, sf))
+    return readers.read_live_alerts(spark, path)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from logvigil.functions.clock import US_PER_HOUR, US_PER_SECOND
 from logvigil.operators import attribution, audit, profiles, ranks, sampling, scoring, sequence, timeline, trailing, triage
-from logvigil.plans import derived
+from logvigil.plans import derived, verdicts
 from logvigil.plans.catalog_columns import VOCAB
 from logvigil.plans.oracle import VELOCITY, r4
 from logvigil.plans.registry import query
@@ -141,10 +141,18 @@ def sort_events(spark, sf):
     return derived.access_log(spark, sf).select("entity_id", "ts_us", "event_id").orderBy("entity_id", "ts_us", "event_id")
 
 
-@query("alert_queue", f"SELECT event_id, entity_id, predicted_attack_type, {r4('risk_score')} FROM ra ORDER BY risk_score DESC, ts_us, event_id")
-def alert_queue(spark, sf):
+def queue(alerts):
+    return triage.alert_queue(alerts).select("event_id", "entity_id", "predicted_attack_type", "risk_score")
+
+
+def masked_queue(spark, sf):
     alerts = derived.alerts(spark, sf)
-    return triage.alert_queue(derived.checkable(alerts, alerts)).select("event_id", "entity_id", "predicted_attack_type", "risk_score")
+    return queue(derived.checkable(alerts, alerts))
+
+
+@verdicts.shown("alert_queue", f"SELECT event_id, entity_id, predicted_attack_type, {r4('risk_score')} FROM ra ORDER BY risk_score DESC, ts_us, event_id", masked_queue)
+def alert_queue(spark, sf):
+    return queue(derived.alerts(spark, sf))
 
 
 @query("queue_page", f"SELECT event_id, {r4('risk_score')} FROM (SELECT * FROM ra ORDER BY risk_score DESC, ts_us, event_id LIMIT 25 OFFSET 25)")

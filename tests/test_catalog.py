@@ -10,13 +10,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
-from logvigil.plans import registry
+from logvigil.functions import rules
+from logvigil.plans import derived, registry
 from tools.check import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
 DEFAULT = (
-    "src_logs", "snk_predictions", "baseline_features", "stat_profile_score", "sequence_surprise", "combined_features", "rolling_minmax",
-    "chrono_split", "hour_density", "vocab_encode", "model_comparison", "classification_report", "explain_card", "feature_narrative",
+    "src_logs", "snk_predictions_check", "baseline_features", "stat_profile_score", "sequence_surprise", "combined_features", "rolling_minmax",
+    "chrono_split", "hour_density", "vocab_encode", "model_comparison", "classification_report_check", "explain_card_check", "feature_narrative",
     "dq_audit", "detect_insider_drift", "stream_failed_auth", "rule_queue", "stratified_folds", "sample_replace",
 )
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables are not here")
@@ -40,11 +41,24 @@ def test_query_equals_sql(spark, con, name):
 
 def test_every_check_has_a_query():
     assert set(registry.CHECKS) <= set(registry.QUERIES)
-    assert set(registry.QUERIES) - set(registry.CHECKS) == {
+    unchecked = set(registry.QUERIES) - set(registry.CHECKS)
+    by_model = {name.removesuffix("_check") for name in registry.CHECKS if name.endswith("_check")}
+    assert unchecked == by_model | {
         "isolation_forest", "one_class_rbf", "threat_classifier", "baseline_selection", "oof_predictions", "oof_report", "oof_confusion",
     }
 
 
+def test_served_results_show_the_verdict(spark):
+    """No placeholder stands where the classifier has spoken."""
+    verdicts = {r["event_id"]: r["predicted_attack_type"] for r in spark_entry.queries()["alert_queue"](spark, SF).collect()}
+    assert set(verdicts.values()) <= {c for c in (*rules.CLASSES, rules.UNKNOWN) if c != rules.NORMAL}
+    report = {r["class"] for r in spark_entry.queries()["classification_report"](spark, SF).collect()}
+    assert set(verdicts.values()) <= report and derived.MODEL_VERDICT not in report
+    assert set(spark_entry.queries()["confusion_matrix"](spark, SF).columns).isdisjoint({derived.MODEL_VERDICT})
+    card = spark_entry.queries()["explain_card"](spark, SF).first()
+    assert card["attack_type"] == verdicts[card["event_id"]] and card["reasons"].count(": ") >= 3
+
+
 def test_entry(spark):
     rows = spark_entry.entry(spark)
     assert rows.columns[0] == "event_id" and rows.count() > 0
