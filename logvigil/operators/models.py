@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,14 +23,26 @@ from logvigil.session import written
 
 # fixed values
 TREES, TREE_ROWS = 100, 256
-DRAWS, SPARE_ROWS = 1 << 40, 64  # resolution of a draw; rows that make a short draw all but impossible
 EULER = 0.5772156649015329
 
-NODE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int, depth double"
+PRIME = 2_147_483_647  # draws are linear in a row's digest, modulo this
+SPARE_ROWS = 64  # rows that make a short draw all but impossible
+DIGITS = 4  # of features: one that is constant but for the noise of its arithmetic is constant
+NUDGE = 1e-9  # as in the registry of queries
+HEX = 1 << 32  # values of a digest's first eight digits
 
 
 def _vector(features: tuple[str, ...]):
-    return F.array(*[F.col(c).cast("double") for c in features])
+    return F.array(*[F.round(F.col(c).cast("double") + NUDGE, DIGITS) for c in features])
+
+
+def _digest(*parts) -> int:
+    """A number from 0 to HEX - 1 that is the same in every engine with md5."""
+    return int(hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()[:8], 16)
+
+
+def _digest_column(*parts: Column) -> Column:
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *[p.cast("string") for p in parts])), 1, 8), 16, 10).cast("long")
 
 
 def _mean_path(n: int) -> float:
@@ -39,54 +52,72 @@ def _mean_path(n: int) -> float:
     return 1.0 if n == 2 else 2.0 * (math.log(n - 1.0) + EULER) - 2.0 * (n - 1.0) / n
 
 
-def _grow(seed: int):
-    """Grow one isolation tree from the (at most 256) rows of its group."""
+def tree_rows(normal: DataFrame, features: tuple[str, ...], trees: int, rows_per_tree: int, seed: int) -> tuple[DataFrame, int]:
+    """Rows tree, x of all trees, and how many each tree has.
 
-    def grow(rows: pd.DataFrame) -> pd.DataFrame:
-        tree = int(rows["tree"].iloc[0])
-        rng = np.random.default_rng([seed, tree])
-        points = np.stack(rows.sort_values("place")["x"].to_numpy())
-        limit = math.ceil(math.log2(max(2, len(points))))
-        nodes: list[list] = []
+    A tree takes the rows with the smallest draws of its own, so trees are independent at every size. A row is handed on only for
+    the trees where its draw is below a bound that lets about twice the rows of a tree through.
+    """
+    total = normal.count()
+    bound = int(PRIME * min(1.0, 2.0 * (rows_per_tree + SPARE_ROWS) / max(1, total)))
+    factors = F.array(*[F.lit(1 + _digest(seed, t, "factor") % (PRIME - 1)) for t in range(trees)])
+    addends = F.array(*[F.lit(_digest(seed, t, "addend") % PRIME) for t in range(trees)])
+    draw = lambda t: (F.col("own") * factors[t] + addends[t]) % PRIME
+    own = _digest_column(F.lit(seed), F.lit("row"), F.col("event_id")) % PRIME
+    rows = normal.select("event_id", _vector(features).alias("x"), own.alias("own"))
+    drawn = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(t) < bound)
+    dealt = rows.select("event_id", "x", "own", F.explode(drawn).alias("tree"))
+    place = F.row_number().over(Window.partitionBy("tree").orderBy(draw(F.col("tree")), "event_id"))
+    per_tree = min(rows_per_tree, total)
+    return dealt.withColumn("place", place).where(F.col("place") <= per_tree).select("tree", "x"), per_tree
 
-        def add(part: np.ndarray, depth: int) -> int:
-            node = len(nodes)
-            nodes.append([tree, node, -1, 0.0, node, node, depth + _mean_path(len(part))])
-            low, high = part.min(axis=0), part.max(axis=0)
-            usable = np.flatnonzero(high > low)
-            if depth < limit and len(part) > 1 and len(usable):
-                feature = int(rng.choice(usable))
-                cut = float(rng.uniform(low[feature], high[feature]))
-                goes_left = part[:, feature] <= cut
-                if goes_left.all() or not goes_left.any():
-                    return node
-                nodes[node][2:4] = feature, cut
-                nodes[node][4] = add(part[goes_left], depth + 1)
-                nodes[node][5] = add(part[~goes_left], depth + 1)
-            return node
 
-        add(points, 0)
-        return pd.DataFrame(nodes, columns=["tree", "node", "feature", "cut", "left", "right", "depth"])
+def _level(rows: DataFrame, features: int, depth: int, limit: int, seed: int) -> DataFrame:
+    """The nodes of one level: rows in each, and the feature and the cut of those that split.
 
-    return grow
+    Feature and cut follow from a digest of tree and node, among the features that vary in the node.
+    """
+    x = F.col("x")
+    ends = [F.struct(F.lit(i).alias("i"), F.min(x[i]).alias("low"), F.max(x[i]).alias("high")) for i in range(features)]
+    nodes = rows.groupBy("tree", "node").agg(F.count("*").alias("n"), F.array(*ends).alias("ends"))
+    vary = F.filter("ends", lambda e: e["high"] > e["low"])
+    nodes = nodes.select("tree", "node", "n", vary.alias("vary"))
+    pick = _digest_column(F.lit(seed), F.col("tree"), F.col("node"), F.lit("feature"))
+    at = F.get("vary", (pick % F.size("vary")).cast("int"))
+    share = _digest_column(F.lit(seed), F.col("tree"), F.col("node"), F.lit("cut")) / float(HEX)
+    splits = (F.col("n") > 1) & (F.size("vary") > 0) & F.lit(depth < limit)
+    nodes = nodes.withColumn("at", F.when(splits, at))
+    cut = F.col("at.low") + share * (F.col("at.high") - F.col("at.low"))
+    return nodes.select("tree", "node", "n", F.col("at.i").alias("feature"), cut.alias("cut"))
 
 
 def isolation_forest_fit(
     normal: DataFrame, features: tuple[str, ...], trees: int = TREES, rows_per_tree: int = TREE_ROWS, seed: int = 42
 ) -> pd.DataFrame:
-    """Nodes of the forest (at most 512 per tree), trees grown in parallel.
+    """Nodes of the forest (at most 511 per tree), all trees grown together, level by level.
 
-    Each tree draws its rows by a hash of its own, the smallest ones, so trees are independent at every size. A row is
-    handed on only for the trees where its hash is below a bound that lets about twice the rows of a tree through.
+    A level is one aggregation over the rows of all trees. Its nodes come to the driver, at most trees * 2**depth of them, and go back as
+    the table that sends the rows on.
     """
-    total = normal.count()
-    per_tree = min(rows_per_tree, total)
-    bound = int(DRAWS * min(1.0, 2.0 * (rows_per_tree + SPARE_ROWS) / max(1, total)))
-    draw = lambda tree: F.pmod(F.xxhash64(F.lit(seed), tree, F.col("event_id")), F.lit(DRAWS))
-    drawn = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: draw(tree) < bound)
-    dealt = normal.select("event_id", _vector(features).alias("x"), F.explode(drawn).alias("tree"))
-    dealt = dealt.withColumn("place", F.row_number().over(Window.partitionBy("tree").orderBy(draw(F.col("tree")), "event_id")))
-    forest = dealt.where(F.col("place") <= per_tree).groupBy("tree").applyInPandas(_grow(seed), NODE_SCHEMA).toPandas()
+    rows, per_tree = tree_rows(normal, features, trees, rows_per_tree, seed)
+    rows = written(rows).withColumn("node", F.lit(0))
+    limit = math.ceil(math.log2(max(2, per_tree)))
+    spark, nodes = normal.sparkSession, []
+    for depth in range(limit + 1):
+        level = _level(rows, len(features), depth, limit, seed).toPandas()
+        split = level["feature"].notna()
+        left, right = 2 * level["node"] + 1, 2 * level["node"] + 2
+        nodes.append(pd.DataFrame({
+            "tree": level["tree"], "node": level["node"], "feature": level["feature"].fillna(-1).astype(int), "cut": level["cut"].fillna(0.0),
+            "left": left.where(split, level["node"]), "right": right.where(split, level["node"]),
+            "depth": [depth + _mean_path(int(n)) for n in level["n"]],
+        }))
+        if not split.any():
+            break
+        cuts = spark.createDataFrame(level.loc[split, ["tree", "node", "feature", "cut"]].astype({"feature": int}), "tree int, node int, feature int, cut double")
+        side = F.when(F.get("x", F.col("feature")) > F.col("cut"), 2).otherwise(1)
+        rows = rows.join(F.broadcast(cuts), ["tree", "node"]).select("tree", "x", (2 * F.col("node") + side).alias("node"))
+    forest = pd.concat(nodes, ignore_index=True)
     forest.attrs["rows"] = per_tree
     return forest
 
@@ -143,21 +174,31 @@ def _fourier(points: np.ndarray, mean, std, directions, shift) -> np.ndarray:
     return math.sqrt(2.0 / len(shift)) * np.cos(((points - mean) / std) @ directions + shift)
 
 
+def fourier_basis(columns: int, dims: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Standard normal directions (columns by dims) and shifts from 0 to 2 pi, from digests of seed and place."""
+
+    def even(*parts) -> float:
+        return (_digest(seed, *parts) + 0.5) / HEX
+
+    normal = lambda i, d: math.sqrt(-2.0 * math.log(even(i, d, "radius"))) * math.cos(2.0 * math.pi * even(i, d, "angle"))
+    directions = np.array([[normal(i, d) for d in range(dims)] for i in range(columns)]).reshape(columns, dims)
+    return directions, np.array([2.0 * math.pi * even(d, "shift") for d in range(dims)])
+
+
 def one_class_fit(normal: DataFrame, features: tuple[str, ...], dims: int = 512, seed: int = 42) -> OneClass:
     """Random Fourier features stand in for the kernel (error about 1 / sqrt(dims)). Two passes over all normal rows: column moments, then the mean of the mapped rows."""
+    x = _vector(features)
     moments = normal.agg(
-        *[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in features],
-        *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in features],
+        *[F.avg(x[i]).alias(f"m_{i}") for i in range(len(features))], *[F.stddev_pop(x[i]).alias(f"s_{i}") for i in range(len(features))]
     ).first()
-    mean = np.array([moments[f"m_{c}"] for c in features], dtype=float)
-    spread = np.array([moments[f"s_{c}"] for c in features], dtype=float)
+    mean = np.array([moments[f"m_{i}"] for i in range(len(features))], dtype=float)
+    spread = np.array([moments[f"s_{i}"] for i in range(len(features))], dtype=float)
     varying = int((spread > 0).sum())
     std = np.where(spread > 0, spread, 1.0)
     # kernel width 1 / (columns * variance); scaled columns have variance 1, or 0 if constant
     gamma = 1.0 / max(1, varying)
-    rng = np.random.default_rng(seed)
-    directions = rng.normal(0.0, math.sqrt(2.0 * gamma), (len(features), dims))
-    shift = rng.uniform(0.0, 2.0 * math.pi, dims)
+    directions, shift = fourier_basis(len(features), dims, seed)
+    directions = math.sqrt(2.0 * gamma) * directions
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, rows = np.zeros(dims), 0

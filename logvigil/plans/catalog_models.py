@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from logvigil.functions import rules
 from logvigil.operators import attribution, chain, metrics, models, profiles, sequence
-from logvigil.plans import derived, verdicts
+from logvigil.plans import derived, model_sql, verdicts
 from logvigil.plans.catalog_aggregates import normal
 from logvigil.plans.catalog_columns import RULE_TEXT, TARGET, base
 from logvigil.plans.catalog_sources import ISO, flat_profile
@@ -33,7 +33,7 @@ def stat_profile_score(spark, sf):
     return chain.base_scores(derived.learned(spark, sf)).select("event_id", "entity_id", "score", "density")
 
 
-@query("isolation_forest")
+@query("isolation_forest", f"SELECT event_id, label, {r4('iforest_score')} FROM {model_sql.FOREST}")
 def isolation_forest(spark, sf):
     rows = derived.features(spark, sf)
     train = rows.where((F.col("split") == "train") & (F.col("label") == "normal"))
@@ -41,7 +41,7 @@ def isolation_forest(spark, sf):
     return models.isolation_forest_score(rows, forest, profiles.BASE_FEATURES).select("event_id", "label", "iforest_score")
 
 
-@query("one_class_rbf")
+@query("one_class_rbf", f"SELECT event_id, label, {r4('one_class_score')} FROM {model_sql.ONE_CLASS}")
 def one_class_rbf(spark, sf):
     rows = derived.features(spark, sf)
     train = rows.where((F.col("split") == "train") & (F.col("label") == "normal"))
