@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from logvigil.operators import profiles, ranks, scoring, sequence, trailing
+from logvigil.functions import rules
+from logvigil.operators import metrics, models, profiles, ranks, scoring, sequence, trailing
 from logvigil.operators.timeline import DECIDED, find_hot, mark_hot
 from logvigil.session import written
 
@@ -55,6 +56,20 @@ def base_scores(learned: Learned, events: DataFrame | None = None) -> DataFrame:
     return profiles.stat_profile_score(features, learned.profiles, learned.everybody, learned.events)
 
 
+#: The base models, and the column that :func:`models.baseline_candidates` gives the score of each in.
+BASE_MODELS = {"stat_profile": "score", "isolation_forest": "iforest_score", "one_class": "one_class_score"}
+
+
+def best_base_scores(scored: DataFrame) -> tuple[DataFrame, str]:
+    """``scored`` (a table from :func:`base_scores`) with ``score`` by the base model that has the largest ROC area on the validation part, and
+    the name of that model; ties go by name."""
+    rows = written(models.baseline_candidates(scored, profiles.BASE_FEATURES))
+    val = rows.where(F.col("split") == "val").withColumn("y", rules.binary_label(F.col("label")))
+    best = metrics.model_comparison(val, BASE_MODELS).where("best = 1").first()["model"]
+    drop = [c for name, c in BASE_MODELS.items() if c != "score"]
+    return rows.withColumn("score", F.col(BASE_MODELS[best])).drop(*drop), best
+
+
 def sequence_errors(split_events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Add the seven sequence errors and their sum to all events, learned from the training part."""
     rows = sequence.with_last_values(mark_hot(split_events, hot), hot_rows=DECIDED)
@@ -67,12 +82,15 @@ def sequence_errors(split_events: DataFrame, hot: DataFrame | None = None) -> Da
     return rows.select(*split_events.columns, *sequence.ERROR_COLUMNS, "seq_error")
 
 
-def ensemble_scores(learned: Learned) -> DataFrame:
+def ensemble_scores(learned: Learned, best_base: bool = False) -> DataFrame:
     """Base score, sequence errors, ensemble, threshold and flag per event.
 
-    Each step adds columns to the same rows; nothing is joined back by event.
+    Each step adds columns to the same rows; nothing is joined back by event. The base score is the profile's, or with ``best_base``
+    that of the base model that wins on the validation part.
     """
     scored = written(base_scores(learned, sequence_errors(learned.events, learned.hot)))
+    if best_base:
+        scored, _ = best_base_scores(scored)
     rows = scoring.ensemble(scored)
     rows = scoring.add_flag(rows, scoring.calibrated_threshold(rows), "score_ensemble")
     return scoring.rolling_minmax(rows, "score_ensemble", "score_rolling_ensemble")

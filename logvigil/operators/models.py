@@ -29,6 +29,7 @@ PRIME = 2_147_483_647  # draws are linear in a row's digest, modulo this
 SPARE_ROWS = 64  # rows that make a short draw all but impossible
 DIGITS = 4  # of features: one that is constant but for the noise of its arithmetic is constant
 NUDGE = 1e-9  # as in the registry of queries
+SCORE_DIGITS = 9
 HEX = 1 << 32  # values of a digest's first eight digits
 
 
@@ -320,8 +321,10 @@ def cv_oof(flagged: DataFrame, features: tuple[str, ...], label: str = "target_c
 def baseline_candidates(scored: DataFrame, features: tuple[str, ...], seed: int = 42) -> DataFrame:
     """Add the scores of the two trained models beside the statistical ``score``.
 
-    Both learn from normal training rows; ``scored`` is a table with ``split`` and ``label``.
+    Both learn from normal training rows; ``scored`` is a table with ``split`` and ``label``. Scores are rounded to nine places, so that rows
+    that are alike in all features tie whatever order their parts were added in.
     """
     normal = scored.where((F.col("split") == "train") & (F.col("label") == rules.NORMAL))
     rows = isolation_forest_score(scored, isolation_forest_fit(normal, features, seed=seed), features)
-    return one_class_score(rows, one_class_fit(normal, features, seed=seed))
+    rows = one_class_score(rows, one_class_fit(normal, features, seed=seed))
+    return rows.withColumns({c: F.round(c, SCORE_DIGITS) for c in ("iforest_score", "one_class_score")})

@@ -163,11 +163,16 @@ TOP_RATES = r4(
 )
 
 
-@query("model_comparison", "SELECT *, CASE WHEN row_number() OVER (ORDER BY roc_auc DESC, model) = 1 THEN 1 ELSE 0 END AS best FROM ("
-       + " UNION ALL ".join(
-           f"SELECT '{m}' AS model, c.*, f.* FROM (SELECT {r4(ROC + ' AS roc_auc', PR + ' AS pr_auc')} FROM {CURVE.format(score=s, split='val')}) c,"
-           f" (SELECT {TOP_RATES} FROM {TOP.format(score=s, split='val')}) f"
-           for m, s in MODELS.items()) + ")")
+def comparison_sql(scores: dict[str, str], table: str = "e1") -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT '{m}' AS model, c.*, f.* FROM (SELECT {r4(ROC + ' AS roc_auc', PR + ' AS pr_auc')} FROM {CURVE.format(score=s, split='val')}) c,"
+        f" (SELECT {TOP_RATES} FROM {TOP.format(score=s, split='val')}) f"
+        for m, s in scores.items())
+    parts = parts.replace("FROM e1 WHERE", f"FROM {table} WHERE")
+    return f"SELECT *, CASE WHEN row_number() OVER (ORDER BY roc_auc DESC, model) = 1 THEN 1 ELSE 0 END AS best FROM ({parts})"
+
+
+@query("model_comparison", comparison_sql(MODELS))
 def model_comparison(spark, sf):
     return metrics.model_comparison(judged(spark, sf, "val"), MODELS)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from logvigil.functions import rules
 from logvigil.operators import attribution, chain, metrics, models, profiles, sequence
 from logvigil.plans import derived, model_sql, verdicts
-from logvigil.plans.catalog_aggregates import normal
+from logvigil.plans.catalog_aggregates import comparison_sql, normal
 from logvigil.plans.catalog_columns import RULE_TEXT, TARGET, base
 from logvigil.plans.catalog_sources import ISO, flat_profile
 from logvigil.plans.oracle import hav, r4
@@ -49,13 +49,28 @@ def one_class_rbf(spark, sf):
     return models.one_class_score(rows, model).select("event_id", "label", "one_class_score")
 
 
-@query("baseline_selection")
+CANDIDATES = f"""cand AS MATERIALIZED (SELECT event_id, label, split, score, round(iforest_score, {models.SCORE_DIGITS}) AS iforest_score,
+  round(one_class_score, {models.SCORE_DIGITS}) AS one_class_score FROM (SELECT event_id, label, split, score FROM bs)
+  JOIN (SELECT event_id, iforest_score FROM {model_sql.FOREST}) USING (event_id)
+  JOIN (SELECT event_id, one_class_score FROM {model_sql.ONE_CLASS}) USING (event_id))"""
+COMPARED = comparison_sql(chain.BASE_MODELS, "cand")
+
+
+@query("baseline_selection", f"SELECT * FROM (WITH {CANDIDATES} {COMPARED})")
 def baseline_selection(spark, sf):
     """Validation metrics of the three base models; the best by ROC area is marked."""
     rows = written(models.baseline_candidates(derived.features(spark, sf), profiles.BASE_FEATURES))
     val = rows.where(F.col("split") == "val").withColumn("y", rules.binary_label(F.col("label")))
-    names = {"stat_profile": "score", "isolation_forest": "iforest_score", "one_class": "one_class_score"}
-    return metrics.model_comparison(val, names)
+    return metrics.model_comparison(val, chain.BASE_MODELS)
+
+
+@query("best_base_scores", f"""SELECT event_id, model, {r4('score')} FROM (WITH {CANDIDATES}, best AS (SELECT model FROM ({COMPARED}) WHERE best = 1)
+  SELECT event_id, model, CASE model WHEN 'isolation_forest' THEN iforest_score WHEN 'one_class' THEN one_class_score ELSE score END AS score
+  FROM cand CROSS JOIN best)""")
+def best_base_scores(spark, sf):
+    """All events scored with the base model that wins on the validation part."""
+    rows, model = chain.best_base_scores(derived.scored(spark, sf))
+    return rows.select("event_id", F.lit(model).alias("model"), "score")
 
 
 @query("sequence_surprise", f"SELECT event_id, {r4(*sequence.ERROR_COLUMNS, 'seq_error')} FROM et")

@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 DEFAULT = (
     "src_logs", "snk_predictions_check", "baseline_features", "stat_profile_score", "sequence_surprise", "combined_features", "rolling_minmax",
     "chrono_split", "hour_density", "vocab_encode", "model_comparison", "classification_report_check", "explain_card_check", "feature_narrative",
-    "dq_audit", "detect_insider_drift", "stream_failed_auth", "rule_queue", "stratified_folds", "sample_replace",
+    "dq_audit", "detect_insider_drift", "best_base_scores", "stream_failed_auth", "rule_queue", "stratified_folds", "sample_replace",
 )
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables are not here")
 
@@ -44,7 +44,7 @@ def test_every_check_has_a_query():
     unchecked = set(registry.QUERIES) - set(registry.CHECKS)
     by_model = {name.removesuffix("_check") for name in registry.CHECKS if name.endswith("_check")}
     assert unchecked == by_model | {
-        "isolation_forest", "one_class_rbf", "threat_classifier", "baseline_selection", "oof_predictions", "oof_report", "oof_confusion",
+        "threat_classifier", "oof_predictions", "oof_report", "oof_confusion",
     }
 
 

@@ -27,6 +27,21 @@ def test_hot_entities_change_nothing(spark, monkeypatch):
         assert sliced[column].to_numpy() == pytest.approx(plain[column].to_numpy(), rel=1e-9, abs=1e-9), column
 
 
+def test_ensemble_follows_the_base_model_that_wins(spark, monkeypatch):
+    """Profile scores that say nothing lose to the trained models, and the ensemble then rests on the winner."""
+    learned = chain.learn(derived.access_log(spark, SF))
+    plain = chain.base_scores
+    monkeypatch.setattr(chain, "base_scores", lambda *args: plain(*args).withColumn("score", F.lit(0.5)))
+    scored = written(chain.base_scores(learned))
+    rows, model = chain.best_base_scores(scored)
+    assert model in ("isolation_forest", "one_class")
+    best = {r["event_id"]: r["score"] for r in rows.collect()}
+    assert len(set(best.values())) > 100 and set(rows.columns) == set(scored.columns)
+    ensemble = chain.ensemble_scores(learned, best_base=True)
+    assert {r["event_id"]: r["score"] for r in ensemble.collect()} == pytest.approx(best)
+    assert {r["score"] for r in chain.ensemble_scores(learned).collect()} == {0.5}
+
+
 def test_from_csv_to_cards(spark, tmp_path):
     for name, table in (("logs", derived.raw_logs(spark, SF)), ("labels", derived.labels(spark, SF))):
         table.write.option("header", True).option("escape", '"').csv(str(tmp_path / name))
