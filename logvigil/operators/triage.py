@@ -101,11 +101,26 @@ def filter_domains(alerts: DataFrame) -> DataFrame:
 
 
 def event_lookup(events: DataFrame, event_id) -> DataFrame:
-    """Rows of one event; an unknown id is an error. The filter reaches the scan."""
+    """Rows of one event; an unknown id is an error. The filter reaches the scan, which runs once. For tables that are looked up
+    often see :mod:`logvigil.sources.stores`."""
     found = events.where(F.col("event_id") == event_id)
-    if found.isEmpty():
+    rows = found.collect()  # an id names one event
+    if not rows:
         raise ValueError(f"no event with id {event_id}")
-    return found
+    return events.sparkSession.createDataFrame(rows, events.schema)
+
+
+def latest_decisions(feedback: DataFrame) -> DataFrame:
+    """The last decision on each event (as text): event_id, analyst_action, comments, decided_at."""
+    last = F.max_by(F.struct("analyst_action", "comments", "timestamp"), F.struct("timestamp", "decision_id"))
+    return feedback.groupBy("event_id").agg(last.alias("d")).select("event_id", "d.analyst_action", "d.comments", F.col("d.timestamp").alias("decided_at"))
+
+
+def with_decisions(alerts: DataFrame, feedback: DataFrame) -> DataFrame:
+    """Alerts with the last decision on them and ``open``, true where there is none."""
+    known = latest_decisions(feedback).withColumnRenamed("event_id", "decided_event")
+    rows = alerts.join(known, F.col("event_id").cast("string") == F.col("decided_event"), "left")
+    return rows.withColumn("open", F.col("decided_event").isNull()).drop("decided_event")
 
 
 def hour_histogram(events: DataFrame, entity_id: str | None = None) -> DataFrame:

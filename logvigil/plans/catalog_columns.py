@@ -11,7 +11,7 @@ from logvigil.plans import derived, verdicts
 from logvigil.plans.catalog_sources import ISO
 from logvigil.plans.oracle import hav, r4
 from logvigil.plans.registry import query
-from logvigil.sources import readers
+from logvigil.sources import readers, stores
 
 TARGET = "CASE WHEN label = 'normal' THEN 'unknown' ELSE label END AS target_class"
 
@@ -348,7 +348,9 @@ def queue_search(spark, sf):
 
 @query("event_lookup", f"SELECT event_id, entity_id, {r4('lat', 'lon')}, label FROM al WHERE event_id = 46")
 def event_lookup(spark, sf):
-    return triage.event_lookup(derived.access_log(spark, sf), 46).select("event_id", "entity_id", "lat", "lon", "label")
+    """One event out of a table laid out for such reads: one folder of ids, then one day."""
+    found = stores.stored_event(spark, derived.event_store(spark, sf), 46)
+    return found.select("event_id", "entity_id", "lat", "lon", "label")
 
 
 @query("join_logs_labels", "SELECT event_id, entity_id, label FROM al")

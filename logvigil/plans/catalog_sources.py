@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from logvigil.functions.clock import iso_text
-from logvigil.operators import chain, scoring
+from logvigil.operators import chain, scoring, triage
 from logvigil.plans import derived, verdicts
 from logvigil.plans.oracle import r4
 from logvigil.plans.registry import query
@@ -114,7 +114,9 @@ def snk_feature_cache(spark, sf):
     path = scratch_dir(spark)
     columns = ("event_id", "norm_session_duration", "geo_velocity_kmh", "rec_err_resource", "score_ensemble", "failed_auth_count_5min")
     for _ in range(2):  # the second call only reads
-        cached = writers.cached_table(spark, path, lambda: derived.features(spark, sf).select(*columns))
+        cached = writers.cached_table(
+            spark, path, lambda: derived.features(spark, sf).select(*columns), inputs=[f"{sf}/events.parquet"], columns=columns
+        )
     return cached
 
 
@@ -128,8 +130,24 @@ def snk_feedback(spark, sf):
     parts = (("False Positive", F.col("label") == "normal"), ("Confirm Attack (True Positive)", F.col("label") != "normal"))
     for part, (action, mine) in enumerate(parts):
         decided = rows.where(mine).withColumn("analyst_action", F.lit(action)).withColumn("comments", F.lit(f"note {part}"))
-        writers.log_feedback(decided, path)
-    return spark.read.schema(schema.FEEDBACK).parquet(path)
+        for _ in range(2):  # a write that is repeated
+            writers.log_feedback(decided, path)
+    return readers.read_feedback(spark, path).select(*[f.name for f in schema.FEEDBACK])
+
+
+@query("queue_decisions", f"""SELECT event_id, {r4('risk_score')}, CASE WHEN event_id % 3 = 0 THEN NULL
+  WHEN label = 'normal' THEN 'False Positive' ELSE 'Confirm Attack (True Positive)' END AS analyst_action, event_id % 3 = 0 AS open FROM ra""")
+def queue_decisions(spark, sf):
+    """The queue with the last decision on each alert: all decided ones are first called false, and attacks confirmed an hour later."""
+    path = scratch_dir(spark)
+    rows = derived.alerts(spark, sf)
+    decided = rows.where("event_id % 3 <> 0").withColumn("comments", F.lit(None).cast("string"))
+    hour = 3_600_000_000
+    parts = (("False Positive", F.lit(True), 0), ("Confirm Attack (True Positive)", F.col("label") != "normal", hour))
+    for action, mine, later in parts:
+        said = decided.where(mine).withColumns({"analyst_action": F.lit(action), "timestamp": iso_text(F.col("ts_us") + later)})
+        writers.log_feedback(said, path)
+    return triage.with_decisions(rows, readers.read_feedback(spark, path)).select("event_id", "risk_score", "analyst_action", "open")
 
 
 @verdicts.shown("snk_live_jsonl", f"""SELECT cast(event_id AS varchar) AS event_id, {ISO} AS timestamp, entity_id, predicted_attack_type,

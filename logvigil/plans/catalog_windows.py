@@ -10,6 +10,7 @@ from logvigil.plans import derived, verdicts
 from logvigil.plans.catalog_columns import VOCAB
 from logvigil.plans.oracle import VELOCITY, r4
 from logvigil.plans.registry import query
+from logvigil.sources import stores
 
 
 @query("geo_velocity", f"SELECT event_id, {r4('km AS geo_distance_prev_km', VELOCITY + ' AS geo_velocity_kmh')} FROM gv")
@@ -112,6 +113,25 @@ def geo_trajectory(spark, sf):
     return triage.geo_trajectory(derived.access_log(spark, sf))
 
 
+FIRST_ENTITY = "(SELECT min(entity_id) FROM al)"
+
+
+def first_entity_events(spark, sf):
+    """Events of the first entity, out of the table laid out for such reads."""
+    first = derived.access_log(spark, sf).agg(F.min("entity_id")).first()[0]
+    return stores.stored_entity(spark, derived.event_store(spark, sf), first)
+
+
+@query("entity_trajectory", f"SELECT entity_id, event_id, ts_us, {r4('lat', 'lon')}, source_ip FROM {_last(20, 'al')} AND entity_id = {FIRST_ENTITY}")
+def entity_trajectory(spark, sf):
+    return triage.geo_trajectory(first_entity_events(spark, sf))
+
+
+@query("entity_hours", f"SELECT entity_id, cast(floor(hod) AS integer) AS hour, count(*) AS n FROM al WHERE entity_id = {FIRST_ENTITY} GROUP BY ALL")
+def entity_hours(spark, sf):
+    return triage.hour_histogram(first_entity_events(spark, sf))
+
+
 @query("decay_timeline", f"SELECT entity_id, event_id, ts_us, {r4('profile_decay_factor')} FROM bf")
 def decay_timeline(spark, sf):
     return triage.decay_timeline(derived.features(spark, sf))
@@ -157,7 +177,26 @@ def alert_queue(spark, sf):
 
 @query("queue_page", f"SELECT event_id, {r4('risk_score')} FROM (SELECT * FROM ra ORDER BY risk_score DESC, ts_us, event_id LIMIT 25 OFFSET 25)")
 def queue_page(spark, sf):
-    return triage.queue_page(derived.alerts(spark, sf), 2).select("event_id", "risk_score")
+    return stores.stored_page(spark, derived.queue_store(spark, sf), 2, triage.PAGE_SIZE).select("event_id", "risk_score")
+
+
+@query("queue_page_deep", f"""SELECT event_id, {r4('risk_score')} FROM (SELECT *, row_number() OVER (ORDER BY risk_score DESC, ts_us, event_id) - 1 AS place,
+  count(*) OVER () AS alerts FROM ra) WHERE place >= (ceil(alerts / 25.0e0) - 1) * 25""")
+def queue_page_deep(spark, sf):
+    """The last page, which reads no more than the first."""
+    store = derived.queue_store(spark, sf)
+    last = stores.stored_pages(spark, store, triage.PAGE_SIZE)
+    return stores.stored_page(spark, store, last, triage.PAGE_SIZE).select("event_id", "risk_score")
+
+
+@query("queue_after", f"SELECT event_id, {r4('risk_score')} FROM (SELECT * FROM ra ORDER BY risk_score DESC, ts_us, event_id LIMIT 25 OFFSET 40)")
+def queue_after(spark, sf):
+    """The alerts that follow on the fortieth."""
+    store = derived.queue_store(spark, sf)
+    seen = stores.stored_page(spark, store, 2, 20).collect()
+    if len(seen) < 20:
+        return derived.alerts(spark, sf).select("event_id", "risk_score").limit(0)
+    return stores.stored_after(spark, store, *[seen[-1][c] for c in stores.QUEUE_ORDER], triage.PAGE_SIZE).select("event_id", "risk_score")
 
 
 @query("queue_page_count", "SELECT greatest(1, cast(ceil(count(*) / 25.0e0) AS bigint)) AS pages FROM ra")

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from logvigil.functions import rules
 from logvigil.functions.clock import iso_text
 from logvigil.operators import chain, models, scoring
-from logvigil.session import written
+from logvigil.session import scratch_dir, written
+from logvigil.sources import stores
 
 # fixed values: 2024-01-01 UTC in microseconds
 START_US = 1704067200000000
@@ -171,6 +172,28 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_store(spark: SparkSession, sf_dir: str) -> str:
+    """Where the log lies by day and entity."""
+
+    def build() -> str:
+        path = scratch_dir(spark)
+        stores.write_events(access_log(spark, sf_dir), path)
+        return path
+
+    return shared(spark, sf_dir, "event_store", build)
+
+
+def queue_store(spark: SparkSession, sf_dir: str) -> str:
+    """Where the alerts lie in ranges of the queue's order."""
+
+    def build() -> str:
+        path = scratch_dir(spark)
+        stores.write_queue(alerts(spark, sf_dir), path, range_rows=100)
+        return path
+
+    return shared(spark, sf_dir, "queue_store", build)
+
+
 def signals() -> tuple:
     return tuple(F.col(c) for c in ("geo_velocity_kmh", "geo_distance_prev_km", "failed_auth_count_5min"))
 

@@ -66,6 +66,11 @@ def read_scores(spark: SparkSession, path: str, columns: tuple[str, ...]) -> Dat
     return spark.read.parquet(path).select(*columns)
 
 
+def read_feedback(spark: SparkSession, path: str) -> DataFrame:
+    """One row per decision, also if two writers appended it at the same time."""
+    return spark.read.parquet(path).dropDuplicates(["decision_id"])
+
+
 def read_live_alerts(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines; blank and malformed lines are dropped."""
     return spark.read.schema(schema.LIVE_ALERT).options(mode="DROPMALFORMED", recursiveFileLookup=True).json(path)

@@ -42,8 +42,8 @@ def test_feedback_appends(spark, tmp_path):
     path = str(tmp_path / "feedback")
     row = spark.createDataFrame([("c", "x", 0.5, "False Positive", "t", "unknown", 3)],
                                 "comments string, event_id string, risk_score double, analyst_action string, timestamp string, predicted_attack_type string, extra int")
-    for _ in range(3):
-        writers.log_feedback(row, path)
+    for event in "xyz":
+        writers.log_feedback(row.withColumn("event_id", F.lit(event)), path)
     back = spark.read.schema(schema.FEEDBACK).parquet(path)
     assert back.count() == 3 and back.first()["analyst_action"] == "False Positive"
 
