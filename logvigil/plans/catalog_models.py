@@ -14,7 +14,7 @@ from logvigil.plans.oracle import hav, r4
 from logvigil.plans.registry import query
 from logvigil.session import written
 
-# a given importance table: falling with the place of the feature
+# a given importance table, for the checks: falling with the place of the feature
 IMPORTANCES = {f: round(1.0 / (i + 1), 4) for i, f in enumerate(chain.FEATURES)}
 
 
@@ -154,15 +154,45 @@ def _weights(sequence_part: bool) -> str:
     return "(" + " UNION ALL ".join(parts) + ")"
 
 
-@query("importance_attribution", f"""SELECT event_id, cast(rank AS integer) AS rank, feature, {r4('value', 'weight')} FROM (SELECT *, row_number() OVER
-  (PARTITION BY event_id ORDER BY weight DESC, place) AS rank FROM {_weights(False)}) WHERE rank <= 3""")
+def model_importances(spark, sf):
+    """Importances of the classifier fitted on all flagged events, by feature."""
+
+    def fitted():
+        return models.importances(models.classifier_fit(derived.flagged(spark, sf), chain.FEATURES), chain.FEATURES)
+
+    return derived.shared(spark, sf, "importances", fitted)
+
+
+def by_importance(spark, sf, weights):
+    return attribution.importance_attribution(derived.alerts(spark, sf), weights)
+
+
+def by_both(spark, sf, weights):
+    return attribution.combined_attribution(derived.alerts(spark, sf), weights)
+
+
+def three_reasons(spark, sf, weights):
+    rows = attribution.with_reasons(derived.alerts(spark, sf), weights)
+    rows = rows.select("event_id", F.posexplode("reasons").alias("rank", "r"))
+    return rows.select("event_id", (F.col("rank") + 1).alias("rank"), "r.feature", "r.value")
+
+
+def with_given(attributed):
+    """The same with the given importances, which SQL knows."""
+    return lambda spark, sf: attributed(spark, sf, IMPORTANCES)
+
+
+@verdicts.shown("importance_attribution", f"""SELECT event_id, cast(rank AS integer) AS rank, feature, {r4('value', 'weight')} FROM (SELECT *, row_number() OVER
+  (PARTITION BY event_id ORDER BY weight DESC, place) AS rank FROM {_weights(False)}) WHERE rank <= 3""", with_given(by_importance))
 def importance_attribution(spark, sf):
-    return attribution.importance_attribution(derived.alerts(spark, sf), IMPORTANCES)
+    """The three features of each alert with the largest value times importance in the fitted model."""
+    return by_importance(spark, sf, model_importances(spark, sf))
 
 
-@query("combined_attribution", f"SELECT event_id, feature, {r4('value', 'weight')} FROM {_weights(True)}")
+@verdicts.shown("combined_attribution", f"SELECT event_id, feature, {r4('value', 'weight')} FROM {_weights(True)}", with_given(by_both))
 def combined_attribution(spark, sf):
-    return attribution.combined_attribution(derived.alerts(spark, sf), IMPORTANCES)
+    """Model weights and sequence errors of each feature together."""
+    return by_both(spark, sf, model_importances(spark, sf))
 
 
 REASONS_SQL = f"""(SELECT event_id, feature, value, row_number() OVER
@@ -172,16 +202,14 @@ REASONS_SQL = f"""(SELECT event_id, feature, value, row_number() OVER
     FROM {_weights(True)} w JOIN (SELECT event_id, rule FROM ra) USING (event_id)))"""
 
 
-@query("top3_reasons", f"SELECT event_id, cast(rank AS integer) AS rank, feature, {r4('value')} FROM {REASONS_SQL} WHERE rank <= 3")
+@verdicts.shown("top3_reasons", f"SELECT event_id, cast(rank AS integer) AS rank, feature, {r4('value')} FROM {REASONS_SQL} WHERE rank <= 3", with_given(three_reasons))
 def top3_reasons(spark, sf):
-    rows = attribution.with_reasons(derived.alerts(spark, sf), IMPORTANCES)
-    rows = rows.select("event_id", F.posexplode("reasons").alias("rank", "r"))
-    return rows.select("event_id", (F.col("rank") + 1).alias("rank"), "r.feature", "r.value")
+    """Trigger of the rule first, then features by both weights."""
+    return three_reasons(spark, sf, model_importances(spark, sf))
 
 
 def alert_cards(spark, sf):
-    model = models.classifier_fit(derived.flagged(spark, sf), chain.FEATURES)
-    return attribution.explain_cards(derived.alerts(spark, sf), derived.access_log(spark, sf), models.importances(model, chain.FEATURES))
+    return attribution.explain_cards(derived.alerts(spark, sf), derived.access_log(spark, sf), model_importances(spark, sf))
 
 
 def history_text():

@@ -43,6 +43,7 @@ def test_every_check_has_a_query():
     assert set(registry.CHECKS) <= set(registry.QUERIES)
     unchecked = set(registry.QUERIES) - set(registry.CHECKS)
     by_model = {name.removesuffix("_check") for name in registry.CHECKS if name.endswith("_check")}
+    assert by_model <= set(registry.QUERIES)
     assert unchecked == by_model | {
         "threat_classifier", "oof_predictions", "oof_report", "oof_confusion",
     }
@@ -55,6 +56,9 @@ def test_served_results_show_the_verdict(spark):
     report = {r["class"] for r in spark_entry.queries()["classification_report"](spark, SF).collect()}
     assert set(verdicts.values()) <= report and derived.MODEL_VERDICT not in report
     assert set(spark_entry.queries()["confusion_matrix"](spark, SF).columns).isdisjoint({derived.MODEL_VERDICT})
+    first = {r["feature"] for r in spark_entry.queries()["importance_attribution"](spark, SF).where("rank = 1").collect()}
+    given = {r["feature"] for r in spark_entry.queries()["importance_attribution_check"](spark, SF).where("rank = 1").collect()}
+    assert first and first != given
     card = spark_entry.queries()["explain_card"](spark, SF).first()
     assert card["attack_type"] == verdicts[card["event_id"]] and card["reasons"].count(": ") >= 3
 
