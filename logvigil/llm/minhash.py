@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from logvigil.llm import graph, grams
-from logvigil.llm.tables import slices, unused
+from logvigil.llm.tables import slices, small_batches, unused
 from logvigil.session import discard, written
 
 MINIMA = 128
@@ -251,7 +251,8 @@ def classed(docs: DataFrame, params: Params = Params(), key: str = "doc_id", tex
     component_id is the smallest key in the component. Rows without words have a null node and their own key as component. Null keys
     take part; a component of null keys alone has a null component_id. Repeated rows are of one class. Other columns are dropped.
     """
-    rows, known = _components(docs, params, key, text)
+    with small_batches(docs.sparkSession):
+        rows, known = _components(docs, params, key, text)
     return rows.select("key", "n_shingles", "node").join(known.select("node", "component_id"), "node", "left").select(
         F.col("key").alias(key), "n_shingles", "node", F.when(F.col("node").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id")
     )
@@ -326,7 +327,8 @@ def deduplicated(
     Rows without words are no duplicates and all stay. Groups are told apart by their texts, so rows with null keys stay if their texts
     differ. With ``one_per_key`` a key names one document: of groups with the same smallest key one stays.
     """
-    _, known = _components(docs, params, key, text)
+    with small_batches(docs.sparkSession):
+        _, known = _components(docs, params, key, text)
     node, spare = unused(docs, "node"), unused(docs, "keep")
     smallest = F.col("least").eqNullSafe(F.col("component_id"))
     group = F.when(F.col("component_id").isNull(), F.col("final")) if one_per_key else F.col("final")

@@ -28,11 +28,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logvigil.llm import grams
-from logvigil.llm.tables import slices, unused
+from logvigil.llm.tables import slices, small_batches, unused
 from logvigil.session import discard, written
 
 POSITION_BITS = 20
-BATCH = 100_000  # strings handed on at once
+BATCH = 20_000  # strings handed on at once
 PIECE = 1 << 18  # bytes worked on at once; a longer text is worked on in pieces that overlap
 IS_SPACE = np.isin(np.arange(256), grams.SPACES)
 BYTE = grams.mix(np.arange(1, 257, dtype=np.uint64) * grams.M3)
@@ -164,20 +164,18 @@ def packed(docs: DataFrame, keep: list[str], depth: Depth) -> DataFrame:
 def spread(rows: DataFrame, depth: Depth) -> DataFrame:
     """The strings of the ranges in a text's list (column open), each with its bucket and 400-byte pointer."""
 
-    def strings(t: bytes, text: bytes, listed: list[dict]) -> Iterator[list[pa.Array]]:
-        for i in range(0, len(listed), 500):
-            few = listed[i : i + 500]
-            raw = np.frombuffer(b"".join(text[r["low"] : r["high"] + depth.whole] for r in few), np.uint8)
+    def strings(t: bytes, text: bytes, buckets: np.ndarray, lows: np.ndarray, highs: np.ndarray, settled: np.ndarray) -> Iterator[list[pa.Array]]:
+        for i in range(0, len(lows), 500):
+            few = slice(i, i + 500)
+            low, counts = lows[few].astype(np.int64), (highs[few] - lows[few] + 1).astype(np.int64)
+            raw = np.frombuffer(b"".join(text[a : a + n + depth.whole - 1] for a, n in zip(low.tolist(), counts.tolist())), np.uint8)
             whole = refined(raw, depth)[1]
-            lows = np.array([r["low"] for r in few])
-            counts = np.array([r["high"] for r in few]) - lows + 1
             begin = np.cumsum(counts + depth.whole - 1) - (counts + depth.whole - 1)
             nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            buckets, settled = np.array([r["bucket"] for r in few], np.int64), np.array([r["settled"] for r in few], bool)
             pointer = whole[np.repeat(begin, counts) + nth].view(np.int64)
             yield [
-                pa.array([t], pa.binary()).take(pa.array(np.zeros(len(nth), np.int32))), pa.array(np.repeat(buckets, counts)),
-                pa.array(pointer), pa.array((np.repeat(lows, counts) + nth).astype(np.int32)), pa.array(np.repeat(settled, counts)),
+                pa.array([t], pa.binary()).take(pa.array(np.zeros(len(nth), np.int32))), pa.array(np.repeat(buckets[few], counts)),
+                pa.array(pointer), pa.array((np.repeat(low, counts) + nth).astype(np.int32)), pa.array(np.repeat(settled[few], counts)),
             ]
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,8 +184,12 @@ def spread(rows: DataFrame, depth: Depth) -> DataFrame:
             [pa.concat_arrays(c) for c in zip(*held)], names=["t", "bucket", "pointer", "low", "settled"]
         )
         for part in slices(parts):
-            for t, z, listed in zip(part.column("t").to_pylist(), part.column("z").to_pylist(), part.column("open").to_pylist()):
-                for columns in strings(t, zstandard.decompress(z), listed):
+            listed = part.column("open")
+            fields = [listed.values.field(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            ends = listed.offsets.to_numpy()
+            for i, (t, z) in enumerate(zip(part.column("t").to_pylist(), part.column("z").to_pylist())):
+                mine = [f[ends[i] : ends[i + 1]] for f in fields]
+                for columns in strings(t, zstandard.decompress(z), *mine):
                     held.append(columns)
                     if sum(len(c[0]) for c in held) > BATCH:
                         yield full()
@@ -312,6 +314,7 @@ def cleaned(
     rest = [c for c in docs.columns if c != text and c not in new]
     row = unused(docs, "row")
     source = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias(row), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    marks = repeated_starts(source.select("text", F.xxhash64(row).alias("mark")), depth)
+    with small_batches(docs.sparkSession):
+        marks = repeated_starts(source.select("text", F.xxhash64(row).alias("mark")), depth)
     out = removed(packed(source, [row], depth).join(marks, "t", "left"), depth, keep_text, least_words)
     return out.select(f"{row}.*", *[c for c in new if c in out.columns])
