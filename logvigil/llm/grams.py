@@ -24,7 +24,8 @@ def _table(codes: Sequence[int]) -> np.ndarray:
 
 
 IS_SPACE, IS_SYMBOL = _table(SPACES), _table([ord(c) for c in SYMBOLS])
-POWER = np.array([pow(0x9E3779B97F4A7C15, i, 1 << 64) for i in range(4096)], np.uint64)
+STEP = 0x9E3779B97F4A7C15
+POWER = np.array([pow(STEP, i, 1 << 64) for i in range(4096)], np.uint64)
 M1, M2, M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -47,6 +48,13 @@ def chunks(texts: Sequence[str], size: int = CHUNK) -> Iterator[tuple[int, int]]
         yield start, len(texts)
 
 
+def power(places: np.ndarray) -> np.ndarray:
+    """The power of STEP for each place in a word, however long the word is."""
+    if not len(places) or places.max() < len(POWER):
+        return POWER[places]
+    return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(int(places.max()), STEP, np.uint64))])[places]
+
+
 class Chars:
     """The code points of some texts in a row."""
 
@@ -72,7 +80,7 @@ class Chars:
             cp = np.where((cp >= 65) & (cp <= 90), cp + np.uint32(32), cp)
         at = np.cumsum(first) - 1  # word of each character
         place = np.arange(len(cp)) - starts[np.maximum(at, 0)] if len(starts) else np.zeros(len(cp), np.int64)
-        value = mix(cp.astype(np.uint64) + M3) * POWER[place & 4095]
+        value = mix(cp.astype(np.uint64) + M3) * power(place)
         value[~solid] = 0
         size = np.add.reduceat(solid.astype(np.int64), starts) if len(starts) else np.zeros(0, np.int64)
         hashes = np.add.reduceat(value, starts) if len(starts) else np.zeros(0, np.uint64)

@@ -19,9 +19,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from logvigil.session import written
+
 BLOCK_ROWS = 8  # documents of one block
 BUCKET_ROWS = 2_000  # about as many documents of a source are ranked by one sort
 PERIOD = 1000  # blocks of a period where shares are derived
+MOST_SOURCES = 512  # the schedule has a tick table for each phase, and a phase ends with each source
+COPIES = 1000  # of a row that repeats, listed together
 MAX_PERIOD = 1_000_000  # shares are small whole numbers: the period is a table on the driver
 SCHEMA_PHASES = "key string, phase int, first_block long, next_block long, phase_start long, share long, period long"
 SCHEMA_TICKS = "key string, phase int, turn long, tick long"
@@ -94,39 +98,63 @@ def source_key(source: str) -> Column:
 
 def mixed(
     docs: DataFrame, shares: dict[str | None, int] | None = None, block_rows: int = BLOCK_ROWS, bucket_rows: int = BUCKET_ROWS,
-    key: str = "doc_id", source: str = "source",
+    source: str = "source",
 ) -> DataFrame:
     """All of ``docs`` with mix_phase, mix_slot (place of the block), mix_row (place in it), mix_share, mix_period.
 
     ``shares`` are whole target weights by source (None stands for a null source); sources without one, and
     all if ``shares`` is None, get a share by the square root of their size. Within a source documents
-    are taken in the order of a hash of their key. A source's ranks are counted in buckets of that
-    hash, so no task sorts a whole source. Rows with equal or null keys are documents like others, in any order among
-    themselves; no rows give no rows. Columns named like the new ones are replaced.
+    are taken in the order of a digest of the whole row. A source's ranks are counted in buckets of that
+    digest, without the rows themselves, so no task sorts a whole source. Rows with equal or null keys are documents like others; rows that
+    are equal throughout are counted before the exchange and take places next to each other. No rows give no rows. Columns named like the
+    new ones are replaced. More than MOST_SOURCES sources are refused: the schedule is a table on the driver.
     """
     new = ("mix_phase", "mix_slot", "mix_row", "mix_share", "mix_period")
     docs = docs.drop(*new)
     spark = docs.sparkSession
     sized = {r["k"]: r["n"] for r in docs.groupBy(source_key(source).alias("k")).agg(F.count("*").alias("n")).collect()}
+    if len(sized) > MOST_SOURCES:
+        raise ValueError(f"{len(sized)} sources; group them into {MOST_SOURCES} at most")
     targets = damped_shares(sized)
     targets |= {"" if name is None else f"={name}": share for name, share in (shares or {}).items()}
     plan = planned({k: -(-n // block_rows) for k, n in sized.items()}, {k: targets[k] for k in sized})
     buckets = max(1, math.ceil(max(sized.values(), default=0) / bucket_rows))
-    return _placed(spark, docs, plan, buckets, block_rows, key, source)
+    return _placed(spark, docs, plan, buckets, block_rows, source)
 
 
-def _placed(spark: SparkSession, docs: DataFrame, plan: Plan, buckets: int, block_rows: int, key: str, source: str) -> DataFrame:
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(row.alias("row"), source_key(source).alias("key"), F.xxhash64(F.col(key)).alias("h")).withColumn(
-        "bucket", F.pmod(F.shiftright("h", 20), F.lit(buckets))
-    )
-    counts = rows.groupBy("key", "bucket").agg(F.count("*").alias("n"))
+def _ranks(rows: DataFrame, buckets: int) -> DataFrame:
+    """key, h, n (rows with this digest) and the rank of the first of them in its source, from 0."""
+    kinds = rows.groupBy("key", "h").agg(F.count("*").alias("n")).withColumn("bucket", F.pmod(F.shiftright("h.a", 20), F.lit(buckets)))
+    counts = kinds.groupBy("key", "bucket").agg(F.sum("n").alias("rows"))
     before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("key", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    within = Window.partitionBy("key", "bucket").orderBy("h")
-    ranked = rows.withColumn("at", F.row_number().over(within) - 1).join(starts, ["key", "bucket"])
-    rank = F.col("start") + F.col("at")
-    ranked = ranked.select("row", "key", F.floor(rank / block_rows).alias("block"), (rank % block_rows).cast("int").alias("mix_row"))
+    starts = counts.select("key", "bucket", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    within = Window.partitionBy("key", "bucket").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
+    placed = kinds.withColumn("earlier", F.coalesce(F.sum("n").over(within), F.lit(0))).join(starts, ["key", "bucket"])
+    return placed.select("key", "h", "n", (F.col("start") + F.col("earlier")).alias("rank"))
+
+
+def _ranked(docs: DataFrame, buckets: int, source: str) -> DataFrame:
+    """row, key and rank of each document. Rows meet their rank by their digest; of those that repeat one is kept and listed n times."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    digest = F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(1), *reversed(columns)).alias("b"))
+    rows = docs.select(F.struct(*columns).alias("row"), source_key(source).alias("key"), digest.alias("h"))
+    ranks = written(_ranks(rows.select("key", "h"), buckets))
+    met = rows.join(ranks, ["key", "h"])
+    if ranks.where("n > 1").isEmpty():
+        return met.select("row", "key", "rank")
+    single = met.where("n = 1").select("row", "key", "rank")
+    kinds = met.where("n > 1").groupBy("key", "h").agg(F.first("row").alias("row"), F.first("n").alias("n"), F.first("rank").alias("rank"))
+    parts = kinds.withColumn("part", F.expr(f"explode(sequence(0L, (n - 1) div {COPIES}))")).repartition("key", "h", "part")
+    low, high = F.col("part") * COPIES, F.least(F.col("n"), (F.col("part") + 1) * COPIES) - 1
+    copies = parts.withColumn("copy", F.explode(F.sequence(low, high))).select("row", "key", (F.col("rank") + F.col("copy")).alias("rank"))
+    return single.unionByName(copies)
+
+
+def _placed(spark: SparkSession, docs: DataFrame, plan: Plan, buckets: int, block_rows: int, source: str) -> DataFrame:
+    rank = F.col("rank")
+    ranked = _ranked(docs, buckets, source).select(
+        "row", "key", F.floor(rank / block_rows).alias("block"), (rank % block_rows).cast("int").alias("mix_row")
+    )
     phases = F.broadcast(spark.createDataFrame(plan.phases, SCHEMA_PHASES))  # sources x phases rows
     ticks = F.broadcast(spark.createDataFrame(plan.ticks, SCHEMA_TICKS))  # periods of all phases
     in_phase = ranked.join(phases, "key").where(F.col("block").between(F.col("first_block"), F.col("next_block") - 1))

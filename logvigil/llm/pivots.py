@@ -23,6 +23,7 @@ from logvigil.llm import graph
 from logvigil.llm.tables import Shared
 from logvigil.session import written
 
+SPARE_DRAWS = 4  # times as many vectors are hashed below the bound as are drawn
 BLOCK = 1024  # vectors of a list that one task compares with as many others
 
 
@@ -42,16 +43,19 @@ class Index:
 
 
 def unit_rows(vectors: pa.Array) -> list[np.ndarray | None]:
-    """Each vector in double precision; None if it is null, empty, zero or holds a null or non-finite component."""
+    """Each vector in double precision; None if it is null, empty, zero or holds a null or non-finite component.
+
+    It is scaled by a power of two, which changes no cosine, so that its largest component lies from 0.5 to 1 and no product leaves the range of a
+    double.
+    """
     rows: list[np.ndarray | None] = []
     for value in vectors.to_pylist():
         if not value or None in value:
             rows.append(None)
             continue
         row = np.array(value, np.float64)
-        with np.errstate(over="ignore"):
-            norm = np.sqrt(np.dot(row, row))
-        rows.append(row if np.isfinite(norm) and norm > 0 else None)
+        largest = np.abs(row).max()
+        rows.append(np.ldexp(row, -np.frexp(largest)[1]) if np.isfinite(largest) and largest > 0 else None)
     return rows
 
 
@@ -121,9 +125,19 @@ def chosen_pivots(rows: DataFrame, index: Index, least: float) -> np.ndarray:
     n, length = valid.agg(F.count("*"), F.mode(F.size("vector"), deterministic=True)).head()
     if not n:
         return np.zeros((0, 0))
-    sample = valid.where(F.size("vector") == length).groupBy(F.xxhash64("vector").alias("h")).agg(F.first("vector").alias("vector"))
     wanted = index.pivots(n)
-    points = np.array([r["vector"] for r in sample.orderBy("h").limit(index.pool * wanted).toLocalIterator()], np.float64)
+    hashed = valid.where(F.size("vector") == length).select(F.xxhash64("vector").alias("h"), "vector")
+
+    def drawn(share: float) -> list:
+        """The vectors with the smallest hashes. Those above a share of all hashes are dropped before the exchange."""
+        low = hashed.where(F.col("h") <= F.lit(int(-(1 << 63) + share * ((1 << 64) - 1)))) if share < 1 else hashed
+        sample = low.groupBy("h").agg(F.first("vector").alias("vector")).orderBy("h").limit(index.pool * wanted)
+        return [r["vector"] for r in sample.collect()]  # a bounded number
+
+    few = drawn(min(1.0, SPARE_DRAWS * index.pool * wanted / n))
+    if len(few) < index.pool * wanted:  # many copies: the share held too few different vectors
+        few = drawn(1.0)
+    points = np.array(few, np.float64)
     return spread(points / np.linalg.norm(points, axis=1, keepdims=True), wanted, least)
 
 

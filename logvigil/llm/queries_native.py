@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from logvigil.llm import mixing, shards, urls
 from logvigil.llm.registry import query
 from logvigil.llm.tables import read
-from logvigil.session import scratch_dir
+from logvigil.session import scratch_dir, written
 
 SHARDS = 8
 URL_RULES = [
@@ -20,12 +20,12 @@ URL_RULES = [
 @query("op3_virtual_slots")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards of nearly equal size: the first map, edited once the bytes of each slot are known."""
-    docs = read(spark, sf_dir, "documents")
+    listed = written(shards.records(read(spark, sf_dir, "documents")))
     path = scratch_dir(spark)
     start = shards.first_map(SHARDS)
     shards.store_map(spark, path, 1, start)
-    shards.store_map(spark, path, 2, shards.rebalanced(start, shards.slot_bytes(docs), SHARDS))
-    return shards.placed(docs, shards.load_map(spark, path)).select(
+    shards.store_map(spark, path, 2, shards.rebalanced(start, shards.slot_bytes(listed), SHARDS))
+    return shards.placed(listed, shards.load_map(spark, path)).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
         "virtual_slot", "map_version",
     )

@@ -23,15 +23,28 @@ def text_crc(text: str = "text") -> Column:
     return F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))
 
 
-def virtual_slot(key: str = "doc_id", text: str = "text", slots: int = SLOTS) -> Column:
-    """The slot of a record. The text takes part, so that records without a key, or under one key, spread."""
-    return F.pmod(F.xxhash64(F.col(key), text_crc(text)), F.lit(slots)).cast("int")
+COPIES = 1000  # of a record that repeats, listed together
 
 
-def slot_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", slots: int = SLOTS) -> dict[int, int]:
-    """Bytes per slot that has any: summed before the exchange, at most ``slots`` rows on the driver."""
-    sums = docs.groupBy(virtual_slot(key, text, slots).alias("slot")).agg(F.sum(text_size(text)).alias("bytes"))
-    return {row["slot"]: row["bytes"] for row in sums.collect()}
+def records(docs: DataFrame, key: str = "doc_id", text: str = "text", slots: int = SLOTS) -> DataFrame:
+    """Per record: ``key``, size, text_crc32, virtual_slot. Texts are not shuffled; other columns are dropped.
+
+    The text takes part in the slot, so that records without a key, or under one key, spread. Records that are equal in key, size and
+    checksum are counted, before the exchange, and listed again under numbers that take part too: so they spread over all slots.
+    """
+    kinds = docs.groupBy(F.col(key), text_size(text).alias("size"), text_crc(text).alias("text_crc32")).agg(F.count("*").alias("n"))
+    parts = kinds.withColumn("part", F.expr(f"explode(sequence(0L, (n - 1) div {COPIES}))")).repartition(key, "size", "text_crc32", "part")
+    first, last = F.col("part") * COPIES, F.least(F.col("n"), (F.col("part") + 1) * COPIES) - 1
+    each = parts.withColumn("copy", F.explode(F.sequence(first, last)))
+    plain, numbered = F.xxhash64(F.col(key), F.col("text_crc32")), F.xxhash64(F.col(key), F.col("text_crc32"), F.col("copy"))
+    slot = F.pmod(F.when(F.col("copy") == 0, plain).otherwise(numbered), F.lit(slots)).cast("int")
+    return each.select(key, "size", "text_crc32", slot.alias("virtual_slot"))
+
+
+def slot_bytes(listed: DataFrame) -> dict[int, int]:
+    """Bytes per slot that has any, of :func:`records`: summed before the exchange, one row a slot on the driver."""
+    sums = listed.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"))
+    return {row["virtual_slot"]: row["bytes"] for row in sums.collect()}
 
 
 def first_map(shards: int, slots: int = SLOTS) -> dict[int, int]:
@@ -81,26 +94,22 @@ def load_map(spark: SparkSession, path: str, version: int | None = None) -> Data
     return stored.where(F.col("version") == version)
 
 
-def placed(docs: DataFrame, slot_map: DataFrame, key: str = "doc_id", text: str = "text", slots: int = SLOTS) -> DataFrame:
-    """Per record: ``key``, size, text_crc32, shard, slot, virtual_slot, map_version.
+def placed(listed: DataFrame, slot_map: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Per record (a table of :func:`records`): ``key``, size, text_crc32, shard, slot, virtual_slot, map_version.
 
     ``slot`` counts the records of a shard from 0 without gaps, by virtual slot, key and checksum. Records
     are counted within their virtual slot, so the largest sort holds one slot; the start of each virtual
-    slot comes from the counts. Text itself is not shuffled. Null keys and texts are records like others;
-    records equal in key and text get numbers next to each other. Other columns are dropped.
+    slot comes from the counts. Null keys and texts are records like others;
+    records that repeat are spread over the virtual slots.
     """
-    records = docs.select(
-        F.col(key), text_size(text).alias("size"), text_crc(text).alias("text_crc32"),
-        virtual_slot(key, text, slots).alias("virtual_slot"),
-    )
     places = F.broadcast(  # one row a slot
         slot_map.select(F.col("slot").alias("virtual_slot"), "shard", F.col("version").alias("map_version"))
     )
-    counts = records.groupBy("virtual_slot").agg(F.count("*").alias("n")).join(places, "virtual_slot")
+    counts = listed.groupBy("virtual_slot").agg(F.count("*").alias("n")).join(places, "virtual_slot")
     before = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)
     starts = F.broadcast(counts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n"))
     within = Window.partitionBy("virtual_slot").orderBy(F.col(key), "text_crc32", "size")
-    numbered = records.withColumn("at", F.row_number().over(within) - 1)
+    numbered = listed.withColumn("at", F.row_number().over(within) - 1)
     return numbered.join(starts, "virtual_slot").select(
         key, "size", "text_crc32", "shard", (F.col("start") + F.col("at")).cast("long").alias("slot"), "virtual_slot", "map_version"
     )

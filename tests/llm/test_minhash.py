@@ -74,6 +74,16 @@ def test_bands_reach_the_threshold():
         assert (1 - (params.percent / 100) ** params.rows) ** bands <= minhash.MISS
 
 
+def test_long_words_that_differ_far_apart(spark):
+    """Two letters of a word without spaces change places 4,096 letters apart."""
+    word = ["abcdefghij"[i % 10] for i in range(9000)]
+    word[100], word[4196] = "x", "y"
+    other = list(word)
+    other[100], other[4196] = "y", "x"
+    rows = spark.createDataFrame([(1, "".join(word)), (2, "".join(other)), (3, "".join(word))], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in minhash.classed(rows).collect()} == {1: 1, 2: 2, 3: 1}
+
+
 def test_odd_rows(odd_docs, no_docs):
     got = minhash.classed(odd_docs).collect()
     assert len(got) == odd_docs.count()

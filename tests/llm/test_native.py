@@ -1,10 +1,13 @@
 import re
+import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from logvigil.llm import mixing, shards, urls
 from logvigil.llm.queries_native import URL_RULES
+from logvigil.llm.registry import QUERIES
 
 PYTHON = re.compile(r"Python|Pandas|Arrow")
 
@@ -19,12 +22,13 @@ def no_python(df):
 def test_shards_are_even_and_slots_without_gaps(spark, tmp_path):
     docs = spark.createDataFrame([(i, "x" * (i * 37 % 400)) for i in range(3000)], "doc_id long, text string")
     path = str(tmp_path / "map")
+    listed = shards.records(docs)
     start = shards.first_map(8)
     shards.store_map(spark, path, 1, start)
-    edited = shards.rebalanced(start, shards.slot_bytes(docs), 8)
+    edited = shards.rebalanced(start, shards.slot_bytes(listed), 8)
     shards.store_map(spark, path, 2, edited)
     assert 0 < sum(edited[s] != start[s] for s in start) < len(start) / 4
-    placed = shards.placed(docs, shards.load_map(spark, path))
+    placed = shards.placed(listed, shards.load_map(spark, path))
     assert no_python(placed)
     rows = placed.collect()
     assert len(rows) == 3000 and {r.map_version for r in rows} == {2}
@@ -34,7 +38,7 @@ def test_shards_are_even_and_slots_without_gaps(spark, tmp_path):
         assert sorted(r.slot for r in mine) == list(range(len(mine)))
         size[shard] = sum(r.size for r in mine)
     assert max(size.values()) - min(size.values()) <= 400
-    assert {r.shard for r in shards.placed(docs, shards.load_map(spark, path, 1)).where("virtual_slot = 9").collect()} <= {1}
+    assert {r.shard for r in shards.placed(listed, shards.load_map(spark, path, 1)).where("virtual_slot = 9").collect()} <= {1}
 
 
 def test_a_new_shard_only_takes(spark):
@@ -48,12 +52,46 @@ def test_a_new_shard_only_takes(spark):
 
 def test_shards_of_odd_rows(spark, odd_docs, no_docs):
     slot_map = spark.createDataFrame([(1, s, s % 8) for s in range(shards.SLOTS)], shards.MAP)
-    rows = shards.placed(odd_docs, slot_map).collect()
+    rows = shards.placed(shards.records(odd_docs), slot_map).collect()
     assert len(rows) == odd_docs.count()
     assert sorted(r.size for r in rows)[:3] == [1, 1, 1]
     assert {r.text_crc32 for r in rows if r.size == 1} == {0}
-    assert shards.placed(no_docs, slot_map).count() == 0
-    assert shards.rebalanced(shards.first_map(8), shards.slot_bytes(no_docs), 8) == shards.first_map(8)
+    assert shards.placed(shards.records(no_docs), slot_map).count() == 0
+    assert shards.rebalanced(shards.first_map(8), shards.slot_bytes(shards.records(no_docs)), 8) == shards.first_map(8)
+
+
+def test_a_third_of_the_rows_without_id_or_text(spark, monkeypatch):
+    """Equal rows spread over the slots like others, so the bytes stay even and no slot stands out."""
+    monkeypatch.setattr(shards, "COPIES", 100)
+    docs = spark.createDataFrame([(None, "same " * 20) if i % 3 == 0 else (i, "x" * (i * 37 % 200)) for i in range(9000)], "doc_id long, text string")
+    listed = shards.records(docs, slots=256).cache()
+    assert listed.count() == 9000 and listed.where("doc_id IS NULL").count() == 3000
+    counts = sorted(r["n"] for r in listed.groupBy("virtual_slot").agg(F.count("*").alias("n")).collect())
+    assert len(counts) == 256 and counts[-1] <= 2 * counts[128]
+    load = shards.slot_bytes(listed)
+    assert sum(load.values()) == docs.agg(F.sum(shards.text_size())).first()[0]
+    slot_map = shards.rebalanced(shards.first_map(8, 256), load, 8)
+    size = Counter()
+    for slot, shard in slot_map.items():
+        size[shard] += load.get(slot, 0)
+    assert max(size.values()) - min(size.values()) <= max(load.values())  # no shard is a slot ahead
+    rows = shards.placed(listed, spark.createDataFrame([(1, s, k) for s, k in slot_map.items()], shards.MAP)).collect()
+    assert sorted((r.shard, r.slot) for r in rows) == [(k, i) for k in range(8) for i in range(sum(r.shard == k for r in rows))]
+
+
+def test_op3_recomputed(spark):
+    """The registered query, row by row."""
+    sf = "/root/testdata/sf0.001"
+    docs = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = QUERIES["op3_virtual_slots"](spark, sf).collect()
+    assert {r.doc_id: (r.size, r.text_crc32) for r in rows} == {k: (len(t) + 1, zlib.crc32(t)) for k, t in docs.items()}
+    assert {(r.law, r.grown_shard) for r in rows} == {("bytes", None)}
+    size = Counter()
+    for r in rows:
+        size[r.shard] += r.size
+    largest = max(len(t) + 1 for t in docs.values())
+    assert set(size) == set(range(8)) and max(size.values()) - min(size.values()) <= largest
+    assert sorted((r.shard, r.slot) for r in rows) == [(k, i) for k in range(8) for i in range(sum(r.shard == k for r in rows))]
 
 
 # mixing
@@ -106,6 +144,24 @@ def test_mix_is_the_simulated_schedule(spark):
     assert [s for _, s in seen] == [k for k, _ in want] and [t for t, _ in seen] == list(range(len(want)))
 
 
+def test_a_third_of_the_rows_without_id_in_the_mix(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "COPIES", 50)
+    docs = spark.createDataFrame([(None, "a") if i % 3 == 0 else (i, "ab"[i % 2]) for i in range(3000)], "doc_id long, source string")
+    mixed = mixing.mixed(docs, bucket_rows=100)
+    assert no_python(mixed)
+    rows = mixed.collect()
+    assert len({(r.mix_slot, r.mix_row) for r in rows}) == 3000
+    assert Counter((r.doc_id, r.source) for r in rows) == Counter(tuple(r) for r in docs.collect())
+    ranks = mixing._ranks(docs.select(mixing.source_key("source").alias("key"), F.struct(F.xxhash64("doc_id").alias("a")).alias("h")), 20)
+    assert ranks.count() == 2002 - 1 and sorted(r["rank"] for r in ranks.where("key = '=b'").collect()) == list(range(1000))
+
+
+def test_too_many_sources_are_refused(spark):
+    docs = spark.range(600).selectExpr("id AS doc_id", "cast(id AS string) AS source")
+    with pytest.raises(ValueError, match="600 sources"):
+        mixing.mixed(docs)
+
+
 def test_mix_of_odd_rows(odd_docs, no_docs):
     mixed = mixing.mixed(odd_docs)
     assert mixed.count() == odd_docs.count()

@@ -58,6 +58,13 @@ def test_links_and_components_of_brute_force(spark, monkeypatch, block):
     assert sum(r.component_id != want[r.vec_id][1] for r in got) <= 0.01 * len(rows)
 
 
+def test_components_out_of_the_range_of_squares(spark):
+    """Squares that are too large or too small for a double are no reason to lose links."""
+    rows = [(0, [1e200, 1e200], "a"), (1, [2e-200, 2.1e-200], "a"), (2, [1.0, 1.0], "a"), (3, [1e200, -1e200], "a"), (4, [5e-324, 0.0], "a"), (5, [3.0, 0.0], "a")]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in pivots.classed(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()}
+    assert got == {0: (2, 0), 1: (2, 0), 2: (2, 0), 3: (0, 3), 4: (1, 4), 5: (1, 4)}
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, None, 0), (2, [], 0), (3, [0.0, 0.0], 0), (4, [1.0, None], 0), (5, [nan, 1.0], 0), (6, [inf, 1.0], 0), (7, [1.0, 1.0], None),
