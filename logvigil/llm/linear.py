@@ -32,6 +32,11 @@ class Linear:
         return sigmoid(self.slope * self.margins(texts) + self.shift)
 
 
+def stacked(model: Linear) -> np.ndarray:
+    """All weights of a model in a row, the bias last."""
+    return np.concatenate([model.words, model.chars, [model.bias]]).astype(np.float64)
+
+
 def parts(model: Linear | None) -> tuple:
     """The model as plain values."""
     return (None,) if model is None else (model.words, model.chars, model.bias, model.slope, model.shift)
@@ -69,13 +74,17 @@ class Sparse:
         return np.bincount(self.at, self.share * slopes[self.row], 2 << grams.FEATURE_BITS)
 
 
-def descended(rows: Sparse, slopes_of, steps: int = STEPS, rate: float = RATE) -> Linear:
-    """Weights found by Adam; ``slopes_of`` gives the slope of the risk for each row's margin."""
+def descended(rows: Sparse, slopes_of, steps: int = STEPS, rate: float = RATE, more_of=None) -> Linear:
+    """Weights found by Adam; ``slopes_of`` gives the slope of the risk for each row's margin, ``more_of`` what is added to the gradient (for
+    weights and bias), given the same margins and the weights."""
     size = 2 << grams.FEATURE_BITS
     w, m, v = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, steps + 1):
-        slopes = slopes_of(rows.margins(w[:-1]) + w[-1])
+        margin = rows.margins(w[:-1]) + w[-1]
+        slopes = slopes_of(margin, w)
         g = np.append(rows.gradient(slopes) + DECAY * w[:-1], slopes.sum())
+        if more_of is not None:
+            g += more_of(margin, w)
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
     half = size // 2
@@ -85,7 +94,7 @@ def descended(rows: Sparse, slopes_of, steps: int = STEPS, rate: float = RATE) -
 def logistic(texts: list[str], labels: np.ndarray, steps: int = STEPS) -> Linear:
     """Logistic regression, both classes weighted alike."""
     share = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum()))
-    return descended(Sparse(texts), lambda margin: share * (sigmoid(margin) - labels), steps)
+    return descended(Sparse(texts), lambda margin, _: share * (sigmoid(margin) - labels), steps)
 
 
 def platt(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:

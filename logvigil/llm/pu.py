@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from logvigil.llm import linear
+from logvigil.llm import grams, linear
 from logvigil.llm.linear import Linear, Sparse, sigmoid
 
 FOLDS = 2
@@ -72,18 +72,63 @@ def prior_of(p: np.ndarray, unlabelled: Histogram) -> float:
     return float(np.clip(((above_u + width) / above_p).min(), FLOOR, CEILING))
 
 
-def fitted(positive: list[str], unlabelled: list[str], prior: float) -> Linear:
-    """The linear model of least non-negative risk under the logistic loss."""
+@dataclass(frozen=True)
+class Unlabelled:
+    """The unlabelled part of the risk over some texts at the weights of a model: its mean and its gradient (weights, then the bias)."""
+
+    model: Linear
+    risk: float
+    gradient: np.ndarray
+
+
+def risk_sums(texts: list[str], model: Linear) -> tuple[np.ndarray, float]:
+    """Over some texts, the sums of the gradient of the unlabelled risk and of the risk itself."""
+    total, risk = np.zeros((2 << grams.FEATURE_BITS) + 1), 0.0
+    half = 1 << grams.FEATURE_BITS
+    for low, high in grams.chunks(texts):
+        families = grams.features(grams.Chars(texts[low:high]))
+        margin = grams.mean_weights(families[0], model.words) + grams.mean_weights(families[1], model.chars) + model.bias
+        slope = sigmoid(margin)
+        risk += float(np.logaddexp(0, margin).sum())
+        for f, (at, bounds) in enumerate(families):
+            counts = np.diff(bounds)
+            total[f * half : (f + 1) * half] += np.bincount(at, np.repeat(slope / (counts + grams.SMOOTH), counts), half)
+        total[-1] += slope.sum()
+    return total, risk
+
+
+def fitted(positive: list[str], unlabelled: list[str], prior: float, corpus: Unlabelled | None = None) -> Linear:
+    """The linear model of least non-negative risk under the logistic loss.
+
+    With ``corpus`` the unlabelled part of the risk is that of the whole corpus, to the first order: the sample's, moved so that risk and
+    gradient are the corpus's own at the weights that ``corpus`` was taken at. The sample then only says how the gradient bends.
+    """
     n, m = len(positive), len(unlabelled)
+    rows = Sparse(positive + unlabelled)
+    anchor, shift, lift = np.zeros((2 << grams.FEATURE_BITS) + 1), 0.0, 0.0
+    if corpus is not None:
+        anchor = linear.stacked(corpus.model)
+        u = rows.margins(anchor[:-1])[n:] + anchor[-1]
+        slope = sigmoid(u) / m
+        here = np.append(rows.gradient(np.concatenate([np.zeros(n), slope])), slope.sum())
+        shift, lift = corpus.gradient - here, corpus.risk - np.logaddexp(0, u).mean()
+
+    def overfits(margin: np.ndarray, w: np.ndarray) -> bool:
+        """The risk on negatives is below what any classifier can have."""
+        p, u = margin[:n], margin[n:]
+        moved = lift + float(np.dot(shift, w - anchor)) if corpus is not None else 0.0
+        return np.logaddexp(0, u).mean() + moved < prior * np.logaddexp(0, p).mean()
 
-    def slopes(margin: np.ndarray) -> np.ndarray:
+    def slopes(margin: np.ndarray, w: np.ndarray) -> np.ndarray:
         p, u = margin[:n], margin[n:]
-        negative_risk = np.logaddexp(0, u).mean() - prior * np.logaddexp(0, p).mean()
-        if negative_risk < 0:  # below what any classifier can have: undo, as in overfitting
+        if overfits(margin, w):  # undo
             return np.concatenate([prior * sigmoid(p) / n, -sigmoid(u) / m])
         return np.concatenate([np.full(n, -prior / n), sigmoid(u) / m])
 
-    return linear.descended(Sparse(positive + unlabelled), slopes)
+    def more(margin: np.ndarray, w: np.ndarray) -> np.ndarray:
+        return -shift if overfits(margin, w) else shift
+
+    return linear.descended(rows, slopes, more_of=more if corpus is not None else None)
 
 
 def calibrated(model: Linear, positive: list[str], unlabelled: Histogram, prior: float) -> Linear:
@@ -103,12 +148,20 @@ def calibrated(model: Linear, positive: list[str], unlabelled: Histogram, prior:
     return model
 
 
-def learned(positive: list[str], unlabelled: list[str], histograms: Callable[[list[Linear]], Histogram]) -> Linear:
-    """Prior, model and calibration from positives and a sample of unlabelled texts, in an order that says nothing about them.
+def learned(
+    positive: list[str], unlabelled: list[str], corpus: Callable[[list[Linear], Linear | None], tuple[Histogram, Unlabelled | None]]
+) -> Linear:
+    """Prior, model and calibration from positives and unlabelled texts, in an order that says nothing about them.
 
-    The sample only fits weights. ``histograms`` gives the margins of the whole corpus: each document's by one of some models.
+    ``corpus`` reads all documents: it gives the margins of each by one of some models, and the unlabelled risk and its gradient at
+    another one. A first model is fitted on the sample ``unlabelled`` alone; the gradient that all documents have there corrects it. So
+    prior, weights and calibration all follow the whole corpus, and the sample only starts the search.
     """
     models, margins = fold_models(positive, unlabelled)
-    prior = prior_of(margins, histograms(models))
-    model = fitted([t for i, t in enumerate(positive) if i % CALIBRATION], unlabelled, prior)
-    return calibrated(model, [t for i, t in enumerate(positive) if not i % CALIBRATION], histograms([model]), prior)
+    rest = [m.margins([t for i, t in enumerate(unlabelled) if i % FOLDS == fold]) for fold, m in enumerate(models)]
+    fit, kept = ([t for i, t in enumerate(positive) if bool(i % CALIBRATION) == used] for used in (True, False))
+    first = fitted(fit, unlabelled, prior_of(margins, counted(np.concatenate(rest))))
+    histogram, whole = corpus(models, first)
+    prior = prior_of(margins, histogram)
+    model = fitted(fit, unlabelled, prior, whole)
+    return calibrated(model, kept, corpus([model], None)[0], prior)

@@ -96,41 +96,76 @@ def ruled(
 
 
 def pu_model(docs: DataFrame, labels: DataFrame, rows: Column | None = None, most: int = samples.ROWS) -> linear.Linear | None:
-    """The positive-unlabelled model: texts labelled good, and documents of any kind.
+    """The positive-unlabelled model: texts labelled good, and all documents.
 
-    At most ``most`` of each fit the weights; class prior and calibration read the margins of all documents.
+    At most ``most`` labelled texts are used, and as many documents start the search; the gradient of the unlabelled risk, the class prior and
+    the calibration are those of all documents. None, and so a score of 0.5, with fewer than LEAST_ROWS texts of either kind.
     """
     positive = samples.labelled_texts(docs, labels, "quality", 1, rows, most)
     unlabelled = samples.unlabelled_texts(docs, most)
     if min(len(positive), len(unlabelled)) < LEAST_ROWS:
         return None
     sample = {hashlib.sha256(t.encode("utf-8", "surrogatepass")).digest(): i % pu.FOLDS for i, t in enumerate(unlabelled)}
-    return pu.learned(positive, unlabelled, lambda models: margin_histogram(docs, models, sample))
+    return pu.learned(positive, unlabelled, lambda models, at: over_corpus(docs, models, sample, at))
 
 
-def margin_histogram(docs: DataFrame, models: list[linear.Linear], folds: dict[bytes, int], text: str = "text") -> pu.Histogram:
-    """The margins of all documents, each by one of the models: the one not fitted on it, where ``folds`` (by the text's digest) says so,
-    else one by its digest. Counted within each batch, then by Spark; the driver gets one row for each cell that holds any."""
-    shared = Shared(docs.sparkSession, _scorers, folds, *map(linear.parts, models))
+BLOCK = 1 << 12  # sums of a gradient that travel together
 
-    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, scorers = shared.get()
+
+def over_corpus(
+    docs: DataFrame, models: list[linear.Linear], folds: dict[bytes, int], at: linear.Linear | None = None, text: str = "text"
+) -> tuple[pu.Histogram, pu.Unlabelled | None]:
+    """Sums over all documents, in one pass: a histogram of their margins and, if ``at`` is given, the unlabelled risk and its gradient there.
+
+    A document's margin is by one of the models: the one not fitted on it, where ``folds`` (by the text's digest) says so, else one by its
+    digest. Each task adds up its documents, Spark the tasks; the driver gets one row for each block of cells or features that holds any.
+    """
+    shared = Shared(docs.sparkSession, _scorers, folds, linear.parts(at), *map(linear.parts, models))
+    size = pu.CELLS + (2 << grams.FEATURE_BITS) + 3  # cells, gradient of weights and bias, risk, documents
+
+    def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, place, scorers = shared.get()
+        total = np.zeros(-(-size // BLOCK) * BLOCK)
         for part in slices(parts):
             texts = [t or "" for t in part.column(0).to_pylist()]
             digests = [hashlib.sha256(t.encode("utf-8", "surrogatepass")).digest() for t in texts]
             own = np.array([known.get(d, d[0]) % len(scorers) for d in digests], np.int64)
-            cells = np.concatenate([pu.Histogram.of(m.margins([texts[i] for i in np.flatnonzero(own == k)])) for k, m in enumerate(scorers)])
-            at, n = np.unique(cells, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(n, pa.int64())], names=["at", "n"])
-
-    found = docs.select(text).mapInArrow(batches, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(pu.CELLS, np.int64)
-    counts[found["at"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
-    return pu.Histogram(counts)
-
-
-def _scorers(folds: dict[bytes, int], *models: tuple) -> tuple[dict[bytes, int], list[linear.Linear]]:
-    return folds, [linear.remade(*m) for m in models]
+            for k, m in enumerate(scorers):
+                np.add.at(total, pu.Histogram.of(m.margins([texts[i] for i in np.flatnonzero(own == k)])), 1)
+            if place is not None:
+                gradient, risk = pu.risk_sums(texts, place)
+                total[pu.CELLS : size - 2] += gradient
+                total[size - 2] += risk
+            total[size - 1] += len(texts)
+        blocks = total.reshape(-1, BLOCK)
+        held = np.flatnonzero(blocks.any(axis=1))
+        yield _blocks(held, blocks[held])
+
+    def added(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for part in parts:
+            for block, values in zip(part.column("block").to_pylist(), part.column("sums").to_pylist()):
+                sums[block] = sums.get(block, 0) + np.frombuffer(values)
+        yield _blocks(np.array(sorted(sums), np.int64), [sums[b] for b in sorted(sums)])
+
+    schema = "block int, sums binary"
+    blocks = docs.select(text).mapInArrow(counted, schema).repartition("block").mapInArrow(added, schema)
+    total = np.zeros(-(-size // BLOCK) * BLOCK)
+    for row in blocks.collect():  # a fixed number of blocks
+        total[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(row["sums"])
+    histogram = pu.Histogram(total[: pu.CELLS].astype(np.int64))
+    n = max(1.0, total[size - 1])
+    return histogram, None if at is None else pu.Unlabelled(at, total[size - 2] / n, total[pu.CELLS : size - 2] / n)
+
+
+def _blocks(numbers: np.ndarray, sums) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(numbers, pa.int32()), pa.array([np.asarray(s).tobytes() for s in sums], pa.binary())], names=["block", "sums"]
+    )
+
+
+def _scorers(folds: dict[bytes, int], at: tuple, *models: tuple) -> tuple[dict[bytes, int], linear.Linear | None, list[linear.Linear]]:
+    return folds, linear.remade(*at), [linear.remade(*m) for m in models]
 
 
 def scored(docs: DataFrame, model: linear.Linear | None, text: str = "text", score: str = "score") -> DataFrame:

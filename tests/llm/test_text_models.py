@@ -1,11 +1,14 @@
+import itertools
 import random
 import re
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from logvigil.llm import grams, linear, noise, pu, quality, samples
+from logvigil.llm.catalog import QUERIES
 from logvigil.llm.tables import crc_share
 
 GOOD = [f"word{i}" for i in range(300)]
@@ -93,7 +96,85 @@ def test_prior_and_calibration_read_all_documents(spark, judged, monkeypatch):
         inner = getattr(pu, name)
         monkeypatch.setattr(pu, name, lambda *args, inner=inner: read.append([a for a in args if isinstance(a, pu.Histogram)][0].counts.sum()) or inner(*args))
     assert quality.pu_model(docs, labels, most=60) is not None
-    assert read == [len(judged) + 2] * 2
+    first_of_the_sample = 60
+    assert read == [first_of_the_sample, len(judged) + 2, len(judged) + 2]
+
+
+def shares(text):
+    """Feature shares of one text, feature by feature, and a 1 for the bias."""
+    row = np.zeros((2 << grams.FEATURE_BITS) + 1)
+    for f, (at, _) in enumerate(grams.features(grams.Chars([text]))):
+        for feature in at.tolist():
+            row[(f << grams.FEATURE_BITS) + feature] += 1 / (len(at) + grams.SMOOTH)
+    row[-1] = 1
+    return row
+
+
+@pytest.fixture(scope="module")
+def small_model():
+    return linear.logistic(["a b c good"] * 3 + ["x y z junk"] * 3, np.array([1, 1, 1, 0, 0, 0]), 20)
+
+
+def test_gradient_over_the_corpus_is_the_sum_over_all_texts(spark, judged, small_model):
+    texts = [t for _, t, _ in judged[:40]] + [None, "", "x"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(6)
+    histogram, found = quality.over_corpus(docs, [small_model], {}, small_model)
+    rows = np.stack([shares(t or "") for t in texts])
+    margins = rows @ linear.stacked(small_model)
+    assert found.risk == pytest.approx(np.logaddexp(0, margins).mean(), rel=1e-6)
+    assert np.allclose(found.gradient, rows.T @ linear.sigmoid(margins) / len(texts), atol=1e-9)
+    assert (histogram.counts == np.bincount(pu.Histogram.of(margins), minlength=pu.CELLS)).all()
+    assert quality.over_corpus(docs, [small_model], {})[1] is None
+    assert quality.over_corpus(docs.limit(0), [small_model], {}, small_model)[0].counts.sum() == 0
+
+
+def test_risk_of_the_fit_is_the_brute_force_risk(monkeypatch, judged, small_model):
+    """At the weights that the corpus's gradient was taken at, the fit goes down the risk over all texts, worked out one by one."""
+    positive, sample, corpus = ([t for _, t, _ in judged[a:b]] for a, b in ((0, 8), (8, 20), (0, 60)))
+    total, risk = pu.risk_sums(corpus, small_model)
+    seen, w = {}, linear.stacked(small_model)
+
+    def once(rows, slopes_of, more_of):
+        margin = rows.margins(w[:-1]) + w[-1]
+        slopes = slopes_of(margin, w)
+        seen["g"] = np.append(rows.gradient(slopes), slopes.sum()) + more_of(margin, w)
+
+    monkeypatch.setattr(linear, "descended", once)
+    for prior in (0.1, 0.95):
+        pu.fitted(positive, sample, prior, pu.Unlabelled(small_model, risk / len(corpus), total / len(corpus)))
+        p, u = (np.stack([shares(t) for t in texts]) for texts in (positive, corpus))
+        negative = np.logaddexp(0, u @ w).mean() - prior * np.logaddexp(0, p @ w).mean()
+        gradient_u, gradient_p = linear.sigmoid(u @ w) @ u / len(u), linear.sigmoid(p @ w) @ p / len(p)
+        want = gradient_u - prior * p.mean(0) if negative >= 0 else prior * gradient_p - gradient_u
+        assert np.allclose(seen["g"], want, atol=1e-6)
+
+
+def test_a_kind_that_the_sample_misses_moves_the_weights(judged):
+    good = [t for _, t, q in judged if q][:60]
+    rare = [prose(random.Random(i), [f"odd{k}" for k in range(30)], 80) for i in range(40)]
+    plain = pu.fitted(good[:20], good[20:40], 0.9)
+    total, risk = pu.risk_sums(good[20:60] + rare, plain)
+    whole = pu.fitted(good[:20], good[20:40], 0.9, pu.Unlabelled(plain, risk / 80, total / 80))
+    assert whole.margins(rare).max() < whole.margins(good[40:]).min()
+    gap = lambda model: model.margins(good[40:]).mean() - model.margins(rare).mean()
+    assert gap(whole) > gap(plain)
+
+
+@pytest.mark.parametrize(("name", "label", "precision", "recall"), [("op9_quality_pu", "quality", 0.95, 0.95), ("op8_toxicity", "toxic", 0.85, 0.75)])
+def test_held_out_labels(spark, name, label, precision, recall):
+    """The registered query on rows whose labels it has not seen."""
+    sf = "/root/testdata/sf0.01"
+    truth = {r["doc_id"]: r[label] for r in spark.read.parquet(f"{sf}/labels.parquet").where(F.col(label).isNotNull()).collect()}
+    rows = [(r.predicted, truth[r.doc_id]) for r in QUERIES[name](spark, sf).where("held_out").collect() if r.doc_id in truth]
+    both = sum(p and t for p, t in rows)
+    assert len(rows) > 60 and both / max(1, sum(p for p, _ in rows)) >= precision and both / sum(t for _, t in rows) >= recall
+
+
+@pytest.mark.parametrize("name", ["op8_toxicity", "op9_quality_pu", "op6_quality_rules"])
+def test_queries_without_labels(spark, tmp_path, name):
+    spark.createDataFrame([(1, "some text"), (2, None)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert QUERIES[name](spark, str(tmp_path)).count() == 2
 
 
 def test_platt_recovers_a_logistic_curve():
@@ -153,6 +234,35 @@ def test_signs_at_edges_and_pairs_of_letters_hide_nothing(detector, text):
     assert detector.score(text) >= 0.7
 
 
+def test_the_decoded_path_is_the_best_of_all(detector):
+    """Against every path through the lattice, one by one."""
+    rng = random.Random(11)
+    number = lambda c: int(noise.symbols(np.array([ord(c)], np.uint32))[0])
+
+    def cost(path):
+        total, a, b = sum(c for c, _ in path), noise.BLANK, noise.BLANK
+        for _, letter in path:
+            if letter:
+                total, a, b = total + detector.log_p[a][b][number(letter)], b, number(letter)
+        return total + detector.log_p[a][b][noise.BLANK]
+
+    for _ in range(60):
+        apart = rng.random() < 0.5
+        stretch = "".join(rng.choice("ab10$3!. mm") for _ in range(rng.randrange(2, 8)))
+        lattice = []
+        for char, again in noise._runs(stretch):
+            if char in noise.SIGNS and not (apart and char == "*"):
+                lattice.append([(noise.SWAP, c) for c in noise.LEET[char]])
+            elif char.isalpha():
+                lattice.append([(0.0, char), (noise.DROP, "")] if again else [(0.0, char)])
+            else:
+                lattice.append([(noise.DROP, ""), (noise.KEEP_GAP, " ")] if apart else [(0.0, " ")])
+        paths = list(itertools.product(*lattice))
+        said = detector.restored(stretch, apart)
+        mine = max(cost(p) for p in paths if "".join(letter for _, letter in p) == said)
+        assert mine == pytest.approx(max(map(cost, paths)))
+
+
 def test_tokens_of_signs_alone_are_decoded():
     rng = random.Random(3)
     clean = [prose(rng, GOOD, 60) for _ in range(100)]
