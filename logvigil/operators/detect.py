@@ -100,8 +100,11 @@ def low_slow_exfil(
     return rolled.where(F.col("active_days") >= min_days)
 
 
+SLOPE_DIGITS = 9
+
+
 def insider_drift(events: DataFrame, typical: DataFrame, min_weeks: int = 3, min_slope: float = 0.0) -> DataFrame:
-    """Entities whose weekly share of unusual resources rises."""
+    """Entities whose weekly share of unusual resources rises. Slopes are compared at nine places: the noise of sums is no rise."""
     used = events.groupBy("entity_id", "resource_accessed", div(F.col("ts_us"), 7 * US_PER_DAY).alias("week")).agg(
         F.count("*").alias("n")
     )
@@ -115,4 +118,4 @@ def insider_drift(events: DataFrame, typical: DataFrame, min_weeks: int = 3, min
         F.count("*").alias("weeks"), F.regr_slope(F.col("share"), F.col("week").cast("double")).alias("slope"),
         F.max("share").alias("max_share"),
     )
-    return trend.where((F.col("weeks") >= min_weeks) & (F.col("slope") > min_slope))
+    return trend.where((F.col("weeks") >= min_weeks) & (F.round("slope", SLOPE_DIGITS) > min_slope))

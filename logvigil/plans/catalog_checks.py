@@ -124,7 +124,7 @@ def detect_low_slow_exfil(spark, sf):
 @query("detect_insider_drift", f"""SELECT entity_id, count(*) AS weeks, {r4('regr_slope(share, week) AS slope', 'max(share) AS max_share')} FROM (
   SELECT al.entity_id, ts_us // 604800000000 AS week, avg(CASE WHEN tr.entity_id IS NULL THEN 1.0e0 ELSE 0.0e0 END) AS share FROM al
   LEFT JOIN tr ON tr.entity_id = al.entity_id AND tr.resource_accessed = al.resource_accessed GROUP BY ALL)
-  GROUP BY entity_id HAVING count(*) >= 3 AND regr_slope(share, week) > 0.02e0""")
+  GROUP BY entity_id HAVING count(*) >= 3 AND round(regr_slope(share, week), 9) > 0""")
 def detect_insider_drift(spark, sf):
     typical = profiles.typical_pairs(derived.learned(spark, sf).profiles)
-    return detect.insider_drift(derived.access_log(spark, sf), typical, min_slope=0.02)
+    return detect.insider_drift(derived.access_log(spark, sf), typical)
