@@ -2,9 +2,10 @@
 
 Texts with the same set of shingles are one class, found by a 128-bit digest of the set; all later steps
 work on classes. Within a band bucket each class is only compared with the bucket's first class (a star),
-so a bucket never becomes pairs. That settles most groups. Where a family of buckets still holds more
-than one component, all its classes outside the largest component are compared with all its classes, in
-blocks of arrays, so that no link that a bucket could show is lost.
+so a bucket never becomes pairs. That settles most groups. Where a bucket still holds more than one
+component, its classes outside the largest component meet all its classes, in blocks of arrays: first their
+packed sketches, each pair in the first bucket that it shares, then the texts of those classes that have a
+likely partner there. So no link that a bucket could show is lost, and texts go only where sketches agree.
 """
 
 from __future__ import annotations
@@ -164,11 +165,11 @@ def estimate(a: str = "low_a", b: str = "low_b") -> Column:
     return ((1 - differ / MINIMA) - 2.0**-BITS) / (1 - 2.0**-BITS)
 
 
-def star_pairs(classes: DataFrame) -> DataFrame:
-    """Each class with the first class of each of its buckets: distinct pairs a, b."""
+def shared_buckets(classes: DataFrame) -> DataFrame:
+    """Buckets with several classes: bucket, node, and the first class of the bucket."""
     members = classes.select("node", F.explode("bands").alias("bucket"))
-    first = members.groupBy("bucket").agg(F.min("node").alias("b"), F.max("node").alias("z")).where("b <> z").select("bucket", "b")
-    return members.join(first, "bucket").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    first = members.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("z")).where("first <> z").select("bucket", "first")
+    return members.join(first, "bucket")
 
 
 def unpacked(texts: Iterable[bytes]) -> list[str]:
@@ -226,23 +227,54 @@ def cross_links(blocks: DataFrame, params: Params) -> DataFrame:
     return blocks.groupBy("block").applyInPandas(compare, "a binary, b binary")
 
 
+def likely_members(blocks: DataFrame, params: Params) -> DataFrame:
+    """Of the classes in blocks (bucket, xb, yb, side, node, comp, low_bits, bands) those with a likely partner on the other side: one in
+    another component whose sketch agrees, and with which this is the first bucket shared."""
+
+    def words(lists: pd.Series) -> np.ndarray:
+        return np.stack(lists.to_numpy()).astype(np.int64).view(np.uint64)
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        x, y = rows[rows["side"] == "x"], rows[rows["side"] == "y"]
+        kept = [rows.iloc[:0]]
+        if len(x) and len(y):
+            low_y, bands_y = words(y["low_bits"]), words(y["bands"])
+            comp = pd.factorize(rows["comp"])[0]
+            comp_x, comp_y = comp[(rows["side"] == "x").to_numpy()], comp[(rows["side"] == "y").to_numpy()]
+            low_x, bands_x, bucket = words(x["low_bits"]), words(x["bands"]), np.array([rows["bucket"].iloc[0]], np.int64).view(np.uint64)[0]
+            least, good = (1 - 2.0**-BITS) * params.least_estimate + 2.0**-BITS, np.zeros((len(x), len(y)), bool)
+            for i in range(len(x)):
+                apart = low_y ^ low_x[i]
+                for shift in (1, 2):
+                    apart |= apart >> np.uint64(shift)
+                same = 1 - np.bitwise_count(apart & np.uint64(0x1111111111111111)).sum(1) / MINIMA
+                at = np.flatnonzero((same >= least) & (comp_y != comp_x[i]))
+                met = bands_y[at] == bands_x[i]
+                good[i, at] = bands_x[i][met.argmax(1)] == bucket
+            kept = [x[good.any(1)], y[good.any(0)]]
+        return pd.concat(kept)[["bucket", "xb", "yb", "side", "node", "comp"]]
+
+    kinds = dict(blocks.dtypes)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in ("bucket", "xb", "yb", "side", "node", "comp"))
+    return blocks.groupBy("bucket", "xb", "yb").applyInPandas(compare, schema)
+
+
 def _sides(members: DataFrame) -> DataFrame:
-    """The blocks of each family with more than one component: classes as side x and side y, with their texts' class."""
-    sizes = members.groupBy("family", "comp").agg(F.count("*").alias("n"))
-    families = sizes.groupBy("family").agg(
+    """The blocks of each bucket with more than one component: its classes as side x and side y."""
+    sizes = members.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+    buckets = sizes.groupBy("bucket").agg(
         F.sum("n").alias("size"), F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("comps")
     ).where("comps > 1").select(
-        "family", F.col("top.comp").alias("top"), F.ceil((F.col("size") - F.col("top.n")) / X_BLOCK).cast("int").alias("x_blocks"),
+        "bucket", F.col("top.comp").alias("top"), F.ceil((F.col("size") - F.col("top.n")) / X_BLOCK).cast("int").alias("x_blocks"),
         F.ceil(F.col("size") / Y_BLOCK).cast("int").alias("y_blocks"),
     )
-    open_members = members.join(families, "family")
+    open_members = members.join(buckets, "bucket")
     h = F.xxhash64("node")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     x = open_members.where("comp <> top").withColumn("xb", F.pmod(h, F.col("x_blocks")).cast("int")).withColumn("yb", each("y_blocks"))
     y = open_members.withColumn("yb", F.pmod(h, F.col("y_blocks")).cast("int")).withColumn("xb", each("x_blocks"))
-    columns = ["family", "xb", "yb", "node", "comp"]
-    both = x.select(*columns, F.lit("x").alias("side")).unionByName(y.select(*columns, F.lit("y").alias("side")))
-    return both.select(F.struct("family", "xb", "yb").alias("block"), "side", "node", "comp")
+    columns = ["bucket", "xb", "yb", "node", "comp"]
+    return x.select(*columns, F.lit("x").alias("side")).unionByName(y.select(*columns, F.lit("y").alias("side")))
 
 
 def classed(docs: DataFrame, params: Params = Params(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -269,7 +301,8 @@ def _components(docs: DataFrame, params: Params, key: str, text: str) -> tuple[D
     classes = written(
         has_words.groupBy("node").agg(F.min("key").alias("least"), F.first("low_bits").alias("low_bits"), F.first("bands").alias("bands"))
     )
-    pairs = written(star_pairs(classes))
+    shared = written(shared_buckets(classes))
+    pairs = written(shared.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct())
     low = classes.select("node", "low_bits")
     sketched = pairs.join(low.select(F.col("node").alias("a"), F.col("low_bits").alias("low_a")), "a").join(
         low.select(F.col("node").alias("b"), F.col("low_bits").alias("low_b")), "b"
@@ -280,16 +313,17 @@ def _components(docs: DataFrame, params: Params, key: str, text: str) -> tuple[D
     with_texts = likely.join(texts.select(F.col("node").alias("a"), F.col("z").alias("z_a")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("z").alias("z_b")), "b"
     )
-    roots = graph.components(linked(with_texts, params))
-    families = graph.components(pairs).select("node", F.col("root").alias("family"))
-    members = written(families.join(roots, "node", "left").select("node", "family", F.coalesce("root", "node").alias("comp")))
-    blocks = _sides(members).join(texts, "node").select("block", "side", "comp", "z")
-    across = graph.components(cross_links(blocks, params)).select(F.col("node").alias("comp"), "root")
-    final = members.join(across, "comp", "left").select("node", F.coalesce("root", "comp").alias("final"))
-    labelled = classes.select("node", "least").join(final, "node", "left").withColumn("final", F.coalesce("final", "node"))
+    roots = written(graph.components(linked(with_texts, params)))
+    members = written(shared.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("comp")))
+    sides = _sides(members).join(classes.select("node", "low_bits", "bands"), "node")
+    likely_sides = written(likely_members(sides, params))
+    blocks = likely_sides.join(texts, "node").select(F.struct("bucket", "xb", "yb").alias("block"), "side", "comp", "z")
+    across = graph.components(cross_links(blocks, params)).select(F.col("node").alias("comp"), F.col("root").alias("joined"))
+    final = classes.select("node", "least").join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("comp"))
+    labelled = final.join(across, "comp", "left").select("node", "least", F.coalesce("joined", "comp").alias("final"))
     smallest = labelled.groupBy("final").agg(F.min("least").alias("component_id"))
     known = written(labelled.join(smallest, "final").select("node", "least", "final", "component_id"))
-    discard(classes, pairs, texts, members)
+    discard(classes, shared, pairs, texts, roots, members, likely_sides)
     return rows, known
 
 
