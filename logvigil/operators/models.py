@@ -33,6 +33,7 @@ SPARE_ROWS = 64  # rows that make a short draw all but impossible
 DIGITS = 4  # of features: one that is constant but for the noise of its arithmetic is constant
 NUDGE = 1e-9  # as in the registry of queries
 SCORE_DIGITS = 9
+CLASSES_AT_ONCE = 4  # boosted side by side
 HEX = 1 << 32  # values of a digest's first eight digits
 
 
@@ -243,7 +244,7 @@ def classifier_fit(
     common = {"featuresCol": "vector", "labelCol": "class_index", "weightCol": "weight"}
     if boosted:
         binary = GBTClassifier(maxIter=rounds, stepSize=0.05, maxDepth=depth, subsamplingRate=0.8, seed=seed)
-        stages.append(OneVsRest(classifier=binary, **common))
+        stages.append(OneVsRest(classifier=binary, parallelism=CLASSES_AT_ONCE, **common))
     else:
         stages.append(RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, **common))
     rows = flagged.select(label, *[F.col(c).cast("double").alias(c) for c in features])

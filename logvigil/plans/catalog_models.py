@@ -97,6 +97,14 @@ def threat_classifier(spark, sf):
     return models.predict(rows, model).select(*PREDICTED)
 
 
+@query("threat_classifier_boosted")
+def threat_classifier_boosted(spark, sf):
+    """The same with boosted trees, one model a class."""
+    rows = derived.flagged(spark, sf)
+    model = models.classifier_fit(rows, chain.FEATURES, boosted=True, rounds=20)
+    return models.predict(rows, model).select(*PREDICTED)
+
+
 CHECKED_PREDICTION = f"""SELECT event_id, {TARGET}, coalesce(rule, '(model)') AS predicted_attack_type,
   coalesce({RULE_TEXT}, 'Spark ML Classifier') AS prediction_source"""
 

@@ -45,7 +45,7 @@ def test_every_check_has_a_query():
     by_model = {name.removesuffix("_check") for name in registry.CHECKS if name.endswith("_check")}
     assert by_model <= set(registry.QUERIES)
     assert unchecked == by_model | {
-        "threat_classifier", "oof_predictions", "oof_report", "oof_confusion",
+        "threat_classifier", "threat_classifier_boosted", "oof_predictions", "oof_report", "oof_confusion",
     }
 
 
