@@ -229,34 +229,67 @@ def cross_links(blocks: DataFrame, params: Params) -> DataFrame:
 
 def likely_members(blocks: DataFrame, params: Params) -> DataFrame:
     """Of the classes in blocks (bucket, xb, yb, side, node, comp, low_bits, bands) those with a likely partner on the other side: one in
-    another component whose sketch agrees, and with which this is the first bucket shared."""
-
-    def words(lists: pd.Series) -> np.ndarray:
-        return np.stack(lists.to_numpy()).astype(np.int64).view(np.uint64)
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        x, y = rows[rows["side"] == "x"], rows[rows["side"] == "y"]
-        kept = [rows.iloc[:0]]
-        if len(x) and len(y):
-            low_y, bands_y = words(y["low_bits"]), words(y["bands"])
-            comp = pd.factorize(rows["comp"])[0]
-            comp_x, comp_y = comp[(rows["side"] == "x").to_numpy()], comp[(rows["side"] == "y").to_numpy()]
-            low_x, bands_x, bucket = words(x["low_bits"]), words(x["bands"]), np.array([rows["bucket"].iloc[0]], np.int64).view(np.uint64)[0]
-            least, good = (1 - 2.0**-BITS) * params.least_estimate + 2.0**-BITS, np.zeros((len(x), len(y)), bool)
-            for i in range(len(x)):
-                apart = low_y ^ low_x[i]
-                for shift in (1, 2):
-                    apart |= apart >> np.uint64(shift)
-                same = 1 - np.bitwise_count(apart & np.uint64(0x1111111111111111)).sum(1) / MINIMA
-                at = np.flatnonzero((same >= least) & (comp_y != comp_x[i]))
-                met = bands_y[at] == bands_x[i]
-                good[i, at] = bands_x[i][met.argmax(1)] == bucket
-            kept = [x[good.any(1)], y[good.any(0)]]
-        return pd.concat(kept)[["bucket", "xb", "yb", "side", "node", "comp"]]
+    another component whose sketch agrees, and with which this is the first bucket shared.
 
+    Most blocks are a few rows, so a task goes through its sorted blocks one by one, without a call for each.
+    """
+    kept = ["bucket", "xb", "yb", "side", "node", "comp"]
     kinds = dict(blocks.dtypes)
-    schema = ", ".join(f"{c} {kinds[c]}" for c in ("bucket", "xb", "yb", "side", "node", "comp"))
-    return blocks.groupBy("bucket", "xb", "yb").applyInPandas(compare, schema)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in kept)
+    # what an estimate at the least needs in minima that differ, at most
+    most = int(MINIMA * (1 - ((1 - 2.0**-BITS) * params.least_estimate + 2.0**-BITS)) + 1e-9)
+    fold = np.uint64(0x1111111111111111)
+
+    def partners(is_x: np.ndarray, comp: np.ndarray, low: np.ndarray, bands: np.ndarray, bucket: np.uint64) -> np.ndarray:
+        """Which rows of one block have a partner."""
+        y, found = np.flatnonzero(~is_x), np.zeros(len(is_x), bool)
+        for i in np.flatnonzero(is_x):
+            apart = low[y] ^ low[i]
+            for shift in (1, 2):
+                apart |= apart >> np.uint64(shift)
+            at = y[(np.bitwise_count(apart & fold).sum(1) <= most) & (comp[y] != comp[i])]
+            at = at[bands[i][(bands[at] == bands[i]).argmax(1)] == bucket]
+            if len(at):
+                found[i] = found[at] = True
+        return found
+
+    def judged(part: pa.RecordBatch) -> pa.RecordBatch:
+        """Whole blocks in a row."""
+        names = {c: i for i, c in enumerate(part.schema.names)}
+        bucket = part.column(names["bucket"]).to_numpy()
+        place = np.stack([bucket, part.column(names["xb"]).to_numpy(), part.column(names["yb"]).to_numpy()])
+        is_x = np.array([s == "x" for s in part.column(names["side"]).to_pylist()])
+        comp = part.column(names["comp"]).dictionary_encode().indices.to_numpy()
+        low, bands = (part.column(names[c]).flatten().to_numpy().view(np.uint64).reshape(part.num_rows, -1) for c in ("low_bits", "bands"))
+        cuts = [0, *(np.flatnonzero((place[:, 1:] != place[:, :-1]).any(0)) + 1).tolist(), part.num_rows]
+        found = np.zeros(part.num_rows, bool)
+        for start, stop in zip(cuts, cuts[1:]):
+            rows = slice(start, stop)
+            found[rows] = partners(is_x[rows], comp[rows], low[rows], bands[rows], bucket.view(np.uint64)[start])
+        return part.select(kept).filter(pa.array(found))
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # the rows of a block that may go on in the next batch
+        for part in parts:
+            if not part.num_rows:
+                continue
+            last = [part.column(c)[part.num_rows - 1].as_py() for c in ("bucket", "xb", "yb")]
+            same = np.ones(part.num_rows, bool)
+            for c, value in zip(("bucket", "xb", "yb"), last):
+                same &= part.column(c).to_numpy() == value
+            begin = int(same.argmax())  # rows are sorted, so the last block is a stretch at the end
+            before = part.slice(0, begin)
+            first = [held[-1].column(c)[0].as_py() for c in ("bucket", "xb", "yb")] if held else None
+            if begin or (held and first != last):
+                whole = pa.Table.from_batches([*held, before]).combine_chunks().to_batches()
+                yield from map(judged, whole)
+                held = []
+            held.append(part.slice(begin))
+        if held:
+            yield from map(judged, pa.Table.from_batches(held).combine_chunks().to_batches())
+
+    order = ["bucket", "xb", "yb"]
+    return blocks.repartition(*order).sortWithinPartitions(*order).mapInArrow(batches, schema)
 
 
 def _sides(members: DataFrame) -> DataFrame:

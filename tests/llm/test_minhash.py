@@ -135,3 +135,27 @@ def test_set_digests_ignore_order_and_tell_sets_apart():
     assert digests[0] == digests[1] and digests[3] is None
     assert len(set(digests)) == 5
     assert np.array_equal(np.diff(minhash.shingle_sets(texts, 3)[1]), [2, 2, 2, 0, 1, 1])
+
+
+def test_likely_members_of_blocks_that_span_batches(spark):
+    """Against every pair, with batches that cut blocks."""
+    from logvigil.llm.tables import small_batches
+
+    rng = np.random.default_rng(5)
+    params = minhash.Params()
+    base = rng.integers(0, 1 << 62, (6, 8))
+    bands = rng.integers(0, 50, (40, 25)) + np.arange(25) * 100
+    classes = [(bytes([i]), bytes([int(rng.integers(0, 5))]), (base[i % 6] ^ (1 if i % 4 else 0)).tolist(), bands[i].tolist()) for i in range(40)]
+    rows = [(int(b), 0, 0, side, n, c, low, own) for n, c, low, own in classes for b in own for side in ("x", "y")]
+    blocks = spark.createDataFrame(rows, "bucket long, xb int, yb int, side string, node binary, comp binary, low_bits array<long>, bands array<long>")
+    with small_batches(spark, 7):
+        got = {(r.bucket, r.side, bytes(r.node)) for r in minhash.likely_members(blocks, params).collect()}
+    want = set()
+    for n, c, low, own in classes:
+        for m, d, other, theirs in classes:
+            shared = [a for a, b in zip(own, theirs) if a == b]
+            differ = sum(bin((x ^ y) >> (4 * k) & 15).count("1") > 0 for x, y in zip(low, other) for k in range(16))
+            estimate = ((1 - differ / minhash.MINIMA) - 2.0**-minhash.BITS) / (1 - 2.0**-minhash.BITS)
+            if shared and c != d and estimate >= params.least_estimate:
+                want |= {(shared[0], "x", n), (shared[0], "y", m)}
+    assert got == want and want
