@@ -105,7 +105,7 @@ def isolation_forest_fit(
     the table that sends the rows on.
     """
     rows, per_tree = tree_rows(normal, features, trees, rows_per_tree, seed)
-    rows = written(rows).withColumn("node", F.lit(0))
+    rows = written(rows.withColumn("node", F.lit(0)))
     limit = math.ceil(math.log2(max(2, per_tree)))
     spark, nodes = normal.sparkSession, []
     for depth in range(limit + 1):
@@ -121,7 +121,8 @@ def isolation_forest_fit(
             break
         cuts = spark.createDataFrame(level.loc[split, ["tree", "node", "feature", "cut"]].astype({"feature": int}), "tree int, node int, feature int, cut double")
         side = F.when(F.get("x", F.col("feature")) > F.col("cut"), 2).otherwise(1)
-        rows = rows.join(F.broadcast(cuts), ["tree", "node"]).select("tree", "x", (2 * F.col("node") + side).alias("node"))
+        # written, so that all levels have one plan and none repeats the ones before it
+        rows = written(rows.join(F.broadcast(cuts), ["tree", "node"]).select("tree", "x", (2 * F.col("node") + side).alias("node")))
     forest = pd.concat(nodes, ignore_index=True)
     forest.attrs["rows"] = per_tree
     return forest
