@@ -9,7 +9,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from logvigil.llm import grams, linear, pu, samples
 from logvigil.llm.tables import Shared, slices
