@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from logvigil.functions import rules
 from logvigil.operators import metrics, models, profiles, ranks, scoring, sequence, trailing
 from logvigil.operators.timeline import DECIDED, find_hot, mark_hot
-from logvigil.session import written
+from logvigil.session import JOIN_IN_PLACE, written
 
 # fixed values
 FEATURES = (
@@ -52,7 +52,7 @@ def learn(events: DataFrame) -> Learned:
 def base_scores(learned: Learned, events: DataFrame | None = None) -> DataFrame:
     """Base features and the statistical score for all events."""
     rows = learned.events if events is None else events
-    features = profiles.base_features(rows, learned.profiles, learned.devices, learned.everybody, learned.hot)
+    features = profiles.base_features(rows, learned.profiles, learned.devices, learned.everybody, learned.hot, learned.events)
     return profiles.stat_profile_score(features, learned.profiles, learned.everybody, learned.events)
 
 
@@ -70,25 +70,41 @@ def best_base_scores(scored: DataFrame) -> tuple[DataFrame, str]:
     return rows.withColumn("score", F.col(BASE_MODELS[best])).drop(*drop), best
 
 
-def sequence_errors(split_events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Add the seven sequence errors and their sum to all events, learned from the training part."""
+def sequence_errors(split_events: DataFrame, hot: DataFrame | None = None, swept: DataFrame | None = None) -> DataFrame:
+    """Add the seven sequence errors and their sum to all events, learned from the training part.
+
+    ``swept`` are the same events with more columns (:func:`trailing_events`), to be kept: they are only gone through once.
+    """
     rows = sequence.with_last_values(mark_hot(split_events, hot), hot_rows=DECIDED)
     train = split_events.where(F.col("split") == "train")
     transitions = written(sequence.transition_counts(rows.where(F.col("split") == "train")))
+    columns = split_events.columns
+    if swept is not None:
+        rows, columns = sequence.with_last_values(swept, hot_rows=DECIDED), [c for c in swept.columns if c != "width"]
     centroids, everywhere = sequence.centroid_fit(train), sequence.global_centroid(train)
     scaling = sequence.scaling_fit(sequence.centroid_lookup(train, centroids, everywhere, hot)).first()
     rows = sequence.scale_features(sequence.centroid_lookup(rows, centroids, everywhere, hot), scaling)
     rows = sequence.sequence_surprise(rows, transitions, sequence.vocabulary_sizes(transitions), hot_rows=DECIDED)
-    return rows.select(*split_events.columns, *sequence.ERROR_COLUMNS, "seq_error")
+    return rows.select(*columns, *sequence.ERROR_COLUMNS, "seq_error")
+
+
+def trailing_events(learned: Learned) -> DataFrame:
+    """All events with their trailing features (and, with hot entities, ``width``)."""
+    rows = mark_hot(learned.events, learned.hot)
+    return trailing.trailing_features(rows, profiles.typical_pairs(learned.profiles), hot_rows=DECIDED)
 
 
-def ensemble_scores(learned: Learned, best_base: bool = False) -> DataFrame:
-    """Base score, sequence errors, ensemble, threshold and flag per event.
+def ensemble_scores(learned: Learned, best_base: bool = False, with_trailing: bool = False) -> DataFrame:
+    """Base score, sequence errors, ensemble, threshold and flag per event; ``with_trailing`` also the trailing features.
 
-    Each step adds columns to the same rows; nothing is joined back by event. The base score is the profile's, or with ``best_base``
-    that of the base model that wins on the validation part.
+    Each step adds columns to the same rows; nothing is joined back by event. Events are exchanged by entity once and written once: what
+    is looked up by entity finds them there, and all that comes after the write is constants and a broadcast table. The base score
+    is the profile's, or with ``best_base`` that of the base model that wins on the validation part.
     """
-    scored = written(base_scores(learned, sequence_errors(learned.events, learned.hot)))
+    swept = trailing_events(learned) if with_trailing else None
+    rows = base_scores(learned, sequence_errors(learned.events, learned.hot, swept))
+    # an entity that is cut into slices does not lie by entity, and must not
+    scored = written(rows, JOIN_IN_PLACE if learned.hot is None else None)
     if best_base:
         scored, _ = best_base_scores(scored)
     rows = scoring.ensemble(scored)
@@ -97,7 +113,9 @@ def ensemble_scores(learned: Learned, best_base: bool = False) -> DataFrame:
 
 
 def combined_features(learned: Learned, scored: DataFrame) -> DataFrame:
-    """All 27 features plus scores per event."""
+    """All 27 features plus scores per event; rows that have the trailing ones already stay as they are."""
+    if {*FEATURES} <= {*scored.columns}:
+        return scored
     rows = mark_hot(scored, learned.hot)
     out = trailing.trailing_features(rows, profiles.typical_pairs(learned.profiles), hot_rows=DECIDED)
     return out.select(*scored.columns, *[c for c in out.columns if c in FEATURES and c not in scored.columns])

@@ -153,13 +153,25 @@ def owned(normal: DataFrame, column: str) -> DataFrame:
     return mine.unionByName(distinct_values(normal, column, "all").withColumn("owner", F.lit(EVERYBODY)))
 
 
+def known_devices(log: DataFrame, profiles: DataFrame, devices: DataFrame) -> DataFrame:
+    """(entity_id, mac) of the devices that are known for an entity: its own, or without a profile of its own everybody's among those it uses.
+
+    By entity and not by owner, so that events which lie by entity are looked up where they are.
+    """
+    warm = profiles.where((F.col("num_events") >= MIN_PROFILE_EVENTS) & F.col("home_lat").isNotNull()).select("entity_id")
+    own = devices.where(F.col("owner") != EVERYBODY).select(F.col("owner").alias("entity_id"), "mac").join(warm, "entity_id", "left_semi")
+    used = log.join(warm, "entity_id", "left_anti").select("entity_id", "mac").distinct()
+    return own.unionByName(used.join(devices.where(F.col("owner") == EVERYBODY).select("mac"), "mac", "left_semi"))
+
+
 def base_features(
-    events: DataFrame, profiles: DataFrame, devices: DataFrame, everybody: Row, hot: DataFrame | None = None
+    events: DataFrame, profiles: DataFrame, devices: DataFrame, everybody: Row, hot: DataFrame | None = None, log: DataFrame | None = None
 ) -> DataFrame:
-    """The 15 base features per event. ``devices`` is ``owned(normal, "mac")``."""
+    """The 15 base features per event. ``devices`` is ``owned(normal, "mac")``; ``log`` holds (at least) the devices of the same
+    events, before any feature was computed."""
     looked_up = profile_lookup(events, profiles, everybody, hot)
-    known = devices.select("owner", "mac", F.lit(True).alias("device_known"))
-    looked_up = looked_up.join(known, ["owner", "mac"], "left")
+    known = known_devices(events if log is None else log, profiles, devices).withColumn("device_known", F.lit(True))
+    looked_up = looked_up.join(known, ["entity_id", "mac"], "left")
     ts = F.col("ts_us")
     return looked_up.withColumns(
         {

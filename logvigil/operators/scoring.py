@@ -6,14 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logvigil.functions import scores
-from logvigil.functions.clock import US_PER_DAY, US_PER_SECOND, div
+from logvigil.functions.clock import US_PER_DAY, US_PER_HOUR, US_PER_SECOND, div
 from logvigil.operators.ranks import exact_percentile
+from logvigil.session import written
 
 # fixed values
 ALERT_QUANTILE = 0.99
 FALLBACK_QUANTILE = 0.95
 ROLLING_DAYS = 30
 SECONDS_PER_DAY = 86_400
+HOURS_PER_DAY = 24
+MOST_RECORDS = 100_000  # that are broadcast
 
 
 def minmax(df: DataFrame, column: str) -> tuple[float, float]:
@@ -99,8 +102,65 @@ def _head_and_tail(table: DataFrame, key: str, shift: int, group: str, group_shi
     return out.where(F.col("leaving") == 0).select(group, key, "low", "high", f"{name}_low", f"{name}_high")
 
 
-def rolling_extremes(events: DataFrame, value: str, days: int = ROLLING_DAYS) -> DataFrame:
-    """Add ``roll_low`` and ``roll_high``: extremes over (t - days, t] of the whole stream.
+def _records(rows: DataFrame, cell: str, later: bool) -> DataFrame:
+    """The rows of each cell that are lower or higher than all before them in it (``later``: all after them)."""
+    order = [F.col(c).desc() if later else F.col(c).asc() for c in ("ts_us", "event_id")]
+    others = Window.partitionBy(cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumns({"least": F.min("v").over(others), "most": F.max("v").over(others)})
+    return rows.where(F.col("least").isNull() | (F.col("v") < F.col("least")) | (F.col("v") > F.col("most"))).drop("least", "most")
+
+
+def _hourly(events: DataFrame, value: str, days: int) -> tuple[DataFrame, int]:
+    """Per hour: extremes of the whole hours that stay in the window all through it (``core_low``, ``core_high``), and the ``comes`` and ``goes``:
+    events of the hour, and of the hour that leaves the window meanwhile, that are beyond these and were not topped before (after). Also
+    the number of all of them.
+
+    An event that is not beyond what stays in the window can be left out whatever else comes or goes. The rest are records of
+    their second and then of their hour, so no task holds more than a second, or the records of an hour's seconds.
+    """
+    hours = days * HOURS_PER_DAY
+    slim = events.select("event_id", "ts_us", F.col(value).alias("v"), div(F.col("ts_us"), US_PER_HOUR).alias("hour"))
+    ends = slim.groupBy("hour").agg(F.min("v").alias("low"), F.max("v").alias("high"))
+    # an hour that nothing happens in is no key that any event asks for; one row an hour
+    inner = Window.orderBy("hour").rangeBetween(-(hours - 1), -1)
+    core = written(ends.select("hour", F.min("low").over(inner).alias("low"), F.max("high").over(inner).alias("high")))
+    beyond = (F.col("low").isNull() & F.col("v").isNotNull()) | (F.col("v") < F.col("low")) | (F.col("v") > F.col("high"))
+    parts = []
+    for kind, shift in (("comes", 0), ("goes", hours)):
+        rows = slim.withColumn("hour", F.col("hour") + shift).join(F.broadcast(core), "hour").where(beyond).drop("low", "high")
+        rows = _records(_records(rows.withColumn("sec", div(F.col("ts_us"), US_PER_SECOND)), "sec", shift > 0), "hour", shift > 0)
+        parts.append(rows.select("hour", "ts_us", "event_id", "v", F.lit(kind).alias("kind")))
+    records = written(parts[0].unionByName(parts[1]))
+    point = F.struct("ts_us", "event_id", "v")
+    listed = records.groupBy("hour").agg(*[F.collect_list(F.when(F.col("kind") == kind, point)).alias(kind) for kind in ("comes", "goes")])
+    table = core.select(F.col("hour").alias("roll_hour"), F.col("low").alias("core_low"), F.col("high").alias("core_high"), "hour").join(listed, "hour", "left")
+    return written(table.drop("hour")), records.count()
+
+
+def rolling_extremes(events: DataFrame, value: str, days: int = ROLLING_DAYS, most_records: int = MOST_RECORDS) -> DataFrame:
+    """Add ``roll_low`` and ``roll_high``: extremes over (t - days, t] of the whole stream. Events of one instant count in the order of their ids.
+
+    The extremes of a stream change seldom. The records that change them go to the events as a broadcast table by hour, so that no event is shuffled.
+    Should there be more than ``most_records`` of them, say because scores rise all the time, :func:`joined_extremes` gives the same.
+    """
+    by_hour, records = _hourly(events, value, days)
+    if records > most_records:
+        return written(joined_extremes(events, value, days))
+    now, start = F.struct("ts_us", "event_id"), F.col("ts_us") - days * US_PER_DAY
+    came = F.transform(F.filter("comes", lambda r: F.struct(r["ts_us"], r["event_id"]) <= now), lambda r: r["v"])
+    left = F.transform(F.filter("goes", lambda r: r["ts_us"] > start), lambda r: r["v"])
+    rows = events.withColumn("roll_hour", div(F.col("ts_us"), US_PER_HOUR)).join(F.broadcast(by_hour), "roll_hour", "left")
+    rows = rows.withColumns(
+        {
+            "roll_low": F.least("core_low", F.array_min(came), F.array_min(left)),
+            "roll_high": F.greatest("core_high", F.array_max(came), F.array_max(left)),
+        }
+    )
+    return rows.drop(*by_hour.columns)
+
+
+def joined_extremes(events: DataFrame, value: str, days: int = ROLLING_DAYS) -> DataFrame:
+    """The same by a join of all events with the extremes before their instants.
 
     The window is put together from three levels: microseconds within a second, seconds within a
     day, whole days. A window partition holds at most the microseconds of two seconds or the

@@ -158,18 +158,13 @@ def learned(spark: SparkSession, sf_dir: str) -> chain.Learned:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base and ensemble scores of every event, written once."""
-    return shared(spark, sf_dir, "scored", lambda: written(chain.ensemble_scores(learned(spark, sf_dir))))
+    """Base and ensemble scores of every event and its trailing features: one written table, and what follows from its rows."""
+    return shared(spark, sf_dir, "scored", lambda: chain.ensemble_scores(learned(spark, sf_dir), with_trailing=True))
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The combined feature matrix with scores, written once."""
-    return shared(
-        spark,
-        sf_dir,
-        "features",
-        lambda: written(chain.combined_features(learned(spark, sf_dir), scored(spark, sf_dir))),
-    )
+    """The combined feature matrix with scores, on the table of the scores."""
+    return chain.combined_features(learned(spark, sf_dir), scored(spark, sf_dir))
 
 
 def event_store(spark: SparkSession, sf_dir: str) -> str:

@@ -27,6 +27,21 @@ def test_hot_entities_change_nothing(spark, monkeypatch):
         assert sliced[column].to_numpy() == pytest.approx(plain[column].to_numpy(), rel=1e-9, abs=1e-9), column
 
 
+@pytest.mark.parametrize("hot_rows", [timeline.HOT_ROWS, 20])
+def test_one_pass_gives_scores_and_all_features(spark, monkeypatch, hot_rows):
+    """Trailing features of the pass that scores are those of a pass over the scored rows, and nothing is shuffled after its write."""
+    columns = ["event_id", *chain.FEATURES, "score", "score_ensemble", "score_rolling_ensemble"]
+    two = features_of(derived.access_log(spark, SF)).select(*columns).toPandas().set_index("event_id").sort_index()
+    monkeypatch.setattr(timeline, "HOT_ROWS", hot_rows)
+    learned = chain.learn(derived.access_log(spark, SF))
+    scored = chain.ensemble_scores(learned, with_trailing=True)
+    rows = chain.combined_features(learned, scored)
+    assert rows is scored and "Exchange hashpartitioning" not in rows._jdf.queryExecution().executedPlan().toString()
+    one = rows.select(*columns).toPandas().set_index("event_id").sort_index()
+    for column in columns[1:]:
+        assert one[column].to_numpy() == pytest.approx(two[column].to_numpy(), rel=1e-9, abs=1e-9), column
+
+
 def test_ensemble_follows_the_base_model_that_wins(spark, monkeypatch):
     """Profile scores that say nothing lose to the trained models, and the ensemble then rests on the winner."""
     learned = chain.learn(derived.access_log(spark, SF))

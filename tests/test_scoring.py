@@ -30,6 +30,21 @@ def test_rolling_equals_brute_force(spark, seed, days):
     assert got == pytest.approx(brute_rolling(rows, days))
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rolling_moves_no_events(spark):
+    """Records go to the events; only a stream with more of them than can be broadcast is joined, with the same result."""
+    rng = random.Random(9)
+    rows = [(i, T0 + rng.randrange(6 * DAY), rng.choice([None, round(rng.random(), 2)])) for i in range(200)]
+    df = spark.createDataFrame(rows, "event_id long, ts_us long, v double")
+    near, far = scoring.rolling_extremes(df, "v", 2), scoring.rolling_extremes(df, "v", 2, most_records=0)
+    assert "hashpartitioning(ts_us" not in _plan(near)
+    seen = [{r["event_id"]: (r["roll_low"], r["roll_high"]) for r in part.collect()} for part in (near, far)]
+    assert seen[0] == seen[1] and len(seen[0]) == 200
+
+
 def test_event_one_window_ago_is_out(spark):
     rows = [(0, T0, 0.0), (1, T0 + 1, 0.4), (2, T0 + 30 * DAY, 0.5), (3, T0 + 30 * DAY + 1, 0.6)]
     df = spark.createDataFrame(rows, "event_id long, ts_us long, v double")
