@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from logvigil.functions.clock import US_PER_DAY
 
 ID_FOLDERS = 64
-EVENTS_A_FILE = 4_000_000  # of a day, about
+EVENTS_A_FILE = 500_000  # about: what one task sorts
 QUEUE_RANGE = 10_000  # alerts of a range, about
 MOST_RANGES = 10_000
 QUEUE_ORDER = ("risk_score", "ts_us", "event_id")
@@ -34,10 +34,11 @@ def _folder(event_id: Column, folders: int) -> Column:
 
 def write_events(events: DataFrame, path: str, folders: int = ID_FOLDERS, file_rows: int = EVENTS_A_FILE, ids_a_row_group: int = 1_000_000) -> None:
     """Write ``events`` (event_id, entity_id, ts_us and more) and the table of their ids. The order decides where an event lies, so each
-    file holds a stretch of entities of one day or a few."""
+    file holds a stretch of entities of one day or a few, or of the events of one entity that fill more than a file in a day."""
     rows = events.withColumn("day", day_of(F.col("ts_us")))
     files = max(1, math.ceil(events.count() / file_rows))
-    laid = rows.repartitionByRange(files, "day", "entity_id").sortWithinPartitions("day", "entity_id", "ts_us", "event_id")
+    order = ("day", "entity_id", "ts_us", "event_id")
+    laid = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
     writer = laid.write.option("parquet.bloom.filter.enabled#event_id", "true")
     writer = writer.option("parquet.bloom.filter.expected.ndv#event_id", str(ids_a_row_group))
     writer.partitionBy("day").parquet(f"{path}/events")

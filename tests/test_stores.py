@@ -50,6 +50,14 @@ def test_one_event_reads_one_day(spark, events, store):
         stores.stored_event(spark, store, 4000, folders=8)
 
 
+def test_no_task_holds_all_of_a_busy_entity(spark, log, tmp_path):
+    busy = log([{"event_id": i, "entity_id": "E", "ts_us": T0 + i} for i in range(2000)])
+    stores.write_events(busy, str(tmp_path), folders=2, file_rows=200)
+    held = stores.stored_events(spark, str(tmp_path)).groupBy(F.input_file_name()).count().collect()
+    assert len(held) > 5 and max(r["count"] for r in held) < 2000 / 3
+    assert stores.stored_entity(spark, str(tmp_path), "E").count() == 2000
+
+
 def test_the_bloom_filter_keeps_row_groups_out(spark, store):
     """An id that no file holds, inside the range of ids of all files: only the filters can tell."""
     missing = stores.stored_events(spark, store).where("event_id = 2000 OR event_id = 2001").collect()
