@@ -92,4 +92,5 @@ def live_rows(alerts: DataFrame) -> DataFrame:
 
 
 def write_live_alerts(alerts: DataFrame, path: str, mode: str = "append") -> None:
-    live_rows(alerts).write.mode(mode).json(path)
+    """Write the feed in files of a fair size, however many pieces the alerts come in: a reader takes a few files at a time."""
+    live_rows(alerts).hint("rebalance").write.mode(mode).json(path)

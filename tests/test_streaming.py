@@ -28,6 +28,14 @@ def test_live_feed_picks_up_new_files_once(spark, tmp_path):
     assert run() == ["1", "2", "3"]
 
 
+def test_the_feed_has_few_files(spark, log, tmp_path):
+    """Batches of a reader follow the number of alerts, not of the pieces they were computed in."""
+    alerts = log([{"event_id": i, "sec": i} for i in range(60)]).withColumns({"predicted_attack_type": F.lit("unknown"), "risk_score": F.lit(0.5)})
+    feed = tmp_path / "feed"
+    writers.write_live_alerts(alerts.repartition(30), str(feed))
+    assert len(list(feed.glob("*.json"))) <= 2 and readers.read_live_alerts(spark, str(feed)).count() == 60
+
+
 def test_sink_then_tail(spark, log, tmp_path):
     alerts = log([{}, {"sec": 1}]).withColumns({"predicted_attack_type": F.lit("unknown"), "risk_score": F.lit(0.5)})
     source, feed = str(tmp_path / "alerts"), str(tmp_path / "feed")
