@@ -2,6 +2,7 @@ import json
 import random
 
 from clock_rows import SECOND, T0
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from logvigil.operators import trailing
@@ -108,3 +109,22 @@ def test_state_goes_once_the_watermark_has_passed_it(spark, log, tmp_path):
     run_per_event(spark, frames, tmp_path, "10 seconds")
     state = spark.read.format("statestore").option("operatorId", 0).option("stateVarName", "recent").load(str(tmp_path / "progress"))
     assert {r["key"]["entity_id"] for r in state.collect()} == {"B"}
+
+
+def test_an_entity_without_state_costs_three_calls():
+    """One read, one write and one timer, and no table is built for each entity."""
+    calls = []
+
+    class Recording:
+        def __getattr__(self, name):
+            return lambda *args: calls.append((name, *args)) or []
+
+    class Clock:
+        getCurrentWatermarkInMs = staticmethod(lambda: 0)
+
+    processor = stateful.FailedLogins("long")
+    processor.handle = processor.recent = Recording()
+    rows = [Row(ts_us=T0 + sec * SECOND, event_id=i, failed=1) for i, sec in ((2, 400), (1, 0), (3, 700))]
+    out = list(processor.handleInputRows(("A",), iter(rows), Clock()))
+    assert [(r.event_id, r.failed_auth_count_5min, r.late) for r in out] == [(1, 1, False), (2, 1, False), (3, 2, False)]
+    assert [c[0] for c in calls] == ["get", "put", "registerTimer"]
