@@ -33,6 +33,7 @@ SPARE_ROWS = 64  # rows that make a short draw all but impossible
 DIGITS = 4  # of features: one that is constant but for the noise of its arithmetic is constant
 NUDGE = 1e-9  # as in the registry of queries
 SCORE_DIGITS = 9
+POINTS_AT_ONCE = 500  # through all trees, in the cache of a core
 CLASSES_AT_ONCE = 4  # boosted side by side
 HEX = 1 << 32  # values of a digest's first eight digits
 
@@ -142,24 +143,25 @@ def isolation_forest_score(
     for target, column in ((feature, "feature"), (cut, "cut"), (left, "left"), (right, "right"), (depth, "depth")):
         target[at] = forest[column].to_numpy()
     levels = math.ceil(math.log2(max(2, rows_per_tree)))
-    shared = events.sparkSession.sparkContext.broadcast((feature, cut, left, right, depth, levels, _mean_path(rows_per_tree)))
+    # nodes of all trees in one line; a leaf is its own child, so a point that has arrived stays
+    first = np.arange(len(trees))[:, None] * width
+    line = (np.maximum(feature, 0).ravel(), cut.ravel(), (first + left).ravel(), (first + right).ravel(), depth.ravel(), first.ravel())
+    shared = events.sparkSession.sparkContext.broadcast((line, levels, _mean_path(rows_per_tree)))
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        feature, cut, left, right, depth, levels, scale = shared.value
-        tree = np.arange(len(feature))
+        (feature, cut, left, right, depth, first), levels, scale = shared.value
         for batch in batches:
-            if not len(batch):
-                yield pd.Series([], dtype="float64")
-                continue
-            points = np.stack(batch.to_numpy())
-            row = np.arange(len(points))[:, None]
-            node = np.zeros((len(points), len(feature)), dtype=int)
-            for _ in range(levels):
-                f = feature[tree, node]
-                goes_left = points[row, np.maximum(f, 0)] <= cut[tree, node]
-                node = np.where(f < 0, node, np.where(goes_left, left[tree, node], right[tree, node]))
-            yield pd.Series(np.power(2.0, -depth[tree, node].mean(axis=1) / scale))
+            means = [np.empty(0)]
+            for start in range(0, len(batch), POINTS_AT_ONCE):
+                points = np.stack(batch.iloc[start : start + POINTS_AT_ONCE].to_numpy())
+                row = np.arange(len(points))[:, None] * points.shape[1]
+                node = np.repeat(first[None, :], len(points), axis=0)
+                for _ in range(levels):
+                    goes_left = points.take(row + feature.take(node)) <= cut.take(node)
+                    node = np.where(goes_left, left.take(node), right.take(node))
+                means.append(depth.take(node).mean(axis=1))
+            yield pd.Series(np.power(2.0, -np.concatenate(means) / scale))
 
     return events.withColumn(out, score(_vector(features)))
 

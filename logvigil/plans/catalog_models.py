@@ -56,10 +56,15 @@ CANDIDATES = f"""cand AS MATERIALIZED (SELECT event_id, label, split, score, rou
 COMPARED = comparison_sql(chain.BASE_MODELS, "cand")
 
 
+def judged_columns(rows):
+    """What the base models read, and what they are judged by: no other column is written again with their scores."""
+    return rows.select("event_id", "label", "split", "score", *profiles.BASE_FEATURES)
+
+
 @query("baseline_selection", f"SELECT * FROM (WITH {CANDIDATES} {COMPARED})")
 def baseline_selection(spark, sf):
     """Validation metrics of the three base models; the best by ROC area is marked."""
-    rows = written(models.baseline_candidates(derived.features(spark, sf), profiles.BASE_FEATURES))
+    rows = written(models.baseline_candidates(judged_columns(derived.features(spark, sf)), profiles.BASE_FEATURES))
     val = rows.where(F.col("split") == "val").withColumn("y", rules.binary_label(F.col("label")))
     return metrics.model_comparison(val, chain.BASE_MODELS)
 
@@ -69,7 +74,7 @@ def baseline_selection(spark, sf):
   FROM cand CROSS JOIN best)""")
 def best_base_scores(spark, sf):
     """All events scored with the base model that wins on the validation part."""
-    rows, model = chain.best_base_scores(derived.scored(spark, sf))
+    rows, model = chain.best_base_scores(judged_columns(derived.scored(spark, sf)))
     return rows.select("event_id", F.lit(model).alias("model"), "score")
 
 
