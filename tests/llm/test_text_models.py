@@ -293,3 +293,19 @@ def test_toxicity_of_odd_rows(spark, odd_docs, no_docs, detector):
         assert len(rows) == odd_docs.count() and all(0 <= r.score <= 1 for r in rows)
         assert noise.scored(no_docs, model).count() == 0
     assert noise.detector(odd_docs, spark.createDataFrame([], "doc_id long, quality int, toxic int")) is None
+
+
+def test_one_reading_gives_margins_and_risk(monkeypatch):
+    """Features of a text are taken once for its margin and for the risk, and both are as if taken apart."""
+    rng = np.random.default_rng(3)
+    size = 1 << grams.FEATURE_BITS
+    models = [linear.Linear(rng.normal(size=size), rng.normal(size=size), b) for b in (0.25, -1.0, 0.0)]
+    texts = ["", "one two three", "ein Satz mit mehr Worten", "x", "one two three four five six " * 9]
+    own = np.array([0, 1, 2, 1, 0])
+    taken, plain = [], grams.features
+    monkeypatch.setattr(grams, "features", lambda chars: taken.append(1) or plain(chars))
+    margins, gradient, risk = pu.margins_and_risk(texts, pu.side_by_side(models), own, models[2])
+    assert len(taken) == len(list(grams.chunks(texts)))
+    assert margins == pytest.approx([models[k].margins([t])[0] for k, t in zip(own, texts, strict=True)], abs=1e-9)
+    other = pu.risk_sums(texts, models[2])
+    assert gradient == pytest.approx(other[0]) and risk == pytest.approx(other[1])
