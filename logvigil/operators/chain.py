@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from logvigil.functions import rules
 from logvigil.operators import metrics, models, profiles, ranks, scoring, sequence, trailing
 from logvigil.operators.timeline import DECIDED, find_hot, mark_hot
-from logvigil.session import JOIN_IN_PLACE, written
+from logvigil.session import JOIN_IN_PLACE, held, sized_tasks, written
 
 # fixed values
 FEATURES = (
@@ -37,16 +37,17 @@ def learn(events: DataFrame) -> Learned:
     The log is written once first: every later pass reads that table, however costly parsing and joining it were.
     """
     events = written(events)
-    split = ranks.chrono_split(events)
-    normal = profiles.normal_training(split)
-    hot = find_hot(events)
-    return Learned(
-        split,
-        written(profiles.entity_profile(normal, hot)),
-        written(profiles.owned(normal, "mac")),
-        profiles.global_constants(normal),
-        hot,
-    )
+    with held(events.sparkSession, sized_tasks(events.sparkSession, events.count())):
+        split = ranks.chrono_split(events)
+        normal = profiles.normal_training(split)
+        hot = find_hot(events)
+        return Learned(
+            split,
+            written(profiles.entity_profile(normal, hot)),
+            written(profiles.owned(normal, "mac")),
+            profiles.global_constants(normal),
+            hot,
+        )
 
 
 def base_scores(learned: Learned, events: DataFrame | None = None) -> DataFrame:
@@ -101,10 +102,12 @@ def ensemble_scores(learned: Learned, best_base: bool = False, with_trailing: bo
     is looked up by entity finds them there, and all that comes after the write is constants and a broadcast table. The base score
     is the profile's, or with ``best_base`` that of the base model that wins on the validation part.
     """
-    swept = trailing_events(learned) if with_trailing else None
-    rows = base_scores(learned, sequence_errors(learned.events, learned.hot, swept))
-    # an entity that is cut into slices does not lie by entity, and must not
-    scored = written(rows, JOIN_IN_PLACE if learned.hot is None else None)
+    spark = learned.events.sparkSession
+    with held(spark, sized_tasks(spark, learned.events.count())):
+        swept = trailing_events(learned) if with_trailing else None
+        rows = base_scores(learned, sequence_errors(learned.events, learned.hot, swept))
+        # an entity that is cut into slices does not lie by entity, and must not
+        scored = written(rows, JOIN_IN_PLACE if learned.hot is None else None)
     if best_base:
         scored, _ = best_base_scores(scored)
     rows = scoring.ensemble(scored)

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from logvigil import session
 from logvigil.functions import rules
 from logvigil.operators import attribution, chain, models, scoring, timeline, triage
 from logvigil.plans import derived
@@ -27,6 +28,26 @@ def test_hot_entities_change_nothing(spark, monkeypatch):
         assert sliced[column].to_numpy() == pytest.approx(plain[column].to_numpy(), rel=1e-9, abs=1e-9), column
 
 
+def test_tasks_follow_the_rows(spark, monkeypatch):
+    set_for = []
+
+    def noted(df, settings=None):
+        set_for.append(spark.conf.get("spark.sql.shuffle.partitions"))
+        return written(df, settings)
+
+    columns = ["event_id", *chain.FEATURES, "score_ensemble"]
+    few = features_of(derived.access_log(spark, SF)).select(*columns).toPandas().set_index("event_id").sort_index()
+    monkeypatch.setattr(session, "ROWS_A_TASK", 90)
+    monkeypatch.setattr(chain, "written", noted)
+    learned = chain.learn(derived.access_log(spark, SF))
+    assert set_for == ["4", "12", "12"]  # the log itself needs no exchange
+    rows = chain.ensemble_scores(learned, with_trailing=True)
+    assert set(set_for[3:]) == {"12"} and spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    many = rows.select(*columns).toPandas().set_index("event_id").sort_index()
+    for column in columns[1:]:
+        assert many[column].to_numpy() == pytest.approx(few[column].to_numpy(), rel=1e-9, abs=1e-9), column
+
+
 @pytest.mark.parametrize("hot_rows", [timeline.HOT_ROWS, 20])
 def test_one_pass_gives_scores_and_all_features(spark, monkeypatch, hot_rows):
     """Trailing features of the pass that scores are those of a pass over the scored rows, and nothing is shuffled after its write."""
