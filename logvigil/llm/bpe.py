@@ -102,19 +102,21 @@ class Codec(dict):
         """Merge the pair of lowest rank, leftmost first, until none is left."""
         ranks = self.ranks
         if len(raw) <= 2 * SMALL_BYTES:
+            rank, none = ranks.get, len(ranks)  # above all ranks, so that the lowest is found without a look at each
             parts = [raw[i : i + 1] for i in range(len(raw))]
-            found = [ranks.get(a + b) for a, b in zip(parts, parts[1:])]
-            while True:
-                low = min((r for r in found if r is not None), default=None)
-                if low is None:
-                    return [ranks[p] for p in parts]
+            found = [rank(raw[i : i + 2], none) for i in range(len(raw) - 1)]
+            while found:
+                low = min(found)
+                if low == none:
+                    break
                 i = found.index(low)
-                parts[i : i + 2] = [parts[i] + parts[i + 1]]
-                del found[i]
+                whole = parts[i] = parts[i] + parts[i + 1]
+                del parts[i + 1], found[i]
                 if i < len(found):
-                    found[i] = ranks.get(parts[i] + parts[i + 1])
+                    found[i] = rank(whole + parts[i + 1], none)
                 if i:
-                    found[i - 1] = ranks.get(parts[i - 1] + parts[i])
+                    found[i - 1] = rank(parts[i - 1] + whole, none)
+            return list(map(ranks.__getitem__, parts))
         end = [i + 1 for i in range(len(raw))]  # end of the part that starts at i; 0 once it is merged away
         start = list(range(-1, len(raw)))  # start of the part that ends at i
         heap = [(r, i, i + 2) for i in range(len(raw) - 1) if (r := ranks.get(raw[i : i + 2])) is not None]
