@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from logvigil.functions import rules
 from logvigil.operators import metrics, models, profiles, ranks, scoring, sequence, trailing
 from logvigil.operators.timeline import DECIDED, find_hot, mark_hot
-from logvigil.session import JOIN_IN_PLACE, held, sized_tasks, written
+from logvigil.session import JOIN_IN_PLACE, held, sized_files, sized_tasks, written
 
 # fixed values
 FEATURES = (
@@ -36,7 +36,7 @@ def learn(events: DataFrame) -> Learned:
 
     The log is written once first: every later pass reads that table, however costly parsing and joining it were.
     """
-    events = written(events)
+    events = written(events, sized_files())
     with held(events.sparkSession, sized_tasks(events.sparkSession, events.count())):
         split = ranks.chrono_split(events)
         normal = profiles.normal_training(split)

@@ -97,3 +97,14 @@ def test_from_csv_to_cards(spark, tmp_path):
         attribution.explain_event(cards, "nobody")
     queue = triage.alert_queue(alerts.withColumn("risk_score", F.col("score_ensemble")))
     assert queue.first()["event_id"] in {c["event_id"] for c in cards.collect()}
+
+
+def test_scans_of_the_log_follow_its_rows(spark, monkeypatch):
+    """The log in one file or in few is read by as many tasks as its rows ask for, not by as many as its packed bytes do."""
+    monkeypatch.setattr(session, "ROWS_A_SCAN", 50)
+    log = derived.access_log(spark, SF).coalesce(1)
+    learned = chain.learn(log)
+    rows = log.count()
+    with session.held(spark, session.sized_tasks(spark, rows)):
+        read = [r["count"] for r in learned.events.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(read) == rows > 500 and max(read) <= 100
