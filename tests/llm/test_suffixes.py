@@ -51,6 +51,27 @@ def test_short_passages_stay(spark, corpus, least_words):
     assert cut(docs, suffixes.Depth(120, 30), least_words) == want
 
 
+def test_few_strings_are_spread(spark, monkeypatch):
+    """A string is compared by itself only if it lies near the end of what two texts share."""
+    rng, spread, real = random.Random(7), [], suffixes.written
+
+    def counting(df, settings=None):
+        table = real(df, settings)
+        if {"pointer", "low"} <= set(table.columns):
+            spread.append(table.count())
+        return table
+
+    monkeypatch.setattr(suffixes, "written", counting)
+    some = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    line, passage = some(300), some(3000)
+    rows = [(i, some(900) + line + some(900)) for i in range(20)]  # strings of 100 bytes in common, none of 400
+    assert cut(spark.createDataFrame(rows, "doc_id long, text string")) == brute([(i, t.encode()) for i, t in rows], 400)
+    assert spread.pop() == 0
+    rows += [(20 + i, some(900) + passage[at:] + some(900)) for i, at in enumerate([0, 11, 200, 1500])]
+    assert cut(spark.createDataFrame(rows, "doc_id long, text string")) == brute([(i, t.encode()) for i, t in rows], 400)
+    assert 0 < spread.pop() <= 4 * 2 * 2 * 32  # two pieces at either end of four passages
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = [(r.doc_id, (r.text or "").encode()) for r in odd_docs.collect()]
     assert cut(odd_docs) == brute(rows, 400)
