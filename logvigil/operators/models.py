@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from logvigil.functions import rules
 from logvigil.operators.metrics import balanced_weights
 from logvigil.operators.sampling import stratified_folds
-from logvigil.session import written
+from logvigil.session import discard, written
 
 # fixed values
 TREES, TREE_ROWS = 100, 256
@@ -35,6 +35,7 @@ NUDGE = 1e-9  # as in the registry of queries
 SCORE_DIGITS = 9
 POINTS_AT_ONCE = 500  # through all trees, in the cache of a core
 CLASSES_AT_ONCE = 4  # boosted side by side
+ROWS_A_FIT = 100_000  # of features that a task adds up for a level of a boosted tree
 HEX = 1 << 32  # values of a digest's first eight digits
 
 
@@ -239,7 +240,11 @@ def classifier_fit(
     flagged: DataFrame, features: tuple[str, ...], label: str = "target_class", trees: int = 40, depth: int = 6,
     seed: int = 42, boosted: bool = False, rounds: int = 200,
 ) -> PipelineModel:
-    """Multi-class model with balanced class weights: a random forest, or boosted trees per class."""
+    """Multi-class model with balanced class weights: a random forest, or boosted trees per class.
+
+    Each level of each boosted tree is a job over all rows, thousands in all. So they are written first and read by as many tasks as their
+    number asks for: more tasks only add to what every job starts, shuffles and reports.
+    """
     stages = [
         StringIndexer(inputCol=label, outputCol="class_index", stringOrderType="alphabetAsc", handleInvalid="keep"),
         VectorAssembler(inputCols=list(features), outputCol="vector"),
@@ -251,7 +256,13 @@ def classifier_fit(
     else:
         stages.append(RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, **common))
     rows = flagged.select(label, *[F.col(c).cast("double").alias(c) for c in features])
-    return Pipeline(stages=stages).fit(balanced_weights(rows, label))
+    if not boosted:
+        return Pipeline(stages=stages).fit(balanced_weights(rows, label))
+    table = written(rows, {"spark.sql.files.maxRecordsPerFile": str(ROWS_A_FIT)})
+    few = table.coalesce(max(1, math.ceil(table.count() / ROWS_A_FIT)))
+    model = Pipeline(stages=stages).fit(balanced_weights(few, label))
+    discard(table)
+    return model
 
 
 def class_names(model: PipelineModel) -> list[str]:

@@ -106,7 +106,7 @@ def threat_classifier(spark, sf):
 def threat_classifier_boosted(spark, sf):
     """The same with boosted trees, one model a class."""
     rows = derived.flagged(spark, sf)
-    model = models.classifier_fit(rows, chain.FEATURES, boosted=True, rounds=20)
+    model = models.classifier_fit(rows, chain.FEATURES, boosted=True)
     return models.predict(rows, model).select(*PREDICTED)
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logvigil.operators import attribution, chain, models
-from logvigil.plans import derived
+from logvigil.plans import catalog_models, derived
 from logvigil.plans.catalog_models import IMPORTANCES
 
 XY = ("x", "y", "z")
@@ -80,6 +80,18 @@ def test_boosted_classifier(spark):
     assert all(r["confidence"] is None for r in got)
 
 
+def test_boosted_query_boosts_all_rounds(spark, monkeypatch):
+    """As many rounds a class as the original has, however the rows lie."""
+    rows = [(i, "ab"[i % 2], *[float(i % 2)] * len(chain.FEATURES)) for i in range(24)]
+    flagged = spark.createDataFrame(rows, ["event_id", "target_class", *chain.FEATURES]).repartition(5, "event_id")
+    fit, fitted = models.classifier_fit, []
+    monkeypatch.setattr(models, "classifier_fit", lambda *args, **kwargs: fitted.append(fit(*args, **kwargs)) or fitted[-1])
+    monkeypatch.setattr(derived, "flagged", lambda spark, sf: flagged)
+    got = catalog_models.threat_classifier_boosted(spark, "").collect()
+    assert len(got) == 24 and all(r["predicted_attack_type"] == r["target_class"] for r in got)
+    assert [m.getNumTrees for m in fitted[0].stages[2].models] == [200, 200]
+
+
 def test_card_contract(spark, alerts):
     events = derived.access_log(spark, "/root/testdata/sf0.001")
     cards = attribution.explain_cards(alerts, events, IMPORTANCES).collect()
